@@ -111,3 +111,189 @@ SELECT event_date AS metric_date, channel, event_type, city, device_type,
        CAST(sum(premium_amount) AS BIGINT) AS total_premium,
        round(avg(premium_amount), 4) AS avg_premium
 FROM store GROUP BY ALL""", "store", dates=("metric_date",))
+
+# ---- order side: stand-in product tables and payments ----------------------
+cte("product_orders", """
+SELECT o_orderkey AS order_id, CAST(o_custkey AS INTEGER) AS user_id,
+       concat('P', CAST(o_orderkey AS VARCHAR)) AS policy_number,
+       (['third_party','body_injury','medical','fire'])[CAST(o_orderkey % 4 AS INTEGER) + 1] AS insurance_type,
+       CAST(round(o_totalprice) AS BIGINT) AS coverage_amount,
+       CAST(round(o_totalprice / 100) AS BIGINT) AS premium_amount,
+       DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS order_date,
+       DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS policy_start_date,
+       DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) + CAST(180 + o_orderkey % 185 AS INTEGER) AS policy_end_date,
+       CASE o_orderstatus WHEN 'F' THEN 'active' WHEN 'O' THEN 'pending' ELSE 'cancelled' END AS status,
+       CAST(DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS TIMESTAMP) AS created_at,
+       o_orderkey, o_totalprice
+FROM orders""")
+
+cte("third_party_orders", """
+SELECT order_id, user_id, policy_number,
+       (['sedan','suv','truck'])[CAST(o_orderkey % 3 AS INTEGER) + 1] AS vehicle_type,
+       CAST(o_orderkey % 20 AS INTEGER) AS vehicle_age, CAST(18 + o_orderkey % 60 AS INTEGER) AS driver_age,
+       coverage_amount, premium_amount + (v - 1) * 10 AS premium_amount,
+       order_date, policy_start_date, policy_end_date, status, created_at,
+       created_at + v * INTERVAL 1 HOUR AS updated_at, CAST(v AS INTEGER) AS version
+FROM product_orders, (VALUES (1), (2)) x(v) WHERE insurance_type = 'third_party'""", "product_orders")
+
+cte("body_injury_orders", """
+SELECT order_id, user_id, policy_number,
+       (['basic','standard','premium'])[CAST(o_orderkey % 3 AS INTEGER) + 1] AS coverage_type,
+       CAST(round(o_totalprice * 2) AS BIGINT) AS medical_limit, CAST(round(o_totalprice) AS BIGINT) AS property_limit,
+       premium_amount, CAST(o_orderkey % 500 AS INTEGER) AS deductible,
+       order_date, policy_start_date, policy_end_date, status, created_at, created_at AS updated_at, 1 AS version
+FROM product_orders WHERE insurance_type = 'body_injury'""", "product_orders")
+
+cte("medical_orders", """
+SELECT order_id, user_id, policy_number,
+       (['bronze','silver','gold'])[CAST(o_orderkey % 3 AS INTEGER) + 1] AS coverage_plan,
+       CAST(o_orderkey % 2 AS INTEGER) AS individual, CAST(1 - o_orderkey % 2 AS INTEGER) AS family,
+       coverage_amount, premium_amount, CAST(o_orderkey % 500 AS INTEGER) AS deductible,
+       CAST(o_orderkey % 30 AS INTEGER) AS co_payment,
+       order_date, policy_start_date, policy_end_date, status, created_at, created_at AS updated_at, 1 AS version
+FROM product_orders WHERE insurance_type = 'medical'""", "product_orders")
+
+cte("fire_orders", """
+SELECT order_id, user_id, policy_number,
+       (['apartment','house','commercial'])[CAST(o_orderkey % 3 AS INTEGER) + 1] AS property_type,
+       coverage_amount * 3 AS property_value, coverage_amount, premium_amount,
+       CAST(o_orderkey % 500 AS INTEGER) AS deductible,
+       (['Harbor','Hill','Lake','Plain'])[CAST(o_orderkey % 4 AS INTEGER) + 1] AS location_city,
+       (['concrete','steel','wood'])[CAST(o_orderkey % 3 AS INTEGER) + 1] AS construction_type,
+       order_date, policy_start_date, policy_end_date, status, created_at, created_at AS updated_at, 1 AS version
+FROM product_orders WHERE insurance_type = 'fire'""", "product_orders")
+
+cte("payments", """
+SELECT order_id, transaction_id,
+       (['credit_card','bank_transfer','wallet'])[CAST(transaction_id % 3 AS INTEGER) + 1] AS payment_method,
+       CASE returnflag WHEN 'R' THEN 'failed' WHEN 'A' THEN 'pending' ELSE 'completed' END AS payment_status,
+       'USD' AS currency, total_amount, tax_amount, discount_amount,
+       CAST(floor(total_amount / 20) AS BIGINT) AS commission_amount,
+       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(order_id % 30 AS INTEGER)) + INTERVAL 12 HOUR AS payment_date,
+       TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(order_id % 30 AS INTEGER)) + INTERVAL 12 HOUR + INTERVAL 2 DAY AS settlement_date,
+       1 AS version
+FROM (SELECT l_orderkey AS order_id, min(l_suppkey) AS transaction_id,
+             CAST(sum(round(l_extendedprice)) AS BIGINT) AS total_amount,
+             CAST(sum(round(l_extendedprice * l_tax)) AS BIGINT) AS tax_amount,
+             CAST(sum(round(l_extendedprice * l_discount)) AS BIGINT) AS discount_amount,
+             max(l_returnflag) AS returnflag
+      FROM lineitem GROUP BY l_orderkey)""")
+
+UNIFIED_COLS = ("order_id, user_id, policy_number, insurance_type, product_type, coverage_type, coverage_plan, "
+                "property_type, coverage_amount, premium_amount, vehicle_age, driver_age, medical_limit, "
+                "property_limit, individual, family, deductible, co_payment, property_value, location_city, "
+                "construction_type, order_date, policy_start_date, policy_end_date, status, created_at, updated_at")
+
+
+def _latest(table: str) -> str:
+    return (f"SELECT * EXCLUDE (version) FROM {table} "
+            f"QUALIFY row_number() OVER (PARTITION BY order_id, user_id ORDER BY version DESC, updated_at DESC) = 1")
+
+
+cte("unified", f"""
+SELECT {UNIFIED_COLS} FROM (
+  SELECT * EXCLUDE (vehicle_type), vehicle_type AS product_type, 'third_party' AS insurance_type FROM ({_latest('third_party_orders')})
+  UNION ALL BY NAME SELECT *, 'body_injury' AS insurance_type FROM ({_latest('body_injury_orders')})
+  UNION ALL BY NAME SELECT *, 'medical' AS insurance_type FROM ({_latest('medical_orders')})
+  UNION ALL BY NAME SELECT *, 'fire' AS insurance_type FROM ({_latest('fire_orders')}))""",
+    "third_party_orders", "body_injury_orders", "medical_orders", "fire_orders")
+
+cte("purchases", "SELECT * FROM store WHERE event_type = 'purchase'", "store")
+
+cte("denorm_raw", f"""
+SELECT e.event_id, e.event_time, e.user_id, e.session_id, e.channel, e.premium_amount, e.signup_date,
+       e.city, e.device_type, e.user_tenure_days, e.event_date, e.event_hour, e.event_day_of_week,
+       e.processing_time, e.data_source,
+       coalesce(o.order_id, e.event_id) AS order_id, o.policy_number, o.insurance_type, o.product_type,
+       o.coverage_type, o.coverage_plan, o.property_type, o.coverage_amount AS order_coverage_amount,
+       o.premium_amount AS order_premium_amount, o.vehicle_age, o.driver_age, o.medical_limit,
+       o.property_limit, o.individual, o.family, o.deductible, o.co_payment, o.property_value,
+       o.location_city, o.construction_type, o.order_date, o.policy_start_date, o.policy_end_date,
+       o.status AS order_status, f.transaction_id, f.payment_method, f.payment_status, f.currency,
+       f.total_amount, f.tax_amount, f.discount_amount, f.commission_amount, f.payment_date,
+       f.settlement_date, {AS_OF} AS ingestion_time
+FROM purchases e
+LEFT JOIN unified o ON e.user_id = o.user_id AND e.event_date = o.order_date
+LEFT JOIN payments f ON o.order_id = f.order_id""", "purchases", "unified", "payments")
+
+cte("denorm", """
+SELECT * FROM denorm_raw
+QUALIFY row_number() OVER (PARTITION BY event_date, event_id, user_id, insurance_type
+                           ORDER BY order_id DESC, transaction_id DESC) = 1""", "denorm_raw")
+
+cte("sessions", """
+SELECT session_id, user_id, min(event_time) AS first_event_time, max(event_time) AS last_event_time,
+       count(*) AS total_events, count(DISTINCT event_type) AS unique_event_types,
+       max(is_purchase) AS has_purchase, CAST(sum(premium_amount) AS BIGINT) AS total_premium,
+       first(channel ORDER BY event_time, event_id) AS first_channel,
+       first(city ORDER BY event_time, event_id) AS first_city,
+       first(device_type ORDER BY event_time, event_id) AS first_device_type,
+       list(event_type ORDER BY event_time, event_id) AS event_sequence,
+       datediff('second', min(event_time), max(event_time)) AS session_duration_seconds
+FROM store GROUP BY session_id, user_id""", "store")
+
+DENORM_DATES = ("signup_date", "event_date", "order_date", "policy_start_date", "policy_end_date")
+ORDER_DATES = ("order_date", "policy_start_date", "policy_end_date")
+
+oracle("unified_orders", "SELECT * FROM unified", "unified", dates=ORDER_DATES)
+oracle("latest_version", _latest("third_party_orders").replace("* EXCLUDE (version)", "*"),
+       "third_party_orders", dates=ORDER_DATES)
+oracle("purchase_order_join", """
+SELECT e.event_id, e.user_id, e.event_date, e.premium_amount, o.order_id, o.insurance_type,
+       o.policy_number, o.premium_amount AS order_premium_amount
+FROM purchases e LEFT JOIN unified o ON e.user_id = o.user_id AND e.event_date = o.order_date""",
+       "purchases", "unified", dates=("event_date",))
+oracle("purchase_denormalized", "SELECT * FROM denorm_raw", "denorm_raw", dates=DENORM_DATES)
+oracle("dedup_denormalized", "SELECT * FROM denorm", "denorm", dates=DENORM_DATES)
+oracle("purchase_denormalized_by_order_id", """
+SELECT e.event_id, e.user_id, e.session_id, e.channel, e.premium_amount, o.insurance_type,
+       o.policy_number, o.coverage_amount, f.payment_method, f.payment_status, f.total_amount,
+       round(CAST(e.premium_amount AS DOUBLE) / nullif(f.total_amount, 0), 6) AS commission_rate
+FROM purchases e
+LEFT JOIN unified o ON e.user_id = o.user_id AND e.event_id = o.order_id
+LEFT JOIN payments f ON o.order_id = f.order_id""", "purchases", "unified", "payments")
+oracle("product_inner_join", f"""
+SELECT e.event_id, e.user_id, e.premium_amount, 'third_party' AS insurance_type, o.policy_number,
+       f.payment_method, f.payment_status
+FROM purchases e
+JOIN ({_latest('third_party_orders')}) o ON e.user_id = o.user_id AND e.event_date = o.order_date
+JOIN payments f ON o.order_id = f.order_id
+WHERE e.event_date >= DATE '2024-01-01'""", "purchases", "third_party_orders", "payments")
+oracle("type_date_lookup", """
+SELECT event_id, user_id, premium_amount, insurance_type, policy_number, payment_method, payment_status
+FROM denorm WHERE event_date >= DATE '2024-01-01' AND insurance_type = 'third_party'""", "denorm")
+oracle("insurance_type_summary", """
+SELECT insurance_type, event_date, count(*) AS purchase_count, CAST(sum(premium_amount) AS BIGINT) AS total_premium,
+       CAST(sum(total_amount) AS BIGINT) AS total_revenue, round(avg(premium_amount), 4) AS avg_premium
+FROM denorm GROUP BY ALL""", "denorm", dates=("event_date",))
+oracle("user_daily_summary", """
+SELECT user_id, event_date, count(*) AS daily_purchases, CAST(sum(premium_amount) AS BIGINT) AS daily_premium,
+       coalesce(list_sort(list(insurance_type) FILTER (WHERE insurance_type IS NOT NULL)), []) AS insurance_types
+FROM denorm GROUP BY ALL""", "denorm", dates=("event_date",), arrays=("insurance_types",))
+oracle("insurance_type_last_days", f"""
+SELECT insurance_type, event_date, CAST(sum(premium_amount) AS BIGINT) AS daily_premium, count(*) AS purchase_count,
+       round(avg(total_amount), 4) AS avg_transaction_value
+FROM denorm WHERE event_date >= CAST({AS_OF} AS DATE) - 30 GROUP BY ALL""", "denorm", dates=("event_date",))
+oracle("user_product_mix", f"""
+SELECT d.user_id, count(*) AS total_purchases, CAST(sum(d.premium_amount) AS BIGINT) AS total_premium,
+       coalesce(list_sort(list(DISTINCT d.insurance_type) FILTER (WHERE d.insurance_type IS NOT NULL)), []) AS product_mix,
+       max(s.session_duration_seconds) AS longest_session
+FROM denorm d LEFT JOIN sessions s ON d.session_id = s.session_id
+WHERE d.event_date >= CAST({AS_OF} AS DATE) - 90
+GROUP BY d.user_id HAVING count(*) > 1
+ORDER BY total_premium DESC, d.user_id LIMIT 100""", "denorm", "sessions", arrays=("product_mix",))
+oracle("channel_product_performance", f"""
+SELECT channel, insurance_type, count(*) AS purchase_count, CAST(sum(premium_amount) AS BIGINT) AS revenue,
+       CAST(sum(commission_amount) AS BIGINT) AS commission,
+       round(avg(datediff('day', policy_start_date, policy_end_date)), 4) AS avg_policy_duration
+FROM denorm WHERE event_date >= CAST({AS_OF} AS DATE) - 7 AND payment_status = 'completed'
+GROUP BY ALL""", "denorm")
+oracle("insurance_type_last_week", f"""
+SELECT insurance_type, count(*) AS purchase_count, CAST(sum(premium_amount) AS BIGINT) AS total_premium,
+       round(avg(premium_amount), 4) AS avg_premium
+FROM denorm WHERE event_date >= CAST({AS_OF} AS DATE) - 7 GROUP BY ALL""", "denorm")
+oracle("denormalized_overview", """
+SELECT count(*) AS total_records, count(DISTINCT user_id) AS unique_users,
+       count(DISTINCT insurance_type) AS insurance_types, CAST(sum(premium_amount) AS BIGINT) AS total_premium,
+       round(avg(premium_amount), 4) AS avg_premium
+FROM denorm""", "denorm")

@@ -88,3 +88,91 @@ def q_run_etl(t):
 @register("daily_event_metrics")
 def q_daily_event_metrics(t):
     return metrics.daily_event_metrics(etl.stored_events(t, AS_OF))
+
+
+# ---- orders -----------------------------------------------------------------
+from eventide.operators import maintain, orders  # noqa: E402
+from eventide.plans import orders_flow  # noqa: E402
+
+
+def _sessions(t):
+    return metrics.session_metrics(etl.stored_events(t, AS_OF))
+
+
+@register("unified_orders")
+def q_unified_orders(t):
+    return orders_flow.unified(t)
+
+
+@register("latest_version")
+def q_latest_version(t):
+    return maintain.latest_version(fixtures.third_party_orders(t.orders), ["order_id", "user_id"])
+
+
+@register("purchase_order_join")
+def q_purchase_order_join(t):
+    j = orders.purchase_order_join(etl.purchases(t, AS_OF), orders_flow.unified(t))
+    return j.select("e.event_id", "e.user_id", "e.event_date", "e.premium_amount", "o.order_id",
+                    "o.insurance_type", "o.policy_number", F.col("o.premium_amount").alias("order_premium_amount"))
+
+
+@register("purchase_denormalized")
+def q_purchase_denormalized(t):
+    return orders_flow.denormalized_raw(t, AS_OF)
+
+
+@register("dedup_denormalized")
+def q_dedup_denormalized(t):
+    return orders_flow.denormalized(t, AS_OF)
+
+
+@register("purchase_denormalized_by_order_id")
+def q_by_order_id(t):
+    return orders.purchase_denormalized_by_order_id(etl.purchases(t, AS_OF), orders_flow.unified(t),
+                                                    orders_flow.payments(t))
+
+
+@register("product_inner_join")
+def q_product_inner_join(t):
+    return orders.product_inner_join(etl.stored_events(t, AS_OF), fixtures.third_party_orders(t.orders),
+                                     orders_flow.payments(t), "2024-01-01", "third_party")
+
+
+@register("type_date_lookup")
+def q_type_date_lookup(t):
+    return orders.type_date_lookup(orders_flow.denormalized(t, AS_OF), "2024-01-01", "third_party")
+
+
+@register("insurance_type_summary")
+def q_insurance_type_summary(t):
+    return orders.insurance_type_summary(orders_flow.denormalized(t, AS_OF))
+
+
+@register("user_daily_summary")
+def q_user_daily_summary(t):
+    return orders.user_daily_summary(orders_flow.denormalized(t, AS_OF))
+
+
+@register("insurance_type_last_days")
+def q_insurance_type_last_days(t):
+    return orders.insurance_type_last_days(orders_flow.denormalized(t, AS_OF), AS_OF, 30)
+
+
+@register("user_product_mix")
+def q_user_product_mix(t):
+    return orders.user_product_mix(orders_flow.denormalized(t, AS_OF), _sessions(t), AS_OF, 90, 100)
+
+
+@register("channel_product_performance")
+def q_channel_product_performance(t):
+    return orders.channel_product_performance(orders_flow.denormalized(t, AS_OF), AS_OF, 7)
+
+
+@register("insurance_type_last_week")
+def q_insurance_type_last_week(t):
+    return orders.insurance_type_last_week(orders_flow.denormalized(t, AS_OF), AS_OF, 7)
+
+
+@register("denormalized_overview")
+def q_denormalized_overview(t):
+    return orders.denormalized_overview(orders_flow.denormalized(t, AS_OF))

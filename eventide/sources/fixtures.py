@@ -90,7 +90,7 @@ def product_orders(orders: DataFrame) -> DataFrame:
         F.date_add(order_date, (180 + k % 185).cast("int")).alias("policy_end_date"),
         status.alias("status"),
         order_date.cast("timestamp_ntz").alias("created_at"),
-        k,
+        k, F.col("o_totalprice"),
     )
 
 
