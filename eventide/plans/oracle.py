@@ -297,3 +297,8 @@ SELECT count(*) AS total_records, count(DISTINCT user_id) AS unique_users,
        count(DISTINCT insurance_type) AS insurance_types, CAST(sum(premium_amount) AS BIGINT) AS total_premium,
        round(avg(premium_amount), 4) AS avg_premium
 FROM denorm""", "denorm")
+
+oracle("event_gaps", """
+SELECT event_id, event_time, lead(event_time) OVER (ORDER BY event_time, event_id) AS next_event_time,
+       datediff('second', event_time, lead(event_time) OVER (ORDER BY event_time, event_id)) AS gap_seconds
+FROM processed""", "processed")

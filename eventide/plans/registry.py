@@ -176,3 +176,422 @@ def q_insurance_type_last_week(t):
 @register("denormalized_overview")
 def q_denormalized_overview(t):
     return orders.denormalized_overview(orders_flow.denormalized(t, AS_OF))
+
+
+# ---- windows -----------------------------------------------------------------
+from eventide.operators import windows  # noqa: E402
+
+
+@register("event_gaps")
+def q_event_gaps(t):
+    return windows.event_gaps(etl.processed_events(t, AS_OF))
+
+
+# ---- sources / sinks -----------------------------------------------------------
+from eventide.functions.columns import as_of_ts, parse_time_best_effort, safe_ratio, seconds_between  # noqa: E402
+from eventide.operators import quality, reports  # noqa: E402
+from eventide.plans import quality_run  # noqa: E402
+from eventide.session import scratch_path  # noqa: E402
+from eventide.sources import csv_ingest, incremental, layout, topic  # noqa: E402
+from eventide.schemas import PROCESSED_COLUMNS  # noqa: E402
+
+
+@register("decode_events")
+def q_decode_events(t):
+    return topic.decode_events(topic.encode_raw_events(_raw(t)))
+
+
+def _parsed_lines(t):
+    return csv_ingest.parse_event_lines(csv_ingest.events_to_csv_lines(_raw(t)))
+
+
+@register("ingest_events_csv")
+def q_ingest_events_csv(t):
+    return csv_ingest.good_rows(_parsed_lines(t))
+
+
+@register("ingest_report")
+def q_ingest_report(t):
+    return csv_ingest.ingest_report(_parsed_lines(t))
+
+
+@register("ingest_users_csv")
+def q_ingest_users_csv(t):
+    return csv_ingest.parse_user_lines(csv_ingest.users_to_csv_lines(_users(t)), AS_OF)
+
+
+@register("users_profile")
+def q_users_profile(t):
+    return csv_ingest.users_profile(_users(t))
+
+
+@register("encode_processed")
+def q_encode_processed(t):
+    """S7 round trip: encode every processed row, decode it back on the consumer side."""
+    return topic.decode_processed(topic.encode_processed(etl.processed_events(t, AS_OF)), AS_OF)
+
+
+@register("normalize_processed")
+def q_normalize_processed(t):
+    """P7 on text rows whose dates are written in mixed layouts."""
+    p = etl.processed_events(t, AS_OF)
+    txt = p.select(
+        "event_id",
+        F.when(F.col("event_id") % 2 == 0, F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
+         .otherwise(F.date_format("event_time", "yyyy/MM/dd HH:mm:ss")).alias("event_time"),
+        "user_id", "session_id", "event_type", "channel", "premium_amount",
+        F.date_format("signup_date", "dd/MM/yyyy").alias("signup_date"), "city", "device_type",
+        "user_tenure_days", F.col("event_date").cast("string").alias("event_date"),
+        "event_hour", "event_day_of_week", "is_purchase",
+        F.date_format("processing_time", "yyyy-MM-dd HH:mm:ss").alias("processing_time"), "data_source")
+    return clean.normalize_processed(txt, AS_OF)
+
+
+@register("incremental_load")
+def q_incremental_load(t):
+    """Users above the high-water mark of those already synced (the users seen in events)."""
+    users = _users(t)
+    synced = users.join(_raw(t).select("user_id").distinct(), "user_id", "left_semi")
+    return incremental.incremental_load(users, synced, "user_id")
+
+
+@register("write_partitioned")
+def q_write_partitioned(t):
+    """Denormalised purchases written by (month, type), sorted, bloom-indexed; read back."""
+    spark = t.spark
+    path = scratch_path(spark, "purchase_events_denormalized")
+    d = orders_flow.denormalized(t, AS_OF).withColumn("insurance_type", F.coalesce("insurance_type", F.lit("none")))
+    layout.write_partitioned(d, path, "event_date", ("insurance_type",), ("event_date", "event_id"),
+                             ("policy_number",))
+    back = spark.read.option("basePath", path).schema(
+        d.schema.add("month", "string")).parquet(path)
+    return back
+
+
+@register("event_key")
+def q_event_key(t):
+    return clean.event_key(clean.clean_events(_raw(t))).select("event_id", "event_key")
+
+
+@register("scalar_functions")
+def q_scalar_functions(t):
+    s = etl.stored_events(t, AS_OF)
+    parts = F.split("session_id", "_")
+    return s.select(
+        "event_id",
+        parse_time_best_effort(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")).alias("parsed_time"),
+        F.to_date("event_time").alias("event_day"),
+        F.hour("event_time").alias("hour_of_day"),
+        F.dayofweek("event_time").alias("day_of_week"),
+        F.datediff("event_date", "signup_date").alias("days_since_signup"),
+        seconds_between(F.col("event_time"), as_of_ts(AS_OF)).alias("seconds_to_as_of"),
+        F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour_bucket"),
+        F.date_format("event_time", "yyyyMM").alias("month_key"),
+        F.trim("device_type").alias("device_trimmed"),
+        F.concat("event_type", F.lit("/"), "channel").alias("label"),
+        F.col("user_id").cast("string").alias("user_text"),
+        F.coalesce("city", F.lit("unknown")).alias("city_or_unknown"),
+        F.round(F.col("premium_amount") / F.lit(100.0), 2).alias("premium_units"),
+        F.round(safe_ratio(F.col("premium_amount"), F.col("event_hour")), 4).alias("premium_per_hour"),
+        F.when(F.col("premium_amount") > 5000, 1).otherwise(0).alias("is_big"),
+        F.get_json_object(F.to_json(F.struct("channel", "premium_amount")), "$.channel").alias("json_channel"),
+        F.size(parts).alias("session_parts"),
+        F.when(F.forall(parts, lambda x: x != ""), 1).otherwise(0).alias("all_parts_nonempty"),
+        F.size(F.filter(parts, lambda x: x.rlike("^[0-9]+$"))).alias("numeric_parts"),
+        F.array_join(F.transform(parts, lambda x: F.upper(x)), "-").alias("upper_parts"),
+    )
+
+
+# ---- events: more roll-ups -----------------------------------------------------------
+def _store(t):
+    return etl.stored_events(t, AS_OF)
+
+
+@register("daily_aggregate_metrics")
+def q_daily_aggregate_metrics(t):
+    return metrics.daily_aggregate_metrics(_store(t))
+
+
+@register("session_metrics")
+def q_session_metrics(t):
+    return _sessions(t)
+
+
+@register("session_kpis")
+def q_session_kpis(t):
+    return metrics.session_kpis(_sessions(t))
+
+
+@register("category_values_report")
+def q_category_values_report(t):
+    return metrics.category_values_report(_store(t))
+
+
+@register("null_counts")
+def q_null_counts(t):
+    return metrics.null_counts(etl.processed_events(t, AS_OF))
+
+
+@register("daily_metrics_rollup")
+def q_daily_metrics_rollup(t):
+    return metrics.daily_metrics_rollup(metrics.daily_metrics_partials(_store(t)))
+
+
+@register("daily_metrics_rollup_sketch")
+def q_daily_metrics_rollup_sketch(t):
+    return metrics.daily_metrics_rollup(metrics.daily_metrics_partials(_store(t)), with_sketches=True)
+
+
+@register("table_row_counts")
+def q_table_row_counts(t):
+    s = _store(t)
+    return metrics.table_row_counts({
+        "processed_events_storage": s,
+        "daily_event_metrics": metrics.daily_event_metrics(s),
+        "daily_aggregate_metrics": metrics.daily_aggregate_metrics(s),
+        "session_metrics": metrics.session_metrics(s),
+        "purchase_events_denormalized": orders_flow.denormalized(t, AS_OF)})
+
+
+@register("signup_to_purchase_journey")
+def q_journey(t):
+    return metrics.signup_to_purchase_journey(_store(t))
+
+
+@register("channel_attribution")
+def q_channel_attribution(t):
+    s = _store(t)
+    return metrics.channel_attribution(metrics.session_metrics(s), s)
+
+
+@register("orphan_events")
+def q_orphan_events(t):
+    return enrich.orphan_events(clean.clean_events(_raw(t)), _users(t))
+
+
+@register("known_user_events")
+def q_known_user_events(t):
+    return enrich.known_user_events(clean.clean_events(_raw(t)), _users(t))
+
+
+# ---- maintenance -----------------------------------------------------------------------
+@register("dedup_events")
+def q_dedup_events(t):
+    return maintain.dedup_events(quality_run.double_delivery(_store(t)))
+
+
+@register("retain_recent")
+def q_retain_recent(t):
+    return maintain.retain_recent(_store(t), "event_time", 7, AS_OF)
+
+
+@register("point_lookup")
+def q_point_lookup(t):
+    """Lookup by the session of the earliest event (a key Spark derives; one row)."""
+    s = _store(t)
+    key = s.orderBy("event_time", "event_id").select("session_id").limit(1)
+    return maintain.point_lookup_keys(s, key, "session_id")
+
+
+@register("upsert_users")
+def q_upsert_users(t):
+    """Household-segment customers move to mobile devices in a version-2 change set."""
+    cur = fixtures.users_versioned(t.customer, t.nation)
+    hh = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(F.col("c_custkey").cast("int").alias("user_id"))
+    changes = (cur.join(hh, "user_id", "left_semi")
+               .withColumn("device_type", F.lit("Mobile"))
+               .withColumn("updated_at", as_of_ts(AS_OF))
+               .withColumn("version", F.lit(2)))
+    return maintain.upsert_users(cur, changes)
+
+
+# ---- quality ---------------------------------------------------------------------------
+def _logs(t):
+    return quality_run.Logs(t, AS_OF)
+
+
+@register("check_completeness")
+def q_check_completeness(t):
+    return quality.check_completeness(_store(t), AS_OF)
+
+
+@register("check_duplicates")
+def q_check_duplicates(t):
+    return quality.check_duplicates(quality_run.double_delivery(_store(t)), AS_OF)
+
+
+@register("check_freshness")
+def q_check_freshness(t):
+    return quality.check_freshness(_store(t), AS_OF)
+
+
+@register("sync_lag_status")
+def q_sync_lag_status(t):
+    return quality.sync_lag_status(_logs(t).sync_log())
+
+
+@register("volume_health")
+def q_volume_health(t):
+    return quality.volume_health(_store(t), AS_OF)
+
+
+@register("payload_drift")
+def q_payload_drift(t):
+    return quality.payload_drift(topic.encode_processed(etl.processed_events(t, AS_OF)))
+
+
+@register("missing_event_gaps")
+def q_missing_event_gaps(t):
+    return _logs(t).gap_log()
+
+
+@register("gap_severity")
+def q_gap_severity(t):
+    return quality.gap_severity(_logs(t).gap_log())
+
+
+@register("load_performance")
+def q_load_performance(t):
+    return _logs(t).load_log()
+
+
+@register("record_lineage")
+def q_record_lineage(t):
+    return _logs(t).lineage_log()
+
+
+@register("outliers_iqr")
+def q_outliers_iqr(t):
+    return (quality.outliers_iqr(_store(t), "premium_amount", ["event_type"])
+            .select("event_id", "event_type", "premium_amount", "q1", "q3", "lower_bound", "upper_bound"))
+
+
+@register("completeness_by_column")
+def q_completeness_by_column(t):
+    return quality.completeness_by_column(_store(t), ["user_id", "session_id", "city", "device_type"])
+
+
+@register("critical_alerts")
+def q_critical_alerts(t):
+    return quality.critical_alerts(_logs(t).check_log(), AS_OF)
+
+
+@register("health_dashboard")
+def q_health_dashboard(t):
+    return reports.health_dashboard(_logs(t).health_log(), AS_OF)
+
+
+@register("quality_issues")
+def q_quality_issues(t):
+    return reports.quality_issues(_logs(t).check_log(), AS_OF)
+
+
+@register("quality_issue_counts")
+def q_quality_issue_counts(t):
+    return reports.quality_issue_counts(_logs(t).check_log(), AS_OF)
+
+
+@register("sync_lag_report")
+def q_sync_lag_report(t):
+    return reports.sync_lag_report(_logs(t).sync_log(), AS_OF)
+
+
+@register("alert_counts")
+def q_alert_counts(t):
+    return reports.alert_counts(_logs(t).health_log(), AS_OF)
+
+
+@register("top_alerts")
+def q_top_alerts(t):
+    return reports.top_alerts(_logs(t).health_log(), AS_OF)
+
+
+@register("active_gaps")
+def q_active_gaps(t):
+    return reports.active_gaps(_logs(t).gap_log(), AS_OF)
+
+
+@register("drift_summary")
+def q_drift_summary(t):
+    return reports.drift_summary(_logs(t).drift_log(), AS_OF)
+
+
+@register("load_trends")
+def q_load_trends(t):
+    return reports.load_trends(_logs(t).load_log(), AS_OF, "30 DAYS")
+
+
+@register("lineage_report")
+def q_lineage_report(t):
+    return reports.lineage_report(_logs(t).lineage_log(), AS_OF)
+
+
+@register("range_violations")
+def q_range_violations(t):
+    return quality.range_violations(_store(t))
+
+
+@register("format_violations")
+def q_format_violations(t):
+    return quality.format_violations(_parsed_lines(t))
+
+
+@register("temporal_violations")
+def q_temporal_violations(t):
+    return quality.temporal_violations(_store(t), orders_flow.unified(t))
+
+
+@register("field_consistency")
+def q_field_consistency(t):
+    j = orders.purchase_order_join(etl.purchases(t, AS_OF), orders_flow.unified(t)).select(
+        "e.premium_amount", F.col("o.premium_amount").alias("order_premium_amount"))
+    return quality.field_consistency(_store(t), j)
+
+
+@register("volume_anomalies")
+def q_volume_anomalies(t):
+    return quality.volume_anomalies(_store(t))
+
+
+@register("arrival_frequency")
+def q_arrival_frequency(t):
+    s = _store(t)
+    return quality.arrival_frequency(s, windows.event_gaps(s))
+
+
+@register("record_count_check")
+def q_record_count_check(t):
+    return quality.record_count_check(etl.purchases(t, AS_OF), orders_flow.denormalized(t, AS_OF))
+
+
+@register("sequence_breaks")
+def q_sequence_breaks(t):
+    return quality.sequence_breaks(_store(t))
+
+
+@register("affected_rows_sample")
+def q_affected_rows_sample(t):
+    s = _store(t)
+    spark = t.spark
+    breaks = quality.sequence_breaks(s)
+    orphans = enrich.orphan_events(s, _users(t))
+    rows = [(name, df) for name, df in (("sequence_breaks", breaks), ("orphan_user_events", orphans))]
+    out = None
+    for name, df in rows:
+        r = spark.range(1).select(F.lit(name).alias("check_name"),
+                                  df.select(F.count(F.lit(1))).scalar().alias("error_count"),
+                                  quality.sample_ids(df, "event_id").alias("affected_rows"))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("quality_check_log")
+def q_quality_check_log(t):
+    return _logs(t).check_log()
+
+
+@register("quality_run")
+def q_quality_run(t):
+    """Append all logs to the shared folder, return the check log read back."""
+    paths = quality_run.run(t, AS_OF)
+    return t.spark.read.parquet(paths["data_quality_checks"]).drop("month")

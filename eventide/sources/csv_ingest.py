@@ -89,8 +89,7 @@ def parse_user_lines(lines: DataFrame, as_of: str) -> DataFrame:
     rows = lines.filter(F.col("value") != USER_HEADER).select(p.alias("f"))
     return rows.select(
         F.col("f.user_id").try_cast("int").alias("user_id"),
-        F.try_to_date(F.col("f.signup_date"), F.lit("yyyy-MM-dd")).alias("signup_date")
-        if hasattr(F, "try_to_date") else F.to_date(F.col("f.signup_date")).alias("signup_date"),
+        F.try_to_date(F.col("f.signup_date"), "yyyy-MM-dd").alias("signup_date"),
         F.col("f.city").alias("city"),
         F.col("f.device_type").alias("device_type"),
         as_of_ts(as_of).alias("created_at"),
