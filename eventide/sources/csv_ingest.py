@@ -16,9 +16,12 @@ from eventide.schemas import EVENT_CSV_TEXT, USER_CSV_TEXT
 
 EVENT_HEADER = "event_time,user_id,session_id,event_type,channel,premium_amount"
 USER_HEADER = "user_id,signup_date,city,device_type"
-# An empty field reads as "" (not NULL), so a missing trailing field (NULL)
-# can be told apart from a blank one.
-_CSV_OPTS = {"nullValue": "\u0001", "emptyValue": "", "mode": "PERMISSIVE"}
+_CSV_OPTS = {"mode": "PERMISSIVE"}
+# The CSV reader yields NULL both for a blank last field and for a missing
+# one.  A sentinel field is appended to every line before parsing into one
+# extra column: that column is non-NULL exactly when the line had >= 6 fields.
+_SENTINEL = "\u0002"
+_EVENT_CSV_PLUS = EVENT_CSV_TEXT.simpleString()[:-1] + ",tail:string>"
 
 
 def events_to_csv_lines(raw: DataFrame) -> DataFrame:
@@ -45,13 +48,14 @@ def parse_event_lines(lines: DataFrame) -> DataFrame:
     Rules: at least six fields; user_id must be an integer; a blank premium
     becomes 0; a non-numeric premium rejects the row.  Header lines are skipped.
     """
-    p = F.from_csv(F.col("value"), EVENT_CSV_TEXT.simpleString(), _CSV_OPTS)
+    p = F.from_csv(F.concat(F.col("value"), F.lit("," + _SENTINEL)), _EVENT_CSV_PLUS, _CSV_OPTS)
     parsed = (lines.filter(F.col("value") != EVENT_HEADER)
               .select(F.col("value").alias("line"), p.alias("f")))
     uid = F.col("f.user_id").try_cast("int")
     prem_txt = F.trim(F.col("f.premium_amount"))
-    prem = F.when(prem_txt == "", F.lit(0).cast("bigint")).otherwise(prem_txt.try_cast("bigint"))
-    reason = (F.when(F.col("f.premium_amount").isNull(), "fewer_than_6_fields")
+    prem = (F.when(prem_txt.isNull() | (prem_txt == ""), F.lit(0).cast("bigint"))
+            .otherwise(prem_txt.try_cast("bigint")))
+    reason = (F.when(F.col("f.tail").isNull(), "fewer_than_6_fields")
               .when(uid.isNull(), "bad_user_id")
               .when(prem.isNull(), "bad_premium_amount"))
     return parsed.select(
