@@ -104,13 +104,14 @@ oracle("derive_event_attributes", "SELECT * FROM derived", "derived", dates=PROC
 oracle("run_etl", "SELECT * FROM processed", "processed", dates=PROCESSED_DATES)
 
 # ---- aggregations --------------------------------------------------------
-oracle("daily_event_metrics", """
+cte("daily_ev", """
 SELECT event_date AS metric_date, channel, event_type, city, device_type,
        count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
        count(DISTINCT session_id) AS unique_sessions,
        CAST(sum(premium_amount) AS BIGINT) AS total_premium,
        round(avg(premium_amount), 4) AS avg_premium
-FROM store GROUP BY ALL""", "store", dates=("metric_date",))
+FROM store GROUP BY ALL""", "store")
+oracle("daily_event_metrics", "SELECT * FROM daily_ev", "daily_ev", dates=("metric_date",))
 
 # ---- order side: stand-in product tables and payments ----------------------
 cte("product_orders", """
@@ -717,3 +718,21 @@ UNION ALL
 SELECT 'orphan_user_events', (SELECT count(*) FROM orph),
        coalesce((SELECT list(event_id ORDER BY event_id) FROM (SELECT event_id FROM orph ORDER BY event_id LIMIT 10)), [])""",
        "breaks", "orph", arrays=("affected_rows",))
+
+# ---- streams: equal to their batch forms -----------------------------------------------
+oracle("stream_ingest", "SELECT * FROM store", "store", dates=STORE_DATES)
+oracle("stream_dedup", "SELECT * EXCLUDE (ingestion_time) FROM store", "store", dates=STORE_DATES)
+oracle("stream_enrich", "SELECT * FROM processed", "processed", dates=PROCESSED_DATES)
+oracle("stream_daily_metrics", "SELECT * FROM daily_ev", "daily_ev", dates=("metric_date",))
+oracle("stream_session_metrics", "SELECT * FROM sessions", "sessions", arrays=("event_sequence",))
+oracle("stream_purchase_orders", """
+SELECT e.event_id, e.user_id, e.event_date, e.premium_amount, o.order_id, o.insurance_type,
+       o.policy_number, o.premium_amount AS order_premium_amount
+FROM purchases e JOIN unified o ON e.user_id = o.user_id AND e.event_date = o.order_date""",
+       "purchases", "unified", dates=("event_date",))
+ORACLE["stream_upsert_users"] = ORACLE["upsert_users"]
+oracle("stream_freshness", """
+SELECT date_trunc('hour', event_time) AS window_start, date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end,
+       count(*) AS events, max(event_time) AS last_event_time,
+       datediff('second', max(event_time), date_trunc('hour', event_time) + INTERVAL 1 HOUR) AS staleness_seconds
+FROM store GROUP BY 1""", "store")

@@ -595,3 +595,83 @@ def q_quality_run(t):
     """Append all logs to the shared folder, return the check log read back."""
     paths = quality_run.run(t, AS_OF)
     return t.spark.read.parquet(paths["data_quality_checks"]).drop("month")
+
+
+# ---- streams ---------------------------------------------------------------------------
+from eventide.schemas import RAW_EVENT_STREAM  # noqa: E402
+from eventide.streaming import streams  # noqa: E402
+
+STREAM_FILES = 8
+
+
+def _stream_of(t, df, name, time_col=None, max_files=None, to_ltz=None):
+    """Stage a derived frame as a source directory and open it as a stream."""
+    if to_ltz:
+        df = streams.to_stream_time(df, to_ltz)
+    path = streams.stage(df, name, time_col, STREAM_FILES)
+    return streams.read_stream(t.spark, path, df.schema, max_files)
+
+
+@register("stream_ingest")
+def q_stream_ingest(t):
+    payloads = topic.encode_processed(etl.processed_events(t, AS_OF))
+    path = streams.stage(payloads, "processed-topic", "offset", STREAM_FILES)
+    good, _ = streams.stream_ingest(t.spark, path, AS_OF, max_files=2)
+    return t.spark.read.parquet(good).drop("epoch")
+
+
+@register("stream_dedup")
+def q_stream_dedup(t):
+    s = _stream_of(t, quality_run.double_delivery(_store(t)), "redelivered", "event_time", to_ltz="event_time")
+    out = streams.drain_append(t.spark, streams.stream_dedup(s), "dedup")
+    return out.drop("ingestion_time")
+
+
+@register("stream_enrich")
+def q_stream_enrich(t):
+    raw = _raw(t).select(*[f.name for f in RAW_EVENT_STREAM.fields])
+    s = _stream_of(t, raw, "raw-events", "event_time", max_files=2, to_ltz="event_time")
+    return streams.drain_append(t.spark, streams.stream_enrich(s, _users(t), AS_OF), "enrich")
+
+
+@register("stream_daily_metrics")
+def q_stream_daily_metrics(t):
+    s = _stream_of(t, _store(t), "store-daily", "event_time", max_files=2)
+    return t.spark.read.parquet(streams.stream_daily_metrics(t.spark, s))
+
+
+@register("stream_session_metrics")
+def q_stream_session_metrics(t):
+    s = _stream_of(t, _store(t), "store-sessions", "event_time", max_files=2)
+    return t.spark.read.parquet(streams.stream_session_metrics(t.spark, s)).drop("sbucket")
+
+
+@register("stream_purchase_orders")
+def q_stream_purchase_orders(t):
+    """T6, matched rows: unmatched purchases surface only after the watermark passes."""
+    p = _stream_of(t, etl.purchases(t, AS_OF), "purchases", "event_time", to_ltz="event_time")
+    u = orders_flow.unified(t).withColumn("order_ts", F.col("order_date").cast("timestamp"))
+    o = _stream_of(t, u, "orders", "order_ts")
+    out = streams.drain_append(t.spark, streams.stream_purchase_orders(p, o), "purchase-orders")
+    return out.filter(F.col("order_id").isNotNull())
+
+
+def _user_changes(t):
+    cur = fixtures.users_versioned(t.customer, t.nation)
+    hh = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(F.col("c_custkey").cast("int").alias("user_id"))
+    return (cur.join(hh, "user_id", "left_semi").withColumn("device_type", F.lit("Mobile"))
+            .withColumn("updated_at", as_of_ts(AS_OF)).withColumn("version", F.lit(2)))
+
+
+@register("stream_upsert_users")
+def q_stream_upsert_users(t):
+    s = _stream_of(t, _user_changes(t), "user-changes", None, max_files=2)
+    log = streams.stream_upsert_users(t.spark, s)
+    base = fixtures.users_versioned(t.customer, t.nation)
+    return streams.current_users(base, t.spark.read.parquet(log))
+
+
+@register("stream_freshness")
+def q_stream_freshness(t):
+    s = _stream_of(t, _store(t).select("event_id", "event_time"), "freshness", "event_time", to_ltz="event_time")
+    return streams.drain_updates(t.spark, streams.stream_freshness(s), ["window_start"], "freshness")
