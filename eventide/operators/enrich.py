@@ -11,15 +11,21 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_PROVEN: dict[tuple[int, int], bool] = {}
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only behind a size check.
 
     ``limit(max_rows + 1).count()`` stops scanning once the bound is passed,
-    so the check costs at most ``max_rows`` rows however large ``df`` is.
+    so the check costs at most ``max_rows`` rows however large ``df`` is.  The
+    verdict is remembered per (semantic plan, bound) for the session, so
+    building many plans over the same dimension runs the check once.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    key = (df.semanticHash(), max_rows)
+    if key not in _PROVEN:
+        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _PROVEN[key] else df
 
 
 def enrich_events(events: DataFrame, users: DataFrame, check_size: bool = True) -> DataFrame:

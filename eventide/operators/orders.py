@@ -24,19 +24,23 @@ def unified_orders(third_party: DataFrame, body_injury: DataFrame,
                    medical: DataFrame, fire: DataFrame, dedup: bool = True) -> DataFrame:
     """The four product tables as one 27-column table with insurance_type.
 
-    Each table is reduced to its latest version first (U1); absent columns
-    become typed NULLs through ``unionByName(allowMissingColumns=True)``.
-    Columns keep their real widths (no narrow padding types).
+    Absent columns become typed NULLs through
+    ``unionByName(allowMissingColumns=True)``; columns keep their real widths.
+    Each table keeps only its latest version per (order_id, user_id) (U1):
+    since the product type is part of the key, the four tables are unioned
+    first and reduced in one aggregation (one shuffle instead of four).
     """
-    def prep(df: DataFrame, kind: str) -> DataFrame:
-        df = latest_version(df, ORDER_KEYS) if dedup else df
-        return df.drop("version").withColumn("insurance_type", F.lit(kind))
+    def tag(df: DataFrame, kind: str) -> DataFrame:
+        return df.withColumn("insurance_type", F.lit(kind))
 
-    parts = [prep(third_party.withColumnRenamed("vehicle_type", "product_type"), "third_party"),
-             prep(body_injury, "body_injury"), prep(medical, "medical"), prep(fire, "fire")]
+    parts = [tag(third_party.withColumnRenamed("vehicle_type", "product_type"), "third_party"),
+             tag(body_injury, "body_injury"), tag(medical, "medical"), tag(fire, "fire")]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
+    out = out.select(*UNIFIED_COLUMNS, "version")
+    if dedup:
+        out = latest_version(out, ["insurance_type", *ORDER_KEYS])
     return out.select(*UNIFIED_COLUMNS)
 
 

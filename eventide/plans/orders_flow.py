@@ -13,8 +13,9 @@ from eventide.sources.tables import Tables
 
 def unified(t: Tables, dedup: bool = True) -> DataFrame:
     o = t.orders
-    return ops.unified_orders(fixtures.third_party_orders(o), fixtures.body_injury_orders(o),
-                              fixtures.medical_orders(o), fixtures.fire_orders(o), dedup=dedup)
+    base = fixtures.product_orders(o)
+    return ops.unified_orders(fixtures.third_party_orders(o, base), fixtures.body_injury_orders(o, base),
+                              fixtures.medical_orders(o, base), fixtures.fire_orders(o, base), dedup=dedup)
 
 
 def payments(t: Tables) -> DataFrame:

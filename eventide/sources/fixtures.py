@@ -94,17 +94,18 @@ def product_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def _product(orders: DataFrame, kind: str) -> DataFrame:
-    return product_orders(orders).filter(F.col("insurance_type") == kind)
+def _product(orders: DataFrame, kind: str, base: DataFrame | None = None) -> DataFrame:
+    base = base if base is not None else product_orders(orders)
+    return base.filter(F.col("insurance_type") == kind)
 
 
 COMMON_TAIL = ["order_date", "policy_start_date", "policy_end_date", "status", "created_at"]
 
 
-def third_party_orders(orders: DataFrame) -> DataFrame:
+def third_party_orders(orders: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Vehicle policies; every order is stored twice (versions 1 and 2)."""
     k = F.col("o_orderkey")
-    p = _product(orders, "third_party").withColumn("v", F.explode(F.array(F.lit(1), F.lit(2))))
+    p = _product(orders, "third_party", base).withColumn("v", F.explode(F.array(F.lit(1), F.lit(2))))
     return p.select(
         "order_id", "user_id", "policy_number",
         _pick(VEHICLE_TYPES, k % 3).alias("vehicle_type"),
@@ -118,10 +119,10 @@ def third_party_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def body_injury_orders(orders: DataFrame) -> DataFrame:
+def body_injury_orders(orders: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Liability policies: limits and deductible, no coverage_amount column."""
     k = F.col("o_orderkey")
-    return _product(orders, "body_injury").select(
+    return _product(orders, "body_injury", base).select(
         "order_id", "user_id", "policy_number",
         _pick(COVERAGE_TYPES, k % 3).alias("coverage_type"),
         F.round(F.col("o_totalprice") * 2).cast("bigint").alias("medical_limit"),
@@ -134,9 +135,9 @@ def body_injury_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def medical_orders(orders: DataFrame) -> DataFrame:
+def medical_orders(orders: DataFrame, base: DataFrame | None = None) -> DataFrame:
     k = F.col("o_orderkey")
-    return _product(orders, "medical").select(
+    return _product(orders, "medical", base).select(
         "order_id", "user_id", "policy_number",
         _pick(COVERAGE_PLANS, k % 3).alias("coverage_plan"),
         (k % 2).cast("int").alias("individual"),
@@ -150,9 +151,9 @@ def medical_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def fire_orders(orders: DataFrame) -> DataFrame:
+def fire_orders(orders: DataFrame, base: DataFrame | None = None) -> DataFrame:
     k = F.col("o_orderkey")
-    return _product(orders, "fire").select(
+    return _product(orders, "fire", base).select(
         "order_id", "user_id", "policy_number",
         _pick(PROPERTY_TYPES, k % 3).alias("property_type"),
         (F.col("coverage_amount") * 3).alias("property_value"),

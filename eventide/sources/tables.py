@@ -20,13 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Tables:
-    """Lazy accessor: ``Tables(spark, sf_dir).events``."""
+    """Lazy accessor: ``Tables(spark, sf_dir).events``.
+
+    Each table is opened once (file listing and footer read) and the same
+    DataFrame is reused by every plan built from this accessor.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._opened: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return table(self.spark, self.sf_dir, name)
+            if name not in self._opened:
+                self._opened[name] = table(self.spark, self.sf_dir, name)
+            return self._opened[name]
         raise AttributeError(name)
