@@ -43,6 +43,21 @@ def main() -> None:
             if i > 0:
                 samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
+    if not only:
+        from eventide.plans import serving
+        from eventide.sources.tables import Tables
+        t0 = time.perf_counter()
+        paths = serving.materialize(Tables(spark, sf_dir))
+        times["materialize_serving_tables"] = round(time.perf_counter() - t0, 3)
+        tables = serving.open_tables(spark, paths)
+        for name, q in serving.SERVING.items():
+            samples = []
+            for i in range(runs + 1):
+                t0 = time.perf_counter()
+                q(tables).write.format("noop").mode("overwrite").save()
+                if i > 0:
+                    samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 3)
     etl_rows = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     out = {
@@ -51,6 +66,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+        "serving_total_sec": round(sum(v for k, v in times.items() if k.startswith("serve_")), 3),
         "etl_input_rows_per_sec": round(etl_rows / times["run_etl"], 1) if "run_etl" in times else None,
         "cpus": cpus,
     }

@@ -152,6 +152,15 @@ def _since(as_of: str, days: int):
     return F.col("event_date") >= F.date_sub(as_of_ts(as_of).cast("date"), days)
 
 
+def _window(df: DataFrame, as_of: str, days: int) -> DataFrame:
+    """Look-back filter; on a month-partitioned table also prune whole months,
+    because Catalyst cannot derive month bounds from an event_date predicate."""
+    if "month" in df.columns:
+        start = F.date_format(F.date_sub(as_of_ts(as_of).cast("date"), days), "yyyyMM")
+        df = df.filter(F.col("month") >= start)
+    return df.filter(_since(as_of, days))
+
+
 def insurance_type_summary(denorm: DataFrame) -> DataFrame:
     """A5: (type, date) -> purchases, premium, revenue, average premium."""
     return denorm.groupBy("insurance_type", "event_date").agg(
@@ -172,7 +181,7 @@ def user_daily_summary(denorm: DataFrame) -> DataFrame:
 def insurance_type_last_days(denorm: DataFrame, as_of: str, days: int = 30,
                              types: list[str] | None = None) -> DataFrame:
     """Per type and day over the last N days, sorted by day then premium."""
-    d = denorm.filter(_since(as_of, days))
+    d = _window(denorm, as_of, days)
     if types:
         d = d.filter(F.col("insurance_type").isin(types))
     return (d.groupBy("insurance_type", "event_date")
@@ -190,7 +199,7 @@ def user_product_mix(denorm: DataFrame, sessions: DataFrame, as_of: str,
     session_id); the top-N is a ``TakeOrderedAndProject``: each task keeps
     its own N best rows, so only N rows per task move.
     """
-    d = denorm.filter(_since(as_of, days))
+    d = _window(denorm, as_of, days)
     s = sessions.select("session_id", "session_duration_seconds")
     return (d.join(s, "session_id", "left")
             .groupBy("user_id")
@@ -205,7 +214,7 @@ def user_product_mix(denorm: DataFrame, sessions: DataFrame, as_of: str,
 
 def channel_product_performance(denorm: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     """Completed payments in the last N days by channel and type."""
-    return (denorm.filter(_since(as_of, days) & (F.col("payment_status") == "completed"))
+    return (_window(denorm, as_of, days).filter(F.col("payment_status") == "completed")
             .groupBy("channel", "insurance_type")
             .agg(F.count(F.lit(1)).alias("purchase_count"),
                  F.sum("premium_amount").alias("revenue"),
@@ -217,7 +226,7 @@ def channel_product_performance(denorm: DataFrame, as_of: str, days: int = 7) ->
 
 def insurance_type_last_week(denorm: DataFrame, as_of: str, days: int = 7) -> DataFrame:
     """A10: per type over the last week, most purchases first."""
-    return (denorm.filter(_since(as_of, days)).groupBy("insurance_type")
+    return (_window(denorm, as_of, days).groupBy("insurance_type")
             .agg(F.count(F.lit(1)).alias("purchase_count"),
                  F.sum("premium_amount").alias("total_premium"),
                  F.round(F.avg("premium_amount"), 4).alias("avg_premium"))

@@ -93,9 +93,10 @@ def stream_daily_metrics(spark: SparkSession, events_stream: DataFrame, name: st
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
-        batch.write.mode("append").partitionBy("event_date").parquet(store)
+        # one folder per epoch, overwritten on replay: a retried batch never doubles events
+        batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/epoch={epoch}")
         touched = batch.select("event_date").distinct()
-        all_events = spark.read.schema(batch.schema).parquet(store)
+        all_events = spark.read.option("basePath", store).parquet(store).drop("epoch")
         # semi join on the partition column: dynamic partition pruning reads only touched days
         recent = all_events.join(F.broadcast(touched), "event_date", "left_semi")
         (metrics.daily_event_metrics(recent).write.mode("overwrite")
@@ -117,9 +118,10 @@ def stream_session_metrics(spark: SparkSession, events_stream: DataFrame, name:
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch = batch.withColumn("sbucket", bucket).persist()
-        batch.write.mode("append").partitionBy("sbucket").parquet(store)
+        batch.write.mode("overwrite").partitionBy("sbucket").parquet(f"{store}/epoch={epoch}")
         touched = batch.select("sbucket").distinct()
-        ev = spark.read.schema(batch.schema).parquet(store).join(F.broadcast(touched), "sbucket", "left_semi")
+        ev = (spark.read.option("basePath", store).parquet(store).drop("epoch")
+              .join(F.broadcast(touched), "sbucket", "left_semi"))
         s = metrics.session_metrics(ev).withColumn("sbucket", bucket)
         s.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sbucket").parquet(out)
         batch.unpersist()
