@@ -23,9 +23,12 @@ from eventide.functions.columns import seconds_between
 
 
 def _local_next(value_col: str, out_col: str):
+    """Per sorted partition: next value within the partition; mark edge rows.
+
+    Batches stream through with one row held back, so a partition is never
+    materialised whole in Python.
+    """
     def run(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
         held = None
         first = True
         for pdf in batches:
@@ -34,18 +37,16 @@ def _local_next(value_col: str, out_col: str):
             if held is not None:
                 pdf = pd.concat([held, pdf], ignore_index=True)
             pdf[out_col] = pdf[value_col].shift(-1)
-            pdf["_pid"] = pid
-            pdf["_first"] = False
+            pdf["_edge"] = False
             if first:
-                pdf.loc[0, "_first"] = True
+                pdf.loc[0, "_edge"] = True
                 first = False
-            held = pdf.iloc[[-1]].drop(columns=[out_col, "_pid", "_first"])
+            held = pdf.iloc[[-1]].drop(columns=[out_col, "_edge"])
             yield pdf.iloc[:-1]
         if held is not None:
             last = held.copy()
             last[out_col] = pd.NaT if pd.api.types.is_datetime64_any_dtype(last[value_col]) else None
-            last["_pid"] = pid
-            last["_first"] = first
+            last["_edge"] = True
             yield last
     return run
 
@@ -55,24 +56,25 @@ def global_next(df: DataFrame, order: Sequence[str], value_col: str, out_col: st
     """Add ``out_col`` = ``value_col`` of the next row in the total ``order``.
 
     ``order`` must be unique (e.g. (event_time, event_id)).  The last row of
-    the whole table gets NULL.
+    the whole table gets NULL.  The stitch uses only the rows themselves (the
+    first and last row of every partition, ordered by key), so it does not
+    depend on partition ids being the same in both uses of the input.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     vtype = df.schema[value_col].dataType
     schema = T.StructType(list(df.schema.fields) + [
-        T.StructField(out_col, vtype, True),
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_first", T.BooleanType(), False)])
+        T.StructField(out_col, vtype, True), T.StructField("_edge", T.BooleanType(), False)])
     local = ranged.mapInPandas(_local_next(value_col, out_col), schema)
-    firsts = local.filter("_first").select("_pid", F.col(value_col).alias("_pfirst"))
-    # one row per non-empty partition: bounded by n, so one task and a broadcast are safe
-    stitch = (firsts.withColumn("_carry", F.lead("_pfirst").over(Window.orderBy("_pid")))
-              .select("_pid", "_carry"))
-    out = local.join(F.broadcast(stitch), "_pid", "left")
+    # at most two rows per partition: one task and a broadcast are bounded by n
+    edges = local.filter("_edge").select(*order, F.col(value_col).alias("_v"))
+    stitch = (edges.withColumn("_carry", F.lead("_v").over(Window.orderBy(*order)))
+              .select(*[F.col(c).alias(f"_k_{c}") for c in order], "_carry"))
+    cond = [F.col(c) == F.col(f"_k_{c}") for c in order]
+    out = local.join(F.broadcast(stitch), cond, "left")
     return (out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("_carry")))
-            .drop("_pid", "_first", "_carry"))
+            .drop("_edge", "_carry", *[f"_k_{c}" for c in order]))
 
 
 def event_gaps(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
