@@ -736,3 +736,4 @@ SELECT date_trunc('hour', event_time) AS window_start, date_trunc('hour', event_
        count(*) AS events, max(event_time) AS last_event_time,
        datediff('second', max(event_time), date_trunc('hour', event_time) + INTERVAL 1 HOUR) AS staleness_seconds
 FROM store GROUP BY 1""", "store")
+oracle("order_denormalization", "SELECT * FROM denorm", "denorm", dates=DENORM_DATES)

@@ -30,3 +30,25 @@ def denormalized_raw(t: Tables, as_of: str = AS_OF) -> DataFrame:
 def denormalized(t: Tables, as_of: str = AS_OF) -> DataFrame:
     """U3 over J3: the denormalised purchase table the roll-ups read."""
     return ops.dedup_denormalized(denormalized_raw(t, as_of))
+
+
+def run(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:
+    """Write the denormalised purchases and their summary tables.
+
+    The denormalised table is partitioned by (month, insurance_type), sorted
+    by (event_date, event_id) inside files, with a bloom filter on
+    policy_number; the two summaries (A5, A6) are written by month.
+    """
+    from eventide.session import scratch_path
+    from eventide.sources.layout import write_partitioned
+    root = root or scratch_path(t.spark, "order-denormalization")
+    d = denormalized(t, as_of)
+    paths = {"purchase_events_denormalized": f"{root}/purchase_events_denormalized",
+             "insurance_type_summary": f"{root}/insurance_type_summary",
+             "user_daily_summary": f"{root}/user_daily_summary"}
+    write_partitioned(d, paths["purchase_events_denormalized"], "event_date", ("insurance_type",),
+                      ("event_date", "event_id"), ("policy_number",))
+    stored = t.spark.read.parquet(paths["purchase_events_denormalized"])
+    write_partitioned(ops.insurance_type_summary(stored), paths["insurance_type_summary"], "event_date")
+    write_partitioned(ops.user_daily_summary(stored), paths["user_daily_summary"], "event_date")
+    return paths

@@ -675,3 +675,11 @@ def q_stream_upsert_users(t):
 def q_stream_freshness(t):
     s = _stream_of(t, _store(t).select("event_id", "event_time"), "freshness", "event_time", to_ltz="event_time")
     return streams.drain_updates(t.spark, streams.stream_freshness(s), ["window_start"], "freshness")
+
+
+@register("order_denormalization")
+def q_order_denormalization(t):
+    """Latest versions -> unified orders -> denormalised purchases -> dedup,
+    written partitioned with its summaries; the stored table read back."""
+    paths = orders_flow.run(t, AS_OF)
+    return t.spark.read.parquet(paths["purchase_events_denormalized"]).drop("month")

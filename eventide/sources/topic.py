@@ -30,6 +30,17 @@ def read_topic(spark: SparkSession, servers: str, topic: str,
             .load())
 
 
+def read_topic_stream(spark: SparkSession, servers: str, topic: str, starting: str = "earliest",
+                      max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Unbounded read of a topic for Structured Streaming (T1 over a real broker)."""
+    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic).option("startingOffsets", starting)
+         .option("failOnDataLoss", "false"))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load()
+
+
 def write_topic(df: DataFrame, servers: str, topic: str) -> None:
     """Append key/value records to a topic (batch write)."""
     (df.select("key", "value").write.format("kafka")

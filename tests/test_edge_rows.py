@@ -142,3 +142,19 @@ def test_padded_device_type_is_trimmed_in_reports(spark):
                                "event_type string, channel string, city string, device_type string")
     rep = {r.category: (r["values"], r.unique_count) for r in metrics.category_values_report(ev).collect()}
     assert rep["Device Types:"] == (["Mobile"], 1)
+
+
+def test_schema_drift_lists_added_and_removed_columns(spark):
+    df = spark.createDataFrame([(1, "x", 2.0)], "event_id long, surprise string, premium_amount double")
+    got = {(r.column_name, r.change_type) for r in
+           quality.schema_drift(df, ["event_id", "premium_amount", "ingestion_time"]).collect()}
+    assert got == {("surprise", "column_added"), ("ingestion_time", "column_removed")}
+
+
+def test_incremental_load_sees_only_new_keys(spark):
+    from eventide.sources.incremental import incremental_load
+    src = spark.createDataFrame([(i,) for i in range(10)], "user_id int")
+    tgt = spark.createDataFrame([(i,) for i in range(6)], "user_id int")
+    assert sorted(r.user_id for r in incremental_load(src, tgt).collect()) == [6, 7, 8, 9]
+    empty = spark.createDataFrame([], "user_id int")
+    assert incremental_load(src, empty).count() == 10
