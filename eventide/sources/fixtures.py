@@ -168,14 +168,20 @@ def fire_orders(orders: DataFrame, base: DataFrame | None = None) -> DataFrame:
 
 
 def financial_orders(lineitem: DataFrame) -> DataFrame:
-    """Payments: one per order, amounts summed from its line items (partial aggregation)."""
+    """Payments: one per order, amounts summed from its line items (partial aggregation).
+
+    The order's flag is the greatest line flag.  Flags are single characters,
+    so the maximum of their code points orders exactly like the strings and
+    keeps every buffer fixed-width: a hash aggregate instead of a sort-based
+    one over the largest table.
+    """
     per_order = lineitem.groupBy(F.col("l_orderkey").alias("order_id")).agg(
         F.min("l_suppkey").alias("transaction_id"),
         F.sum(F.round(F.col("l_extendedprice"))).cast("bigint").alias("total_amount"),
         F.sum(F.round(F.col("l_extendedprice") * F.col("l_tax"))).cast("bigint").alias("tax_amount"),
         F.sum(F.round(F.col("l_extendedprice") * F.col("l_discount"))).cast("bigint").alias("discount_amount"),
-        F.max("l_returnflag").alias("returnflag"),
-    )
+        F.max(F.ascii("l_returnflag")).alias("returnflag_code"),
+    ).withColumn("returnflag", F.chr("returnflag_code"))
     pay_date = (F.lit(ORDER_BASE).cast("timestamp_ntz")
                 + F.make_interval(days=(F.col("order_id") % 30).cast("int"), hours=F.lit(12)))
     status = (F.when(F.col("returnflag") == "R", "failed")
