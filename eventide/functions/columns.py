@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "as_of_ts", "parse_time_best_effort", "seconds_between", "safe_ratio",
     "ladder", "severity_rank", "impact_rank", "completeness_flag", "month_key",
-    "pct", "lookback",
+    "pct", "lookback", "ntz_to_instant", "instant_to_ntz",
 ]
 
 # Ordinal ranks for severities and impact levels.
@@ -27,20 +27,40 @@ def as_of_ts(as_of: str) -> Column:
     return F.lit(as_of).cast("timestamp_ntz")
 
 
+def ntz_to_instant(c: Column) -> Column:
+    """Wall-clock time (UTC convention) to the TIMESTAMP instant it names.
+
+    Independent of the session time zone; watermarks and ``window`` need
+    instants, and hour windows then align with the wall-clock hours.
+    """
+    return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c.cast("timestamp_ntz")).cast("timestamp")
+
+
+def instant_to_ntz(c: Column) -> Column:
+    """A TIMESTAMP instant as its UTC wall-clock TIMESTAMP_NTZ (session-zone independent)."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), c.cast("timestamp_ntz"))
+
+
+_ZONED = r"(Z|z|[+-][0-9]{2}:?[0-9]{2})$"
+
+
 def parse_time_best_effort(c: Column) -> Column:
     """Text to TIMESTAMP_NTZ by best effort; NULL when nothing fits (never raises).
 
     Accepts ISO forms with 'T', fractions and zone ('2024-01-01T00:00:07.000Z'),
     'yyyy-MM-dd HH:mm:ss', bare dates and a few day-first/slashed layouts.
+    Text with a zone names an instant and becomes its UTC wall clock; text
+    without one is taken as written.
     """
-    candidates = [
+    plain = F.coalesce(
         F.try_to_timestamp(c),
         F.try_to_timestamp(c, F.lit("yyyy/MM/dd HH:mm:ss")),
         F.try_to_timestamp(c, F.lit("dd/MM/yyyy HH:mm:ss")),
         F.try_to_timestamp(c, F.lit("yyyy/MM/dd")),
         F.try_to_timestamp(c, F.lit("dd/MM/yyyy")),
-    ]
-    return F.coalesce(*candidates).cast("timestamp_ntz")
+    )
+    return F.when(F.trim(c).rlike(_ZONED), instant_to_ntz(F.try_to_timestamp(F.trim(c)))) \
+            .otherwise(plain.cast("timestamp_ntz"))
 
 
 def seconds_between(start: Column, end: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide import AS_OF
+from eventide.functions.columns import instant_to_ntz as _instant_to_ntz
 from eventide.operators import clean, enrich, metrics
 from eventide.plans import etl
 from eventide.sources import fixtures
@@ -39,7 +40,7 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(f.dataType, T.ArrayType):
             c = F.array_join(c.cast("array<string>"), "|")
         elif isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")
+            c = _instant_to_ntz(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -650,7 +651,7 @@ def q_stream_session_metrics(t):
 def q_stream_purchase_orders(t):
     """T6, matched rows: unmatched purchases surface only after the watermark passes."""
     p = _stream_of(t, etl.purchases(t, AS_OF), "purchases", "event_time", to_ltz="event_time")
-    u = orders_flow.unified(t).withColumn("order_ts", F.col("order_date").cast("timestamp"))
+    u = orders_flow.unified(t).withColumn("order_ts", streams.ntz_to_instant(F.col("order_date")))
     o = _stream_of(t, u, "orders", "order_ts")
     out = streams.drain_append(t.spark, streams.stream_purchase_orders(p, o), "purchase-orders")
     return out.filter(F.col("order_id").isNotNull())

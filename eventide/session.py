@@ -7,6 +7,7 @@ unset *and* the master is local (tests, laptops) do we create one ourselves.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -19,7 +20,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("EVENTIDE_SESSION_TZ", "UTC"))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventide.functions.columns import instant_to_ntz, ntz_to_instant
 from eventide.operators import clean, maintain, metrics
 from eventide.operators.enrich import enrich_events
 from eventide.plans.etl import transform_enrich
@@ -48,8 +49,8 @@ def _drain(writer, name: str, spark: SparkSession) -> None:
 
 
 def to_stream_time(df: DataFrame, col: str = "event_time") -> DataFrame:
-    """NTZ wall-clock time to the session-zone TIMESTAMP that watermarks need."""
-    return df.withColumn(col, F.col(col).cast("timestamp"))
+    """NTZ wall-clock time to the TIMESTAMP instant that watermarks need."""
+    return df.withColumn(col, ntz_to_instant(F.col(col)))
 
 
 # ---- T1 -----------------------------------------------------------------------
@@ -82,7 +83,7 @@ def stream_dedup(events: DataFrame, delay: str = "1 day") -> DataFrame:
 # ---- T3 -----------------------------------------------------------------------
 def stream_enrich(raw_stream: DataFrame, users: DataFrame, as_of: str) -> DataFrame:
     """The ETL on arriving events; stream-static left join to the dimension."""
-    raw = raw_stream.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    raw = raw_stream.withColumn("event_time", instant_to_ntz(F.col("event_time")))
     return transform_enrich(raw, users, as_of)
 
 

@@ -35,3 +35,15 @@ def test_query_matches_oracle(spark, sf_dir, con, key):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert canon(got) == canon(want)
+
+
+@pytest.mark.parametrize("key", ["normalize_processed", "stream_freshness", "scalar_functions", "event_gaps",
+                                 "volume_anomalies", "check_freshness"])
+def test_results_do_not_depend_on_session_zone(spark, sf_dir, con, key):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        got = entry.queries()[key](spark, sf_dir).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert canon(got) == canon(con.sql(ORACLE[key]).df())
