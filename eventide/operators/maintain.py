@@ -20,10 +20,14 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     the greatest row (lexicographic struct order), so the result is
     deterministic.  NULLs in the order columns rank lowest.
     """
+    rest = [c for c in df.columns if c not in keys]
     rank: Column = F.struct(*[F.col(c) for c in order])
-    row = F.struct(*[F.col(c) for c in df.columns])
+    row = F.struct(*[F.col(c) for c in rest])
     best = F.max(F.struct(rank.alias("r"), row.alias("w")))
-    return df.groupBy(*keys).agg(best.alias("_best")).select("_best.w.*")
+    # keys come from the grouping columns themselves, so filters on them are
+    # pushed below the aggregate (down to the scans) by Catalyst
+    out = df.groupBy(*keys).agg(best.alias("_best"))
+    return out.select(*[F.col(c) if c in keys else F.col(f"_best.w.`{c}`").alias(c) for c in df.columns])
 
 
 def latest_version(df: DataFrame, keys: Sequence[str], version: str = "version",

@@ -26,14 +26,16 @@ def transform_enrich(raw: DataFrame, users: DataFrame, as_of: str = AS_OF,
 
 def processed_events(t: Tables, as_of: str = AS_OF) -> DataFrame:
     """Processed events from the given tables (the ETL output)."""
-    raw = fixtures.raw_events(t.events)
-    users = fixtures.users(t.customer, t.nation)
-    return transform_enrich(raw, users, as_of)
+    def build():
+        raw = fixtures.raw_events(t.events)
+        users = fixtures.users(t.customer, t.nation)
+        return transform_enrich(raw, users, as_of)
+    return t.memo(("processed", as_of), build)
 
 
 def stored_events(t: Tables, as_of: str = AS_OF) -> DataFrame:
     """Warehouse events: processed events after consumer normalisation."""
-    return warehouse_events(processed_events(t, as_of), as_of)
+    return t.memo(("stored", as_of), lambda: warehouse_events(processed_events(t, as_of), as_of))
 
 
 def purchases(t: Tables, as_of: str = AS_OF) -> DataFrame:

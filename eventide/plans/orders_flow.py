@@ -12,14 +12,16 @@ from eventide.sources.tables import Tables
 
 
 def unified(t: Tables, dedup: bool = True) -> DataFrame:
-    o = t.orders
-    base = fixtures.product_orders(o)
-    return ops.unified_orders(fixtures.third_party_orders(o, base), fixtures.body_injury_orders(o, base),
-                              fixtures.medical_orders(o, base), fixtures.fire_orders(o, base), dedup=dedup)
+    def build():
+        o = t.orders
+        base = fixtures.product_orders(o)
+        return ops.unified_orders(fixtures.third_party_orders(o, base), fixtures.body_injury_orders(o, base),
+                                  fixtures.medical_orders(o, base), fixtures.fire_orders(o, base), dedup=dedup)
+    return t.memo(("unified", dedup), build)
 
 
 def payments(t: Tables) -> DataFrame:
-    return fixtures.financial_orders(t.lineitem)
+    return t.memo(("payments",), lambda: fixtures.financial_orders(t.lineitem))
 
 
 def denormalized_raw(t: Tables, as_of: str = AS_OF) -> DataFrame:
@@ -29,7 +31,7 @@ def denormalized_raw(t: Tables, as_of: str = AS_OF) -> DataFrame:
 
 def denormalized(t: Tables, as_of: str = AS_OF) -> DataFrame:
     """U3 over J3: the denormalised purchase table the roll-ups read."""
-    return ops.dedup_denormalized(denormalized_raw(t, as_of))
+    return t.memo(("denorm", as_of), lambda: ops.dedup_denormalized(denormalized_raw(t, as_of)))
 
 
 def run(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:

@@ -30,6 +30,13 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
         self._opened: dict[str, DataFrame] = {}
+        self._built: dict[tuple, DataFrame] = {}
+
+    def memo(self, key: tuple, build):
+        """Build a derived plan once per accessor and reuse the same DataFrame."""
+        if key not in self._built:
+            self._built[key] = build()
+        return self._built[key]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
