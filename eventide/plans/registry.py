@@ -408,7 +408,8 @@ def q_upsert_users(t):
 
 # ---- quality ---------------------------------------------------------------------------
 def _logs(t):
-    return quality_run.Logs(t, AS_OF)
+    """Monitor logs over a warehouse table checkpointed once in the shared folder."""
+    return t.memo(("logs", AS_OF), lambda: quality_run.Logs(t, AS_OF, materialize=True))
 
 
 @register("check_completeness")
