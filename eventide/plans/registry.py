@@ -645,7 +645,7 @@ def q_stream_daily_metrics(t):
 @register("stream_session_metrics")
 def q_stream_session_metrics(t):
     s = _stream_of(t, _store(t), "store-sessions", "event_time", max_files=2)
-    return t.spark.read.parquet(streams.stream_session_metrics(t.spark, s)).drop("sbucket")
+    return t.spark.read.parquet(streams.stream_session_metrics(t.spark, s)).drop("session_date")
 
 
 @register("stream_purchase_orders")

@@ -108,23 +108,35 @@ def stream_daily_metrics(spark: SparkSession, events_stream: DataFrame, name: st
     return out
 
 
-SESSION_BUCKETS = 64
-
-
 def stream_session_metrics(spark: SparkSession, events_stream: DataFrame, name: str = "sessions",
-                           buckets: int = SESSION_BUCKETS) -> str:
-    """T5: events stored by session bucket; sessions of touched buckets recomputed whole."""
+                           span_days: int = 1) -> str:
+    """T5: events stored by day; sessions recomputed only for start days a batch can touch.
+
+    ``span_days`` bounds how many days a session may last.  A batch with
+    event days in [d0, d1] can only change sessions that start in
+    [d0 - span, d1]; all their events lie in [d0 - span, d1 + span].  Those
+    days are read (partition pruning), every session starting in the range is
+    rebuilt whole, and the matching start-day partitions are replaced.  The
+    work per batch follows the days it touches, not the stored history.
+    """
     store, out = scratch_path(spark, f"{name}-events"), scratch_path(spark, f"{name}-table")
-    bucket = F.pmod(F.xxhash64("session_id"), F.lit(buckets)).cast("int")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        batch = batch.withColumn("sbucket", bucket).persist()
-        batch.write.mode("overwrite").partitionBy("sbucket").parquet(f"{store}/epoch={epoch}")
-        touched = batch.select("sbucket").distinct()
+        batch = batch.persist()
+        batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/epoch={epoch}")
+        bounds = batch.agg(F.min("event_date").alias("d0"), F.max("event_date").alias("d1")).first()
+        if bounds.d0 is None:
+            batch.unpersist()
+            return
+        lo = F.date_sub(F.lit(bounds.d0), span_days)
+        hi = F.date_add(F.lit(bounds.d1), span_days)
         ev = (spark.read.option("basePath", store).parquet(store).drop("epoch")
-              .join(F.broadcast(touched), "sbucket", "left_semi"))
-        s = metrics.session_metrics(ev).withColumn("sbucket", bucket)
-        s.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sbucket").parquet(out)
+              .filter((F.col("event_date") >= lo) & (F.col("event_date") <= hi)))
+        sessions = (metrics.session_metrics(ev)
+                    .withColumn("session_date", F.to_date("first_event_time"))
+                    .filter((F.col("session_date") >= lo) & (F.col("session_date") <= F.lit(bounds.d1))))
+        (sessions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("session_date").parquet(out))
         batch.unpersist()
 
     _drain(events_stream.writeStream.foreachBatch(write), name, spark)
