@@ -163,3 +163,14 @@ def channel_attribution(sessions: DataFrame, events: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("purchases"),
                  F.sum("premium_amount").alias("total_premium"),
                  F.count_distinct("session_id").alias("converting_sessions")))
+
+
+def session_event_sequence(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """A3 in long form: each event with its 1-based position in its session.
+
+    The skew-safe companion of ``event_sequence``: no session is gathered into
+    one task or one row, however many events it has (see ``rank_within``).
+    """
+    from eventide.operators.windows import rank_within
+    base = events.select("session_id", "event_time", "event_id", "event_type")
+    return rank_within(base, "session_id", ["event_time", "event_id"], "seq_no", num_partitions)

@@ -107,3 +107,68 @@ def gaps_over(events: DataFrame, min_gap_seconds: int, ts_col: str = "event_time
             .select(F.col("last_time").alias("gap_start"), "gap_end")
             .withColumn("gap_seconds", seconds_between(F.col("gap_start"), F.col("gap_end")))
             .filter(F.col("gap_seconds") > min_gap_seconds))
+
+
+def _local_rank(key_col: str, order: Sequence[str]):
+    """Per sorted partition: 1-based rank within ``key_col`` runs, carried across
+    batches; every row also carries its partition's first (key, order...) as a tag."""
+    tag_cols = [f"_pf_{c}" for c in (key_col, *order)]
+
+    def run(batches):
+        prev_key, prev_rank, tag = None, 0, None
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            if tag is None:
+                tag = [pdf[c].iloc[0] for c in (key_col, *order)]
+            keys = pdf[key_col]
+            new_run = keys.ne(keys.shift(1))
+            if prev_key is not None:
+                new_run.iloc[0] = keys.iloc[0] != prev_key
+            run_id = new_run.cumsum()
+            rank = pdf.groupby(run_id).cumcount() + 1
+            if prev_key is not None and not new_run.iloc[0]:
+                rank = rank.where(run_id != run_id.iloc[0], rank + prev_rank)
+            pdf["_local_rank"] = rank.astype("int64")
+            for c, v in zip(tag_cols, tag):
+                pdf[c] = v
+            prev_key, prev_rank = keys.iloc[-1], int(pdf["_local_rank"].iloc[-1])
+            yield pdf
+    return run, tag_cols
+
+
+def rank_within(df: DataFrame, key_col: str, order: Sequence[str], out_col: str = "seq_no",
+                num_partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY key ORDER BY order)`` without one task per key.
+
+    Rows are range-partitioned on (key, order), so a key holding a third of
+    the table is spread over many tasks.  Each partition ranks its rows; a key
+    that crosses partition borders gets, in each later partition, an offset
+    equal to its rows in the earlier partitions.  The offsets come from a
+    summary with one row per partition (first key, last key, rows of the last
+    key), which is bounded by the partition count.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [key_col, *order]
+    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+    fn, tag_cols = _local_rank(key_col, order)
+    schema = T.StructType(list(df.schema.fields)
+                          + [T.StructField("_local_rank", T.LongType(), False)]
+                          + [T.StructField(t, df.schema[c].dataType, True) for t, c in zip(tag_cols, cols)])
+    local = ranged.mapInPandas(fn, schema)
+    # summary per partition (identified by its first row): the last key and its rank there
+    last = F.max(F.struct(*[F.col(c) for c in cols], F.col("_local_rank").alias("r")))
+    summary = (local.groupBy(*tag_cols).agg(last.alias("_last"))
+               .select(*tag_cols, F.col(f"_last.{key_col}").alias("_last_key"), F.col("_last.r").alias("_last_n")))
+    # offset of a partition's first key = its rows in earlier partitions, which
+    # are exactly the earlier partitions ending with that key (runs are contiguous)
+    a = summary.select(*tag_cols, F.struct(*tag_cols).alias("_tag_a"))
+    b = summary.select(F.struct(*tag_cols).alias("_tag_b"), "_last_key", "_last_n")
+    carried = (a.join(b, (F.col("_last_key") == F.col(tag_cols[0])) & (F.col("_tag_b") < F.col("_tag_a")))
+               .groupBy(*tag_cols).agg(F.sum("_last_n").alias("_offset")))
+    j = local.join(F.broadcast(carried), tag_cols, "left")
+    first_run = F.col(key_col) == F.col(tag_cols[0])
+    return (j.withColumn(out_col, F.col("_local_rank")
+                         + F.when(first_run, F.coalesce(F.col("_offset"), F.lit(0))).otherwise(0))
+             .drop("_local_rank", "_offset", *tag_cols))

@@ -737,3 +737,7 @@ SELECT date_trunc('hour', event_time) AS window_start, date_trunc('hour', event_
        datediff('second', max(event_time), date_trunc('hour', event_time) + INTERVAL 1 HOUR) AS staleness_seconds
 FROM store GROUP BY 1""", "store")
 oracle("order_denormalization", "SELECT * FROM denorm", "denorm", dates=DENORM_DATES)
+oracle("session_event_sequence", """
+SELECT session_id, event_time, event_id, event_type,
+       row_number() OVER (PARTITION BY session_id ORDER BY event_time, event_id) AS seq_no
+FROM store""", "store")

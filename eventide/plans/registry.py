@@ -685,3 +685,8 @@ def q_order_denormalization(t):
     written partitioned with its summaries; the stored table read back."""
     paths = orders_flow.run(t, AS_OF)
     return t.spark.read.parquet(paths["purchase_events_denormalized"]).drop("month")
+
+
+@register("session_event_sequence")
+def q_session_event_sequence(t):
+    return metrics.session_event_sequence(_store(t))

@@ -98,3 +98,16 @@ def test_lineage_losses_add_up(spark, sf_dir):
     rows = Logs(Tables(spark, sf_dir), AS_OF).lineage_log().collect()
     for r in rows:
         assert r.source_records - r.target_records == r.record_loss_count
+
+
+def test_rank_within_matches_row_number_under_a_hot_key(spark):
+    random.seed(3)
+    rows = []
+    for i in range(4000):
+        key = "hot" if i % 3 == 0 else f"k{random.randint(0, 60)}"
+        rows.append((key, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=random.randint(0, 5000)), i))
+    df = spark.createDataFrame(rows, "session_id string, event_time timestamp_ntz, event_id long")
+    got = windows.rank_within(df, "session_id", ["event_time", "event_id"], "seq_no", num_partitions=7)
+    w = Window.partitionBy("session_id").orderBy("event_time", "event_id")
+    want = df.withColumn("seq_no", F.row_number().over(w))
+    assert sorted(got.select("event_id", "seq_no").collect()) == sorted(want.select("event_id", "seq_no").collect())
