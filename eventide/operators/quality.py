@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from eventide.functions.columns import (as_of_ts, completeness_flag, ladder, lookback,
                                         parse_time_best_effort, pct, safe_ratio,
                                         seconds_between)
-from eventide.operators.windows import gaps_over
+from eventide.operators.windows import exact_percentiles, gaps_over
 
 EVENTS_TABLE = "processed_events_storage"
 SAMPLE_SIZE = 10
@@ -333,16 +333,15 @@ def outliers_iqr(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
                  k: float = 1.5) -> DataFrame:
     """Rows outside [Q1 - k*IQR, Q3 + k*IQR] of their group (exact quartiles).
 
-    Quartiles are one grouped aggregate (exact ``percentile`` keeps per-value
-    counts and merges partial results); bounds join back on the group keys.
+    Quartiles come from ``exact_percentiles`` (value counts and a skew-safe
+    running sum, so no group's values meet in one task); the one-row-per-group
+    bounds join back on the group keys, or are scalar subqueries without groups.
     """
     v = F.col(value_col)
-    if not group_cols:  # whole-table quartiles as scalar subqueries
-        q1 = df.select(F.percentile(v, 0.25)).scalar()
-        q3 = df.select(F.percentile(v, 0.75)).scalar()
-        j = df.select("*", q1.alias("q1"), q3.alias("q3"))
+    q = exact_percentiles(df, value_col, {"q1": 0.25, "q3": 0.75}, group_cols)
+    if not group_cols:
+        j = df.select("*", q.select("q1").scalar().alias("q1"), q.select("q3").scalar().alias("q3"))
     else:
-        q = df.groupBy(*group_cols).agg(F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.75).alias("q3"))
         j = df.join(q, list(group_cols))
     j = (j.withColumn("lower_bound", F.col("q1") - k * (F.col("q3") - F.col("q1")))
           .withColumn("upper_bound", F.col("q3") + k * (F.col("q3") - F.col("q1"))))

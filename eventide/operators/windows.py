@@ -109,13 +109,14 @@ def gaps_over(events: DataFrame, min_gap_seconds: int, ts_col: str = "event_time
             .filter(F.col("gap_seconds") > min_gap_seconds))
 
 
-def _local_rank(key_col: str, order: Sequence[str]):
-    """Per sorted partition: 1-based rank within ``key_col`` runs, carried across
-    batches; every row also carries its partition's first (key, order...) as a tag."""
+def _local_running(key_col: str, order: Sequence[str], weight_col: str | None):
+    """Per sorted partition: running sum of ``weight_col`` (1 per row when None)
+    within ``key_col`` runs, carried across batches; every row also carries its
+    partition's first (key, order...) as a tag."""
     tag_cols = [f"_pf_{c}" for c in (key_col, *order)]
 
     def run(batches):
-        prev_key, prev_rank, tag = None, 0, None
+        prev_key, prev_total, tag = None, 0, None
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -126,42 +127,45 @@ def _local_rank(key_col: str, order: Sequence[str]):
             if prev_key is not None:
                 new_run.iloc[0] = keys.iloc[0] != prev_key
             run_id = new_run.cumsum()
-            rank = pdf.groupby(run_id).cumcount() + 1
+            w = pdf[weight_col].astype("int64") if weight_col else pd.Series(1, index=pdf.index, dtype="int64")
+            total = w.groupby(run_id).cumsum()
             if prev_key is not None and not new_run.iloc[0]:
-                rank = rank.where(run_id != run_id.iloc[0], rank + prev_rank)
-            pdf["_local_rank"] = rank.astype("int64")
+                total = total.where(run_id != run_id.iloc[0], total + prev_total)
+            pdf["_local_total"] = total.astype("int64")
             for c, v in zip(tag_cols, tag):
                 pdf[c] = v
-            prev_key, prev_rank = keys.iloc[-1], int(pdf["_local_rank"].iloc[-1])
+            prev_key, prev_total = keys.iloc[-1], int(pdf["_local_total"].iloc[-1])
             yield pdf
     return run, tag_cols
 
 
-def rank_within(df: DataFrame, key_col: str, order: Sequence[str], out_col: str = "seq_no",
-                num_partitions: int | None = None) -> DataFrame:
-    """``row_number() OVER (PARTITION BY key ORDER BY order)`` without one task per key.
-
-    Rows are range-partitioned on (key, order), so a key holding a third of
-    the table is spread over many tasks.  Each partition ranks its rows; a key
-    that crosses partition borders gets, in each later partition, an offset
-    equal to its rows in the earlier partitions.  The offsets come from a
-    summary with one row per partition (first key, last key, rows of the last
-    key), which is bounded by the partition count.
+def running_sum_within(df: DataFrame, key_col: str, order: Sequence[str], out_col: str,
+                       weight_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    """``sum(weight) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED PRECEDING)``
+    (a running count when ``weight_col`` is None) without one task per key.
+
+    ``(key, order)`` must be unique and ``key_col`` non-NULL; weights are
+    non-negative integers.  Rows are range-partitioned on (key, order), so a
+    key holding a third of the table is spread over many tasks.  Each
+    partition sums its rows; a key that crosses partition borders gets, in
+    each later partition, an offset equal to its total in the earlier
+    partitions.  The offsets come from a summary with one row per partition
+    (first key, last key, total of the last key), bounded by the partition count.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [key_col, *order]
     ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    fn, tag_cols = _local_rank(key_col, order)
+    fn, tag_cols = _local_running(key_col, order, weight_col)
     schema = T.StructType(list(df.schema.fields)
-                          + [T.StructField("_local_rank", T.LongType(), False)]
+                          + [T.StructField("_local_total", T.LongType(), False)]
                           + [T.StructField(t, df.schema[c].dataType, True) for t, c in zip(tag_cols, cols)])
     local = ranged.mapInPandas(fn, schema)
-    # summary per partition (identified by its first row): the last key and its rank there
-    last = F.max(F.struct(*[F.col(c) for c in cols], F.col("_local_rank").alias("r")))
+    # summary per partition (identified by its first row): the last key and its total there
+    last = F.max(F.struct(*[F.col(c) for c in cols], F.col("_local_total").alias("r")))
     summary = (local.groupBy(*tag_cols).agg(last.alias("_last"))
                .select(*tag_cols, F.col(f"_last.{key_col}").alias("_last_key"), F.col("_last.r").alias("_last_n")))
-    # offset of a partition's first key = its rows in earlier partitions, which
+    # offset of a partition's first key = its total in earlier partitions, which
     # are exactly the earlier partitions ending with that key (runs are contiguous)
     a = summary.select(*tag_cols, F.struct(*tag_cols).alias("_tag_a"))
     b = summary.select(F.struct(*tag_cols).alias("_tag_b"), "_last_key", "_last_n")
@@ -169,6 +173,47 @@ def rank_within(df: DataFrame, key_col: str, order: Sequence[str], out_col: str
                .groupBy(*tag_cols).agg(F.sum("_last_n").alias("_offset")))
     j = local.join(F.broadcast(carried), tag_cols, "left")
     first_run = F.col(key_col) == F.col(tag_cols[0])
-    return (j.withColumn(out_col, F.col("_local_rank")
+    return (j.withColumn(out_col, F.col("_local_total")
                          + F.when(first_run, F.coalesce(F.col("_offset"), F.lit(0))).otherwise(0))
-             .drop("_local_rank", "_offset", *tag_cols))
+             .drop("_local_total", "_offset", *tag_cols))
+
+
+def rank_within(df: DataFrame, key_col: str, order: Sequence[str], out_col: str = "seq_no",
+                num_partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY key ORDER BY order)`` without one task per key
+    (a running count, see ``running_sum_within``)."""
+    return running_sum_within(df, key_col, order, out_col, None, num_partitions)
+
+
+def exact_percentiles(df: DataFrame, value_col: str, probs: dict[str, float],
+                      group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+    """Exact percentiles per group, interpolated like ``percentile``/``percentile_cont``.
+
+    For n non-NULL values sorted v[0..n-1], p sits at position (n - 1) * p
+    between v[floor] and v[ceil].  Values are first counted per (group,
+    value) (partial aggregation; the shuffle key includes the value, so a hot
+    group spreads over many tasks).  A skew-safe running sum of the counts
+    gives every distinct value the positions it covers; the two values at
+    floor and ceil are picked by an aggregate.  No group's values are ever
+    gathered into one task, unlike the per-group count map of ``percentile``.
+    Returns one row per group: the group columns and one column per name in ``probs``.
+    """
+    v = F.col(value_col)
+    gkey = F.to_json(F.struct(*[F.col(c) for c in group_cols])) if group_cols else F.lit("{}")
+    counts = (df.filter(v.isNotNull())
+              .groupBy(*group_cols, gkey.alias("_g"), v.cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    cum = running_sum_within(counts, "_g", ["_v"], "_cum", "_c", num_partitions)
+    totals = counts.groupBy("_g").agg(F.sum("_c").alias("_n"))
+    j = cum.join(totals, "_g")
+    first, last = F.col("_cum") - F.col("_c"), F.col("_cum") - 1
+    aggs, outs = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [F.max(F.when((first <= lo) & (lo <= last), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when((first <= hi) & (hi <= last), F.col("_v"))).alias(f"_hi{i}")]
+        vlo, vhi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        outs.append(F.when(hi == lo, vlo).otherwise((hi - pos) * vlo + (pos - lo) * vhi).alias(name))
+    picked = j.groupBy(*group_cols, "_g", "_n").agg(*aggs)
+    return picked.select(*group_cols, *outs)

@@ -111,3 +111,28 @@ def test_rank_within_matches_row_number_under_a_hot_key(spark):
     w = Window.partitionBy("session_id").orderBy("event_time", "event_id")
     want = df.withColumn("seq_no", F.row_number().over(w))
     assert sorted(got.select("event_id", "seq_no").collect()) == sorted(want.select("event_id", "seq_no").collect())
+
+
+def test_exact_percentiles_match_percentile_under_a_hot_group(spark):
+    random.seed(5)
+    rows = []
+    for i in range(5000):
+        g = "hot" if i % 3 == 0 else random.choice(["a", "b", None])
+        v = None if i % 97 == 0 else float(random.randint(0, 400) if g != "b" else random.random())
+        rows.append((g, v))
+    rows.append(("single", 7.0))
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = {"q1": 0.25, "p50": 0.5, "q3": 0.75, "p95": 0.95, "p0": 0.0, "p100": 1.0}
+    got = windows.exact_percentiles(df, "v", probs, ["g"], num_partitions=7)
+    want = df.groupBy("g").agg(*[F.percentile("v", p).alias(k) for k, p in probs.items()])
+    cols = ["g", *probs]
+    key = lambda r: (r[0] is None, r[0] or "")
+    g_rows = sorted(got.select(*cols).collect(), key=key)
+    w_rows = sorted(want.select(*cols).collect(), key=key)
+    assert len(g_rows) == len(w_rows)
+    for a, b in zip(g_rows, w_rows):
+        assert a[0] == b[0]
+        for x, y in zip(a[1:], b[1:]):
+            assert abs(x - y) <= 1e-9 * max(1.0, abs(y)), (a, b)
+    whole = windows.exact_percentiles(df, "v", {"p95": 0.95}).collect()[0].p95
+    assert abs(whole - df.select(F.percentile("v", 0.95)).collect()[0][0]) < 1e-9
