@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ ORDER_KEYS = ["order_id", "user_id"]
 
 
 def unified_orders(third_party: DataFrame, body_injury: DataFrame,
-                   medical: DataFrame, fire: DataFrame, dedup: bool = True) -> DataFrame:
+                   medical: DataFrame, fire: DataFrame, dedup: bool = True,
+                   columns: Sequence[str] | None = None) -> DataFrame:
     """The four product tables as one 27-column table with insurance_type.
 
     Absent columns become typed NULLs through
@@ -29,6 +32,8 @@ def unified_orders(third_party: DataFrame, body_injury: DataFrame,
     Each table keeps only its latest version per (order_id, user_id) (U1):
     since the product type is part of the key, the four tables are unioned
     first and reduced in one aggregation (one shuffle instead of four).
+    With ``columns``, only those (and the key) are kept: the whole-row
+    maximum of the dedup cannot be pruned by Catalyst afterwards.
     """
     def tag(df: DataFrame, kind: str) -> DataFrame:
         return df.withColumn("insurance_type", F.lit(kind))
@@ -38,10 +43,12 @@ def unified_orders(third_party: DataFrame, body_injury: DataFrame,
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)
-    out = out.select(*UNIFIED_COLUMNS, "version")
+    keep = UNIFIED_COLUMNS if columns is None else [
+        c for c in UNIFIED_COLUMNS if c in set(columns) | {"insurance_type", *ORDER_KEYS}]
+    out = out.select(*dict.fromkeys([*keep, "updated_at", "version"]))
     if dedup:
         out = latest_version(out, ["insurance_type", *ORDER_KEYS])
-    return out.select(*UNIFIED_COLUMNS)
+    return out.select(*keep)
 
 
 EVENT_SIDE = ["event_id", "event_time", "user_id", "session_id", "channel", "premium_amount",
@@ -88,13 +95,37 @@ def purchase_denormalized(purchases: DataFrame, orders: DataFrame, payments: Dat
     j = j.join(f, F.col("o.order_id") == F.col("f.order_id"), "left")
     cols = [F.col(f"e.{c}").alias(c) for c in EVENT_SIDE]
     cols.append(F.coalesce(F.col("o.order_id"), F.col("e.event_id")).alias("order_id"))
-    cols += [F.col(f"o.{src}").alias(dst) for src, dst in ORDER_SIDE]
+    cols += [F.col(f"o.{src}").alias(dst) for src, dst in ORDER_SIDE if src in orders.columns]
     cols += [F.col(f"f.{c}").alias(c) for c in PAYMENT_SIDE]
     cols.append(as_of_ts(as_of).alias("ingestion_time"))
     return j.select(*cols)
 
 
 DENORM_KEY = ["event_date", "event_id", "user_id", "insurance_type"]
+DENORM_ORDER = ["order_id", "transaction_id"]
+
+# Columns each roll-up reads from the denormalised table.  Built from the raw
+# tables, the table is projected to these before the joins and the dedup.
+READS = {
+    "type_date_lookup": ["event_id", "user_id", "premium_amount", "insurance_type", "policy_number",
+                         "payment_method", "payment_status", "event_date"],
+    "insurance_type_summary": ["insurance_type", "event_date", "premium_amount", "total_amount"],
+    "user_daily_summary": ["user_id", "event_date", "premium_amount", "insurance_type"],
+    "insurance_type_last_days": ["insurance_type", "event_date", "premium_amount", "total_amount"],
+    "user_product_mix": ["user_id", "session_id", "premium_amount", "insurance_type", "event_date"],
+    "channel_product_performance": ["channel", "insurance_type", "premium_amount", "commission_amount",
+                                    "policy_end_date", "policy_start_date", "payment_status", "event_date"],
+    "insurance_type_last_week": ["insurance_type", "premium_amount", "event_date"],
+    "denormalized_overview": ["user_id", "insurance_type", "premium_amount"],
+}
+
+
+def order_columns_for(denorm_columns: Sequence[str]) -> list[str]:
+    """Unified-order columns that feed the given denormalised columns (plus join keys)."""
+    src = {dst: s for s, dst in ORDER_SIDE}
+    need = {"order_id", "user_id", "order_date", "insurance_type"}
+    need |= {src[c] for c in denorm_columns if c in src}
+    return [c for c in UNIFIED_COLUMNS if c in need]
 
 
 def dedup_denormalized(denorm: DataFrame) -> DataFrame:
@@ -103,7 +134,7 @@ def dedup_denormalized(denorm: DataFrame) -> DataFrame:
     The original keeps an arbitrary last insert; here the greatest
     (order_id, transaction_id) wins, deterministically.
     """
-    return latest_by(denorm, DENORM_KEY, ["order_id", "transaction_id"])
+    return latest_by(denorm, DENORM_KEY, DENORM_ORDER)
 
 
 def purchase_denormalized_by_order_id(purchases: DataFrame, orders: DataFrame,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from eventide import AS_OF
@@ -11,13 +13,16 @@ from eventide.sources import fixtures
 from eventide.sources.tables import Tables
 
 
-def unified(t: Tables, dedup: bool = True) -> DataFrame:
+def unified(t: Tables, dedup: bool = True, columns: Sequence[str] | None = None) -> DataFrame:
+    cols = tuple(columns) if columns is not None else None
+
     def build():
         o = t.orders
         base = fixtures.product_orders(o)
         return ops.unified_orders(fixtures.third_party_orders(o, base), fixtures.body_injury_orders(o, base),
-                                  fixtures.medical_orders(o, base), fixtures.fire_orders(o, base), dedup=dedup)
-    return t.memo(("unified", dedup), build)
+                                  fixtures.medical_orders(o, base), fixtures.fire_orders(o, base), dedup=dedup,
+                                  columns=cols)
+    return t.memo(("unified", dedup, cols), build)
 
 
 def payments(t: Tables) -> DataFrame:
@@ -29,9 +34,22 @@ def denormalized_raw(t: Tables, as_of: str = AS_OF) -> DataFrame:
     return ops.purchase_denormalized(etl.purchases(t, as_of), unified(t), payments(t), as_of)
 
 
-def denormalized(t: Tables, as_of: str = AS_OF) -> DataFrame:
-    """U3 over J3: the denormalised purchase table the roll-ups read."""
-    return t.memo(("denorm", as_of), lambda: ops.dedup_denormalized(denormalized_raw(t, as_of)))
+def denormalized(t: Tables, as_of: str = AS_OF, columns: Sequence[str] | None = None) -> DataFrame:
+    """U3 over J3: the denormalised purchase table the roll-ups read.
+
+    With ``columns`` (see ``orders.READS``) only those, the dedup key and its
+    order are carried through the joins and both dedups (U1, U3): a roll-up
+    over four columns does not shuffle the 50-column row.
+    """
+    if columns is None:
+        return t.memo(("denorm", as_of), lambda: ops.dedup_denormalized(denormalized_raw(t, as_of)))
+    need = tuple(dict.fromkeys([*ops.DENORM_KEY, *ops.DENORM_ORDER, *columns]))
+
+    def build():
+        o = unified(t, columns=ops.order_columns_for(need))
+        j = ops.purchase_denormalized(etl.purchases(t, as_of), o, payments(t), as_of).select(*need)
+        return ops.dedup_denormalized(j)
+    return t.memo(("denorm", as_of, need), build)
 
 
 def run(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:

@@ -139,44 +139,49 @@ def q_product_inner_join(t):
                                      orders_flow.payments(t), "2024-01-01", "third_party")
 
 
+def _denorm(t, rollup: str):
+    """The denormalised table projected to what ``rollup`` reads (orders.READS)."""
+    return orders_flow.denormalized(t, AS_OF, orders.READS[rollup])
+
+
 @register("type_date_lookup")
 def q_type_date_lookup(t):
-    return orders.type_date_lookup(orders_flow.denormalized(t, AS_OF), "2024-01-01", "third_party")
+    return orders.type_date_lookup(_denorm(t, "type_date_lookup"), "2024-01-01", "third_party")
 
 
 @register("insurance_type_summary")
 def q_insurance_type_summary(t):
-    return orders.insurance_type_summary(orders_flow.denormalized(t, AS_OF))
+    return orders.insurance_type_summary(_denorm(t, "insurance_type_summary"))
 
 
 @register("user_daily_summary")
 def q_user_daily_summary(t):
-    return orders.user_daily_summary(orders_flow.denormalized(t, AS_OF))
+    return orders.user_daily_summary(_denorm(t, "user_daily_summary"))
 
 
 @register("insurance_type_last_days")
 def q_insurance_type_last_days(t):
-    return orders.insurance_type_last_days(orders_flow.denormalized(t, AS_OF), AS_OF, 30)
+    return orders.insurance_type_last_days(_denorm(t, "insurance_type_last_days"), AS_OF, 30)
 
 
 @register("user_product_mix")
 def q_user_product_mix(t):
-    return orders.user_product_mix(orders_flow.denormalized(t, AS_OF), _sessions(t), AS_OF, 90, 100)
+    return orders.user_product_mix(_denorm(t, "user_product_mix"), _sessions(t), AS_OF, 90, 100)
 
 
 @register("channel_product_performance")
 def q_channel_product_performance(t):
-    return orders.channel_product_performance(orders_flow.denormalized(t, AS_OF), AS_OF, 7)
+    return orders.channel_product_performance(_denorm(t, "channel_product_performance"), AS_OF, 7)
 
 
 @register("insurance_type_last_week")
 def q_insurance_type_last_week(t):
-    return orders.insurance_type_last_week(orders_flow.denormalized(t, AS_OF), AS_OF, 7)
+    return orders.insurance_type_last_week(_denorm(t, "insurance_type_last_week"), AS_OF, 7)
 
 
 @register("denormalized_overview")
 def q_denormalized_overview(t):
-    return orders.denormalized_overview(orders_flow.denormalized(t, AS_OF))
+    return orders.denormalized_overview(_denorm(t, "denormalized_overview"))
 
 
 # ---- windows -----------------------------------------------------------------
