@@ -356,7 +356,7 @@ def q_table_row_counts(t):
         "daily_event_metrics": metrics.daily_event_metrics(s),
         "daily_aggregate_metrics": metrics.daily_aggregate_metrics(s),
         "session_metrics": metrics.session_metrics(s),
-        "purchase_events_denormalized": orders_flow.denormalized(t, AS_OF)})
+        "purchase_events_denormalized": orders_flow.denormalized(t, AS_OF, ())})
 
 
 @register("signup_to_purchase_journey")
@@ -568,7 +568,7 @@ def q_arrival_frequency(t):
 
 @register("record_count_check")
 def q_record_count_check(t):
-    return quality.record_count_check(etl.purchases(t, AS_OF), orders_flow.denormalized(t, AS_OF))
+    return quality.record_count_check(etl.purchases(t, AS_OF), orders_flow.denormalized(t, AS_OF, ()))
 
 
 @register("sequence_breaks")

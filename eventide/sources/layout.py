@@ -19,15 +19,18 @@ def write_partitioned(df: DataFrame, path: str, date_col: str,
                       mode: str = "overwrite") -> None:
     """Write by (month, extra...) with sorted files and bloom filters.
 
-    Rows are clustered by the partition columns first so each task writes few
-    files; inside files they are sorted by ``sort_cols`` so row-group min/max
-    statistics prune range filters.  Bloom filters serve point lookups.
-    Partition overwrite is dynamic: only the partitions present are replaced.
+    Rows are clustered by the partition columns with a REBALANCE (not a
+    plain ``repartition``, which would send a whole month to one task): AQE
+    splits an oversized partition value over several tasks and merges small
+    ones, so each task writes few files of the advisory size.  Inside a task
+    rows are sorted by the partition columns, then ``sort_cols``, so the
+    writer adds no sort of its own and row-group min/max statistics prune
+    range filters.  Bloom filters serve point lookups.  Partition overwrite is
+    dynamic: only the partitions present are replaced.
     """
     parts = ["month", *extra_partitions]
-    out = with_month(df, date_col).repartition(*[F.col(c) for c in parts])
-    if sort_cols:
-        out = out.sortWithinPartitions(*sort_cols)
+    out = (with_month(df, date_col).hint("rebalance", *parts)
+           .sortWithinPartitions(*parts, *sort_cols))
     w = out.write.mode(mode).partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
     for c in bloom_cols:
         w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")

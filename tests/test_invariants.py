@@ -136,3 +136,26 @@ def test_exact_percentiles_match_percentile_under_a_hot_group(spark):
             assert abs(x - y) <= 1e-9 * max(1.0, abs(y)), (a, b)
     whole = windows.exact_percentiles(df, "v", {"p95": 0.95}).collect()[0].p95
     assert abs(whole - df.select(F.percentile("v", 0.95)).collect()[0][0]) < 1e-9
+
+
+def test_partitioned_write_splits_a_hot_month_over_several_tasks(spark):
+    """One month holding every row is still written by several tasks (REBALANCE + AQE)."""
+    import glob
+    from eventide.session import scratch_path
+    from eventide.sources import layout
+    df = spark.range(0, 40000).select(
+        F.col("id").alias("event_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 28).cast("int")).alias("event_date"),
+        (F.col("id") * 7 % 1000).alias("v"))
+    path = scratch_path(spark, "hot-month")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        layout.write_partitioned(df, path, "event_date", (), ("event_date", "event_id"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = glob.glob(f"{path.removeprefix('file:')}/month=202401/*.parquet")
+    assert len(files) > 1
+    back = spark.read.parquet(path)
+    assert back.count() == 40000
+    assert back.select(F.sum("v")).collect()[0][0] == df.select(F.sum("v")).collect()[0][0]
