@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "eventide") -> SparkSession:
+    """A local session (tests, benchmarks); clusters use ``cluster_session``."""
     spark = (
         SparkSession.builder.master(master).appName(app)
         .config("spark.ui.enabled", "false")
@@ -34,6 +35,60 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+TARGET_PARTITION_BYTES = 256 << 20   # advisory size of a shuffle partition after AQE
+SCAN_SPLIT_BYTES = 512 << 20         # file bytes per scan task (columns are pruned inside)
+SHUFFLE_BYTES_PER_INPUT_PARTITION = 1 << 30
+MAX_SHUFFLE_PARTITIONS = 100_000     # map statuses grow with mappers x reducers
+
+
+def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """SQL settings sized for the stored input of a job on a large cluster.
+
+    Scans read only the projected columns and partial aggregation shrinks
+    what is shuffled, so shuffles start at one partition per GB of stored
+    input (at least two waves of the cluster's cores, at most 100,000); AQE
+    coalesces them to the advisory size, splits skewed join partitions and
+    oversized REBALANCE partitions (partitioned writes).  Broadcasts stay
+    small and fixed; larger sides are shuffled (dimensions are broadcast only
+    behind an explicit row-count check, ``enrich.broadcast_if_small``).
+    """
+    parts = -(-input_bytes // SHUFFLE_BYTES_PER_INPUT_PARTITION)
+    parts = min(MAX_SHUFFLE_PARTITIONS, max(2 * total_cores, parts))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def cluster_session(input_bytes: int, app: str = "eventide") -> SparkSession:
+    """Session on the cluster the job was submitted to.
+
+    The settings of ``cluster_settings`` apply only where the cluster's own
+    configuration leaves them unset; ``spark.checkpoint.dir`` must name shared
+    storage (``checkpoint_root`` refuses a machine-local fallback).
+    """
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    sc = spark.sparkContext
+    cores = sc.defaultParallelism
+    given = sc.getConf()
+    for key, value in cluster_settings(input_bytes, cores).items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    checkpoint_root(spark)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster (``spark.checkpoint.dir``).
 

@@ -159,3 +159,14 @@ def test_partitioned_write_splits_a_hot_month_over_several_tasks(spark):
     back = spark.read.parquet(path)
     assert back.count() == 40000
     assert back.select(F.sum("v")).collect()[0][0] == df.select(F.sum("v")).collect()[0][0]
+
+
+def test_cluster_settings_scale_with_input_and_stay_bounded():
+    from eventide.session import cluster_settings
+    small = cluster_settings(10 << 30, 64)
+    big = cluster_settings(100 << 40, 4000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128          # two waves of cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000        # capped
+    assert int(cluster_settings(20 << 40, 4000)["spark.sql.shuffle.partitions"]) == 20 * 1024
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    assert int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
