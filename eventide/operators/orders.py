@@ -128,6 +128,32 @@ def order_columns_for(denorm_columns: Sequence[str]) -> list[str]:
     return [c for c in UNIFIED_COLUMNS if c in need]
 
 
+def latest_order_per_type_day(orders: DataFrame) -> DataFrame:
+    """Per (user, day, type) only the order U3 keeps: the greatest order_id.
+
+    U3 keeps, per purchase and type, the row with the greatest (order_id,
+    transaction_id); payments are one row per order, so that row belongs to
+    the greatest order_id among the user's orders of that type on that day.
+    Reducing the orders first (partial aggregation) lets a purchase meet at
+    most one order per type: a (user, day) with many purchases and many
+    orders is never expanded into all its purchase x order pairs.
+    """
+    return latest_by(orders, ["user_id", "order_date", "insurance_type"], ["order_id"])
+
+
+def denormalize(purchases: DataFrame, orders: DataFrame, payments: DataFrame, as_of: str,
+                columns: Sequence[str] | None = None) -> DataFrame:
+    """J3 + U3 without the fan-out: the deduplicated denormalised purchases.
+
+    Equal to ``dedup_denormalized(purchase_denormalized(...))``; with
+    ``columns`` only those (plus the dedup key and order) are carried.
+    """
+    j = purchase_denormalized(purchases, latest_order_per_type_day(orders), payments, as_of)
+    if columns is not None:
+        j = j.select(*dict.fromkeys([*DENORM_KEY, *DENORM_ORDER, *columns]))
+    return dedup_denormalized(j)
+
+
 def dedup_denormalized(denorm: DataFrame) -> DataFrame:
     """One row per (event_date, event_id, user_id, insurance_type).
 

@@ -37,19 +37,18 @@ def denormalized_raw(t: Tables, as_of: str = AS_OF) -> DataFrame:
 def denormalized(t: Tables, as_of: str = AS_OF, columns: Sequence[str] | None = None) -> DataFrame:
     """U3 over J3: the denormalised purchase table the roll-ups read.
 
-    With ``columns`` (see ``orders.READS``) only those, the dedup key and its
-    order are carried through the joins and both dedups (U1, U3): a roll-up
-    over four columns does not shuffle the 50-column row.
+    Orders are first reduced to the one U3 keeps per (user, day, type), so
+    the join never fans out (``orders.denormalize``).  With ``columns`` (see
+    ``orders.READS``) only those, the dedup key and its order are carried
+    through the joins and the dedups (U1, U3): a roll-up over four columns
+    does not shuffle the 50-column row.
     """
     if columns is None:
-        return t.memo(("denorm", as_of), lambda: ops.dedup_denormalized(denormalized_raw(t, as_of)))
+        return t.memo(("denorm", as_of), lambda: ops.denormalize(
+            etl.purchases(t, as_of), unified(t), payments(t), as_of))
     need = tuple(dict.fromkeys([*ops.DENORM_KEY, *ops.DENORM_ORDER, *columns]))
-
-    def build():
-        o = unified(t, columns=ops.order_columns_for(need))
-        j = ops.purchase_denormalized(etl.purchases(t, as_of), o, payments(t), as_of).select(*need)
-        return ops.dedup_denormalized(j)
-    return t.memo(("denorm", as_of, need), build)
+    return t.memo(("denorm", as_of, need), lambda: ops.denormalize(
+        etl.purchases(t, as_of), unified(t, columns=ops.order_columns_for(need)), payments(t), as_of, need))
 
 
 def run(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:

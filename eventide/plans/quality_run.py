@@ -127,10 +127,12 @@ class Logs:
             quality.lineage_step(self.store, metrics.daily_aggregate_metrics(self.store), EVENTS_TABLE_NAME,
                                  "daily_aggregation", "daily_aggregate_metrics", "aggregation", a),
             quality.lineage_step(self.store.filter(F.col("event_type") == "purchase"),
-                                 orders_flow.ops.dedup_denormalized(orders_flow.ops.purchase_denormalized(
+                                 orders_flow.ops.denormalize(
                                      self.store.filter(F.col("event_type") == "purchase"),
-                                     orders_flow.unified(t), orders_flow.payments(t), a)), "purchase_events",
-                                 "order_denormalization", "purchase_events_denormalized", "join", a),
+                                     orders_flow.unified(t, columns=orders_flow.ops.order_columns_for(())),
+                                     orders_flow.payments(t), a, ()),
+                                 "purchase_events", "order_denormalization", "purchase_events_denormalized",
+                                 "join", a),
         ]
         return quality.record_lineage(steps)
 

@@ -28,8 +28,7 @@ def materialize(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[
     write_partitioned(metrics.session_metrics(store), paths["sessions"], "first_event_time", (),
                       ("session_id",), ("session_id",))
     purchases = store.filter("event_type = 'purchase'")
-    denorm = orders.dedup_denormalized(orders.purchase_denormalized(
-        purchases, orders_flow.unified(t), orders_flow.payments(t), as_of))
+    denorm = orders.denormalize(purchases, orders_flow.unified(t), orders_flow.payments(t), as_of)
     write_partitioned(denorm, paths["denorm"], "event_date", ("insurance_type",),
                       ("event_date", "event_id"), ("policy_number",))
     return paths

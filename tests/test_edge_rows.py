@@ -130,6 +130,9 @@ def test_two_orders_one_day_fan_out_and_dedup_by_type(spark):
     assert den.count() == 3
     ded = {r.insurance_type: r.order_id for r in orders.dedup_denormalized(den).collect()}
     assert ded == {"fire": 11, "medical": 12}
+    # reducing orders before the join gives the same table without the fan-out
+    assert sorted(orders.denormalize(purchases, unified, pays, AS_OF).collect()) == \
+        sorted(orders.dedup_denormalized(den).collect())
     j4 = orders.purchase_denormalized_by_order_id(
         purchases.withColumn("event_id", F.lit(10).cast("long")), unified, pays).collect()
     assert j4[0].commission_rate is None  # division by a zero total gives NULL, not an error
@@ -158,3 +161,32 @@ def test_incremental_load_sees_only_new_keys(spark):
     assert sorted(r.user_id for r in incremental_load(src, tgt).collect()) == [6, 7, 8, 9]
     empty = spark.createDataFrame([], "user_id int")
     assert incremental_load(src, empty).count() == 10
+
+
+def test_hot_user_day_denormalizes_without_fan_out(spark):
+    """Many purchases x many orders on one (user, day): same rows as fan-out + dedup."""
+    d = dt.date(2024, 1, 5)
+    t0 = dt.datetime(2024, 1, 5, 9)
+    ev_schema = ("event_id long, event_time timestamp_ntz, user_id int, session_id string, channel string, "
+                 "premium_amount long, signup_date date, city string, device_type string, user_tenure_days int, "
+                 "event_date date, event_hour int, event_day_of_week int, processing_time timestamp_ntz, "
+                 "data_source string")
+    purchases = spark.createDataFrame(
+        [(i, t0 + dt.timedelta(seconds=i), 3, "s", "SEO", 100 + i, None, None, None, None, d, 9, 6, t0, "spark_etl")
+         for i in range(300)], ev_schema)
+    types = ["third_party", "body_injury", "medical", "fire"]
+    unified = spark.createDataFrame(
+        [(1000 + k, 3, types[k % 4], d, 50 + k) for k in range(200)],
+        "order_id long, user_id int, insurance_type string, order_date date, premium_amount long")
+    for c in orders.UNIFIED_COLUMNS:
+        if c not in unified.columns:
+            unified = unified.withColumn(c, F.lit(None).cast("string"))
+    unified = unified.select(*orders.UNIFIED_COLUMNS)
+    pays = spark.createDataFrame([(1000 + k, k, "wallet", "completed", "USD", k, 0, 0, 0, t0, t0) for k in range(200)],
+                                 "order_id long, transaction_id long, payment_method string, payment_status string, "
+                                 "currency string, total_amount long, tax_amount long, discount_amount long, "
+                                 "commission_amount long, payment_date timestamp_ntz, settlement_date timestamp_ntz")
+    want = orders.dedup_denormalized(orders.purchase_denormalized(purchases, unified, pays, AS_OF))
+    got = orders.denormalize(purchases, unified, pays, AS_OF)
+    assert got.count() == 300 * 4
+    assert sorted(got.collect()) == sorted(want.collect())
