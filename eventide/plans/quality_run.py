@@ -72,8 +72,7 @@ class Logs:
         a = self.as_of
         orphans = enrich.orphan_events(self.store, self.users)
         purchases = self.store.filter(F.col("event_type") == "purchase")
-        j = orders_flow.ops.purchase_order_join(purchases, orders_flow.unified(self.t)).select(
-            "e.premium_amount", F.col("o.premium_amount").alias("order_premium_amount"))
+        premiums = orders_flow.unified(self.t, columns=["order_date", "premium_amount"])
         parts = [
             quality.check_completeness(self.store, a),
             quality.check_duplicates(double_delivery(self.store), a),
@@ -84,7 +83,7 @@ class Logs:
                                      "format_violations", "high"),
             quality.violations_check(quality.temporal_violations(self.store, orders_flow.unified(self.t)), a,
                                      "validity", "temporal_violations", "high"),
-            quality.violations_check(quality.field_consistency(self.store, j), a, "consistency",
+            quality.violations_check(quality.field_consistency(self.store, purchases, premiums), a, "consistency",
                                      "field_consistency", "high"),
         ]
         out = parts[0]

@@ -550,9 +550,7 @@ def q_temporal_violations(t):
 
 @register("field_consistency")
 def q_field_consistency(t):
-    j = orders.purchase_order_join(etl.purchases(t, AS_OF), orders_flow.unified(t)).select(
-        "e.premium_amount", F.col("o.premium_amount").alias("order_premium_amount"))
-    return quality.field_consistency(_store(t), j)
+    return quality.field_consistency(_store(t), etl.purchases(t, AS_OF), orders_flow.unified(t))
 
 
 @register("volume_anomalies")

@@ -190,3 +190,25 @@ def test_hot_user_day_denormalizes_without_fan_out(spark):
     got = orders.denormalize(purchases, unified, pays, AS_OF)
     assert got.count() == 300 * 4
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_premium_consistency_counts_pairs_without_forming_them(spark):
+    import random
+    random.seed(11)
+    d = dt.date(2024, 1, 5)
+    prem = lambda: None if random.random() < 0.1 else random.choice([100, 200, 300])
+    purchases = spark.createDataFrame(
+        [(i, 3 if i % 2 else random.randint(4, 9), d if i % 5 else dt.date(2024, 1, 6), prem()) for i in range(400)],
+        "event_id long, user_id int, event_date date, premium_amount long")
+    ords = spark.createDataFrame(
+        [(k, 3 if k % 3 else random.randint(4, 9), d if k % 4 else dt.date(2024, 1, 6), prem()) for k in range(150)],
+        "order_id long, user_id int, order_date date, premium_amount long")
+    events = purchases.select("premium_amount", F.lit(1).alias("is_purchase"), F.lit("purchase").alias("event_type"))
+    got = {r.rule: (r.violations, r.checked_rows)
+           for r in quality.field_consistency(events, purchases, ords).collect()}
+    p, o = purchases.collect(), ords.collect()
+    pairs = [(a.premium_amount, b.premium_amount) for a in p for b in o
+             if a.user_id == b.user_id and a.event_date == b.order_date and b.premium_amount is not None]
+    bad = sum(1 for x, y in pairs if x is not None and x != y)
+    assert got["event_premium_vs_order_premium"] == (bad, len(pairs))
+    assert got["is_purchase_vs_event_type"] == (0, 400)
