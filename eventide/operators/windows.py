@@ -149,8 +149,9 @@ def running_sum_within(df: DataFrame, key_col: str, order: Sequence[str], out_co
     key holding a third of the table is spread over many tasks.  Each
     partition sums its rows; a key that crosses partition borders gets, in
     each later partition, an offset equal to its total in the earlier
-    partitions.  The offsets come from a summary with one row per partition
-    (first key, last key, total of the last key), bounded by the partition count.
+    partitions.  The offsets come from running sums over a summary with one
+    row per partition (first key, last key, total of the last key), bounded
+    by the partition count.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -165,12 +166,22 @@ def running_sum_within(df: DataFrame, key_col: str, order: Sequence[str], out_co
     last = F.max(F.struct(*[F.col(c) for c in cols], F.col("_local_total").alias("r")))
     summary = (local.groupBy(*tag_cols).agg(last.alias("_last"))
                .select(*tag_cols, F.col(f"_last.{key_col}").alias("_last_key"), F.col("_last.r").alias("_last_n")))
-    # offset of a partition's first key = its total in earlier partitions, which
-    # are exactly the earlier partitions ending with that key (runs are contiguous)
-    a = summary.select(*tag_cols, F.struct(*tag_cols).alias("_tag_a"))
-    b = summary.select(F.struct(*tag_cols).alias("_tag_b"), "_last_key", "_last_n")
-    carried = (a.join(b, (F.col("_last_key") == F.col(tag_cols[0])) & (F.col("_tag_b") < F.col("_tag_a")))
-               .groupBy(*tag_cols).agg(F.sum("_last_n").alias("_offset")))
+    # Offset of a partition's first key = its total in earlier partitions.  Those
+    # are the partitions ending with that key, and they form a chain right
+    # before it (everything between two rows of a key is that key), so a running
+    # sum over chains of equal last keys gives it; no pairs of partitions are
+    # formed.  The summary has one row per partition: one task and a broadcast
+    # are bounded by the partition count.
+    by_tag = Window.orderBy(*tag_cols)
+    chains = (summary
+              .withColumn("_new", F.coalesce(F.col("_last_key") != F.lag("_last_key").over(by_tag), F.lit(True)))
+              .withColumn("_chain", F.sum(F.col("_new").cast("long")).over(by_tag)))
+    in_chain = Window.partitionBy("_chain").orderBy(*tag_cols)
+    carried = (chains.withColumn("_chain_total", F.sum("_last_n").over(in_chain))
+               .withColumn("_prev_key", F.lag("_last_key").over(by_tag))
+               .withColumn("_prev_total", F.lag("_chain_total").over(by_tag))
+               .select(*tag_cols, F.when(F.col("_prev_key") == F.col(tag_cols[0]), F.col("_prev_total"))
+                       .alias("_offset")))
     j = local.join(F.broadcast(carried), tag_cols, "left")
     first_run = F.col(key_col) == F.col(tag_cols[0])
     return (j.withColumn(out_col, F.col("_local_total")
