@@ -45,7 +45,9 @@ def session_metrics(events: DataFrame) -> DataFrame:
     """A3: one row per whole session, 'first' taken by (event_time, event_id).
 
     ``event_sequence`` is the session's event types in time order; it is built
-    from a partially aggregated list, sorted once per session.
+    from a partially aggregated list, sorted once per session.  The distinct
+    event types are counted from that list, so the aggregate needs no
+    distinct-aggregation rewrite (an Expand of every row and a second phase).
     """
     order = F.struct("event_time", "event_id")
     seq = F.transform(F.array_sort(F.collect_list(F.struct("event_time", "event_id", "event_type"))),
@@ -54,15 +56,19 @@ def session_metrics(events: DataFrame) -> DataFrame:
             .agg(F.min("event_time").alias("first_event_time"),
                  F.max("event_time").alias("last_event_time"),
                  F.count(F.lit(1)).alias("total_events"),
-                 F.count_distinct("event_type").alias("unique_event_types"),
                  F.max("is_purchase").alias("has_purchase"),
                  F.sum("premium_amount").alias("total_premium"),
                  F.min_by("channel", order).alias("first_channel"),
                  F.min_by("city", order).alias("first_city"),
                  F.min_by("device_type", order).alias("first_device_type"),
                  seq.alias("event_sequence"))
-            .withColumn("session_duration_seconds",
-                        seconds_between(F.col("first_event_time"), F.col("last_event_time"))))
+            .select("session_id", "user_id", "first_event_time", "last_event_time", "total_events",
+                    F.size(F.array_distinct(F.filter("event_sequence", lambda x: x.isNotNull())))
+                    .cast("bigint").alias("unique_event_types"),
+                    "has_purchase", "total_premium", "first_channel", "first_city", "first_device_type",
+                    "event_sequence",
+                    seconds_between(F.col("first_event_time"), F.col("last_event_time"))
+                    .alias("session_duration_seconds")))
 
 
 def session_kpis(sessions: DataFrame) -> DataFrame:
@@ -96,9 +102,9 @@ def category_values_report(events: DataFrame) -> DataFrame:
         F.struct(F.lit(CATEGORY_LABELS[2]).alias("category"), F.col("city").alias("value")),
         F.struct(F.lit(CATEGORY_LABELS[3]).alias("category"), F.trim("device_type").alias("value")),
     )).alias("kv")).select("kv.*")
-    return long.groupBy("category").agg(
-        F.sort_array(F.collect_set("value")).alias("values"),
-        F.count_distinct("value").alias("unique_count"))
+    values = long.groupBy("category").agg(F.sort_array(F.collect_set("value")).alias("values"))
+    # the set already holds the distinct non-NULL values: no distinct-aggregate rewrite
+    return values.select("category", "values", F.size("values").cast("bigint").alias("unique_count"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
