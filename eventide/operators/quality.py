@@ -36,6 +36,22 @@ def sample_ids(offending: DataFrame, id_col: str, k: int = SAMPLE_SIZE) -> Colum
                                  F.array().cast("array<bigint>"))).scalar()
 
 
+def _one_row(df: DataFrame) -> DataFrame:
+    """A one-row frame that check rows built from scalar subqueries hang on."""
+    return df.sparkSession.range(1)
+
+
+def _scalar(df: DataFrame, agg: Column) -> Column:
+    """``agg`` over the whole of ``df`` as a scalar subquery.
+
+    Spark merges the scalar subqueries of one plan that aggregate the same
+    input into a single aggregate (and reuses it), so the counters of every
+    check written this way, even across the branches of a log, cost one pass
+    over the table instead of one scan per check.
+    """
+    return df.select(agg).scalar()
+
+
 def _check_row(df: DataFrame, as_of: str, table: str, check_type: str, name: str,
                expected: Column, actual: Column, deviation: Column, status: Column,
                severity: Column, errors: Column, total: Column, details: Column,
@@ -56,15 +72,17 @@ def _check_row(df: DataFrame, as_of: str, table: str, check_type: str, name: str
 def check_completeness(events: DataFrame, as_of: str, days: int = 1,
                        pass_pct: float = 99.5, warn_pct: float = 95.0) -> DataFrame:
     """Share of recent events with a user id; status on the unrounded percent."""
-    recent = events.filter(F.col("event_date") >= F.date_sub(as_of_ts(as_of).cast("date"), days))
-    agg = recent.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("user_id") > 0).alias("ok"))
-    p = safe_ratio(F.col("ok") * 100.0, F.col("n"))
+    recent = F.col("event_date") >= F.date_sub(as_of_ts(as_of).cast("date"), days)
+    n = _scalar(events, F.count_if(recent))
+    ok = _scalar(events, F.count_if(recent & (F.col("user_id") > 0)))
+    p = safe_ratio(ok * 100.0, n)
     status = ladder(p, [(p >= pass_pct, "pass"), (p >= warn_pct, "warning")], "fail")
     sev = F.when(p < warn_pct, "high").otherwise("low")
-    miss = F.col("n") - F.col("ok")
-    affected = sample_ids(recent.filter(~(F.col("user_id") > 0) | F.col("user_id").isNull()), "event_id")
-    return _check_row(agg, as_of, EVENTS_TABLE, "completeness", "user_id_completeness",
-                      F.lit(100.0), F.round(p, 2), F.round(100.0 - p, 2), status, sev, miss, F.col("n"),
+    miss = n - ok
+    affected = sample_ids(events.filter(recent & (~(F.col("user_id") > 0) | F.col("user_id").isNull())),
+                          "event_id")
+    return _check_row(_one_row(events), as_of, EVENTS_TABLE, "completeness", "user_id_completeness",
+                      F.lit(100.0), F.round(p, 2), F.round(100.0 - p, 2), status, sev, miss, n,
                       F.concat(F.lit("Missing user_id count: "), miss.cast("string")), affected)
 
 
@@ -86,8 +104,9 @@ def check_freshness(events: DataFrame, as_of: str, source_system: str = "etl_pip
                     lagging_s: int = 3600) -> DataFrame:
     """D3: seconds since the newest event; a sync-lag log row."""
     now = as_of_ts(as_of)
-    agg = events.agg(F.max("event_time").alias("src"),
-                     F.count_if(F.col("event_time") < now - F.expr("INTERVAL 1 HOUR")).alias("behind"))
+    agg = _one_row(events).select(
+        _scalar(events, F.max("event_time")).alias("src"),
+        _scalar(events, F.count_if(F.col("event_time") < now - F.expr("INTERVAL 1 HOUR"))).alias("behind"))
     lag = seconds_between(F.col("src"), now)
     return agg.select(
         now.alias("metric_time"), F.lit(source_system).alias("source_system"),
@@ -110,11 +129,13 @@ def sync_lag_rows(spark_events: DataFrame, users: DataFrame, as_of: str) -> Data
     """Lag rows per source: ETL (event time -> processing), consumer
     (processing -> ingestion), CDC (dimension update -> as_of)."""
     now = as_of_ts(as_of)
-    etl = spark_events.agg(F.max("event_time").alias("src"), F.max("processing_time").alias("dst"),
-                           F.count_if(F.col("event_time") < now - F.expr("INTERVAL 1 HOUR")).alias("behind"))
-    consumer = spark_events.agg(F.max("processing_time").alias("src"), F.max("ingestion_time").alias("dst"),
-                                F.count_if(F.col("processing_time") < F.col("ingestion_time")
-                                           - F.expr("INTERVAL 1 HOUR")).alias("behind"))
+    ev, one = spark_events, _one_row(spark_events)
+    etl = one.select(_scalar(ev, F.max("event_time")).alias("src"), _scalar(ev, F.max("processing_time")).alias("dst"),
+                     _scalar(ev, F.count_if(F.col("event_time") < now - F.expr("INTERVAL 1 HOUR"))).alias("behind"))
+    consumer = one.select(
+        _scalar(ev, F.max("processing_time")).alias("src"), _scalar(ev, F.max("ingestion_time")).alias("dst"),
+        _scalar(ev, F.count_if(F.col("processing_time") < F.col("ingestion_time")
+                               - F.expr("INTERVAL 1 HOUR"))).alias("behind"))
     cdc = users.agg(F.max("updated_at").alias("src"), now.alias("dst"),
                     F.count_if(F.col("updated_at") < now - F.expr("INTERVAL 1 HOUR")).alias("behind"))
 
@@ -382,15 +403,11 @@ RANGE_RULES = [
 
 def range_violations(events: DataFrame, rules: Sequence[tuple[str, int, int]] = RANGE_RULES) -> DataFrame:
     """Per rule, values outside the expected range (one pass over the table)."""
-    aggs = []
-    for c, lo, hi in rules:
-        aggs.append(F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"{c}__bad"))
-        aggs.append(F.count(F.col(c)).alias(f"{c}__n"))
-    wide = events.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column_name"), F.lit(lo).cast("bigint").alias("min_value"),
-                     F.lit(hi).cast("bigint").alias("max_value"), F.col(f"{c}__bad").alias("violations"),
-                     F.col(f"{c}__n").alias("checked_values")) for c, lo, hi in rules]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+                     F.lit(hi).cast("bigint").alias("max_value"),
+                     _scalar(events, F.count_if((F.col(c) < lo) | (F.col(c) > hi))).alias("violations"),
+                     _scalar(events, F.count(F.col(c))).alias("checked_values")) for c, lo, hi in rules]
+    return _one_row(events).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 SESSION_PATTERN = r"^s_[0-9]+_[0-9]{8}$"
@@ -413,9 +430,10 @@ def format_violations(lines_parsed: DataFrame) -> DataFrame:
 
 def temporal_violations(events: DataFrame, orders: DataFrame) -> DataFrame:
     """Events before the user's signup; policies ending before they start."""
-    e = events.agg(F.count_if(F.col("event_date") < F.col("signup_date")).alias("violations"),
-                   F.count(F.lit(1)).alias("checked_rows")).select(
-        F.lit("event_before_signup").alias("rule"), "violations", "checked_rows")
+    e = _one_row(events).select(
+        F.lit("event_before_signup").alias("rule"),
+        _scalar(events, F.count_if(F.col("event_date") < F.col("signup_date"))).alias("violations"),
+        _scalar(events, F.count(F.lit(1))).alias("checked_rows"))
     o = orders.agg(F.count_if(F.col("policy_end_date") < F.col("policy_start_date")).alias("violations"),
                    F.count(F.lit(1)).alias("checked_rows")).select(
         F.lit("policy_end_before_start").alias("rule"), "violations", "checked_rows")
@@ -432,9 +450,11 @@ def field_consistency(events: DataFrame, purchases: DataFrame, orders: DataFrame
     violations = pairs with a purchase premium - agreeing pairs.  A hot
     (user, day) costs a few aggregated rows, not the product of its sizes.
     """
-    a = events.agg(F.count_if((F.col("is_purchase") == 1) != (F.col("event_type") == "purchase")).alias("violations"),
-                   F.count(F.lit(1)).alias("checked_rows")).select(
-        F.lit("is_purchase_vs_event_type").alias("rule"), "violations", "checked_rows")
+    a = _one_row(events).select(
+        F.lit("is_purchase_vs_event_type").alias("rule"),
+        _scalar(events, F.count_if((F.col("is_purchase") == 1) != (F.col("event_type") == "purchase")))
+        .alias("violations"),
+        _scalar(events, F.count(F.lit(1))).alias("checked_rows"))
     keys = ["user_id", "day"]
     p = purchases.select("user_id", F.col("event_date").alias("day"), F.col("premium_amount").alias("v"))
     o = (orders.filter(F.col("premium_amount").isNotNull())
@@ -501,8 +521,8 @@ def sequence_breaks(events: DataFrame) -> DataFrame:
 def referential_check(orphans: DataFrame, events: DataFrame, as_of: str,
                       fail_pct: float = 5.0) -> DataFrame:
     """Consistency check row: events whose user is unknown (from J7)."""
-    n = events.select(F.count(F.lit(1))).scalar()
-    bad = orphans.select(F.count(F.lit(1))).scalar()
+    n = _scalar(events, F.count(F.lit(1)))
+    bad = _scalar(orphans, F.count(F.lit(1)))
     p = pct(bad, n)
     return _check_row(events.sparkSession.range(1), as_of, EVENTS_TABLE, "consistency", "orphan_user_events",
                       F.lit(0.0), p, p, F.when(bad == 0, "pass").when(p < fail_pct, "warning").otherwise("fail"),
