@@ -205,9 +205,9 @@ def hourly_counts(events: DataFrame, ts_col: str = "event_time") -> DataFrame:
     """
     counts = (events.groupBy(F.date_trunc("hour", ts_col).cast("timestamp_ntz").alias("hour"))
               .agg(F.count(F.lit(1)).alias("events")))
-    span = events.agg(F.date_trunc("hour", F.min(ts_col)).cast("timestamp_ntz").alias("lo"),
-                      F.date_trunc("hour", F.max(ts_col)).cast("timestamp_ntz").alias("hi"))
-    grid = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    lo = _scalar(events, F.date_trunc("hour", F.min(ts_col)).cast("timestamp_ntz"))
+    hi = _scalar(events, F.date_trunc("hour", F.max(ts_col)).cast("timestamp_ntz"))
+    grid = _one_row(events).select(F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 HOUR"))).alias("hour"))
     return grid.join(counts, "hour", "left").select("hour", F.coalesce("events", F.lit(0)).alias("events"))
 
 
