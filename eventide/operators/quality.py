@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from eventide.functions.columns import (as_of_ts, completeness_flag, ladder, lookback,
                                         parse_time_best_effort, pct, safe_ratio,
                                         seconds_between)
-from eventide.operators.windows import exact_percentiles, gaps_over
+from eventide.operators.windows import exact_percentiles, gaps_over, global_next
 
 EVENTS_TABLE = "processed_events_storage"
 SAMPLE_SIZE = 10
@@ -87,15 +87,22 @@ def check_completeness(events: DataFrame, as_of: str, days: int = 1,
 
 
 def check_duplicates(events: DataFrame, as_of: str, days: int = 1) -> DataFrame:
-    """Count - distinct event ids over recent events; a row only if they differ."""
+    """Count - distinct event ids over recent events; a row only if they differ.
+
+    One aggregation by event_id (partial before its shuffle) feeds the row
+    count, the distinct ids and the sample of duplicated ids: the totals are
+    merged scalar subqueries over it and the sample reuses its exchange, so
+    the check shuffles the events once.
+    """
     recent = events.filter(F.col("event_date") >= F.date_sub(as_of_ts(as_of).cast("date"), days))
-    agg = recent.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("d"))
-    dup = F.col("n") - F.col("d")
-    dups = recent.groupBy("event_id").count().filter("count > 1")
-    out = _check_row(agg, as_of, EVENTS_TABLE, "accuracy", "duplicate_events", F.lit(0.0), F.round(dup, 2),
-                     F.lit(0.0), F.when(dup == 0, "pass").otherwise("fail"), F.lit("medium"), dup,
-                     F.col("n"), F.concat(F.lit("Duplicate event count: "), dup.cast("string")),
-                     sample_ids(dups, "event_id"))
+    per_id = recent.groupBy("event_id").agg(F.count(F.lit(1)).alias("copies"))
+    n = F.coalesce(_scalar(per_id, F.sum("copies")), F.lit(0))
+    d = _scalar(per_id, F.count("event_id"))  # NULL ids are rows but not distinct ids
+    dup = n - d
+    out = _check_row(_one_row(events), as_of, EVENTS_TABLE, "accuracy", "duplicate_events", F.lit(0.0),
+                     F.round(dup, 2), F.lit(0.0), F.when(dup == 0, "pass").otherwise("fail"), F.lit("medium"),
+                     dup, n, F.concat(F.lit("Duplicate event count: "), dup.cast("string")),
+                     sample_ids(per_id.filter(F.col("copies") > 1), "event_id"))
     return out.filter(F.col("error_count") != 0)
 
 
@@ -481,13 +488,19 @@ def volume_anomalies(events: DataFrame, trailing: int = 24, drop_ratio: float =
              .withColumn("is_drop", F.when(F.col("ratio") < drop_ratio, 1).otherwise(0)))
 
 
-def arrival_frequency(events: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Per hour: arrivals, mean gap to the next event, mean processing delay."""
-    g = gaps.select("event_id", "gap_seconds")
-    e = events.join(g, "event_id", "left")
-    return (e.groupBy(F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour"))
+def arrival_frequency(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Per hour: arrivals, mean gap to the next event, mean processing delay.
+
+    The next event time comes from the global-order pass of W1 run over just
+    the three columns needed, and the hourly aggregate reads its output
+    directly: no join of the gaps back to the events.
+    """
+    base = events.select("event_id", "event_time", "processing_time")
+    g = global_next(base, ["event_time", "event_id"], "event_time", "next_event_time", num_partitions)
+    return (g.groupBy(F.date_trunc("hour", "event_time").cast("timestamp_ntz").alias("hour"))
             .agg(F.count(F.lit(1)).alias("events"),
-                 F.round(F.avg("gap_seconds"), 4).alias("avg_gap_seconds"),
+                 F.round(F.avg(seconds_between(F.col("event_time"), F.col("next_event_time"))), 4)
+                  .alias("avg_gap_seconds"),
                  F.round(F.avg(seconds_between(F.col("event_time"), F.col("processing_time"))), 4)
                   .alias("avg_processing_delay_seconds")))
 

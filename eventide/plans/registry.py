@@ -560,8 +560,7 @@ def q_volume_anomalies(t):
 
 @register("arrival_frequency")
 def q_arrival_frequency(t):
-    s = _store(t)
-    return quality.arrival_frequency(s, windows.event_gaps(s))
+    return quality.arrival_frequency(_store(t))
 
 
 @register("record_count_check")
