@@ -175,14 +175,25 @@ def signup_to_purchase_journey(events: DataFrame) -> DataFrame:
                     .alias("seconds_to_purchase")))
 
 
-def channel_attribution(sessions: DataFrame, events: DataFrame) -> DataFrame:
-    """Purchases and premium credited to the session's first-touch channel."""
-    buys = events.filter(F.col("event_type") == "purchase").select("session_id", "premium_amount")
-    s = sessions.select("session_id", "first_channel")
-    return (buys.join(s, "session_id")
+def channel_attribution(events: DataFrame) -> DataFrame:
+    """Purchases and premium credited to the session's first-touch channel.
+
+    The first-touch channel (A3's ``first_channel``) and the session's
+    purchase totals come out of one aggregation per session (a session id is
+    built from one user and one day), then a small aggregate per channel: no
+    join of the purchases back to the session roll-up, so the events are
+    shuffled once instead of three times.
+    """
+    order = F.struct("event_time", "event_id")
+    buy = F.col("event_type") == "purchase"
+    per_session = (events.groupBy("session_id", "user_id")
+                   .agg(F.min_by("channel", order).alias("first_channel"),
+                        F.count_if(buy).alias("n"),
+                        F.sum(F.when(buy, F.col("premium_amount"))).alias("premium")))
+    return (per_session.filter(F.col("n") > 0)
             .groupBy("first_channel")
-            .agg(F.count(F.lit(1)).alias("purchases"),
-                 F.sum("premium_amount").alias("total_premium"),
+            .agg(F.sum("n").alias("purchases"),
+                 F.sum("premium").alias("total_premium"),
                  F.count_distinct("session_id").alias("converting_sessions")))
 
 

@@ -366,8 +366,7 @@ def q_journey(t):
 
 @register("channel_attribution")
 def q_channel_attribution(t):
-    s = _store(t)
-    return metrics.channel_attribution(metrics.session_metrics(s), s)
+    return metrics.channel_attribution(_store(t))
 
 
 @register("orphan_events")
