@@ -212,8 +212,9 @@ def exact_percentiles(df: DataFrame, value_col: str, probs: dict[str, float],
     v = F.col(value_col)
     gkey = F.to_json(F.struct(*[F.col(c) for c in group_cols])) if group_cols else F.lit("{}")
     counts = (df.filter(v.isNotNull())
-              .groupBy(*group_cols, gkey.alias("_g"), v.cast("double").alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
+              .groupBy(*group_cols, v.cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c"))
+              .withColumn("_g", gkey))  # one text key per (group, value) row, not per input row
     cum = running_sum_within(counts, "_g", ["_v"], "_cum", "_c", num_partitions)
     totals = counts.groupBy("_g").agg(F.sum("_c").alias("_n"))
     j = cum.join(totals, "_g")
