@@ -53,11 +53,12 @@ def finalize_processed(df: DataFrame, as_of: str) -> DataFrame:
               .select(*PROCESSED_COLUMNS))
 
 
-def normalize_processed(text: DataFrame, as_of: str) -> DataFrame:
+def normalize_processed(text: DataFrame, as_of: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """Warehouse-side normalisation of processed events arriving as text.
 
     Dates and times are parsed by best effort (NULL if unparsable), the device
-    type is trimmed and an ingestion time is stamped.
+    type is trimmed and an ingestion time is stamped.  ``carry`` columns
+    (e.g. the record's offset) are passed through at the end.
     """
     return text.select(
         "event_id",
@@ -72,6 +73,7 @@ def normalize_processed(text: DataFrame, as_of: str) -> DataFrame:
         parse_time_best_effort(F.col("processing_time")).alias("processing_time"),
         "data_source",
         as_of_ts(as_of).alias("ingestion_time"),
+        *carry,
     )
 
 

@@ -88,8 +88,11 @@ def encode_processed(processed: DataFrame, topic: str = PROCESSED_TOPIC) -> Data
     )
 
 
-def decode_processed(topic_df: DataFrame, as_of: str) -> DataFrame:
-    """Consumer side: JSON text rows to typed warehouse rows."""
-    text = (topic_df.select(F.from_json(F.col("value").cast("string"), PROCESSED_TEXT).alias("r"))
-            .select("r.*"))
-    return normalize_processed(text, as_of)
+def decode_processed(topic_df: DataFrame, as_of: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Consumer side: JSON text rows to typed warehouse rows.
+
+    ``carry`` keeps record columns (offset, raw value) next to the decoded row.
+    """
+    text = (topic_df.select(F.from_json(F.col("value").cast("string"), PROCESSED_TEXT).alias("r"), *carry)
+            .select("r.*", *carry))
+    return normalize_processed(text, as_of, carry)

@@ -63,12 +63,14 @@ def stream_ingest(spark: SparkSession, source: str, as_of: str, max_files: int |
     good, bad = scratch_path(spark, "ingest-good"), scratch_path(spark, "ingest-reject")
 
     def write(batch: DataFrame, epoch: int) -> None:
-        rows = topic.decode_processed(batch, as_of)
-        ok = rows.filter(F.col("event_id").isNotNull() & F.col("event_time").isNotNull())
-        ok.write.mode("overwrite").parquet(f"{good}/epoch={epoch}")
-        rej = batch.join(ok.select(F.col("event_id").alias("offset")), "offset", "left_anti")
-        rej.select(F.col("value").cast("string").alias("payload"), "offset").write.mode("overwrite") \
-           .parquet(f"{bad}/epoch={epoch}")
+        # each record keeps its offset and raw value, so good and rejected rows
+        # are split by the validity test alone (no join back to the batch)
+        rows = topic.decode_processed(batch, as_of, carry=("offset", "value")).persist()
+        valid = F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
+        rows.filter(valid).drop("offset", "value").write.mode("overwrite").parquet(f"{good}/epoch={epoch}")
+        (rows.filter(~valid).select(F.col("value").cast("string").alias("payload"), "offset")
+         .write.mode("overwrite").parquet(f"{bad}/epoch={epoch}"))
+        rows.unpersist()
 
     _drain(read_stream(spark, source, schema, max_files).writeStream.foreachBatch(write), "ingest", spark)
     return good, bad

@@ -212,3 +212,19 @@ def test_premium_consistency_counts_pairs_without_forming_them(spark):
     bad = sum(1 for x, y in pairs if x is not None and x != y)
     assert got["event_premium_vs_order_premium"] == (bad, len(pairs))
     assert got["is_purchase_vs_event_type"] == (0, 400)
+
+
+def test_stream_ingest_splits_rejects_by_validity_not_by_offset(spark):
+    """Offsets are the topic's own numbers, unrelated to event ids; a broken record is a reject."""
+    from eventide.streaming import streams
+    good_json = ('{"event_id": %d, "event_time": "2024-01-05 10:00:0%d", "user_id": 3, "session_id": "s_3_20240105",'
+                 ' "event_type": "view", "channel": "SEO", "premium_amount": 500}')
+    recs = [(b"3", (good_json % (1, 1)).encode(), "t", 0, 100),
+            (b"3", (good_json % (2, 2)).encode(), "t", 0, 101),
+            (b"3", b"not json", "t", 0, 102),
+            (b"3", b'{"event_id": 7, "event_time": "never"}', "t", 0, 103)]
+    df = spark.createDataFrame(recs, "key binary, value binary, topic string, partition int, offset long")
+    src = streams.stage(df, "ingest-edge", None, 2)
+    good, bad = streams.stream_ingest(spark, src, AS_OF)
+    assert sorted(r.event_id for r in spark.read.parquet(good).collect()) == [1, 2]
+    assert sorted(r.offset for r in spark.read.parquet(bad).collect()) == [102, 103]
