@@ -228,3 +228,11 @@ def test_stream_ingest_splits_rejects_by_validity_not_by_offset(spark):
     good, bad = streams.stream_ingest(spark, src, AS_OF)
     assert sorted(r.event_id for r in spark.read.parquet(good).collect()) == [1, 2]
     assert sorted(r.offset for r in spark.read.parquet(bad).collect()) == [102, 103]
+
+
+def test_decoded_event_ids_are_unique_across_topic_partitions(spark):
+    payload = b'{"event_time": "2024-01-05 10:00:00", "user_id": 3, "session_id": "s", "event_type": "view"}'
+    df = spark.createDataFrame([(b"3", payload, "t", p, 5) for p in (0, 1, 2)],
+                               "key binary, value binary, topic string, partition int, offset long")
+    ids = [r.event_id for r in topic.decode_events(df).collect()]
+    assert sorted(ids) == [5, (1 << 48) + 5, (2 << 48) + 5]
