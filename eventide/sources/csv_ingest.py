@@ -102,10 +102,12 @@ def parse_user_lines(lines: DataFrame, as_of: str) -> DataFrame:
 
 
 def ingest_users(lines: DataFrame, target: DataFrame, as_of: str) -> DataFrame:
-    """S3 with the empty-target guard: rows to append, none if the target has data."""
-    if target.limit(1).count() > 0:
-        return parse_user_lines(lines, as_of).limit(0)
-    return parse_user_lines(lines, as_of)
+    """S3 with the empty-target guard: rows to append, none if the target has data.
+
+    The guard is a lazy scalar subquery that reads at most one row of the target.
+    """
+    target_rows = target.limit(1).select(F.count(F.lit(1))).scalar()
+    return parse_user_lines(lines, as_of).filter(target_rows == 0)
 
 
 def users_profile(users: DataFrame) -> DataFrame:

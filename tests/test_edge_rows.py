@@ -236,3 +236,11 @@ def test_decoded_event_ids_are_unique_across_topic_partitions(spark):
                                "key binary, value binary, topic string, partition int, offset long")
     ids = [r.event_id for r in topic.decode_events(df).collect()]
     assert sorted(ids) == [5, (1 << 48) + 5, (2 << 48) + 5]
+
+
+def test_users_are_loaded_only_into_an_empty_target(spark):
+    lines = _lines(spark, [csv_ingest.USER_HEADER, "1,2023-02-01,Harbor,Mobile", "2,2023-02-02,Lake,Desktop"])
+    empty = spark.createDataFrame([], "user_id int")
+    full = spark.createDataFrame([(9,)], "user_id int")
+    assert csv_ingest.ingest_users(lines, empty, AS_OF).count() == 2
+    assert csv_ingest.ingest_users(lines, full, AS_OF).count() == 0
