@@ -75,7 +75,8 @@ def decode_events(topic_df: DataFrame) -> DataFrame:
     partition 0).  The text time is parsed without raising.
     """
     data = F.from_json(F.col("value").cast("string"), RAW_EVENT_JSON)
-    position = F.shiftleft(F.col("partition").cast("long"), OFFSET_BITS).bitwiseOR(F.col("offset"))
+    part = F.col("partition") if "partition" in topic_df.columns else F.lit(0)  # one-partition source
+    position = F.shiftleft(part.cast("long"), OFFSET_BITS).bitwiseOR(F.col("offset"))
     return (topic_df.select(position.alias("event_id"), data.alias("data"))
             .select("event_id", "data.*")
             .withColumn("event_time",
