@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-_PROVEN: dict[tuple[int, int], bool] = {}
+_PROVEN: dict[tuple[int, int, int], bool] = {}
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -19,10 +19,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
 
     ``limit(max_rows + 1).count()`` stops scanning once the bound is passed,
     so the check costs at most ``max_rows`` rows however large ``df`` is.  The
-    verdict is remembered per (semantic plan, bound) for the session, so
-    building many plans over the same dimension runs the check once.
+    verdict is remembered per (semantic plan, files it reads, bound), so
+    building many plans over the same dimension runs the check once, and a
+    dimension that gained files is checked again.
     """
-    key = (df.semanticHash(), max_rows)
+    key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
     if key not in _PROVEN:
         _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
     return F.broadcast(df) if _PROVEN[key] else df

@@ -171,3 +171,17 @@ def test_cluster_settings_scale_with_input_and_stay_bounded():
     assert int(cluster_settings(20 << 40, 4000)["spark.sql.shuffle.partitions"]) == 20 * 1024
     assert big["spark.sql.adaptive.enabled"] == "true"
     assert int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
+
+
+def test_broadcast_proof_is_redone_when_the_dimension_gains_files(spark):
+    from eventide.operators import enrich
+    from eventide.session import scratch_path
+    path = scratch_path(spark, "dim")
+    spark.range(0, 5).write.parquet(path)
+    small = spark.read.parquet(path)
+    enrich.broadcast_if_small(small, 10)
+    assert enrich._PROVEN[(small.semanticHash(), hash(tuple(sorted(small.inputFiles()))), 10)] is True
+    spark.range(5, 50).write.mode("append").parquet(path)
+    grown = spark.read.parquet(path)
+    enrich.broadcast_if_small(grown, 10)
+    assert enrich._PROVEN[(grown.semanticHash(), hash(tuple(sorted(grown.inputFiles()))), 10)] is False
