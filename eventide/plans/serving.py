@@ -21,10 +21,12 @@ from eventide.sources.tables import Tables
 
 def materialize(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:
     root = root or scratch_path(t.spark, "serving")
-    store = etl.stored_events(t, as_of).checkpoint(eager=True)
     paths = {"store": f"{root}/processed_events_storage", "sessions": f"{root}/session_metrics",
              "denorm": f"{root}/purchase_events_denormalized"}
-    write_partitioned(store, paths["store"], "event_date", (), ("event_date", "event_id"), ("session_id",))
+    write_partitioned(etl.stored_events(t, as_of), paths["store"], "event_date", (),
+                      ("event_date", "event_id"), ("session_id",))
+    # the written table is the input of the other two: no separate checkpoint of the store
+    store = t.spark.read.parquet(paths["store"]).drop("month")
     write_partitioned(metrics.session_metrics(store), paths["sessions"], "first_event_time", (),
                       ("session_id",), ("session_id",))
     purchases = store.filter("event_type = 'purchase'")

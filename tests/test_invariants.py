@@ -185,3 +185,14 @@ def test_broadcast_proof_is_redone_when_the_dimension_gains_files(spark):
     grown = spark.read.parquet(path)
     enrich.broadcast_if_small(grown, 10)
     assert enrich._PROVEN[(grown.semanticHash(), hash(tuple(sorted(grown.inputFiles()))), 10)] is False
+
+
+def test_serving_tables_answer_like_the_end_to_end_queries(spark, sf_dir):
+    from eventide.plans import serving
+    from eventide.plans.registry import raw_queries
+    tb = serving.open_tables(spark, serving.materialize(Tables(spark, sf_dir)))
+    for s_name in serving.SERVING:
+        got = serving.SERVING[s_name](tb)
+        want = raw_queries()[s_name.removeprefix("serve_")](spark, sf_dir)
+        cols = sorted(want.columns)
+        assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect())), s_name
