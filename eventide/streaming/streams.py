@@ -98,10 +98,16 @@ def stream_daily_metrics(spark: SparkSession, events_stream: DataFrame, name: st
         batch = batch.persist()
         # one folder per epoch, overwritten on replay: a retried batch never doubles events
         batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/epoch={epoch}")
+        bounds = batch.agg(F.min("event_date").alias("d0"), F.max("event_date").alias("d1")).first()
+        if bounds.d0 is None:
+            batch.unpersist()
+            return
+        # distinct days of one micro-batch: bounded by the days it spans
         touched = batch.select("event_date").distinct()
         all_events = spark.read.option("basePath", store).parquet(store).drop("epoch")
-        # semi join on the partition column: dynamic partition pruning reads only touched days
-        recent = all_events.join(F.broadcast(touched), "event_date", "left_semi")
+        # the day range prunes partitions statically; the semi join keeps exactly the touched days
+        recent = (all_events.filter(F.col("event_date").between(F.lit(bounds.d0), F.lit(bounds.d1)))
+                  .join(F.broadcast(touched), "event_date", "left_semi"))
         (metrics.daily_event_metrics(recent).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("metric_date").parquet(out))
         batch.unpersist()
