@@ -186,7 +186,9 @@ def product_inner_join(events: DataFrame, product: DataFrame, payments: DataFram
     """
     e = events.filter((F.col("event_type") == "purchase")
                       & (F.col("event_date") >= F.lit(since).cast("date"))).alias("e")
-    o = latest_version(product, ["order_id", "user_id"]).withColumn(
+    # only what the query reads goes into the whole-row maximum of the dedup
+    needed = product.select("order_id", "user_id", "order_date", "policy_number", "version", "updated_at")
+    o = latest_version(needed, ["order_id", "user_id"]).withColumn(
         "insurance_type", F.lit(insurance_type)).alias("o")
     f = payments.alias("f")
     j = (e.join(o, (F.col("e.user_id") == F.col("o.user_id"))
