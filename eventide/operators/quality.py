@@ -435,6 +435,9 @@ def format_violations(lines_parsed: DataFrame) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+POLICY_DATES = ["policy_start_date", "policy_end_date"]  # the order columns D24 reads
+
+
 def temporal_violations(events: DataFrame, orders: DataFrame) -> DataFrame:
     """Events before the user's signup; policies ending before they start."""
     e = _one_row(events).select(

@@ -81,8 +81,9 @@ class Logs:
                                      "range_violations", "critical"),
             quality.violations_check(quality.format_violations(self.parsed_lines), a, "validity",
                                      "format_violations", "high"),
-            quality.violations_check(quality.temporal_violations(self.store, orders_flow.unified(self.t)), a,
-                                     "validity", "temporal_violations", "high"),
+            quality.violations_check(
+                quality.temporal_violations(self.store, orders_flow.unified(self.t, columns=quality.POLICY_DATES)),
+                a, "validity", "temporal_violations", "high"),
             quality.violations_check(quality.field_consistency(self.store, purchases, premiums), a, "consistency",
                                      "field_consistency", "high"),
         ]

@@ -544,7 +544,7 @@ def q_format_violations(t):
 
 @register("temporal_violations")
 def q_temporal_violations(t):
-    return quality.temporal_violations(_store(t), orders_flow.unified(t))
+    return quality.temporal_violations(_store(t), orders_flow.unified(t, columns=quality.POLICY_DATES))
 
 
 @register("field_consistency")
