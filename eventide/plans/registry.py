@@ -112,7 +112,8 @@ def q_latest_version(t):
 
 @register("purchase_order_join")
 def q_purchase_order_join(t):
-    j = orders.purchase_order_join(etl.purchases(t, AS_OF), orders_flow.unified(t))
+    o = orders_flow.unified(t, columns=["order_date", "policy_number", "premium_amount"])
+    j = orders.purchase_order_join(etl.purchases(t, AS_OF), o)
     return j.select("e.event_id", "e.user_id", "e.event_date", "e.premium_amount", "o.order_id",
                     "o.insurance_type", "o.policy_number", F.col("o.premium_amount").alias("order_premium_amount"))
 
@@ -129,8 +130,8 @@ def q_dedup_denormalized(t):
 
 @register("purchase_denormalized_by_order_id")
 def q_by_order_id(t):
-    return orders.purchase_denormalized_by_order_id(etl.purchases(t, AS_OF), orders_flow.unified(t),
-                                                    orders_flow.payments(t))
+    o = orders_flow.unified(t, columns=["policy_number", "coverage_amount"])
+    return orders.purchase_denormalized_by_order_id(etl.purchases(t, AS_OF), o, orders_flow.payments(t))
 
 
 @register("product_inner_join")
@@ -549,7 +550,8 @@ def q_temporal_violations(t):
 
 @register("field_consistency")
 def q_field_consistency(t):
-    return quality.field_consistency(_store(t), etl.purchases(t, AS_OF), orders_flow.unified(t))
+    premiums = orders_flow.unified(t, columns=["order_date", "premium_amount"])
+    return quality.field_consistency(_store(t), etl.purchases(t, AS_OF), premiums)
 
 
 @register("volume_anomalies")
@@ -653,7 +655,8 @@ def q_stream_session_metrics(t):
 def q_stream_purchase_orders(t):
     """T6, matched rows: unmatched purchases surface only after the watermark passes."""
     p = _stream_of(t, etl.purchases(t, AS_OF), "purchases", "event_time", to_ltz="event_time")
-    u = orders_flow.unified(t).withColumn("order_ts", streams.ntz_to_instant(F.col("order_date")))
+    u = (orders_flow.unified(t, columns=["order_date", "policy_number", "premium_amount"])
+         .withColumn("order_ts", streams.ntz_to_instant(F.col("order_date"))))
     o = _stream_of(t, u, "orders", "order_ts")
     out = streams.drain_append(t.spark, streams.stream_purchase_orders(p, o), "purchase-orders")
     return out.filter(F.col("order_id").isNotNull())
