@@ -252,11 +252,13 @@ def payload_drift(payloads: DataFrame, table: str = EVENTS_TABLE,
     kv = (payloads.select(F.explode(F.from_json(F.col("value").cast("string"), "map<string,string>"))
                           .alias("column_name", "v")))
     total = payloads.select(F.count(F.lit(1))).scalar()
-    per_key = kv.groupBy("column_name").agg(F.count_if(F.col("v").isNotNull()).alias("present"))
-    per_key_typed = (kv.join(F.broadcast(c), "column_name")
-                     .groupBy("column_name")
-                     .agg(F.count_if(_mistyped(F.col("v"), F.col("expected_type"))).alias("mistyped")))
-    full = per_key.join(F.broadcast(c), "column_name", "full").join(per_key_typed, "column_name", "left")
+    # one aggregation over the exploded pairs counts presence and type errors
+    # (a field outside the contract has no expected type and is never mistyped)
+    per_key = (kv.join(F.broadcast(c), "column_name", "left")
+               .groupBy("column_name")
+               .agg(F.count_if(F.col("v").isNotNull()).alias("present"),
+                    F.count_if(_mistyped(F.col("v"), F.col("expected_type"))).alias("mistyped")))
+    full = per_key.join(F.broadcast(c), "column_name", "full")
     added = full.filter(F.col("expected_type").isNull()).select(
         "column_name", F.lit("column_added").alias("change_type"), F.col("present").alias("rows_affected"))
     missing = full.filter(F.col("expected_type").isNotNull()).select(

@@ -244,3 +244,15 @@ def test_users_are_loaded_only_into_an_empty_target(spark):
     full = spark.createDataFrame([(9,)], "user_id int")
     assert csv_ingest.ingest_users(lines, empty, AS_OF).count() == 2
     assert csv_ingest.ingest_users(lines, full, AS_OF).count() == 0
+
+
+def test_payload_drift_counts_added_missing_and_mistyped_fields(spark):
+    contract = [("event_id", "bigint"), ("event_time", "timestamp"), ("user_id", "int")]
+    recs = [b'{"event_id": 1, "event_time": "2024-01-05 10:00:00", "user_id": 3}',
+            b'{"event_id": "x", "event_time": "2024-01-05 10:00:01", "user_id": 3, "extra": 1}',
+            b'{"event_id": 3, "event_time": "soon"}']
+    payloads = spark.createDataFrame([(r,) for r in recs], "value binary")
+    got = {(r.column_name, r.change_type): r.rows_affected
+           for r in quality.payload_drift(payloads, contract=contract).collect()}
+    assert got == {("extra", "column_added"): 1, ("user_id", "column_removed"): 1,
+                   ("event_id", "type_change"): 1, ("event_time", "type_change"): 1}
