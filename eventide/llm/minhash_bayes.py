@@ -36,7 +36,7 @@ from eventide.llm.components import components, written
 BAND_ROWS = 4
 MISS = 1e-5             # chance that a pair at the threshold shares no band; bound of the Bayesian pruning
 BATCH = 16              # signature values compared between two posterior checks
-BLOCK = 2048            # members of a bucket compared in one step
+BLOCK = 512             # members of a bucket compared in one step
 SMALL_IDS = 2_000_000   # ids whose table may be broadcast (16 MB); beyond it the join shuffles
 
 
@@ -114,6 +114,17 @@ def _signed(docs: DataFrame, k: int, n_hashes: int) -> DataFrame:
         run, "doc_id long, n_shingles long, c1 long, c2 long, sig binary")
 
 
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each band of each signature."""
+    bands = sig.shape[1] // BAND_ROWS
+    rows = sig.reshape(len(sig), bands, BAND_ROWS).astype(np.uint64)
+    seed = T.multipliers(bands + BAND_ROWS)
+    key = np.zeros((len(sig), bands), np.uint64)
+    for j in range(BAND_ROWS):
+        key = T.mix(key + rows[:, :, j] * seed[bands + j] + seed[:bands])
+    return key.view(np.int64)
+
+
 def _banded(nodes: DataFrame, bands: int) -> DataFrame:
     def run(batches):
         for b in batches:
@@ -121,12 +132,8 @@ def _banded(nodes: DataFrame, bands: int) -> DataFrame:
                 continue
             node = b.column(0).to_numpy(zero_copy_only=False)
             buf, _ = T.as_bytes(b.column(1))
-            sig = buf.view(np.uint32).reshape(len(node), bands, BAND_ROWS).astype(np.uint64)
-            seed = T.multipliers(bands + BAND_ROWS)
-            key = np.zeros((len(node), bands), np.uint64)
-            for j in range(BAND_ROWS):
-                key = T.mix(key + sig[:, :, j] * seed[bands + j] + seed[:bands])
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(node, bands))],
+            key = band_keys(buf.view(np.uint32).reshape(len(node), -1))
+            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(node, bands))],
                                              names=["key", "node"])
     return nodes.select("node", "sig").mapInArrow(run, "key long, node long")
 
@@ -150,25 +157,31 @@ def _likely(pairs: DataFrame, nodes: DataFrame, checks) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs whose full shingle sets reach the similarity.  pairs: written."""
+def _sets(docs: DataFrame, ids: DataFrame, k: int, width: type = np.uint64) -> DataFrame:
+    """(doc_id, shingles) of the documents in ids: sorted distinct hashes, the top bits of each as ``width``."""
     spark = docs.sparkSession
-    ids = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    ids = written(spark, ids, "near-ids")
+    ids = written(spark, ids.distinct(), "near-ids")
     ids = F.broadcast(ids) if ids.count() <= SMALL_IDS else ids     # checked size; shuffled beyond it
+    drop = np.uint64(64 - 8 * np.dtype(width).itemsize)
 
     def sets(batches):
+        size = np.dtype(width).itemsize
         for s in T.slices(batches):
             buf, offs = T.as_bytes(s.column(1))
             h, bound = shingle_sets(buf, offs, k)
-            data = h.tobytes()
+            data = (h >> drop).astype(width).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [s.column(0), pa.array([data[8 * a: 8 * b] for a, b in zip(bound[:-1], bound[1:])], pa.binary())],
+                [s.column(0), pa.array([data[size * a: size * b] for a, b in zip(bound[:-1], bound[1:])], pa.binary())],
                 names=["doc_id", "shingles"])
 
     full = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
             .mapInArrow(sets, "doc_id long, shingles binary"))
-    full = written(spark, full, "near-sets")
+    return written(spark, full, "near-sets")
+
+
+def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs whose full shingle sets reach the similarity.  pairs: written."""
+    full = _sets(docs, pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))), k)
     both = (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa")), "a")
             .join(full.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb"))
 
@@ -190,44 +203,74 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataF
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def _second_pairs(buckets: DataFrame, comps: DataFrame, nodes: DataFrame, checks) -> DataFrame:
-    """Unpruned pairs of different components inside a bucket that the first pass did not compare."""
+def _second_pairs(docs: DataFrame, buckets: DataFrame, comps: DataFrame, nodes: DataFrame, checks, k: int,
+                  percent: int) -> DataFrame:
+    """Pairs of different components inside a bucket that the first pass did not compare and no test prunes.
+
+    A block's members meet the bucket's pivots in one task: a pair is tested in the first
+    band it shares only, by its signatures and then by 32-bit shingle sets (with one
+    percent of slack for chance matches), so that few pairs ever leave the task.
+    """
     at = buckets.join(comps, "node", "left").select("key", "node", "hub", F.coalesce("component", "node").alias("comp"))
     hub = comps.select(F.col("node").alias("hub"), F.col("component").alias("hub_comp"))
     at = at.join(hub, "hub", "left").withColumn("hub_comp", F.coalesce("hub_comp", "hub"))
     rest = F.col("comp") != F.col("hub_comp")
     active = (at.groupBy("key").agg(F.count("*").alias("n"), F.count(F.when(rest, 1)).alias("m")).filter("m > 0")
               .select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"), F.ceil(F.col("m") / BLOCK).alias("parts")))
-    rows = (at.join(active, "key").join(nodes.select("node", "sig"), "node")
-            .select("key", "node", "comp", "sig", "blocks", "parts", rest.alias("pivot")))
+    rows = written(docs.sparkSession, at.join(active, "key").select(
+        "key", "node", "comp", "blocks", "parts", rest.alias("pivot")), "near-active")
+    sets = _sets(docs, rows.select(F.col("node").alias("doc_id")), k, np.uint32)
+    rows = rows.join(nodes.select("node", "sig"), "node").join(sets.withColumnRenamed("doc_id", "node"), "node")
     spot = F.xxhash64("node")
     members = rows.withColumn("blk", F.pmod(spot, F.col("blocks"))).withColumn(
         "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).withColumn("pivot", F.lit(False))
     pivots = rows.filter("pivot").withColumn("part", F.pmod(spot, F.col("parts"))).withColumn(
         "blk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cols = ["key", "blk", "part", "pivot", "node", "comp", "sig"]
+    cols = ["key", "blk", "part", "pivot", "node", "comp", "sig", "shingles"]
     both = members.select(cols).unionByName(pivots.select(cols))
-    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     both = both.repartition(n, "key", "blk", "part").sortWithinPartitions("key", "blk", "part", "pivot")
     width = checks[-1][1]
 
-    def pairs(group):
-        node, comp, pivot, sig = group
-        m = ~pivot
-        mn, mc, ms = node[m], comp[m], sig[m]
+    def pairs(key, group):
+        node, comp, pivot, sig, sizes, data = (np.concatenate(c) for c in zip(*group))
+        ends = np.cumsum(sizes)
+        m = np.flatnonzero(~pivot)
+        bands = sig.reshape(len(sig), -1, BAND_ROWS)
+        keys = band_keys(sig)
         a, b = [], []
-        for pn, pc, ps in zip(node[pivot], comp[pivot], sig[pivot]):
-            live = np.flatnonzero(mc != pc)
-            found = np.zeros(len(mn), np.int64)
+        for p in np.flatnonzero(pivot):
+            live = m[comp[m] != comp[p]]
+            found = np.zeros(len(node), np.int64)
             for lo, hi, least in checks:
-                found[live] += (ms[live, lo:hi] == ps[lo:hi]).sum(axis=1)
+                found[live] += (sig[live, lo:hi] == sig[p, lo:hi]).sum(axis=1)
                 live = live[found[live] >= least]
-            a.append(np.minimum(mn[live], pn))
-            b.append(np.maximum(mn[live], pn))
+            live = live[100 * np.minimum(sizes[live], sizes[p]) >= percent * np.maximum(sizes[live], sizes[p])]
+            if len(live) == 0:
+                continue
+            shared = (bands[live] == bands[p]).all(axis=2).argmax(axis=1)
+            live = live[keys[p, shared] == key]
+            if len(live) == 0:
+                continue
+            own = data[ends[p] - sizes[p]: ends[p]]
+            size = sizes[live]
+            first = np.cumsum(size) - size
+            other = data[np.arange(int(size.sum())) + np.repeat(ends[live] - size - first, size)]
+            same = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+            common = np.add.reduceat(same.astype(np.int64), first)
+            live = live[100 * common >= (percent - 1) * (size + sizes[p] - common)]
+            a.append(np.minimum(node[live], node[p]))
+            b.append(np.maximum(node[live], node[p]))
         return a, b
 
     def run(batches):
         held, held_key = [], None
+
+        def flush():
+            a, b = pairs(held_key[0], held) if held else ([], [])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
         for r in batches:
             if r.num_rows == 0:
                 continue
@@ -235,23 +278,17 @@ def _second_pairs(buckets: DataFrame, comps: DataFrame, nodes: DataFrame, checks
             pivot = r.column(3).to_numpy(zero_copy_only=False).astype(bool)
             node, comp = (r.column(i).to_numpy(zero_copy_only=False) for i in (4, 5))
             sig = T.as_bytes(r.column(6))[0].view(np.uint32).reshape(-1, width)
+            data, offs = T.as_bytes(r.column(7))
+            data, offs = data.view(np.uint32), offs // 4
             cut = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-            a, b = [], []
             for lo, hi in zip([0, *cut], [*cut, len(key)]):
-                here = tuple(key[lo])
-                if here != held_key and held:
-                    x, y = pairs([np.concatenate(c) for c in zip(*held)])
-                    a += x
-                    b += y
-                    held = []
-                held_key = here
-                held.append((node[lo:hi], comp[lo:hi], pivot[lo:hi], sig[lo:hi]))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-        if held:
-            a, b = pairs([np.concatenate(c) for c in zip(*held)])
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                here = tuple(key[lo].tolist())
+                if here != held_key:
+                    yield from flush()
+                    held, held_key = [], here
+                held.append((node[lo:hi], comp[lo:hi], pivot[lo:hi], sig[lo:hi], np.diff(offs[lo: hi + 1]),
+                             data[offs[lo]: offs[hi]].copy()))
+        yield from flush()
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -273,7 +310,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     first = written(spark, _likely(stars, nodes, checks), "near-first")
     links = written(spark, _confirmed(docs, first, k, percent), "near-links")
     comps = components(spark, links)
-    more = written(spark, _second_pairs(buckets, comps, nodes, checks).join(first, ["a", "b"], "left_anti"), "near-second")
+    more = written(spark, _second_pairs(docs, buckets, comps, nodes, checks, k, percent), "near-second")
     if not more.isEmpty():
         found = written(spark, _confirmed(docs, more, k, percent), "near-links")
         if not found.isEmpty():
