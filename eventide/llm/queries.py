@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import (curriculum, decontaminate, minhash_bayes, quality_cascade, sharding, token_store)
+from eventide.llm import (curriculum, decontaminate, disclosure, minhash_bayes, perspectives, quality_cascade, sharding,
+                          token_store)
 from eventide.session import scratch_path
 
 
@@ -35,16 +36,38 @@ def op5_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.range_sorted(out, "position", "doc_id")
 
 
+def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cascade.judge(_table(spark, sf_dir, "documents"), counts=True).drop("rejected_by")
 
 
+def _joined(kinds: tuple[str, ...]):
+    part = F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(part, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op9_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.sanitise(_table(spark, sf_dir, "documents"), texts=False)
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, (*disclosure.KINDS, "term")),
+                        F.sha2(_joined(disclosure.KINDS), 256).alias("base_sha256"),
+                        _joined((*disclosure.KINDS, "term")).alias("spans"))
+
+
 def op10_bayes_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_bayes.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
 QUERIES = {f.__name__: f for f in (op2_token_store, op3_byte_shards, op4_spaced_seed_decontamination,
-                                   op5_curriculum_mix, op8_rule_cascade, op10_bayes_near_dedup)}
+                                   op5_curriculum_mix, op7_perspective_rotation, op8_rule_cascade, op9_disclosure_pii,
+                                   op10_bayes_near_dedup)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
