@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import (curriculum, decontaminate, disclosure, minhash_bayes, perspectives, quality_cascade, sharding,
+from eventide.llm import (curriculum, decontaminate, disclosure, minhash_bayes, ngram_lm, perspectives, quality_cascade, sharding,
                           token_store)
 from eventide.session import scratch_path
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 7 == 2
+    return ngram_lm.perplexity(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     token_store.write(_table(spark, sf_dir, "documents"), path)
@@ -65,7 +70,7 @@ def op10_bayes_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_bayes.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_store, op3_byte_shards, op4_spaced_seed_decontamination,
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_token_store, op3_byte_shards, op4_spaced_seed_decontamination,
                                    op5_curriculum_mix, op7_perspective_rotation, op8_rule_cascade, op9_disclosure_pii,
                                    op10_bayes_near_dedup)}
 
