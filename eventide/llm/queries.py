@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.llm import (curriculum, decontaminate, disclosure, minhash_bayes, ngram_lm, perspectives, quality_cascade, sharding,
-                          token_store)
+                          suffix_dedup, token_store)
 from eventide.session import scratch_path
 
 
@@ -41,6 +41,10 @@ def op5_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum.range_sorted(out, "position", "doc_id")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.rotate(_table(spark, sf_dir, "conversations"))
 
@@ -71,7 +75,7 @@ def op10_bayes_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_token_store, op3_byte_shards, op4_spaced_seed_decontamination,
-                                   op5_curriculum_mix, op7_perspective_rotation, op8_rule_cascade, op9_disclosure_pii,
+                                   op5_curriculum_mix, op6_suffix_dedup, op7_perspective_rotation, op8_rule_cascade, op9_disclosure_pii,
                                    op10_bayes_near_dedup)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
