@@ -4,15 +4,16 @@ Each block is coded on its own from a reset model, so blocks can be coded and
 decoded in any order and side by side.  For every id three predictions are at
 hand: the id that last followed the two ids before it (order 2), the id that
 last followed the id before it (order 1), each with a confidence, and adaptive
-frequencies of ids (order 0).  Adaptive counts, kept per joint confidence,
-mix them into the probability that order 2 is right, that order 1 is right, or
-that order 0 must name the id; that choice is range-coded, and after the last
-the id's high and low byte by their order-0 frequencies.
+frequencies of the ids seen in the block (order 0).  Adaptive counts, kept per
+joint confidence, mix them into the probabilities that order 2 is right, that
+order 1 is right, that order 0 must name a seen id, or that the id is new; that
+choice is range-coded.  A seen id follows as its number of first appearance,
+upper and lower part, by their order-0 frequencies; a new id follows plainly.
 
 All arithmetic is on integers, so any machine decodes what any other wrote.
-Payload: the 32-bit words of the coder, then nothing; a block's checksum is the
-CRC-32 of its ids as little-endian 32-bit integers and is verified on decoding.
-Ids are below 65,536.
+Payload: the 32-bit words of the coder.  A block's checksum is the CRC-32 of
+its ids as little-endian 32-bit integers and is verified on decoding.  Ids are
+below 65,536 and blocks hold at most 8,192 of them.
 """
 
 from __future__ import annotations
@@ -22,174 +23,176 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 8192
-LANES = 512
-SLOTS_BITS = 12
+LANES = 1024
+SLOT_BITS = 11
+UPPER, LOWER = 128, 64      # parts of an id's number in its block
+REFRESH = 512               # steps between refreshes of the order-0 frequencies
 LEVELS = 6                  # confidence levels: 0, 1, 2, 3-4, 5-8, more
 _LEVEL = np.array([0, 1, 2, 3, 3, 4, 4, 4, 4] + [5] * 247, np.int64)
+_CONTEXTS = 2 * LEVELS * LEVELS
 _U = np.uint64
 _WORD = _U(1 << 32)
 _LOW = _U((1 << 32) - 1)
 _LIMIT = 1 << 14            # total of adaptive counts at which they are halved
+_NEW = _U(1 << 16)
 
 
 class _Model:
     """State of the model of all lanes; every lane is one block."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.o1 = np.zeros((lanes, 1 << SLOTS_BITS), np.uint32)      # id << 8 | confidence
-        self.o2 = np.zeros((lanes, 1 << SLOTS_BITS), np.uint32)
+        lane = np.arange(lanes)
+        self.slot0 = lane << SLOT_BITS
+        self.choice0 = lane * _CONTEXTS
+        self.o1 = np.zeros(lanes << SLOT_BITS, np.int64)      # id << 8 | confidence
+        self.o2 = np.zeros(lanes << SLOT_BITS, np.int64)
         self.p1 = np.zeros(lanes, np.int64)
         self.p2 = np.zeros(lanes, np.int64)
-        self.choice = np.empty((lanes, 2 * LEVELS * LEVELS, 3), np.int64)
-        self.choice[:] = (2, 2, 4)
-        self.high = np.ones((lanes, 256), np.int64)
-        self.low = np.zeros((lanes, 65536), np.uint16)
-        self.high_cum = self._cum(self.high)
-        self.low_cum = None
+        self.choice = np.empty((lanes * _CONTEXTS, 4), np.int64)
+        self.choice[:] = (8, 8, 8, 8)
+        self.upper = np.ones((lanes, UPPER), np.int64)
+        self.lower = np.ones((lanes, UPPER * LOWER), np.uint16)
         self.step = 0
-        self.next_low = 64
-
-    @staticmethod
-    def _cum(counts):
-        out = np.zeros((len(counts), 257), np.int64)
-        np.cumsum(counts, axis=1, out=out[:, 1:])
-        return out
-
-    def refresh(self):
-        """Order-0 frequencies follow the ids at every 256th step (high byte) and at doubling steps (low byte)."""
-        if self.step % 256 == 0:
-            self.high_cum = self._cum(self.high)
-        if self.step == self.next_low:
-            self.next_low *= 2
-            n = len(self.low)
-            if self.low_cum is None:
-                self.low_cum = np.zeros((n, 256, 257), np.uint32)
-            for lo in range(0, n, 32):      # in strips, to bound the temporary
-                part = self.low[lo: lo + 32].reshape(-1, 256, 256)
-                np.cumsum(part, axis=2, dtype=np.uint32, out=self.low_cum[lo: lo + 32, :, 1:])
+        self._refresh()
+
+    def _refresh(self):
+        n = len(self.upper)
+        self.upper_cum = np.zeros((n, UPPER + 1), np.uint32)
+        np.cumsum(self.upper, axis=1, dtype=np.uint32, out=self.upper_cum[:, 1:])
+        self.lower_cum = np.zeros((n, UPPER, LOWER + 1), np.uint32)
+        np.cumsum(self.lower.reshape(n, UPPER, LOWER), axis=2, dtype=np.uint32, out=self.lower_cum[:, :, 1:])
 
     def predict(self, k: int):
-        lane = self.lane[:k]
-        self.s1 = (self.p1[:k] * 0x9E3B + 7 & 0xFFFF) >> (16 - SLOTS_BITS)
-        self.s2 = ((self.p2[:k] * 0x6A0D + self.p1[:k] * 0x9E35) * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - SLOTS_BITS)
-        e1, e2 = self.o1[lane, self.s1].astype(np.int64), self.o2[lane, self.s2].astype(np.int64)
+        """Candidates of orders 2 and 1 and the adaptive counts of the four choices."""
+        p1 = self.p1[:k]
+        self.s1 = self.slot0[:k] + ((p1 * 0x9E3B & 0xFFFF) >> (16 - SLOT_BITS))
+        self.s2 = self.slot0[:k] + (((self.p2[:k] * 0x6A0D + p1 * 0x9E35) * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - SLOT_BITS))
+        e1, e2 = self.o1.take(self.s1), self.o2.take(self.s2)
         self.c1, self.c2, self.n1, self.n2 = e1 >> 8, e2 >> 8, e1 & 255, e2 & 255
-        self.ctx = (_LEVEL[self.n2] * LEVELS + _LEVEL[self.n1]) * 2 + (self.c1 == self.c2)
-        return self.choice[lane, self.ctx]
-
-    def update(self, k: int, ids: np.ndarray, pick: np.ndarray, escaped: np.ndarray):
-        lane = self.lane[:k]
-        counts = self.choice[lane, self.ctx]
-        counts[lane, pick] += 24
-        over = counts.sum(axis=1) > _LIMIT
-        if over.any():
-            counts[over] = (counts[over] >> 1) | 1
-        self.choice[lane, self.ctx] = counts
+        ctx = (_LEVEL.take(self.n2) * LEVELS + _LEVEL.take(self.n1)) * 2
+        ctx += self.c1 == self.c2
+        self.row = self.choice0[:k] + ctx
+        counts = self.choice.take(self.row, axis=0)
+        cum = np.zeros((k, 5), np.int64)
+        for j in range(4):
+            np.add(cum[:, j], counts[:, j], out=cum[:, j + 1])
+        return cum
+
+    def update(self, k: int, ids, pick, total, escaped, number):
+        flat = self.choice.reshape(-1)
+        at = (self.row << 2) + pick
+        flat[at] += 24
+        if total.max() > _LIMIT:
+            over = self.row[total > _LIMIT]
+            self.choice[over] = (self.choice[over] >> 1) | 1
         for table, slot, cand, conf in ((self.o1, self.s1, self.c1, self.n1), (self.o2, self.s2, self.c2, self.n2)):
-            right = cand == ids
-            conf = np.where(right, np.minimum(conf + 1, 255), conf >> 1)
-            cand = np.where(conf == 0, ids, cand)
-            table[lane, slot] = (cand << 8 | np.maximum(conf, 1)).astype(np.uint32)
-        e = ids[escaped]
-        self.high[escaped, e >> 8] += 16
-        self.low[escaped, e] += 1
+            conf = np.where(cand == ids, np.minimum(conf + 1, 255), conf >> 1)
+            table[slot] = np.where(conf > 0, cand << 8 | conf, ids << 8 | 1)
+        if len(escaped):
+            self.upper[escaped, number >> 6] += 24
+            self.lower[escaped, number] += 16
         self.p2[:k] = self.p1[:k]
         self.p1[:k] = ids
         self.step += 1
+        if self.step % REFRESH == 0 or self.step in (32, 64, 128, 256):
+            self._refresh()
 
-    def low_bounds(self, lanes, high, low):
-        """Cumulative frequency below a low byte, with one implicit count for each byte."""
-        if self.low_cum is None:
-            return low.astype(np.int64)
-        return self.low_cum[lanes, high, low].astype(np.int64) * 16 + low
 
-    def low_total(self, lanes, high):
-        if self.low_cum is None:
-            return np.full(len(lanes), 256, np.int64)
-        return self.low_cum[lanes, high, 256].astype(np.int64) * 16 + 256
+def _settle(lo, rg, small):
+    """An interval that straddles a word border is cut at the border (so no carry ever reaches written words)."""
+    a = lo[small]
+    straddles = (a ^ (a + rg[small] - _U(1))) >= _WORD
+    if straddles.any():
+        fix = small[straddles]
+        rg[fix] = _WORD - (lo[fix] & _LOW)
 
 
-def _order(sizes: np.ndarray) -> np.ndarray:
-    return np.argsort(-sizes, kind="stable")
+def _groups(sizes: np.ndarray):
+    """Lanes of at most LANES blocks, the longest first."""
+    order = np.argsort(-sizes, kind="stable")
+    for at in range(0, len(order), LANES):
+        yield order[at: at + LANES]
 
 
 def encode(blocks: list[np.ndarray]) -> list[tuple[bytes, int]]:
     """(payload, checksum) of each block of ids."""
-    sizes = np.array([len(b) for b in blocks], np.int64)
     out: list = [None] * len(blocks)
-    order = _order(sizes)
-    for at in range(0, len(order), LANES):
-        group = order[at: at + LANES]
+    for group in _groups(np.array([len(b) for b in blocks], np.int64)):
         for i, words in zip(group, _encode([blocks[i] for i in group])):
             out[i] = (words, zlib.crc32(np.ascontiguousarray(blocks[i], "<u4")))
     return out
 
 
+def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each id's number of first appearance, and whether it appears for the first time."""
+    _, first, back = np.unique(ids, return_index=True, return_inverse=True)
+    rank = np.empty(len(first), np.int64)
+    rank[np.argsort(first)] = np.arange(len(first))
+    new = np.zeros(len(ids), bool)
+    new[first] = True
+    return rank[back], new
+
+
 def _encode(blocks):
     n, longest = len(blocks), len(blocks[0]) if blocks else 0
     sizes = np.array([len(b) for b in blocks], np.int64)
-    ids = np.zeros((longest, n), np.int64)
+    ids, number, new = np.zeros((longest, n), np.uint16), np.zeros((longest, n), np.uint16), np.zeros((longest, n), bool)
     for i, b in enumerate(blocks):
         ids[: len(b), i] = b
+        number[: len(b), i], new[: len(b), i] = _numbered(b)
     m = _Model(n)
     low, size = np.zeros(n, _U), np.full(n, (1 << 64) - 1, _U)
-    words = np.zeros((n, 2 * longest + 4), np.uint32)
-    ptr = np.zeros(n, np.int64)
+    lanes_out, words_out = [], []
 
-    def code(lanes, below, freq, total):
-        lo, step = low[lanes], size[lanes] // total.astype(_U)
-        lo = lo + step * below.astype(_U)
-        rg = step * freq.astype(_U)
+    def narrowed(lo, rg, step_below, step_freq, total, lanes):
+        step = rg // total.astype(_U)
+        lo = lo + step * step_below.astype(_U)
+        rg = step * step_freq.astype(_U)
         small = np.flatnonzero(rg < _WORD)
         if len(small):
             _settle(lo, rg, small)
-            to = lanes[small]
-            words[to, ptr[to]] = (lo[small] >> _U(32)).astype(np.uint32)
-            ptr[to] += 1
+            lanes_out.append(small if lanes is None else lanes[small])
+            words_out.append((lo[small] >> _U(32)).astype(np.uint32))
             lo[small] <<= _U(32)
             rg[small] <<= _U(32)
-        low[lanes], size[lanes] = lo, rg
+        return lo, rg
+
+    def code(lanes, below, freq, total):
+        low[lanes], size[lanes] = narrowed(low[lanes], size[lanes], below, freq, total, lanes)
 
     for t in range(longest):
         k = int(np.searchsorted(-sizes, -t, side="left"))      # lanes longer than t come first
-        lane, x = m.lane[:k], ids[t, :k]
-        counts = m.predict(k)
-        pick = np.where((m.n2 > 0) & (m.c2 == x), 0, np.where((m.n1 > 0) & (m.c1 == x), 1, 2))
-        below = np.where(pick == 0, 0, np.where(pick == 1, counts[:, 0], counts[:, 0] + counts[:, 1]))
-        code(lane, below, counts[lane, pick], counts.sum(axis=1))
-        esc = np.flatnonzero(pick == 2)
+        x, fresh = ids[t, :k].astype(np.int64), new[t, :k]
+        cum = m.predict(k)
+        pick = np.where(fresh, 3, np.where((m.n2 > 0) & (m.c2 == x), 0, np.where((m.n1 > 0) & (m.c1 == x), 1, 2)))
+        flat, at = cum.reshape(-1), np.arange(0, 5 * k, 5) + pick
+        below, total = flat.take(at), cum[:, 4]
+        low[:k], size[:k] = narrowed(low[:k], size[:k], below, flat.take(at + 1) - below, total, None)
+        esc, num = np.flatnonzero(pick == 2), ()
         if len(esc):
-            h, l = x[esc] >> 8, x[esc] & 255
-            a, b = m.high_cum[esc, h], m.high_cum[esc, h + 1]
-            code(esc, a, b - a, m.high_cum[esc, 256])
-            a, b = m.low_bounds(esc, h, l), m.low_bounds(esc, h, l + 1)
-            code(esc, a, b - a, m.low_total(esc, h))
-        m.update(k, x, pick, esc)
-        m.refresh()
-    out = []
-    for i in range(n):
-        words[i, ptr[i]], words[i, ptr[i] + 1] = int(low[i]) >> 32, int(low[i]) & 0xFFFFFFFF
-        out.append(words[i, : ptr[i] + 2].astype("<u4").tobytes())
-    return out
-
-
-def _settle(lo, rg, small):
-    """An interval that straddles a word border is cut at the border (so no carry ever reaches written words)."""
-    a = lo[small]
-    straddles = (a ^ (a + rg[small] - _U(1))) >= _WORD
-    if straddles.any():
-        fix = small[straddles]
-        rg[fix] = _WORD - (lo[fix] & _LOW)
+            num = number[t].take(esc).astype(np.int64)
+            u, l = num >> 6, num & 63
+            a = m.upper_cum[esc, u]
+            code(esc, a, m.upper_cum[esc, u + 1] - a, m.upper_cum[esc, UPPER])
+            a = m.lower_cum[esc, u, l]
+            code(esc, a, m.lower_cum[esc, u, l + 1] - a, m.lower_cum[esc, u, LOWER])
+        first = np.flatnonzero(fresh)
+        if len(first):
+            code(first, x[first], np.ones(len(first), _U), np.full(len(first), _NEW))
+        m.update(k, x, pick, total, esc, num)
+    lanes_out += [np.arange(n), np.arange(n)]
+    words_out += [(low >> _U(32)).astype(np.uint32), (low & _LOW).astype(np.uint32)]
+    lanes, words = np.concatenate(lanes_out), np.concatenate(words_out).astype("<u4")
+    order = np.argsort(lanes.astype(np.uint16), kind="stable")
+    data, ends = words[order].tobytes(), 4 * np.cumsum(np.bincount(lanes, minlength=n))
+    return [data[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
 
 def decode(payloads: list[bytes], sizes: list[int], checksums: list[int]) -> list[np.ndarray]:
     """The ids of each block; raises on a checksum that does not hold."""
     sizes = np.asarray(sizes, np.int64)
     out: list = [None] * len(payloads)
-    order = _order(sizes)
-    for at in range(0, len(order), LANES):
-        group = order[at: at + LANES]
+    for group in _groups(sizes):
         for i, ids in zip(group, _decode([payloads[i] for i in group], sizes[group])):
             if zlib.crc32(ids.astype("<u4")) != checksums[i]:
                 raise ValueError(f"checksum of block {i} does not hold")
@@ -199,61 +202,73 @@ def decode(payloads: list[bytes], sizes: list[int], checksums: list[int]) -> lis
 
 def _decode(payloads, sizes):
     n, longest = len(payloads), int(sizes[0]) if len(sizes) else 0
-    width = max((len(p) for p in payloads), default=0) // 4 + 4
-    words = np.zeros((n, width), np.uint32)
-    for i, p in enumerate(payloads):
-        words[i, : len(p) // 4] = np.frombuffer(p, "<u4")
+    words = np.frombuffer(b"".join(payloads) + bytes(8), "<u4")
+    length = np.array([len(p) // 4 for p in payloads], np.int64)
+    ptr = np.cumsum(length) - length
+    value = words[np.minimum(ptr, len(words) - 1)].astype(_U) << _U(32) | words[np.minimum(ptr + 1, len(words) - 1)].astype(_U)
+    ptr += 2
     m = _Model(n)
-    out = np.zeros((longest, n), np.uint32)
+    out = np.zeros((longest, n), np.uint16)
+    seen, n_seen = np.zeros((n, BLOCK_IDS), np.uint16), np.zeros(n, np.int64)
     low, size = np.zeros(n, _U), np.full(n, (1 << 64) - 1, _U)
-    value = words[:, 0].astype(_U) << _U(32) | words[:, 1].astype(_U)
-    ptr = np.full(n, 2, np.int64)
-    low_steps = (128, 64, 32, 16, 8, 4, 2, 1)
-
-    def target(lanes, total):
-        step = size[lanes] // total.astype(_U)
-        return step, np.minimum(((value[lanes] - low[lanes]) // step).astype(np.int64), total - 1)
 
-    def take(lanes, step, below, freq):
-        lo = low[lanes] + step * below.astype(_U)
+    def narrowed(lo, rg, val, step, below, freq, lanes):
+        """Shrinks the interval; ``val`` and the read positions move on where a word is used up."""
+        lo = lo + step * below.astype(_U)
         rg = step * freq.astype(_U)
         small = np.flatnonzero(rg < _WORD)
         if len(small):
             _settle(lo, rg, small)
-            to = lanes[small]
-            value[to] = value[to] << _U(32) | words[to, np.minimum(ptr[to], width - 1)].astype(_U)
+            to = small if lanes is None else lanes[small]
+            val[small] = val[small] << _U(32) | words.take(np.minimum(ptr[to], len(words) - 1)).astype(_U)
             ptr[to] += 1
             lo[small] <<= _U(32)
             rg[small] <<= _U(32)
-        low[lanes], size[lanes] = lo, rg
+        return lo, rg
+
+    def target(lo, rg, val, total):
+        step = rg // total.astype(_U)
+        return step, np.minimum(((val - lo) // step).astype(np.int64), total.astype(np.int64) - 1)
 
     for t in range(longest):
         k = int(np.searchsorted(-sizes, -t, side="left"))
-        lane = m.lane[:k]
-        counts = m.predict(k)
-        total = counts.sum(axis=1)
-        step, v = target(lane, total)
-        edge = counts[:, 0] + counts[:, 1]
-        pick = (v >= counts[:, 0]).astype(np.int64) + (v >= edge)
-        take(lane, step, np.where(pick == 0, 0, np.where(pick == 1, counts[:, 0], edge)), counts[lane, pick])
+        cum = m.predict(k)
+        total = cum[:, 4]
+        lo, rg, val = low[:k], size[:k], value[:k]
+        step, v = target(lo, rg, val, total)
+        pick = (v >= cum[:, 1]).astype(np.int64)
+        pick += v >= cum[:, 2]
+        pick += v >= cum[:, 3]
+        flat, at = cum.reshape(-1), np.arange(0, 5 * k, 5) + pick
+        below = flat.take(at)
+        low[:k], size[:k] = narrowed(lo, rg, val, step, below, flat.take(at + 1) - below, None)
         x = np.where(pick == 0, m.c2, m.c1)
-        esc = np.flatnonzero(pick == 2)
+        esc, num = np.flatnonzero(pick == 2), ()
         if len(esc):
-            cum = m.high_cum[esc]
-            step, v = target(esc, cum[:, 256])
-            h = (cum[:, 1:] <= v[:, None]).sum(axis=1)
+            lo, rg, val = low[esc], size[esc], value[esc]
+            ucum = m.upper_cum.take(esc, axis=0)
+            step, v = target(lo, rg, val, ucum[:, UPPER])
+            u = (ucum[:, 1:] > v.astype(np.uint32)[:, None]).argmax(axis=1)
             rows = np.arange(len(esc))
-            a = cum[rows, h]
-            take(esc, step, a, cum[rows, h + 1] - a)
-            step, v = target(esc, m.low_total(esc, h))
-            l = np.zeros(len(esc), np.int64)
-            for s in low_steps:
-                up = l + s
-                l = np.where(m.low_bounds(esc, h, up) <= v, up, l)
-            a = m.low_bounds(esc, h, l)
-            take(esc, step, a, m.low_bounds(esc, h, l + 1) - a)
-            x[esc] = h << 8 | l
+            a = ucum[rows, u]
+            lo, rg = narrowed(lo, rg, val, step, a, ucum[rows, u + 1] - a, esc)
+            lcum = m.lower_cum[esc, u]
+            step, v = target(lo, rg, val, lcum[:, LOWER])
+            l = (lcum[:, 1:] > v.astype(np.uint32)[:, None]).argmax(axis=1)
+            a = lcum[rows, l]
+            low[esc], size[esc] = narrowed(lo, rg, val, step, a, lcum[rows, l + 1] - a, esc)
+            value[esc] = val
+            num = u << 6 | l
+            x[esc] = seen[esc, num]
+        first = np.flatnonzero(pick == 3)
+        if len(first):
+            lo, rg, val = low[first], size[first], value[first]
+            step, v = target(lo, rg, val, np.full(len(first), _NEW))
+            low[first], size[first] = narrowed(lo, rg, val, step, v, np.ones(len(first), _U), first)
+            value[first] = val
+            x[first] = v
+            seen[first, n_seen[first]] = v
+            n_seen[first] += 1
         out[t, :k] = x
-        m.update(k, x, pick, esc)
-        m.refresh()
-    return [out[:s, i].copy() for i, s in enumerate(sizes)]
+        m.update(k, x, pick, total, esc, num)
+    return [out[:s, i].astype(np.uint32) for i, s in enumerate(sizes)]
