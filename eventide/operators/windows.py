@@ -20,6 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions.columns import seconds_between
+from eventide.session import scratch_path
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """The frame, written to the shared scratch folder and read again, so that every use sees the same rows."""
+    path = scratch_path(df.sparkSession, "ranged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _local_next(value_col: str, out_col: str):
@@ -56,9 +64,9 @@ def global_next(df: DataFrame, order: Sequence[str], value_col: str, out_col: st
     """Add ``out_col`` = ``value_col`` of the next row in the total ``order``.
 
     ``order`` must be unique (e.g. (event_time, event_id)).  The last row of
-    the whole table gets NULL.  The stitch uses only the rows themselves (the
-    first and last row of every partition, ordered by key), so it does not
-    depend on partition ids being the same in both uses of the input.
+    the whole table gets NULL.  The ranged rows are written once and read for
+    both uses: range bounds are sampled per exchange, so edge rows are only
+    those of the rows they are joined to if both come from one exchange.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -66,7 +74,7 @@ def global_next(df: DataFrame, order: Sequence[str], value_col: str, out_col: st
     vtype = df.schema[value_col].dataType
     schema = T.StructType(list(df.schema.fields) + [
         T.StructField(out_col, vtype, True), T.StructField("_edge", T.BooleanType(), False)])
-    local = ranged.mapInPandas(_local_next(value_col, out_col), schema)
+    local = written_once(ranged.mapInPandas(_local_next(value_col, out_col), schema))
     # at most two rows per partition: one task and a broadcast are bounded by n
     edges = local.filter("_edge").select(*order, F.col(value_col).alias("_v"))
     stitch = (edges.withColumn("_carry", F.lead("_v").over(Window.orderBy(*order)))
@@ -161,7 +169,7 @@ def running_sum_within(df: DataFrame, key_col: str, order: Sequence[str], out_co
     schema = T.StructType(list(df.schema.fields)
                           + [T.StructField("_local_total", T.LongType(), False)]
                           + [T.StructField(t, df.schema[c].dataType, True) for t, c in zip(tag_cols, cols)])
-    local = ranged.mapInPandas(fn, schema)
+    local = written_once(ranged.mapInPandas(fn, schema))    # one exchange for the rows and their summary
     # summary per partition (identified by its first row): the last key and its total there
     last = F.max(F.struct(*[F.col(c) for c in cols], F.col("_local_total").alias("r")))
     summary = (local.groupBy(*tag_cols).agg(last.alias("_last"))
