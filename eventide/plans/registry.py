@@ -599,7 +599,7 @@ def q_quality_check_log(t):
 def q_quality_run(t):
     """Append all logs to the shared folder, return the check log read back."""
     paths = quality_run.run(t, AS_OF)
-    return t.spark.read.parquet(paths["data_quality_checks"]).drop("month")
+    return t.spark.read.parquet(paths["data_quality_checks"]).drop("month", "run")
 
 
 # ---- streams ---------------------------------------------------------------------------
@@ -627,9 +627,9 @@ def q_stream_ingest(t):
 
 @register("stream_dedup")
 def q_stream_dedup(t):
-    s = _stream_of(t, quality_run.double_delivery(_store(t)), "redelivered", "event_time", to_ltz="event_time")
-    out = streams.drain_append(t.spark, streams.stream_dedup(s), "dedup")
-    return out.drop("ingestion_time")
+    twice = quality_run.double_delivery(_store(t))
+    s = _stream_of(t, twice, "redelivered", "ingestion_time", max_files=2)
+    return t.spark.read.parquet(streams.stream_dedup(t.spark, s)).select(*twice.columns)
 
 
 @register("stream_enrich")
@@ -648,7 +648,7 @@ def q_stream_daily_metrics(t):
 @register("stream_session_metrics")
 def q_stream_session_metrics(t):
     s = _stream_of(t, _store(t), "store-sessions", "event_time", max_files=2)
-    return t.spark.read.parquet(streams.stream_session_metrics(t.spark, s)).drop("session_date")
+    return streams.current_sessions(t.spark, streams.stream_session_metrics(t.spark, s))
 
 
 @register("stream_purchase_orders")

@@ -77,9 +77,38 @@ def stream_ingest(spark: SparkSession, source: str, as_of: str, max_files: int |
 
 
 # ---- T2 -----------------------------------------------------------------------
-def stream_dedup(events: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Drop re-deliveries of the same event_id within the watermark."""
-    return events.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
+def stream_dedup(spark: SparkSession, events_stream: DataFrame, name: str = "dedup") -> str:
+    """Stored days with the last write of each event, by ingestion time.
+
+    Arrivals are appended per epoch (overwritten on replay); the days a batch
+    touches are reduced to the last write (U2) and replace their partitions.
+    """
+    store, out = scratch_path(spark, f"{name}-arrivals"), scratch_path(spark, f"{name}-days")
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/epoch={epoch}")
+        recent = _touched_days(spark, store, batch)
+        if recent is not None:
+            (maintain.dedup_events(recent).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("event_date").parquet(out))
+        batch.unpersist()
+
+    _drain(events_stream.writeStream.foreachBatch(write), name, spark)
+    return out
+
+
+def _touched_days(spark: SparkSession, store: str, batch: DataFrame) -> DataFrame | None:
+    """All stored events of the days that a batch holds events of; None for an empty batch."""
+    bounds = batch.agg(F.min("event_date").alias("d0"), F.max("event_date").alias("d1")).first()
+    if bounds.d0 is None:
+        return None
+    # distinct days of one micro-batch: bounded by the days it spans
+    touched = batch.select("event_date").distinct()
+    stored = spark.read.option("basePath", store).parquet(store).drop("epoch")
+    # the day range prunes partitions statically; the semi join keeps exactly the touched days
+    return (stored.filter(F.col("event_date").between(F.lit(bounds.d0), F.lit(bounds.d1)))
+            .join(F.broadcast(touched), "event_date", "left_semi"))
 
 
 # ---- T3 -----------------------------------------------------------------------
@@ -98,59 +127,53 @@ def stream_daily_metrics(spark: SparkSession, events_stream: DataFrame, name: st
         batch = batch.persist()
         # one folder per epoch, overwritten on replay: a retried batch never doubles events
         batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/epoch={epoch}")
-        bounds = batch.agg(F.min("event_date").alias("d0"), F.max("event_date").alias("d1")).first()
-        if bounds.d0 is None:
-            batch.unpersist()
-            return
-        # distinct days of one micro-batch: bounded by the days it spans
-        touched = batch.select("event_date").distinct()
-        all_events = spark.read.option("basePath", store).parquet(store).drop("epoch")
-        # the day range prunes partitions statically; the semi join keeps exactly the touched days
-        recent = (all_events.filter(F.col("event_date").between(F.lit(bounds.d0), F.lit(bounds.d1)))
-                  .join(F.broadcast(touched), "event_date", "left_semi"))
-        (metrics.daily_event_metrics(recent).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("metric_date").parquet(out))
+        recent = _touched_days(spark, store, batch)
+        if recent is not None:
+            (metrics.daily_event_metrics(recent).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("metric_date").parquet(out))
         batch.unpersist()
 
     _drain(events_stream.writeStream.foreachBatch(write), name, spark)
     return out
 
 
-def stream_session_metrics(spark: SparkSession, events_stream: DataFrame, name: str = "sessions",
-                           span_days: int = 1) -> str:
-    """T5: events stored by day; sessions recomputed only for start days a batch can touch.
+def stream_session_metrics(spark: SparkSession, events_stream: DataFrame, name: str = "sessions") -> str:
+    """T5: sessions rebuilt whole whenever a batch brings events of them, however long they last.
 
-    ``span_days`` bounds how many days a session may last.  A batch with
-    event days in [d0, d1] can only change sessions that start in
-    [d0 - span, d1]; all their events lie in [d0 - span, d1 + span].  Those
-    days are read (partition pruning), every session starting in the range is
-    rebuilt whole, and the matching start-day partitions are replaced.  The
-    work per batch follows the days it touches, not the stored history.
+    A narrow log holds each batch's sessions with the days of their events; it
+    gives the day range that holds every event of the sessions at hand.  Only
+    those days are read, semi-joined to the sessions, and the rebuilt rows are
+    written under the epoch (overwritten on replay).  ``current_sessions``
+    reads each session's newest row.
     """
     store, out = scratch_path(spark, f"{name}-events"), scratch_path(spark, f"{name}-table")
+    days = scratch_path(spark, f"{name}-days")
 
     def write(batch: DataFrame, epoch: int) -> None:
         batch = batch.persist()
         batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/epoch={epoch}")
-        bounds = batch.agg(F.min("event_date").alias("d0"), F.max("event_date").alias("d1")).first()
-        if bounds.d0 is None:
-            batch.unpersist()
-            return
-        lo = F.date_sub(F.lit(bounds.d0), span_days)
-        hi = F.date_add(F.lit(bounds.d1), span_days)
-        ev = (spark.read.option("basePath", store).parquet(store).drop("epoch")
-              .filter((F.col("event_date") >= lo) & (F.col("event_date") <= hi)))
-        sessions = (metrics.session_metrics(ev)
-                    .withColumn("session_date", F.to_date("first_event_time"))
-                    .filter((F.col("session_date") >= lo) & (F.col("session_date") <= F.lit(bounds.d1))))
-        (sessions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("session_date").parquet(out))
+        here = batch.groupBy("session_id", "user_id").agg(F.min("event_date").alias("d0"), F.max("event_date").alias("d1"))
+        here.write.mode("overwrite").parquet(f"{days}/epoch={epoch}")
+        touched = here.select(F.col("session_id").alias("s"), F.col("user_id").alias("u"))
+        same = F.col("session_id").eqNullSafe(F.col("s")) & F.col("user_id").eqNullSafe(F.col("u"))
+        span = (spark.read.option("basePath", days).parquet(days).join(touched, same, "left_semi")
+                .agg(F.min("d0").alias("d0"), F.max("d1").alias("d1")).first())
+        if span.d0 is not None:
+            events = (spark.read.option("basePath", store).parquet(store).drop("epoch")
+                      .filter(F.col("event_date").between(F.lit(span.d0), F.lit(span.d1))).join(touched, same, "left_semi"))
+            metrics.session_metrics(events).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
         batch.unpersist()
 
     _drain(events_stream.writeStream.foreachBatch(write), name, spark)
     return out
 
 
+def current_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """The newest row of every session that T5 wrote."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    return maintain.latest_by(rows, ["session_id", "user_id"], ["epoch"]).drop("epoch")
+
+
 # ---- T6 -----------------------------------------------------------------------
 def stream_purchase_orders(purchases: DataFrame, orders: DataFrame, delay: str = "1 day",
                            bound: str = "1 day") -> DataFrame:
