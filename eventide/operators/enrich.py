@@ -5,35 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a bounded count proves it has at most
-# this many rows (~100 MB at the users row width); otherwise Spark plans a
-# shuffle join and AQE may still switch it at runtime from real sizes.
-BROADCAST_MAX_ROWS = 2_000_000
+def enrich_events(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Left join events to the user dimension on user_id (misses keep NULLs).
 
-
-_PROVEN: dict[tuple[int, int, int], bool] = {}
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only behind a size check.
-
-    ``limit(max_rows + 1).count()`` stops scanning once the bound is passed,
-    so the check costs at most ``max_rows`` rows however large ``df`` is.  The
-    verdict is remembered per (semantic plan, files it reads, bound), so
-    building many plans over the same dimension runs the check once, and a
-    dimension that gained files is checked again.
+    No hint and no probe: Spark broadcasts the dimension when its size in bytes
+    is below the session's threshold (statically or, by AQE, from the real
+    shuffle size) and otherwise runs a shuffle join whose skew AQE splits.
     """
-    key = (df.semanticHash(), hash(tuple(sorted(df.inputFiles()))), max_rows)
-    if key not in _PROVEN:
-        _PROVEN[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _PROVEN[key] else df
-
-
-def enrich_events(events: DataFrame, users: DataFrame, check_size: bool = True) -> DataFrame:
-    """Left join events to the user dimension on user_id (misses keep NULLs)."""
-    dim = users.select("user_id", "signup_date", "city", "device_type")
-    dim = broadcast_if_small(dim) if check_size else dim
-    return events.join(dim, on="user_id", how="left")
+    return events.join(users.select("user_id", "signup_date", "city", "device_type"), on="user_id", how="left")
 
 
 def orphan_events(events: DataFrame, users: DataFrame) -> DataFrame:

@@ -255,12 +255,12 @@ def user_product_mix(denorm: DataFrame, sessions: DataFrame, as_of: str,
     """Users with more than one purchase, top N by premium (ties by user_id).
 
     The longest session comes from the session roll-up (many-to-one join on
-    session_id); the top-N is a ``TakeOrderedAndProject``: each task keeps
+    session_id and user_id, the roll-up's key); the top-N is a ``TakeOrderedAndProject``: each task keeps
     its own N best rows, so only N rows per task move.
     """
     d = _window(denorm, as_of, days)
-    s = sessions.select("session_id", "session_duration_seconds")
-    return (d.join(s, "session_id", "left")
+    s = sessions.select("session_id", "user_id", "session_duration_seconds")
+    return (d.join(s, ["session_id", "user_id"], "left")
             .groupBy("user_id")
             .agg(F.count(F.lit(1)).alias("total_purchases"),
                  F.sum("premium_amount").alias("total_premium"),

@@ -17,10 +17,9 @@ from eventide.sources import fixtures
 from eventide.sources.tables import Tables
 
 
-def transform_enrich(raw: DataFrame, users: DataFrame, as_of: str = AS_OF,
-                     check_size: bool = True) -> DataFrame:
+def transform_enrich(raw: DataFrame, users: DataFrame, as_of: str = AS_OF) -> DataFrame:
     cleaned = clean_events(raw)
-    enriched = enrich_events(cleaned, users, check_size=check_size)
+    enriched = enrich_events(cleaned, users)
     return finalize_processed(derive_event_attributes(enriched), as_of)
 
 

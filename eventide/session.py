@@ -49,8 +49,7 @@ def cluster_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
     input (at least two waves of the cluster's cores, at most 100,000); AQE
     coalesces them to the advisory size, splits skewed join partitions and
     oversized REBALANCE partitions (partitioned writes).  Broadcasts stay
-    small and fixed; larger sides are shuffled (dimensions are broadcast only
-    behind an explicit row-count check, ``enrich.broadcast_if_small``).
+    small and fixed, by size in bytes; larger sides are shuffled.
     """
     parts = -(-input_bytes // SHUFFLE_BYTES_PER_INPUT_PARTITION)
     parts = min(MAX_SHUFFLE_PARTITIONS, max(2 * total_cores, parts))
