@@ -20,6 +20,8 @@ _CSV_OPTS = {"mode": "PERMISSIVE"}
 # The CSV reader yields NULL both for a blank last field and for a missing
 # one.  A sentinel field is appended to every line before parsing into one
 # extra column: that column is non-NULL exactly when the line had >= 6 fields.
+_BLANKS = {"nullValue": "", "emptyValue": "",    # a missing field keeps its place, blanks stay as they are
+           "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 _SENTINEL = "\u0002"
 _EVENT_CSV_PLUS = EVENT_CSV_TEXT.simpleString()[:-1] + ",tail:string>"
 
@@ -27,15 +29,15 @@ _EVENT_CSV_PLUS = EVENT_CSV_TEXT.simpleString()[:-1] + ",tail:string>"
 def events_to_csv_lines(raw: DataFrame) -> DataFrame:
     """Render raw events as CSV text lines; a zero premium is written blank."""
     premium = F.when(F.col("premium_amount") == 0, F.lit("")).otherwise(F.col("premium_amount").cast("string"))
-    return raw.select(F.concat_ws(
-        ",", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.col("user_id").cast("string"),
-        "session_id", "event_type", "channel", premium).alias("value"))
+    return raw.select(F.to_csv(F.struct(
+        F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("t"), F.col("user_id").cast("string"),
+        "session_id", "event_type", "channel", premium.alias("p")), _BLANKS).alias("value"))
 
 
 def users_to_csv_lines(users: DataFrame) -> DataFrame:
-    return users.select(F.concat_ws(
-        ",", F.col("user_id").cast("string"), F.date_format("signup_date", "yyyy-MM-dd"),
-        "city", "device_type").alias("value"))
+    return users.select(F.to_csv(F.struct(
+        F.col("user_id").cast("string"), F.date_format("signup_date", "yyyy-MM-dd").alias("d"),
+        "city", "device_type"), _BLANKS).alias("value"))
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
