@@ -1,5 +1,6 @@
 """Invariants and scale-shaped properties (skew, partitioning, sketches)."""
 
+import pytest
 import datetime as dt
 import random
 
@@ -173,18 +174,75 @@ def test_cluster_settings_scale_with_input_and_stay_bounded():
     assert int(big["spark.sql.autoBroadcastJoinThreshold"]) <= 64 << 20
 
 
-def test_broadcast_proof_is_redone_when_the_dimension_gains_files(spark):
+def test_enrichment_broadcasts_by_bytes_only(spark):
     from eventide.operators import enrich
     from eventide.session import scratch_path
     path = scratch_path(spark, "dim")
-    spark.range(0, 5).write.parquet(path)
-    small = spark.read.parquet(path)
-    enrich.broadcast_if_small(small, 10)
-    assert enrich._PROVEN[(small.semanticHash(), hash(tuple(sorted(small.inputFiles()))), 10)] is True
-    spark.range(5, 50).write.mode("append").parquet(path)
-    grown = spark.read.parquet(path)
-    enrich.broadcast_if_small(grown, 10)
-    assert enrich._PROVEN[(grown.semanticHash(), hash(tuple(sorted(grown.inputFiles()))), 10)] is False
+    spark.range(0, 500).selectExpr("id AS user_id", "current_date() AS signup_date", "'c' AS city", "'d' AS device_type").write.parquet(path)
+    events, users = spark.range(0, 1000).selectExpr("id AS user_id"), spark.read.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, join in (("64m", "BroadcastHashJoin"), ("-1", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            plan = enrich.enrich_events(events, users)._jdf.queryExecution().executedPlan().toString()
+            assert join in plan and "GlobalLimit" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("reuse,adaptive", [("true", "true"), ("false", "true"), ("false", "false")])
+def test_stitching_does_not_depend_on_exchange_reuse(spark, reuse, adaptive):
+    from eventide.operators import windows
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(0, 20000, 1, 8).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id * 7 % 20011) AS event_time", "CAST(id % 3 = 0 AS INT) AS g")
+        gaps = windows.event_gaps(df, 7)
+        want = sorted(r.event_time for r in df.collect())
+        got = {r.event_time: r.next_event_time for r in gaps.collect()}
+        assert got == dict(zip(want, [*want[1:], None]))
+        ranks = windows.rank_within(df.withColumn("g", F.when(F.col("g") == 1, F.lit("a")).otherwise(F.lit("b"))), "g",
+                                    ["event_time", "event_id"], "nth", 7)
+        for key in "ab":
+            assert [r.nth for r in ranks.filter(F.col("g") == key).orderBy("event_time").collect()] == list(
+                range(1, ranks.filter(F.col("g") == key).count() + 1))
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_sessions_that_cross_midnight_over_several_batches(spark):
+    import datetime as dt
+    from eventide.operators import metrics
+    from eventide.session import scratch_path
+    from eventide.streaming import streams
+    at = dt.datetime
+    rows = [[("e1", "A", 1, at(2024, 1, 1, 23, 50)), ("e2", "A", 1, at(2024, 1, 2, 0, 10)), ("e3", "B", 2, at(2024, 1, 1, 9))],
+            [("e4", "C", 1, at(2024, 1, 3, 8)), ("e5", "B", 2, at(2024, 1, 5, 1)), ("e5b", "A", 9, at(2024, 1, 3, 1))],
+            [("e6", "A", 1, at(2023, 12, 30, 7)), ("e7", "C", 1, at(2024, 1, 4))]]
+    path = scratch_path(spark, "midnight")
+    frames = [spark.createDataFrame([(*r, r[3].date(), r[0], "web", "city", "phone", 0, 5) for r in part],
+              "event_id string, session_id string, user_id long, event_time timestamp_ntz, event_date date, event_type string, "
+              "channel string, city string, device_type string, is_purchase int, premium_amount long").coalesce(1) for part in rows]
+    for f in frames:
+        f.write.mode("append").parquet(path)
+    stream = streams.read_stream(spark, path, frames[0].schema, 1)
+    got = streams.current_sessions(spark, streams.stream_session_metrics(spark, stream, "midnight"))
+    want = metrics.session_metrics(spark.read.parquet(path))
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_stream_dedup_keeps_the_last_write(spark):
+    import datetime as dt
+    from eventide.session import scratch_path
+    from eventide.streaming import streams
+    day = dt.datetime(2024, 1, 1, 5)
+    path = scratch_path(spark, "twice")
+    schema = "event_id long, event_time timestamp_ntz, event_date date, ingestion_time timestamp_ntz, v string"
+    for part in ([(1, 0, "old"), (2, 5, "only")], [(1, 60, "new"), (3, 9, "last")], [(3, 1, "late but older")]):
+        spark.createDataFrame([(i, day, day.date(), day + dt.timedelta(seconds=s), v) for i, s, v in part], schema).coalesce(1).write.mode("append").parquet(path)
+    out = streams.stream_dedup(spark, streams.read_stream(spark, path, spark.read.parquet(path).schema, 1), "twice")
+    assert sorted(r.v for r in spark.read.parquet(out).collect()) == ["last", "new", "only"]
 
 
 def test_serving_tables_answer_like_the_end_to_end_queries(spark, sf_dir):
@@ -196,3 +254,15 @@ def test_serving_tables_answer_like_the_end_to_end_queries(spark, sf_dir):
         want = raw_queries()[s_name.removeprefix("serve_")](spark, sf_dir)
         cols = sorted(want.columns)
         assert sorted(map(str, got.select(*cols).collect())) == sorted(map(str, want.select(*cols).collect())), s_name
+
+
+def test_csv_lines_keep_missing_and_quoted_fields(spark):
+    import datetime as dt2
+    from eventide.sources import csv_ingest
+    rows = [(dt2.datetime(2024, 1, 1, 5), 7, "s_1_20240101", "page_view", None, 0),
+            (dt2.datetime(2024, 1, 1, 5), 8, "s_2_20240101", "page_view", "a,b", 12)]
+    raw = spark.createDataFrame(rows, "event_time timestamp_ntz, user_id int, session_id string, event_type string, channel string, premium_amount long")
+    lines = [r.value for r in csv_ingest.events_to_csv_lines(raw).collect()]
+    assert lines == ["2024-01-01 05:00:00,7,s_1_20240101,page_view,,", '2024-01-01 05:00:00,8,s_2_20240101,page_view,"a,b",12']
+    parsed = csv_ingest.parse_event_lines(csv_ingest.events_to_csv_lines(raw)).collect()
+    assert [r.channel for r in parsed if r.user_id == 8] == ["a,b"]
