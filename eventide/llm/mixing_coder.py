@@ -23,7 +23,7 @@ import zlib
 import numpy as np
 
 BLOCK_IDS = 8192
-LANES = 1024
+LANES = 512         # blocks coded side by side; a worker's memory follows it
 SLOT_BITS = 11
 UPPER, LOWER = 128, 64      # parts of an id's number in its block
 REFRESH = 512               # steps between refreshes of the order-0 frequencies
@@ -44,8 +44,8 @@ class _Model:
         lane = np.arange(lanes)
         self.slot0 = lane << SLOT_BITS
         self.choice0 = lane * _CONTEXTS
-        self.o1 = np.zeros(lanes << SLOT_BITS, np.int64)      # id << 8 | confidence
-        self.o2 = np.zeros(lanes << SLOT_BITS, np.int64)
+        self.o1 = np.zeros(lanes << SLOT_BITS, np.int32)      # id << 8 | confidence
+        self.o2 = np.zeros(lanes << SLOT_BITS, np.int32)
         self.p1 = np.zeros(lanes, np.int64)
         self.p2 = np.zeros(lanes, np.int64)
         self.choice = np.empty((lanes * _CONTEXTS, 4), np.int64)
@@ -67,7 +67,7 @@ class _Model:
         p1 = self.p1[:k]
         self.s1 = self.slot0[:k] + ((p1 * 0x9E3B & 0xFFFF) >> (16 - SLOT_BITS))
         self.s2 = self.slot0[:k] + (((self.p2[:k] * 0x6A0D + p1 * 0x9E35) * 0x2C1B3C6D & 0xFFFFFFFF) >> (32 - SLOT_BITS))
-        e1, e2 = self.o1.take(self.s1), self.o2.take(self.s2)
+        e1, e2 = self.o1.take(self.s1).astype(np.int64), self.o2.take(self.s2).astype(np.int64)
         self.c1, self.c2, self.n1, self.n2 = e1 >> 8, e2 >> 8, e1 & 255, e2 & 255
         ctx = (_LEVEL.take(self.n2) * LEVELS + _LEVEL.take(self.n1)) * 2
         ctx += self.c1 == self.c2

@@ -38,8 +38,9 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from eventide.llm import mixing_coder as C, text as T
 
 END_ID = 2
-KNOWN_PIECES = 400_000          # bound of a worker's memory of encoded pieces
+KNOWN_PIECES = 200_000          # bound of a worker's memory of encoded pieces
 GROUP_IDS = C.BLOCK_IDS * C.LANES
+TEXT_BYTES = 1 << 20            # of texts split into pieces at once
 INDEX = "doc_id long, part int, ordinal long, block long, n long, crc long"
 
 
@@ -173,7 +174,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json") -> N
 
     def run(batches):
         out = _Writer(TaskContext.get().partitionId())
-        for s in T.slices(batches):
+        for s in T.slices(batches, limit=TEXT_BYTES):
             flat, sizes = encoder(tokenizer).ids(s.column(1).to_pylist())
             yield from out.add(s.column(0), flat, sizes)
         yield from out.close()
