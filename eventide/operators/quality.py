@@ -291,18 +291,34 @@ def schema_drift(df: DataFrame, expected: Sequence[str], table: str = EVENTS_TAB
 # ---- D7/D8 gaps -------------------------------------------------------------
 def missing_event_gaps(events: DataFrame, as_of: str, lookback_interval: str = "24 HOURS",
                        min_gap_seconds: int = 3600, expected_event_type: str | None = None,
-                       per_minute: int = 1) -> DataFrame:
-    """One row per gap longer than the threshold (gap log rows)."""
+                       per_minute: int = 1, by_type: bool = False) -> DataFrame:
+    """One row per gap longer than the threshold (gap log rows).
+
+    Gaps run over all events, or those of one expected type; ``by_type`` adds
+    the gaps of every type to those of all events, in the same pass.
+    Thresholds under an hour take the global order of W1, for one scope.
+    """
     ev = events.filter(lookback(F.col("event_time"), as_of, lookback_interval))
     if expected_event_type:
         ev = ev.filter(F.col("event_type") == expected_event_type)
-    g = gaps_over(ev, min_gap_seconds)
+    scope = F.lit(expected_event_type or "any")
+    if min_gap_seconds < 3600:
+        if by_type:
+            raise ValueError("gaps of every type need a threshold of at least one hour")
+        g = (global_next(ev.select("event_id", "event_time"), ["event_time", "event_id"], "event_time", "gap_end")
+             .withColumnRenamed("event_time", "gap_start")
+             .withColumn("gap_seconds", seconds_between(F.col("gap_start"), F.col("gap_end")))
+             .filter(F.col("gap_seconds") > min_gap_seconds))
+    elif by_type:
+        g, scope = gaps_over(ev, min_gap_seconds, by="event_type"), F.col("scope")
+    else:
+        g = gaps_over(ev, min_gap_seconds)
     return g.select(
         as_of_ts(as_of).alias("alert_time"), F.lit("gap_detection").alias("alert_type"),
         F.lit(EVENTS_TABLE).alias("table_name"),
         F.col("gap_start").alias("time_gap_start"), F.col("gap_end").alias("time_gap_end"),
         F.col("gap_seconds").alias("missing_duration_seconds"),
-        F.lit(expected_event_type or "any").alias("expected_event_type"),
+        scope.alias("expected_event_type"),
         F.floor(F.col("gap_seconds") * per_minute / 60).cast("bigint").alias("estimated_missing_count"),
         F.lit("active").alias("status"))
 

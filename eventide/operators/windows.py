@@ -92,15 +92,21 @@ def event_gaps(events: DataFrame, num_partitions: int | None = None) -> DataFram
     return nxt.withColumn("gap_seconds", seconds_between(F.col("event_time"), F.col("next_event_time")))
 
 
-def bucket_bounds(events: DataFrame, ts_col: str = "event_time", unit: str = "hour") -> DataFrame:
-    """First and last event time per time bucket (partial aggregation; one row per bucket)."""
-    return (events.groupBy(F.date_trunc(unit, ts_col).cast("timestamp_ntz").alias("bucket"))
+def bucket_bounds(events: DataFrame, ts_col: str = "event_time", unit: str = "hour", by: str | None = None) -> DataFrame:
+    """First and last event time per time bucket, or per value of ``by`` and bucket (partial aggregation)."""
+    keys = [by] if by else []
+    return (events.groupBy(*keys, F.date_trunc(unit, ts_col).cast("timestamp_ntz").alias("bucket"))
             .agg(F.min(ts_col).alias("first_time"), F.max(ts_col).alias("last_time")))
 
 
-def gaps_over(events: DataFrame, min_gap_seconds: int, ts_col: str = "event_time") -> DataFrame:
+def gaps_over(events: DataFrame, min_gap_seconds: int, ts_col: str = "event_time",
+              by: str | None = None) -> DataFrame:
     """Gaps between consecutive events longer than ``min_gap_seconds`` (>= 3600).
 
+    With ``by``, also the gaps inside each value of that column: ``scope`` is
+    'any' for all events together, else the value.  All scopes come from one
+    pass, since the hours of all events follow from the hours of the values.
+
     A gap longer than an hour cannot lie inside one hour bucket, so it always
     runs from the last event of one non-empty hour to the first event of the
     next non-empty hour.  Events are reduced to one row per hour first; the
@@ -109,10 +115,15 @@ def gaps_over(events: DataFrame, min_gap_seconds: int, ts_col: str = "event_time
     """
     if min_gap_seconds < 3600:
         raise ValueError("use event_gaps for thresholds under one hour")
-    b = bucket_bounds(events, ts_col)
-    w = Window.orderBy("bucket")
+    if by is None:
+        b = bucket_bounds(events, ts_col).withColumn("scope", F.lit("any"))
+    else:
+        hours = bucket_bounds(events, ts_col, by=by)
+        b = (hours.select(F.explode(F.array(F.lit("any"), F.col(by))).alias("scope"), "bucket", "first_time", "last_time")
+             .groupBy("scope", "bucket").agg(F.min("first_time").alias("first_time"), F.max("last_time").alias("last_time")))
+    w = Window.partitionBy("scope").orderBy("bucket")
     return (b.withColumn("gap_end", F.lead("first_time").over(w))
-            .select(F.col("last_time").alias("gap_start"), "gap_end")
+            .select("scope", F.col("last_time").alias("gap_start"), "gap_end")
             .withColumn("gap_seconds", seconds_between(F.col("gap_start"), F.col("gap_end")))
             .filter(F.col("gap_seconds") > min_gap_seconds))
 

@@ -617,10 +617,11 @@ ORDER BY alert_level DESC, check_time DESC, component, metric_name LIMIT 10""",
 cte("gap_log", f"""
 SELECT {AS_OF} AS alert_time, 'gap_detection' AS alert_type, '{EV_TABLE}' AS table_name,
        event_time AS time_gap_start, nxt AS time_gap_end, datediff('second', event_time, nxt) AS missing_duration_seconds,
-       'purchase' AS expected_event_type, CAST(floor(datediff('second', event_time, nxt) / 60) AS BIGINT) AS estimated_missing_count,
+       scope AS expected_event_type, CAST(floor(datediff('second', event_time, nxt) / 60) AS BIGINT) AS estimated_missing_count,
        'active' AS status
-FROM (SELECT event_time, lead(event_time) OVER (ORDER BY event_time, event_id) AS nxt FROM store
-      WHERE event_type = 'purchase' AND event_time >= {AS_OF} - INTERVAL 30 DAY)
+FROM (SELECT scope, event_time, lead(event_time) OVER (PARTITION BY scope ORDER BY event_time, event_id) AS nxt
+      FROM (SELECT 'any' AS scope, * FROM store UNION ALL SELECT event_type, * FROM store)
+      WHERE event_time >= {AS_OF} - INTERVAL 30 DAY)
 WHERE datediff('second', event_time, nxt) > 3600""", "store")
 oracle("missing_event_gaps", "SELECT * FROM gap_log", "gap_log")
 oracle("gap_severity", """
@@ -735,7 +736,7 @@ oracle("stream_session_metrics", "SELECT * FROM sessions", "sessions", arrays=("
 oracle("stream_purchase_orders", """
 SELECT e.event_id, e.user_id, e.event_date, e.premium_amount, o.order_id, o.insurance_type,
        o.policy_number, o.premium_amount AS order_premium_amount
-FROM purchases e JOIN unified o ON e.user_id = o.user_id AND e.event_date = o.order_date""",
+FROM purchases e LEFT JOIN unified o ON e.user_id = o.user_id AND e.event_date = o.order_date""",
        "purchases", "unified", dates=("event_date",))
 ORACLE["stream_upsert_users"] = ORACLE["upsert_users"]
 oracle("stream_freshness", """

@@ -1,9 +1,9 @@
 """Run the checks into their monitor logs, then the dashboards over the logs.
 
 ``Logs`` builds every log lazily from the given tables (the checks are jobs
-stamped with ``as_of``).  ``run`` appends each log to a table under the
-shared checkpoint folder and returns the paths, so dashboards can read the
-accumulated history.
+stamped with ``as_of``).  ``stored`` writes a log once to its table and returns
+the table's rows, those of earlier runs too; the dashboards and the logs that
+build on other logs read it.  ``run`` writes all of them.
 """
 
 from __future__ import annotations
@@ -22,7 +22,11 @@ from eventide.sources import csv_ingest, fixtures, topic
 from eventide.sources.tables import Tables
 
 GAP_LOOKBACK = "30 DAYS"
-GAP_EVENT_TYPE = "purchase"
+# The time column of each log table.
+TIME_COLUMNS = {"data_quality_checks": "check_time", "sync_lag_metrics": "metric_time",
+                "pipeline_health_status": "check_time", "missing_event_alerts": "alert_time",
+                "schema_drift_monitoring": "change_time", "load_performance_metrics": "load_time",
+                "data_lineage_tracking": "lineage_time"}
 
 
 def double_delivery(store: DataFrame) -> DataFrame:
@@ -40,10 +44,15 @@ class Logs:
     being columnar, each check reads only the columns it needs (an RDD
     checkpoint would be read whole every time).  It also cuts the lineage:
     a lost executor recomputes from files.
+
+    Log rows lie under ``root`` by log, month and run stamp, and a run replaces
+    its own stamp only, so a repeated run leaves the same rows.
     """
 
-    def __init__(self, t: Tables, as_of: str = AS_OF, materialize: bool = False):
+    def __init__(self, t: Tables, as_of: str = AS_OF, materialize: bool = False, root: str | None = None):
         self.t, self.as_of, self.materialize = t, as_of, materialize
+        self.root = root or scratch_path(t.spark, "monitor-logs")
+        self._written: dict[str, DataFrame] = {}
 
     # inputs ---------------------------------------------------------------
     @cached_property
@@ -100,12 +109,19 @@ class Logs:
         return fresh.unionByName(quality.with_lag_status(lags))
 
     def health_log(self) -> DataFrame:
+        """Health rows of this run, from its stored check log where that was written.
+
+        Otherwise the checks stay lazy, and the filter on severity drops those
+        that can't raise an alert.
+        """
+        name = "data_quality_checks"
+        checks = self.stored(name, this_run=True) if name in self._written else self.check_log()
         h = quality.sync_lag_status(self.sync_log()).drop("lag_seconds", "records_behind")
         return (h.unionByName(quality.volume_health(self.store, self.as_of))
-                 .unionByName(quality.critical_alerts(self.check_log(), self.as_of)))
+                 .unionByName(quality.critical_alerts(checks, self.as_of)))
 
     def gap_log(self) -> DataFrame:
-        return quality.missing_event_gaps(self.store, self.as_of, GAP_LOOKBACK, 3600, GAP_EVENT_TYPE)
+        return quality.missing_event_gaps(self.store, self.as_of, GAP_LOOKBACK, 3600, by_type=True)
 
     def drift_log(self) -> DataFrame:
         payloads = topic.encode_processed(etl.processed_events(self.t, self.as_of))
@@ -136,32 +152,35 @@ class Logs:
         ]
         return quality.record_lineage(steps)
 
-    def all(self) -> dict[str, DataFrame]:
-        return {"data_quality_checks": self.check_log(), "sync_lag_metrics": self.sync_log(),
-                "pipeline_health_status": self.health_log(), "missing_event_alerts": self.gap_log(),
-                "schema_drift_monitoring": self.drift_log(), "load_performance_metrics": self.load_log(),
-                "data_lineage_tracking": self.lineage_log()}
+    BUILD = {"data_quality_checks": check_log, "sync_lag_metrics": sync_log, "pipeline_health_status": health_log,
+             "missing_event_alerts": gap_log, "schema_drift_monitoring": drift_log,
+             "load_performance_metrics": load_log, "data_lineage_tracking": lineage_log}
+
+    def stored(self, name: str, this_run: bool = False) -> DataFrame:
+        """Rows of a log table, of all runs or this one, after this run's rows were written (once)."""
+        path = f"{self.root}/{name}"
+        if name not in self._written:
+            df = self.BUILD[name](self)
+            (df.withColumn("month", F.date_format(TIME_COLUMNS[name], "yyyyMM"))
+               .withColumn("run", F.lit(self.as_of)).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy("month", "run").parquet(path))
+            keyed = df.schema.add("month", "string").add("run", "string")
+            self._written[name] = self.t.spark.read.schema(keyed).parquet(path)
+        rows = self._written[name]
+        if this_run:
+            rows = rows.filter(F.col("run") == self.as_of)
+        return rows.drop("month", "run")
+
+    def run(self) -> dict[str, str]:
+        """Write every log; returns log -> path."""
+        for name in self.BUILD:
+            self.stored(name)
+        return {name: f"{self.root}/{name}" for name in self.BUILD}
 
 
 EVENTS_TABLE_NAME = quality.EVENTS_TABLE
 
 
 def run(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:
-    """Write every log to its month-partitioned table; returns log -> path.
-
-    Rows lie under month and run stamp, and a run replaces its own stamp only,
-    so a repeated run leaves the same rows and other runs' rows stay.
-    """
-    root = root or scratch_path(t.spark, "monitor-logs")
-    paths = {}
-    time_cols = {"data_quality_checks": "check_time", "sync_lag_metrics": "metric_time",
-                 "pipeline_health_status": "check_time", "missing_event_alerts": "alert_time",
-                 "schema_drift_monitoring": "change_time", "load_performance_metrics": "load_time",
-                 "data_lineage_tracking": "lineage_time"}
-    for name, df in Logs(t, as_of, materialize=True).all().items():
-        path = f"{root}/{name}"
-        (df.withColumn("month", F.date_format(time_cols[name], "yyyyMM"))
-           .withColumn("run", F.lit(as_of)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("month", "run").parquet(path))
-        paths[name] = path
-    return paths
+    """Write every log of one run under ``root``; returns log -> path."""
+    return Logs(t, as_of, materialize=True, root=root).run()

@@ -413,10 +413,15 @@ def q_upsert_users(t):
 
 # ---- quality ---------------------------------------------------------------------------
 def _logs(t):
-    """Monitor logs over a warehouse table checkpointed once in the shared folder."""
+    """Monitor logs; the warehouse table is written once to the shared folder."""
     return t.memo(("logs", AS_OF), lambda: quality_run.Logs(t, AS_OF, materialize=True))
 
 
+def _lazy_logs(t):
+    """Monitor logs that read the warehouse table in one pass, so nothing is written first."""
+    return t.memo(("lazy logs", AS_OF), lambda: quality_run.Logs(t, AS_OF))
+
+
 @register("check_completeness")
 def q_check_completeness(t):
     return quality.check_completeness(_store(t), AS_OF)
@@ -434,7 +439,7 @@ def q_check_freshness(t):
 
 @register("sync_lag_status")
 def q_sync_lag_status(t):
-    return quality.sync_lag_status(_logs(t).sync_log())
+    return quality.sync_lag_status(_lazy_logs(t).sync_log())
 
 
 @register("volume_health")
@@ -449,12 +454,12 @@ def q_payload_drift(t):
 
 @register("missing_event_gaps")
 def q_missing_event_gaps(t):
-    return _logs(t).gap_log()
+    return _lazy_logs(t).gap_log()
 
 
 @register("gap_severity")
 def q_gap_severity(t):
-    return quality.gap_severity(_logs(t).gap_log())
+    return quality.gap_severity(_lazy_logs(t).gap_log())
 
 
 @register("load_performance")
@@ -500,7 +505,7 @@ def q_quality_issue_counts(t):
 
 @register("sync_lag_report")
 def q_sync_lag_report(t):
-    return reports.sync_lag_report(_logs(t).sync_log(), AS_OF)
+    return reports.sync_lag_report(_lazy_logs(t).sync_log(), AS_OF)
 
 
 @register("alert_counts")
@@ -515,7 +520,7 @@ def q_top_alerts(t):
 
 @register("active_gaps")
 def q_active_gaps(t):
-    return reports.active_gaps(_logs(t).gap_log(), AS_OF)
+    return reports.active_gaps(_lazy_logs(t).gap_log(), AS_OF)
 
 
 @register("drift_summary")
@@ -597,9 +602,10 @@ def q_quality_check_log(t):
 
 @register("quality_run")
 def q_quality_run(t):
-    """Append all logs to the shared folder, return the check log read back."""
-    paths = quality_run.run(t, AS_OF)
-    return t.spark.read.parquet(paths["data_quality_checks"]).drop("month", "run")
+    """Write all logs to the shared folder, return the check log read back."""
+    logs = quality_run.Logs(t, AS_OF, materialize=True)
+    logs.run()
+    return logs.stored("data_quality_checks")
 
 
 # ---- streams ---------------------------------------------------------------------------
@@ -653,13 +659,15 @@ def q_stream_session_metrics(t):
 
 @register("stream_purchase_orders")
 def q_stream_purchase_orders(t):
-    """T6, matched rows: unmatched purchases surface only after the watermark passes."""
-    p = _stream_of(t, etl.purchases(t, AS_OF), "purchases", "event_time", to_ltz="event_time")
+    """T6 over the whole source: every purchase with its orders, or without one."""
+    staged = streams.to_stream_time(etl.purchases(t, AS_OF))
+    path = streams.stage(staged, "purchases", "event_time", STREAM_FILES)
+    p = streams.read_stream(t.spark, path, staged.schema)
     u = (orders_flow.unified(t, columns=["order_date", "policy_number", "premium_amount"])
          .withColumn("order_ts", streams.ntz_to_instant(F.col("order_date"))))
     o = _stream_of(t, u, "orders", "order_ts")
     out = streams.drain_append(t.spark, streams.stream_purchase_orders(p, o), "purchase-orders")
-    return out.filter(F.col("order_id").isNotNull())
+    return streams.close_purchase_orders(out, t.spark.read.schema(staged.schema).parquet(path))
 
 
 def _user_changes(t):

@@ -4,7 +4,8 @@ The original answers its dashboards from stored, pre-partitioned tables.
 Here the same tables are written under the shared checkpoint folder by
 (month[, insurance_type]), sorted inside files by their sort key (row-group
 min/max prune ranges) with bloom filters on the point-lookup columns; the
-roll-ups then read only the partitions and columns they need.
+roll-ups then read only the partitions and columns they need.  The dashboards
+read the monitor logs that a quality run stored.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide import AS_OF
-from eventide.operators import metrics, orders
-from eventide.plans import etl, orders_flow
+from eventide.operators import metrics, orders, reports
+from eventide.plans import etl, orders_flow, quality_run
 from eventide.session import scratch_path
 from eventide.sources.layout import write_partitioned
 from eventide.sources.tables import Tables
@@ -33,7 +34,9 @@ def materialize(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[
     denorm = orders.denormalize(purchases, orders_flow.unified(t), orders_flow.payments(t), as_of)
     write_partitioned(denorm, paths["denorm"], "event_date", ("insurance_type",),
                       ("event_date", "event_id"), ("policy_number",))
-    return paths
+    logs = quality_run.run(t, as_of, f"{root}/monitor-logs")
+    return paths | {"checks": logs["data_quality_checks"], "health": logs["pipeline_health_status"],
+                    "lineage": logs["data_lineage_tracking"]}
 
 
 def open_tables(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
@@ -48,4 +51,8 @@ SERVING = {
     "serve_type_date_lookup": lambda tb: orders.type_date_lookup(tb["denorm"], "2024-01-01", "third_party"),
     "serve_daily_event_metrics": lambda tb: metrics.daily_event_metrics(tb["store"]),
     "serve_session_kpis": lambda tb: metrics.session_kpis(tb["sessions"]),
+    "serve_health_dashboard": lambda tb: reports.health_dashboard(tb["health"], AS_OF),
+    "serve_top_alerts": lambda tb: reports.top_alerts(tb["health"], AS_OF),
+    "serve_quality_issues": lambda tb: reports.quality_issues(tb["checks"], AS_OF),
+    "serve_lineage_report": lambda tb: reports.lineage_report(tb["lineage"], AS_OF),
 }

@@ -193,6 +193,18 @@ def stream_purchase_orders(purchases: DataFrame, orders: DataFrame, delay: str =
         "o.policy_number", F.col("o.premium_amount").alias("order_premium_amount"))
 
 
+def close_purchase_orders(emitted: DataFrame, purchases: DataFrame) -> DataFrame:
+    """All purchases of a drained backfill: the emitted rows, and those still waiting when the source ended.
+
+    The last purchases never see a watermark pass their bound; as no order can
+    follow the end of the source, they close without one.
+    """
+    keys = ["event_id", "user_id", "event_date", "premium_amount"]
+    done = emitted.select(F.col("event_id").alias("done_id"))
+    waiting = purchases.select(*keys).join(done, F.col("event_id").eqNullSafe(F.col("done_id")), "left_anti")
+    return emitted.unionByName(waiting, allowMissingColumns=True)
+
+
 # ---- T7 -----------------------------------------------------------------------
 def stream_upsert_users(spark: SparkSession, changes_stream: DataFrame, name: str = "users") -> str:
     """Dimension changes appended per epoch (idempotent); readers apply U7."""

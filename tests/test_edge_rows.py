@@ -8,6 +8,7 @@ from eventide import AS_OF
 from eventide.operators import clean, enrich, maintain, metrics, orders, quality
 from eventide.plans.etl import transform_enrich
 from eventide.sources import csv_ingest, topic
+from eventide.streaming import streams
 
 HEADER = csv_ingest.EVENT_HEADER
 
@@ -256,3 +257,24 @@ def test_payload_drift_counts_added_missing_and_mistyped_fields(spark):
            for r in quality.payload_drift(payloads, contract=contract).collect()}
     assert got == {("extra", "column_added"): 1, ("user_id", "column_removed"): 1,
                    ("event_id", "type_change"): 1, ("event_time", "type_change"): 1}
+
+
+def test_gaps_of_all_events_and_of_each_type_in_one_pass(spark):
+    """Type b has a gap that events of type a fill; every scope is judged on its own rows."""
+    rows = [("1", "a", "2024-01-30 00:00:00"), ("2", "b", "2024-01-30 00:30:00"), ("3", "a", "2024-01-30 02:00:00"),
+            ("4", "a", "2024-01-30 02:30:00"), ("5", "b", "2024-01-30 03:20:00")]
+    ev = spark.createDataFrame(rows, "event_id string, event_type string, t string").selectExpr(
+        "event_id", "event_type", "CAST(t AS TIMESTAMP_NTZ) AS event_time")
+    got = {(r.expected_event_type, r.missing_duration_seconds) for r in
+           quality.missing_event_gaps(ev, AS_OF, "30 DAYS", 3600, by_type=True).collect()}
+    assert got == {("any", 5400), ("a", 7200), ("b", 10200)}
+    short = quality.missing_event_gaps(ev, AS_OF, "30 DAYS", 1799).collect()
+    assert sorted(r.missing_duration_seconds for r in short) == [1800, 1800, 3000, 5400]
+
+
+def test_every_purchase_closes_once_the_source_ended(spark):
+    bought = spark.createDataFrame([("1", 1, 5.0), ("2", 1, 6.0), ("3", 2, 7.0)], "event_id string, user_id int, premium_amount double")
+    bought = bought.selectExpr("event_id", "user_id", "DATE'2024-01-01' AS event_date", "premium_amount")
+    emitted = bought.filter("event_id <> '3'").selectExpr("*", "CASE event_id WHEN '1' THEN 'o1' END AS order_id")
+    got = {(r.event_id, r.order_id) for r in streams.close_purchase_orders(emitted, bought).collect()}
+    assert got == {("1", "o1"), ("2", None), ("3", None)}
