@@ -71,13 +71,16 @@ def _check_row(df: DataFrame, as_of: str, table: str, check_type: str, name: str
 # ---- D1-D3 ---------------------------------------------------------------
 def check_completeness(events: DataFrame, as_of: str, days: int = 1,
                        pass_pct: float = 99.5, warn_pct: float = 95.0) -> DataFrame:
-    """Share of recent events with a user id; status on the unrounded percent."""
+    """Share of recent events with a user id; status on the unrounded percent.
+
+    Without recent events there is no share: the check fails with high severity.
+    """
     recent = F.col("event_date") >= F.date_sub(as_of_ts(as_of).cast("date"), days)
     n = _scalar(events, F.count_if(recent))
     ok = _scalar(events, F.count_if(recent & (F.col("user_id") > 0)))
     p = safe_ratio(ok * 100.0, n)
     status = ladder(p, [(p >= pass_pct, "pass"), (p >= warn_pct, "warning")], "fail")
-    sev = F.when(p < warn_pct, "high").otherwise("low")
+    sev = F.when(p.isNull() | (p < warn_pct), "high").otherwise("low")
     miss = n - ok
     affected = sample_ids(events.filter(recent & (~(F.col("user_id") > 0) | F.col("user_id").isNull())),
                           "event_id")
@@ -388,7 +391,9 @@ def outliers_iqr(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
     if not group_cols:
         j = df.select("*", q.select("q1").scalar().alias("q1"), q.select("q3").scalar().alias("q3"))
     else:
-        j = df.join(q, list(group_cols))
+        names = {c: f"_group_{i}" for i, c in enumerate(group_cols)}
+        same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]      # rows without a group are one group
+        j = df.join(q.withColumnsRenamed(names), same).drop(*names.values())
     j = (j.withColumn("lower_bound", F.col("q1") - k * (F.col("q3") - F.col("q1")))
           .withColumn("upper_bound", F.col("q3") + k * (F.col("q3") - F.col("q1"))))
     return j.filter((v < F.col("lower_bound")) | (v > F.col("upper_bound")))
@@ -419,9 +424,9 @@ def critical_alerts(check_log: DataFrame, as_of: str, within: str = "1 HOUR") ->
 
 
 # ---- D22-D30 ----------------------------------------------------------------------
-# Value ranges from the stored column widths.
+# Value ranges of the stored columns; user ids are as wide as a long.
 RANGE_RULES = [
-    ("user_id", 0, 65535), ("premium_amount", 0, 4294967295), ("event_hour", 0, 23),
+    ("user_id", 0, 9223372036854775807), ("premium_amount", 0, 4294967295), ("event_hour", 0, 23),
     ("event_day_of_week", 1, 7), ("is_purchase", 0, 1), ("user_tenure_days", 0, 65535),
 ]
 

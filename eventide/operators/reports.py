@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.columns import as_of_ts, impact_rank, lookback, severity_rank
+from eventide.functions.columns import impact_rank, lookback, severity_rank
 
 
 def health_dashboard(health: DataFrame, as_of: str, within: str = "1 HOUR") -> DataFrame:
@@ -98,8 +98,3 @@ def lineage_report(lineage: DataFrame, as_of: str, within: str = "24 HOURS") ->
                  F.round(F.avg("record_loss_percent"), 4).alias("avg_loss_percent"),
                  F.count(F.lit(1)).alias("transformation_count"))
             .orderBy(F.desc("avg_loss_percent"), "transformation_step"))
-
-
-def stamp(df: DataFrame, col: str, as_of: str) -> DataFrame:
-    """Set a log's time column to the run's as_of (jobs are stamped, not wall-clocked)."""
-    return df.withColumn(col, as_of_ts(as_of))

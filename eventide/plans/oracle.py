@@ -470,7 +470,7 @@ cte("chk_orphans", _check(
     "FROM (SELECT n, bad, round(100.0 * bad / n, 2) AS p FROM "
     "(SELECT (SELECT count(*) FROM store) AS n, (SELECT count(*) FROM orph) AS bad))"), "store", "orph")
 
-RANGE_RULES = [("user_id", 0, 65535), ("premium_amount", 0, 4294967295), ("event_hour", 0, 23),
+RANGE_RULES = [("user_id", 0, 9223372036854775807), ("premium_amount", 0, 4294967295), ("event_hour", 0, 23),
                ("event_day_of_week", 1, 7), ("is_purchase", 0, 1), ("user_tenure_days", 0, 65535)]
 cte("range_rules", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({lo} AS BIGINT) AS min_value, CAST({hi} AS BIGINT) AS max_value, "

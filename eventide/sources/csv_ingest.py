@@ -89,11 +89,21 @@ def ingest_report(parsed: DataFrame) -> DataFrame:
     ).withColumn("success_rate", pct(F.col("sent_rows"), F.col("total_rows")))
 
 
-def parse_user_lines(lines: DataFrame, as_of: str) -> DataFrame:
-    """S3: users CSV to typed rows stamped with created_at/updated_at."""
+def _user_fields(lines: DataFrame) -> DataFrame:
     p = F.from_csv(F.col("value"), USER_CSV_TEXT.simpleString(), _CSV_OPTS)
-    rows = lines.filter(F.col("value") != USER_HEADER).select(p.alias("f"))
-    return rows.select(
+    return lines.filter(~F.col("value").eqNullSafe(USER_HEADER)).select("value", p.alias("f"))
+
+
+def user_rejects(lines: DataFrame) -> DataFrame:
+    """S3: the lines that give no user, with the reason; with ``parse_user_lines`` they make up all lines."""
+    user = F.col("f.user_id")
+    return (_user_fields(lines).filter(user.try_cast("int").isNull())
+            .select("value", F.when(user.isNull(), "missing user_id").otherwise("bad user_id").alias("reject_reason")))
+
+
+def parse_user_lines(lines: DataFrame, as_of: str) -> DataFrame:
+    """S3: users CSV to typed rows stamped with created_at/updated_at; ``user_rejects`` has the other lines."""
+    return _user_fields(lines).select(
         F.col("f.user_id").try_cast("int").alias("user_id"),
         F.try_to_date(F.col("f.signup_date"), "yyyy-MM-dd").alias("signup_date"),
         F.col("f.city").alias("city"),

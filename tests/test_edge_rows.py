@@ -278,3 +278,23 @@ def test_every_purchase_closes_once_the_source_ended(spark):
     emitted = bought.filter("event_id <> '3'").selectExpr("*", "CASE event_id WHEN '1' THEN 'o1' END AS order_id")
     got = {(r.event_id, r.order_id) for r in streams.close_purchase_orders(emitted, bought).collect()}
     assert got == {("1", "o1"), ("2", None), ("3", None)}
+
+
+def test_user_lines_are_rows_or_rejects(spark):
+    lines = _lines(spark, [csv_ingest.USER_HEADER, "1,2023-02-01,Harbor,Mobile", "x,2023-02-01,Lake,Mobile", ",,,", None])
+    assert [r.user_id for r in csv_ingest.parse_user_lines(lines, AS_OF).collect()] == [1]
+    got = [(r.value, r.reject_reason) for r in csv_ingest.user_rejects(lines).collect()]
+    assert got == [("x,2023-02-01,Lake,Mobile", "bad user_id"), (",,,", "missing user_id"), (None, "missing user_id")]
+
+
+def test_outliers_of_rows_without_a_group(spark):
+    df = spark.createDataFrame([(i, g, v) for g in (None, "a") for i, v in enumerate([1.0] * 5 + [2.0] * 5 + [90.0])],
+                               "id int, g string, v double")
+    got = quality.outliers_iqr(df, "v", ["g"]).collect()
+    assert sorted((r.g or "", r.v) for r in got) == [("", 90.0), ("a", 90.0)]
+
+
+def test_completeness_of_a_day_without_events(spark):
+    ev = spark.createDataFrame([], "event_id bigint, user_id int, event_date date")
+    row = quality.check_completeness(ev, AS_OF).first()
+    assert (row.status, row.severity) == ("fail", "high")
