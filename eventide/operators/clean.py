@@ -46,6 +46,12 @@ def event_key(df: DataFrame, cols: list[str] | None = None, name: str = "event_k
     return df.withColumn(name, F.xxhash64(*[F.col(c) for c in cols]))
 
 
+def key_classes(keyed: DataFrame, key: str = "event_key") -> DataFrame:
+    """Events that share a key: the smallest event id of each class and its number of deliveries."""
+    return (keyed.groupBy(key).agg(F.min("event_id").alias("class_id"), F.count(F.lit(1)).alias("deliveries"))
+            .drop(key))
+
+
 def finalize_processed(df: DataFrame, as_of: str) -> DataFrame:
     """Lineage columns and the 17-column processed-event layout."""
     return (df.withColumn("processing_time", as_of_ts(as_of))

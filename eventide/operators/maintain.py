@@ -46,6 +46,33 @@ def retain_recent(df: DataFrame, ts_col: str, days: int, as_of: str) -> DataFram
     return df.filter(F.col(ts_col) > as_of_ts(as_of) - F.make_dt_interval(days=F.lit(days)))
 
 
+# Days each stored table is kept, by its time column.
+RETENTION = {
+    "processed_events_storage": ("event_time", 365),
+    "session_metrics": ("first_event_time", 365),
+    "unified_order_details_storage": ("order_date", 365),
+    "purchase_events_denormalized": ("event_time", 365),
+    "pipeline_health_status": ("check_time", 90),
+    "data_quality_checks": ("check_time", 180),
+    "schema_drift_monitoring": ("change_time", 365),
+    "sync_lag_metrics": ("metric_time", 30),
+    "missing_event_alerts": ("alert_time", 90),
+    "load_performance_metrics": ("load_time", 60),
+    "data_lineage_tracking": ("lineage_time", 90),
+}
+
+
+def retain_table(df: DataFrame, table: str, as_of: str) -> DataFrame:
+    """U4 by table: rows within the table's own age.  A table stored by ``month`` is pruned to the months that
+    can hold such rows, so expired partitions are never read."""
+    ts_col, days = RETENTION[table]
+    kept = retain_recent(df, ts_col, days, as_of)
+    if "month" in df.columns:
+        first = F.date_format(as_of_ts(as_of) - F.make_dt_interval(days=F.lit(days)), "yyyyMM")
+        kept = kept.filter(F.col("month").cast("string") >= first)
+    return kept
+
+
 def point_lookup(df: DataFrame, column: str, value) -> DataFrame:
     """Rows with column == value (pushed to the parquet reader / bloom filters)."""
     return df.filter(F.col(column) == value)

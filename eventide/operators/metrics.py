@@ -144,6 +144,27 @@ def daily_metrics_rollup(partials: DataFrame, with_sketches: bool = False) -> Da
     return out.withColumn("avg_premium", F.round(safe_ratio(F.col("total_premium"), F.col("total_events")), 4))
 
 
+SKETCH_ERROR = 0.1   # relative error allowed: six standard errors of a sketch of 2^12 buckets
+
+
+def sketch_accuracy(events: DataFrame) -> DataFrame:
+    """A15 with its distinct counts checked: exact counts, and whether each estimate lies within ``SKETCH_ERROR``."""
+    merged = daily_metrics_rollup(daily_metrics_partials(events), with_sketches=True).alias("m")
+    exact = daily_aggregate_metrics(events).select(*DAILY_KEYS, "unique_users", "unique_sessions").alias("x")
+    same = F.lit(True)
+    for c in DAILY_KEYS:
+        same = same & F.col(f"m.{c}").eqNullSafe(F.col(f"x.{c}"))
+
+    def within(estimate: str, count: str):
+        return F.abs(F.col(estimate) - F.col(count)) <= F.col(count) * SKETCH_ERROR
+
+    return merged.join(exact, same).select(
+        "m.*", "unique_users", "unique_sessions",
+        within("approx_unique_users", "unique_users").alias("users_within"),
+        within("approx_unique_sessions", "unique_sessions").alias("sessions_within"),
+    ).drop("approx_unique_users", "approx_unique_sessions")
+
+
 def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Row count per named table (one small aggregate each, unioned)."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")

@@ -224,7 +224,7 @@ def hourly_counts(events: DataFrame, ts_col: str = "event_time") -> DataFrame:
 # ---- D6 payload drift --------------------------------------------------------
 # The processed-event payload contract (field, type).
 PAYLOAD_CONTRACT = [
-    ("event_id", "bigint"), ("event_time", "timestamp"), ("user_id", "int"),
+    ("event_id", "bigint"), ("event_time", "timestamp"), ("user_id", "bigint"),
     ("session_id", "string"), ("event_type", "string"), ("channel", "string"),
     ("premium_amount", "bigint"), ("signup_date", "date"), ("city", "string"),
     ("device_type", "string"), ("user_tenure_days", "int"), ("event_date", "date"),

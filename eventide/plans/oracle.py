@@ -21,7 +21,7 @@ def cte(name: str, sql: str, *deps: str) -> None:
 cte("raw_events", """
 SELECT event_id,
        CAST(date_trunc('second', ts) AS TIMESTAMP) AS event_time,
-       CAST(user_id AS INTEGER) AS user_id,
+       CAST(user_id AS BIGINT) AS user_id,
        concat('s_', CAST(user_id AS VARCHAR), '_', strftime(ts, '%Y%m%d')) AS session_id,
        event_type,
        (['Google Ads','SEO','Email','Referral','Direct'])[CAST(json_extract_string(props, '$.k') AS INTEGER) % 5 + 1] AS channel,
@@ -29,7 +29,7 @@ SELECT event_id,
 FROM events""")
 
 cte("users", """
-SELECT CAST(c_custkey AS INTEGER) AS user_id,
+SELECT CAST(c_custkey AS BIGINT) AS user_id,
        DATE '2023-01-01' + CAST(c_custkey % 365 AS INTEGER) AS signup_date,
        n_name AS city,
        CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'Desktop'
@@ -115,7 +115,7 @@ oracle("daily_event_metrics", "SELECT * FROM daily_ev", "daily_ev", dates=("metr
 
 # ---- order side: stand-in product tables and payments ----------------------
 cte("product_orders", """
-SELECT o_orderkey AS order_id, CAST(o_custkey AS INTEGER) AS user_id,
+SELECT o_orderkey AS order_id, CAST(o_custkey AS BIGINT) AS user_id,
        concat('P', CAST(o_orderkey AS VARCHAR)) AS policy_number,
        (['third_party','body_injury','medical','fire'])[CAST(o_orderkey % 4 AS INTEGER) + 1] AS insurance_type,
        CAST(round(o_totalprice) AS BIGINT) AS coverage_amount,
@@ -328,6 +328,9 @@ SELECT * FROM users WHERE user_id > (SELECT max(user_id) FROM users WHERE user_i
 oracle("write_partitioned", """
 SELECT * REPLACE (coalesce(insurance_type, 'none') AS insurance_type), strftime(event_date, '%Y%m') AS month
 FROM denorm""", "denorm", dates=DENORM_DATES)
+oracle("event_key", """
+SELECT min(event_id) AS class_id, CAST(2 * count(*) AS BIGINT) AS deliveries
+FROM store GROUP BY event_time, user_id, session_id, event_type, channel, premium_amount""", "store")
 oracle("scalar_functions", f"""
 SELECT event_id,
        strptime(strftime(event_time, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed_time,
@@ -364,6 +367,11 @@ oracle("daily_metrics_rollup", """
 SELECT metric_date, channel, city, device_type, total_events, total_premium, purchase_events,
        total_users_with_premium, round(CAST(total_premium AS DOUBLE) / total_events, 4) AS avg_premium
 FROM daily_agg""", "daily_agg", dates=("metric_date",))
+oracle("daily_metrics_rollup_sketch", """
+SELECT metric_date, channel, city, device_type, total_events, total_premium, purchase_events,
+       total_users_with_premium, round(CAST(total_premium AS DOUBLE) / total_events, 4) AS avg_premium,
+       unique_users, unique_sessions, TRUE AS users_within, TRUE AS sessions_within
+FROM daily_agg""", "daily_agg", dates=("metric_date",))
 oracle("session_metrics", "SELECT * FROM sessions", "sessions", arrays=("event_sequence",))
 oracle("session_kpis", """
 SELECT round(avg(session_duration_seconds), 4) AS avg_session_duration,
@@ -412,6 +420,21 @@ SELECT * FROM (SELECT * FROM store
                UNION ALL SELECT * REPLACE (ingestion_time + INTERVAL 1 MINUTE AS ingestion_time) FROM store)
 QUALIFY row_number() OVER (PARTITION BY event_date, event_id ORDER BY ingestion_time DESC) = 1""",
        "store", dates=STORE_DATES)
+oracle("retained_tables", f"""
+SELECT 'processed_events_storage' AS table_name, 365 AS days, count(*) AS rows_before,
+       count(*) FILTER (WHERE event_time > TIMESTAMP '2025-01-15 00:00:00' - INTERVAL 365 DAY) AS rows_kept FROM store
+UNION ALL SELECT 'session_metrics', 365, count(*),
+       count(*) FILTER (WHERE first_event_time > TIMESTAMP '2025-01-15 00:00:00' - INTERVAL 365 DAY) FROM sessions
+UNION ALL SELECT 'purchase_events_denormalized', 365, count(*),
+       count(*) FILTER (WHERE event_time > TIMESTAMP '2025-01-15 00:00:00' - INTERVAL 365 DAY) FROM denorm""",
+       "store", "sessions", "denorm")
+oracle("layout_lookup", """
+SELECT 'session' AS lookup, event_id, user_id, event_time, CAST(NULL AS VARCHAR) AS policy_number
+FROM store WHERE session_id = (SELECT session_id FROM store ORDER BY event_time, event_id LIMIT 1)
+UNION ALL
+SELECT 'policy', event_id, user_id, event_time, policy_number
+FROM denorm WHERE policy_number = (SELECT policy_number FROM denorm WHERE policy_number IS NOT NULL
+                                   ORDER BY event_time, event_id, policy_number LIMIT 1)""", "store", "denorm")
 oracle("retain_recent", f"SELECT * FROM store WHERE event_time > {AS_OF} - INTERVAL 7 DAY", "store",
        dates=STORE_DATES)
 oracle("point_lookup", """

@@ -197,7 +197,7 @@ def q_event_gaps(t):
 # ---- sources / sinks -----------------------------------------------------------
 from eventide.functions.columns import as_of_ts, parse_time_best_effort, safe_ratio, seconds_between  # noqa: E402
 from eventide.operators import quality, reports  # noqa: E402
-from eventide.plans import quality_run  # noqa: E402
+from eventide.plans import quality_run, serving  # noqa: E402
 from eventide.session import scratch_path  # noqa: E402
 from eventide.sources import csv_ingest, incremental, layout, topic  # noqa: E402
 from eventide.schemas import PROCESSED_COLUMNS  # noqa: E402
@@ -277,7 +277,8 @@ def q_write_partitioned(t):
 
 @register("event_key")
 def q_event_key(t):
-    return clean.event_key(clean.clean_events(_raw(t))).select("event_id", "event_key")
+    """P3 over events delivered twice: both deliveries of an event share its key, different events do not."""
+    return clean.key_classes(clean.event_key(quality_run.double_delivery(_store(t))))
 
 
 @register("scalar_functions")
@@ -346,7 +347,7 @@ def q_daily_metrics_rollup(t):
 
 @register("daily_metrics_rollup_sketch")
 def q_daily_metrics_rollup_sketch(t):
-    return metrics.daily_metrics_rollup(metrics.daily_metrics_partials(_store(t)), with_sketches=True)
+    return metrics.sketch_accuracy(_store(t))
 
 
 @register("table_row_counts")
@@ -391,6 +392,41 @@ def q_retain_recent(t):
     return maintain.retain_recent(_store(t), "event_time", 7, AS_OF)
 
 
+#: A date at which the first weeks of the stored events have passed their age.
+RETENTION_AS_OF = "2025-01-15 00:00:00"
+
+
+@register("retained_tables")
+def q_retained_tables(t):
+    """U4 on the stored layout: each table rewritten without its expired rows, by its own age."""
+    paths = serving.write_tables(t, AS_OF)
+    kept = {table: serving.rewrite_retained(t.spark, table, path, RETENTION_AS_OF) for table, path in paths.items()}
+    before = metrics.table_row_counts({n: t.spark.read.parquet(p) for n, p in paths.items()})
+    after = metrics.table_row_counts({n: t.spark.read.parquet(p) for n, p in kept.items()})
+    days = F.lit(None)
+    for table in paths:
+        days = F.when(F.col("table_name") == table, maintain.RETENTION[table][1]).otherwise(days)
+    return (before.withColumnRenamed("row_count", "rows_before")
+            .join(after.withColumnRenamed("row_count", "rows_kept"), "table_name")
+            .withColumn("days", days))
+
+
+@register("layout_lookup")
+def q_layout_lookup(t):
+    """U6 on the stored layout: the session of the earliest event, and the policy of the earliest insured purchase."""
+    paths = serving.write_tables(t, AS_OF)
+    store = t.spark.read.parquet(paths["processed_events_storage"])
+    denorm = t.spark.read.parquet(paths["purchase_events_denormalized"])
+    first_event = store.orderBy("event_time", "event_id").select("session_id").first()
+    insured = denorm.filter(F.col("policy_number").isNotNull())
+    first_policy = insured.orderBy("event_time", "event_id", "policy_number").select("policy_number").first()
+    by_session = maintain.point_lookup(store, "session_id", first_event and first_event[0])
+    by_policy = maintain.point_lookup(denorm, "policy_number", first_policy and first_policy[0])
+    cols = ["event_id", "user_id", "event_time"]
+    return (by_session.select(F.lit("session").alias("lookup"), *cols, F.lit(None).cast("string").alias("policy_number"))
+            .unionByName(by_policy.select(F.lit("policy").alias("lookup"), *cols, "policy_number")))
+
+
 @register("point_lookup")
 def q_point_lookup(t):
     """Lookup by the session of the earliest event (a key Spark derives; one row)."""
@@ -403,7 +439,7 @@ def q_point_lookup(t):
 def q_upsert_users(t):
     """Household-segment customers move to mobile devices in a version-2 change set."""
     cur = fixtures.users_versioned(t.customer, t.nation)
-    hh = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(F.col("c_custkey").cast("int").alias("user_id"))
+    hh = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(F.col("c_custkey").cast("bigint").alias("user_id"))
     changes = (cur.join(hh, "user_id", "left_semi")
                .withColumn("device_type", F.lit("Mobile"))
                .withColumn("updated_at", as_of_ts(AS_OF))
@@ -612,21 +648,19 @@ def q_quality_run(t):
 from eventide.schemas import RAW_EVENT_STREAM  # noqa: E402
 from eventide.streaming import streams  # noqa: E402
 
-STREAM_FILES = 8
-
 
 def _stream_of(t, df, name, time_col=None, max_files=None, to_ltz=None):
     """Stage a derived frame as a source directory and open it as a stream."""
     if to_ltz:
         df = streams.to_stream_time(df, to_ltz)
-    path = streams.stage(df, name, time_col, STREAM_FILES)
+    path = streams.stage(df, name, time_col)
     return streams.read_stream(t.spark, path, df.schema, max_files)
 
 
 @register("stream_ingest")
 def q_stream_ingest(t):
     payloads = topic.encode_processed(etl.processed_events(t, AS_OF))
-    path = streams.stage(payloads, "processed-topic", "offset", STREAM_FILES)
+    path = streams.stage(payloads, "processed-topic", "offset")
     good, _ = streams.stream_ingest(t.spark, path, AS_OF, max_files=2)
     return t.spark.read.parquet(good).drop("epoch")
 
@@ -661,7 +695,7 @@ def q_stream_session_metrics(t):
 def q_stream_purchase_orders(t):
     """T6 over the whole source: every purchase with its orders, or without one."""
     staged = streams.to_stream_time(etl.purchases(t, AS_OF))
-    path = streams.stage(staged, "purchases", "event_time", STREAM_FILES)
+    path = streams.stage(staged, "purchases", "event_time")
     p = streams.read_stream(t.spark, path, staged.schema)
     u = (orders_flow.unified(t, columns=["order_date", "policy_number", "premium_amount"])
          .withColumn("order_ts", streams.ntz_to_instant(F.col("order_date"))))
@@ -672,7 +706,7 @@ def q_stream_purchase_orders(t):
 
 def _user_changes(t):
     cur = fixtures.users_versioned(t.customer, t.nation)
-    hh = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(F.col("c_custkey").cast("int").alias("user_id"))
+    hh = t.customer.filter(F.col("c_mktsegment") == "HOUSEHOLD").select(F.col("c_custkey").cast("bigint").alias("user_id"))
     return (cur.join(hh, "user_id", "left_semi").withColumn("device_type", F.lit("Mobile"))
             .withColumn("updated_at", as_of_ts(AS_OF)).withColumn("version", F.lit(2)))
 

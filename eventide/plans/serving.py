@@ -13,27 +13,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from eventide import AS_OF
-from eventide.operators import metrics, orders, reports
+from eventide.operators import maintain, metrics, orders, reports
 from eventide.plans import etl, orders_flow, quality_run
 from eventide.session import scratch_path
 from eventide.sources.layout import write_partitioned
 from eventide.sources.tables import Tables
 
 
-def materialize(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:
-    root = root or scratch_path(t.spark, "serving")
-    paths = {"store": f"{root}/processed_events_storage", "sessions": f"{root}/session_metrics",
-             "denorm": f"{root}/purchase_events_denormalized"}
-    write_partitioned(etl.stored_events(t, as_of), paths["store"], "event_date", (),
-                      ("event_date", "event_id"), ("session_id",))
+#: Per table: date column, partition columns after the month, sort columns, bloom filters.
+LAYOUT = {
+    "processed_events_storage": ("event_date", (), ("event_date", "event_id"), ("session_id",)),
+    "session_metrics": ("first_event_time", (), ("session_id",), ("session_id",)),
+    "purchase_events_denormalized": ("event_date", ("insurance_type",), ("event_date", "event_id"), ("policy_number",)),
+}
+
+
+def write_tables(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:
+    """The three warehouse tables by month, each written once; returns their folders by table name."""
+    root = root or scratch_path(t.spark, "warehouse")
+    paths = {n: f"{root}/{n}" for n in LAYOUT}
+    write_partitioned(etl.stored_events(t, as_of), paths["processed_events_storage"],
+                      *LAYOUT["processed_events_storage"])
     # the written table is the input of the other two: no separate checkpoint of the store
-    store = t.spark.read.parquet(paths["store"]).drop("month")
-    write_partitioned(metrics.session_metrics(store), paths["sessions"], "first_event_time", (),
-                      ("session_id",), ("session_id",))
+    store = t.spark.read.parquet(paths["processed_events_storage"]).drop("month")
+    write_partitioned(metrics.session_metrics(store), paths["session_metrics"], *LAYOUT["session_metrics"])
     purchases = store.filter("event_type = 'purchase'")
     denorm = orders.denormalize(purchases, orders_flow.unified(t), orders_flow.payments(t), as_of)
-    write_partitioned(denorm, paths["denorm"], "event_date", ("insurance_type",),
-                      ("event_date", "event_id"), ("policy_number",))
+    write_partitioned(denorm, paths["purchase_events_denormalized"], *LAYOUT["purchase_events_denormalized"])
+    return paths
+
+
+def rewrite_retained(spark: SparkSession, table: str, path: str, as_of: str) -> str:
+    """U4 on a stored table: the rows within its age, written by the same layout to a new folder, so readers of
+    the old one are not disturbed and a rerun after a failure starts afresh.  Expired months are not read."""
+    out = scratch_path(spark, f"{table}-retained")
+    kept = maintain.retain_table(spark.read.parquet(path), table, as_of).drop("month")
+    write_partitioned(kept, out, *LAYOUT[table])
+    return out
+
+
+def materialize(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:
+    root = root or scratch_path(t.spark, "serving")
+    tables = write_tables(t, as_of, root)
+    paths = {"store": tables["processed_events_storage"], "sessions": tables["session_metrics"],
+             "denorm": tables["purchase_events_denormalized"]}
     logs = quality_run.run(t, as_of, f"{root}/monitor-logs")
     return paths | {"checks": logs["data_quality_checks"], "health": logs["pipeline_health_status"],
                     "lineage": logs["data_lineage_tracking"]}

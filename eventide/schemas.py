@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 # Raw event as sent on the events topic / stored in the events CSV.
 RAW_EVENT_JSON = T.StructType([
     T.StructField("event_time", T.StringType()),
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("session_id", T.StringType()),
     T.StructField("event_type", T.StringType()),
     T.StructField("channel", T.StringType()),
@@ -33,7 +33,7 @@ PROCESSED_COLUMNS = [
 PROCESSED_TEXT = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("event_time", T.StringType()),
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("session_id", T.StringType()),
     T.StructField("event_type", T.StringType()),
     T.StructField("channel", T.StringType()),
@@ -54,7 +54,7 @@ PROCESSED_TEXT = T.StructType([
 RAW_EVENT_STREAM = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("event_time", T.TimestampType()),
-    T.StructField("user_id", T.IntegerType()),
+    T.StructField("user_id", T.LongType()),
     T.StructField("session_id", T.StringType()),
     T.StructField("event_type", T.StringType()),
     T.StructField("channel", T.StringType()),

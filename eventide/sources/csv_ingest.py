@@ -53,7 +53,7 @@ def parse_event_lines(lines: DataFrame) -> DataFrame:
     p = F.from_csv(F.concat(F.col("value"), F.lit("," + _SENTINEL)), _EVENT_CSV_PLUS, _CSV_OPTS)
     parsed = (lines.filter(F.col("value") != EVENT_HEADER)
               .select(F.col("value").alias("line"), p.alias("f")))
-    uid = F.col("f.user_id").try_cast("int")
+    uid = F.col("f.user_id").try_cast("bigint")
     prem_txt = F.trim(F.col("f.premium_amount"))
     prem = (F.when(prem_txt.isNull() | (prem_txt == ""), F.lit(0).cast("bigint"))
             .otherwise(prem_txt.try_cast("bigint")))
@@ -104,7 +104,7 @@ def user_rejects(lines: DataFrame) -> DataFrame:
 def parse_user_lines(lines: DataFrame, as_of: str) -> DataFrame:
     """S3: users CSV to typed rows stamped with created_at/updated_at; ``user_rejects`` has the other lines."""
     return _user_fields(lines).select(
-        F.col("f.user_id").try_cast("int").alias("user_id"),
+        F.col("f.user_id").try_cast("bigint").alias("user_id"),
         F.try_to_date(F.col("f.signup_date"), "yyyy-MM-dd").alias("signup_date"),
         F.col("f.city").alias("city"),
         F.col("f.device_type").alias("device_type"),

@@ -36,7 +36,7 @@ def raw_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id"),
         F.date_trunc("second", ts).cast("timestamp_ntz").alias("event_time"),
-        F.col("user_id").cast("int").alias("user_id"),
+        F.col("user_id").cast("bigint").alias("user_id"),
         F.concat(F.lit("s_"), F.col("user_id").cast("string"), F.lit("_"),
                  F.date_format(ts, "yyyyMMdd")).alias("session_id"),
         F.col("event_type"),
@@ -57,7 +57,7 @@ def users(customer: DataFrame, nation: DataFrame) -> DataFrame:
               .when(seg == "FURNITURE", "Mobile")
               .otherwise("Tablet"))
     return c.join(n, c.c_nationkey == n.n_nationkey).select(
-        F.col("c_custkey").cast("int").alias("user_id"),
+        F.col("c_custkey").cast("bigint").alias("user_id"),
         F.date_add(F.lit(SIGNUP_BASE).cast("date"), (F.col("c_custkey") % 365).cast("int")).alias("signup_date"),
         F.col("n_name").alias("city"),
         device.alias("device_type"),
@@ -80,7 +80,7 @@ def product_orders(orders: DataFrame) -> DataFrame:
               .when(F.col("o_orderstatus") == "O", "pending").otherwise("cancelled"))
     return orders.select(
         k.alias("order_id"),
-        F.col("o_custkey").cast("int").alias("user_id"),
+        F.col("o_custkey").cast("bigint").alias("user_id"),
         F.concat(F.lit("P"), k.cast("string")).alias("policy_number"),
         _pick(INSURANCE_TYPES, k % 4).alias("insurance_type"),
         F.round(F.col("o_totalprice")).cast("bigint").alias("coverage_amount"),

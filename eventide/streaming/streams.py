@@ -24,8 +24,10 @@ from eventide.session import scratch_path
 from eventide.sources import topic
 
 
-def stage(df: DataFrame, name: str, time_col: str | None = None, files: int = 8) -> str:
-    """Write a DataFrame as a stream source directory (files cover time ranges)."""
+def stage(df: DataFrame, name: str, time_col: str | None = None, files: int | None = None) -> str:
+    """Write a DataFrame as a stream source directory (files cover time ranges); unless
+    given, as many files as the session has shuffle partitions, whose number follows the input."""
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(df.sparkSession, f"{name}-source")
     out = df.repartitionByRange(files, time_col) if time_col else df.repartition(files)
     out.write.parquet(path)

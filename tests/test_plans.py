@@ -39,4 +39,20 @@ def test_check_log_counters_merge_into_one_subquery(spark, sf_dir):
 def test_denormalised_join_meets_reduced_orders(spark, sf_dir):
     # orders are reduced per (user, day, type) before the purchase join
     plan = _optimized(raw_queries()["dedup_denormalized"](spark, sf_dir))
-    assert re.search(r"Aggregate \[user_id#\d+, order_date#\d+, insurance_type#\d+\]", plan)
+    assert re.search(r"Aggregate \[user_id#\d+L?, order_date#\d+, insurance_type#\d+\]", plan)
+
+
+def test_stored_lookup_and_retention_prune(spark, sf_dir):
+    """Lookups reach the file reader; expired months are pruned as partitions."""
+    from eventide.operators import maintain
+    from eventide.plans import serving
+    from eventide.sources.tables import Tables
+    paths = serving.write_tables(Tables(spark, sf_dir))
+    denorm = paths["purchase_events_denormalized"]
+    plan = _physical(maintain.point_lookup(spark.read.parquet(denorm), "policy_number", "P17"))
+    assert "EqualTo(policy_number,P17)" in plan
+    store = spark.read.parquet(paths["processed_events_storage"])
+    assert "EqualTo(session_id,s_1)" in _physical(maintain.point_lookup(store, "session_id", "s_1"))
+    kept = maintain.retain_table(store, "processed_events_storage", "2026-01-01 00:00:00")
+    assert re.search(r"PartitionFilters: \[[^\]]*month", _physical(kept)) and kept.count() == 0
+    assert maintain.retain_table(store, "processed_events_storage", "2024-01-31 00:00:00").count() == store.count()
