@@ -2,14 +2,22 @@
 
 1. Personal data of fixed form (email, ip, card, phone) is found in every text.
    Its normalised values are the protected entities.
-2. A term (a word, A-Z lowered, outer ASCII punctuation cut off) standing within
-   ``CONTEXT`` words of an entity co-occurs with it.  Over all documents the
+   So are the classes they belong to: an email's domain, an ip's first three
+   numbers, a card's first six digits, a phone's digits but the last four.
+2. A term (a word, A-Z lowered, outer ASCII punctuation cut off) co-occurs with
+   every entity of its document, wherever both stand.  Over all documents the
    counts df(term), df(entity) and co(term, entity) give the share of the
    entity's information that the term discloses, PMI(term; entity) / IC(entity)
    = log(co N / (df(term) df(entity))) / log(N / df(entity)).
-3. A term that reaches ``GENERALISE`` for some entity, supported by at least
-   ``SUPPORT`` different texts (copies of one text are one witness), is
-   generalised to its shape wherever it stands; from ``REMOVE`` on it is removed.
+3. A small sample may reach any share by chance.  For each pair the chance that
+   independent term and entity meet in at least as many different texts, given
+   that they meet (hypergeometric tail; copies of a text with the entity are one
+   witness), is bounded, and the pairs are kept that hold the rate of false
+   ones at ``CHANCE`` (Benjamini-Hochberg over all pairs tested).  One text in
+   common proves nothing (its chance is 1), so an entity or a term of one text
+   is not paired; neither is a term too frequent to reach ``GENERALISE``.
+4. A kept term that reaches ``GENERALISE`` for some entity is generalised to its
+   shape wherever it stands; from ``REMOVE`` on it is removed.
 
 Terms above the threshold are sent to the tasks in blocks of bounded size.
 
@@ -23,6 +31,7 @@ the length of a text whatever it holds.
 from __future__ import annotations
 
 import bisect
+import math
 import re
 
 import numpy as np
@@ -32,8 +41,7 @@ from pyspark.sql import DataFrame, functions as F
 from eventide.llm import text as T
 from eventide.llm.components import written
 
-CONTEXT = 8
-SUPPORT = 3
+CHANCE = 0.05
 GENERALISE = 0.9
 REMOVE = 0.97
 BLOCK_TERMS = 1_000_000
@@ -131,51 +139,42 @@ def _meets(merged, a: int, b: int) -> bool:
     return k >= 0 and merged[1][k] > a
 
 
-def _near(text: str, spans):
-    """(entity, term) of every term within CONTEXT words of a span and outside all spans."""
-    out, taken = set(), _merged((a, b) for _, a, b in spans)
+def _entities(text: str, spans) -> set[str]:
+    """The protected values of a text and their classes."""
+    out = set()
     for kind, a, b in spans:
-        left = text[:a] if a < 4096 else text[_cut(text, a):a]
-        words = [m.span() for m in _WORD.finditer(left)][-CONTEXT:]
-        shift = a - len(left)
-        near = [(shift + s, shift + e) for s, e in words]
-        for k, m in enumerate(_WORD.finditer(text, b)):
-            if k == CONTEXT:
-                break
-            near.append(m.span())
-        for s, e in near:
-            if not _meets(taken, s, e) and (t := _term(text[s:e])):
-                out.add((_value(kind, text[a:b]), t))
+        value = _value(kind, text[a:b])
+        out.add(value)
+        v = value[len(kind) + 1:]
+        out.add({"email": f"email:@{v[v.index('@') + 1:]}" if kind == "email" else "", "ip": f"ip:{v.rpartition('.')[0]}.*",
+                 "card": f"card:{v[:6]}*", "phone": f"phone:{v[:-4]}*"}[kind])
     return out
 
 
-def _cut(text: str, a: int) -> int:
-    """A place before a from which CONTEXT words certainly lie before it, or the beginning."""
-    width = 4096
-    while width < a and sum(1 for _ in _WORD.finditer(text, a - width, a)) <= CONTEXT:
-        width *= 2
-    return max(0, a - width)
+def _terms(text: str, spans) -> set[str]:
+    """The terms of a text that stand outside all spans."""
+    taken = _merged((a, b) for _, a, b in spans)
+    return {t for m in _WORD.finditer(text) if not _meets(taken, *m.span()) and (t := _term(m.group()))}
 
 
 def _evidence(docs: DataFrame) -> DataFrame:
-    """(entity, term, hash) per document; a null term stands for the entity's occurrence itself."""
+    """(hash, entities, terms, n) of each different text with personal data; n: its documents."""
     def run(batches):
         for s in T.slices(batches):
-            entity, term, row = [], [], []
+            entities, terms, row = [], [], []
             for i, t in enumerate(s.column(0).to_pylist()):
-                spans = base_spans(t) if t else []
-                for e in {_value(k, t[a:b]) for k, a, b in spans}:
-                    entity.append(e)
-                    term.append(None)
-                    row.append(i)
-                for e, w in _near(t, spans) if spans else ():
-                    entity.append(e)
-                    term.append(w)
+                if t and (spans := base_spans(t)):
+                    entities.append(sorted(_entities(t, spans)))
+                    terms.append(sorted(_terms(t, spans)))
                     row.append(i)
             if row:
-                yield pa.RecordBatch.from_arrays([pa.array(entity), pa.array(term, pa.string()),
-                                                  s.column(1).take(pa.array(row))], names=["entity", "term", "hash"])
-    return docs.select("text", F.xxhash64("text").alias("hash")).mapInArrow(run, "entity string, term string, hash long")
+                yield pa.RecordBatch.from_arrays(
+                    [s.column(1).take(pa.array(row)), pa.array(entities, pa.list_(pa.string())),
+                     pa.array(terms, pa.list_(pa.string()))], names=["hash", "entities", "terms"])
+    return (docs.select("text", F.xxhash64("text").alias("hash"))
+            .mapInArrow(run, "hash long, entities array<string>, terms array<string>")
+            .groupBy("hash").agg(F.first("entities").alias("entities"), F.first("terms").alias("terms"),
+                                 F.count("*").alias("n")))
 
 
 def term_hashes(words: list[str]) -> np.ndarray:
@@ -218,29 +217,83 @@ def _document_counts(docs: DataFrame) -> DataFrame:
             .groupBy("term_hash").agg(F.sum("n").alias("df")))
 
 
-def disclosing_terms(docs: DataFrame, generalise: float = GENERALISE, support: int = SUPPORT) -> DataFrame:
-    """(term, disclosure): the largest share of an entity's information that the term discloses, where above the bound."""
+def _log_choose(n: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """log of the binomial coefficients; -inf where k is not in 0..n."""
+    ok = (k >= 0) & (k <= n)
+    n, k = np.where(ok, n, 0).astype(float), np.where(ok, k, 0).astype(float)
+    lg = np.frompyfunc(math.lgamma, 1, 1)
+    return np.where(ok, (lg(n + 1) - lg(k + 1) - lg(n - k + 1)).astype(float), -np.inf)
+
+
+def log_chance(met: np.ndarray, entity: np.ndarray, term: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """log10 of a bound on P(X >= met | X >= 1), X the common texts of independent sets of these sizes."""
+    met, entity, term, texts = (np.asarray(x, np.int64) for x in (met, entity, term, texts))
+    every = _log_choose(texts, term)
+    at = _log_choose(entity, met) + _log_choose(texts - entity, term - met) - every
+    step = (entity - met) * (term - met) / ((met + 1) * np.maximum(texts - entity - term + met + 1, 1))   # next over this
+    with np.errstate(divide="ignore", invalid="ignore"):
+        tail = at - np.log1p(-np.minimum(step, 1.0))        # the ratios fall, so a geometric sum bounds the tail
+        any_ = np.log(-np.expm1(np.minimum(_log_choose(texts - entity, term) - every, 0.0)))
+        out = np.where((met < 2) | (step >= 1), 0.0, tail - any_)
+    return np.minimum(np.nan_to_num(out, nan=0.0, posinf=0.0, neginf=-690.0), 0.0) / math.log(10)
+
+
+def _last_bin(bins: list[tuple[int, int]], tested: int, rate: float) -> int | None:
+    """The highest of the ascending (bin, pairs) that Benjamini-Hochberg accepts; bin b ends at 10 ** ((b + 1) / 100)."""
+    kept, out = 0, None
+    for b, n in bins:
+        kept += n
+        if 10 ** ((b + 1) / 100) * tested <= rate * kept:
+            out = b
+    return out
+
+
+def tested_pairs(docs: DataFrame, n: int, generalise: float = GENERALISE) -> DataFrame:
+    """(entity, term, co, met, df, df_entity, bin) of all pairs tested; met: different texts in common, bin: 100 log10 of the chance."""
     spark = docs.sparkSession
-    seen = written(spark, _evidence(docs).groupBy("entity", "term", "hash").agg(F.count("*").alias("n")), "pii-evidence")
-    entities = seen.filter("term is null").groupBy("entity").agg(F.sum("n").alias("df_entity"))
-    pairs = (seen.filter("term is not null").groupBy("entity", "term")
-             .agg(F.sum("n").alias("co"), F.count("*").alias("texts")).filter(F.col("texts") >= support))
+    seen = written(spark, _evidence(docs), "pii-evidence")
+    at = seen.select("hash", "n", F.explode("entities").alias("entity"))
+    entities = (at.groupBy("entity").agg(F.sum("n").alias("df_entity"), F.count("*").alias("texts"))
+                .filter((F.col("texts") > 1) & (F.col("df_entity") < n)))
+    at = written(spark, at.join(entities, "entity"), "pii-entities")
+    none = "entity string, term string, co long, met long, df long, df_entity long, bin int"
+    if at.isEmpty():
+        return spark.createDataFrame([], none)
 
     def hashed(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(term_hashes(b.column(1).to_pylist()).view(np.int64))],
-                                             names=[*b.schema.names, "term_hash"])
+                                             names=["hash", "term", "term_hash"])
+
+    words = (seen.join(at.select("hash").distinct(), "hash", "left_semi").select("hash", F.explode("terms").alias("term"))
+             .mapInArrow(hashed, "hash long, term string, term_hash long"))
+    words = words.join(_document_counts(docs).filter("df > 1"), "term_hash").select("hash", "term", "df")
+    reach = F.col("df_entity") * F.pow(F.lit(float(n)) / F.col("df_entity"), F.lit(1 - generalise))
+    pairs = (at.join(words, "hash").filter(F.col("df") <= reach + 1e-6).groupBy("entity", "term")
+             .agg(F.sum("n").alias("co"), F.count("*").alias("met"), F.first("df").alias("df"),
+                  F.first("df_entity").alias("df_entity"), F.first("texts").alias("texts")))
 
-    pairs = pairs.join(entities, "entity").mapInArrow(
-        hashed, "entity string, term string, co long, texts long, df_entity long, term_hash long")
-    pairs = written(spark, pairs, "pii-pairs")
-    if pairs.isEmpty():
-        return spark.createDataFrame([], "term string, disclosure double")
+    def judged(batches):
+        for b in batches:
+            co, met, df, df_entity, texts = (b.column(i).to_numpy() for i in range(2, 7))
+            chance = log_chance(met, texts, df - (co - met), n - (df_entity - texts))
+            yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(np.floor(100 * chance).astype(np.int32))],
+                                             names=["entity", "term", "co", "met", "df", "df_entity", "bin"])
+
+    return written(spark, pairs.mapInArrow(judged, none), "pii-pairs")
+
+
+def disclosing_terms(docs: DataFrame, generalise: float = GENERALISE, chance: float = CHANCE) -> DataFrame:
+    """(term, disclosure): the largest share of an entity's information that the term discloses, where above the bound."""
     n = docs.count()
+    pairs = tested_pairs(docs, n, generalise)
+    bins = sorted(tuple(r) for r in pairs.groupBy("bin").count().collect())      # at most 30,001 rows
+    last = _last_bin(bins, sum(c for _, c in bins), chance)
+    if last is None:
+        return docs.sparkSession.createDataFrame([], "term string, disclosure double")
     share = (F.log(F.col("co") * F.lit(float(n)) / (F.col("df") * F.col("df_entity")))
              / F.log(F.lit(float(n)) / F.col("df_entity")))
-    return (pairs.join(_document_counts(docs), "term_hash").filter(F.col("df_entity") < n)
-            .withColumn("disclosure", share).groupBy("term").agg(F.max("disclosure").alias("disclosure"))
+    return (pairs.filter(F.col("bin") <= last).groupBy("term").agg(F.max(share).alias("disclosure"))
             .filter(F.col("disclosure") >= generalise))
 
 
@@ -263,7 +316,7 @@ def _masked(text: str, spans, removes) -> str:
     return "".join(out) + text[done:]
 
 
-def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT,
+def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, chance: float = CHANCE,
              texts: bool = True, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(doc_id, spans, sanitised) of every document.
 
@@ -271,7 +324,7 @@ def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = RE
     then disclosing terms (kind ``term``), each by start.
     """
     spark = docs.sparkSession
-    terms = written(spark, disclosing_terms(docs, generalise, support), "pii-terms")
+    terms = written(spark, disclosing_terms(docs, generalise, chance), "pii-terms")
     blocks = -(-terms.count() // block_terms)
     span = "array<struct<kind:string,start:long,end:long>>"
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))

@@ -343,6 +343,25 @@ def test_disclosing_terms(spark, docs, none):
     assert disclosure.sanitise(none).count() == 0 and disclosure.sanitise(docs).count() == len(texts())
 
 
+def test_terms_far_from_entities_of_a_class(spark):
+    rows = [(i, f"{prose(600 + i, 20)} Quillfeather {prose(620 + i, 25)} u{i}@zorg.example", "s") for i in range(6)]
+    rows += [(10 + i, prose(700 + i, 60), "s") for i in range(80)] + [(99, "Quillfeather again", "s")]
+    terms = {r.term: r.disclosure for r in disclosure.disclosing_terms(frame(spark, rows)).collect()}
+    share = math.log(6 * 87 / (7 * 6)) / math.log(87 / 6)
+    assert set(terms) == {"quillfeather"} and math.isclose(terms["quillfeather"], share)
+    alone = disclosure.disclosing_terms(frame(spark, rows[:1] + rows[6:]))      # one text in common proves nothing
+    assert alone.count() == 0
+
+
+def test_chance_bounds_the_tail():
+    for texts, entity, term in ((46, 4, 5), (60, 9, 7), (30, 2, 2), (40, 20, 6)):
+        tail = [math.comb(entity, j) * math.comb(texts - entity, term - j) / math.comb(texts, term) for j in range(term + 1)]
+        for met in range(2, min(entity, term) + 1):
+            exact = sum(tail[met:]) / sum(tail[1:])
+            got = 10 ** float(disclosure.log_chance([met], [entity], [term], [texts])[0])
+            assert exact <= got * (1 + 1e-9) and (met < min(entity, term) or math.isclose(got, exact))
+
+
 # 10 --------------------------------------------------------------------------
 
 @pytest.mark.parametrize("k,percent", [(3, 85), (5, 80)])
