@@ -3,12 +3,18 @@
 Each stage is written as Parquet to the shared folder and read again as the
 next one's input.  Stages 1 to 4 return the columns of documents; the last
 writes the token store and returns its index (doc_id, start, n_tokens,
-ids_crc32).  Documents that the mix repeats occur once for each copy.
+ids_crc32, place).  Documents that the mix repeats occur once for each copy.
+
+The store keeps the training order.  The mix adds no column, so the order is
+that of its written rows: the part number of a file, then the row in it (the
+mix is range-sorted, so part numbers follow it).  ``place`` counts the copies
+before a copy in that order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventide.llm import curriculum, decontaminate, minhash_bayes, quality_cascade, token_store
 from eventide.session import scratch_path
@@ -34,11 +40,22 @@ def curriculum_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return curriculum.training_order(docs)
 
 
+def _written_order(docs: DataFrame) -> list[Column]:
+    """The order in which the rows of a Parquet folder were written; rows of another frame as they come."""
+    file = F.col("_metadata.file_name")
+    order = [F.regexp_extract(file, r"^part-(\d+)", 1).try_cast("long"), file, F.col("_metadata.row_index")]
+    try:
+        docs.select(*order).schema
+    except AnalysisException:
+        return [F.monotonically_increasing_id()]
+    return order
+
+
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Index of the written token store, read back from its blocks."""
+    """Index of the token store, written in the order of the rows and read back from its blocks."""
     path = scratch_path(spark, "pipeline-tokens")
-    token_store.write(docs, path)
-    return token_store.read_index(spark, path)
+    token_store.write(docs, path, order=_written_order(docs))
+    return token_store.read_index(spark, path, place=True)
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates),

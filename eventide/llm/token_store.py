@@ -2,10 +2,10 @@
 
 Layout.  A store is a Parquet folder of block rows, written by Spark (so a lost
 task is simply run again and only whole files become visible).  Documents lie in
-ascending doc_id order over the parts; the ids of a part, each document closed
+ascending doc_id order (or a given one) over the parts; the ids of a part, each document closed
 by the end id, form one stream that is cut into blocks of 8,192 ids:
 
-    part      partition in doc_id order
+    part      partition in that order
     block     number of the block in its part
     n_ids     ids in the block
     checksum  CRC-32 of the ids as little-endian unsigned 32-bit integers
@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from eventide.llm import mixing_coder as C, text as T
 
@@ -166,11 +166,13 @@ class _Writer:
             "docs": pa.array(heads, pa.binary())})
 
 
-def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json") -> None:
-    """Write the ids of all documents to a new store."""
+def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", order: list[Column] = ()) -> None:
+    """Write the ids of all documents to a new store, in ascending ``order`` (default: doc_id, then text hash)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    by = [f"__by{i}" for i in range(len(order))]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(c.alias(b) for c, b in zip(order, by)))
+    rows = rows.repartitionByRange(n, *(by or ["doc_id"])).sortWithinPartitions(*(by or ["doc_id", F.xxhash64("text")]))
+    rows = rows.select("doc_id", "text")
 
     def run(batches):
         out = _Writer(TaskContext.get().partitionId())
@@ -259,8 +261,11 @@ def joined_crc(parts: list[tuple[int, int]]) -> int:
     return out
 
 
-def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document of a store, all from decoded blocks."""
+def read_index(spark: SparkSession, path: str, place: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of every document of a store, all from decoded blocks.
+
+    On demand also place, the number of documents before it.
+    """
     from eventide.llm.components import written
     rows = (pieces(spark, path).groupBy("part", "ordinal")
             .agg(F.first("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"),
@@ -275,10 +280,12 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
     rows = written(spark, rows.select("part", "ordinal", "doc_id", "n_tokens", "p").mapInArrow(
         run, "part int, ordinal long, doc_id long, n_tokens long, ids_crc32 long"), "token-index")
-    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("ids"))
-    offsets = totals.select("part", F.coalesce(F.sum("ids").over(        # one row per part
-        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("part0"))
+    totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("ids"), F.count("*").alias("docs"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)     # one row per part
+    offsets = totals.select("part", F.coalesce(F.sum("ids").over(earlier), F.lit(0)).alias("part0"),
+                            F.coalesce(F.sum("docs").over(earlier), F.lit(0)).alias("docs0"))
     before = Window.partitionBy("part").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
             .join(F.broadcast(offsets), "part")
-            .select("doc_id", (F.col("part0") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"))
+            .select("doc_id", (F.col("part0") + F.col("start")).alias("start"), "n_tokens", "ids_crc32",
+                    *([(F.col("docs0") + F.col("ordinal")).alias("place")] if place else [])))

@@ -3,7 +3,7 @@
 from collections import Counter
 
 import corpus_pipeline as cp
-from eventide.llm import queries
+from eventide.llm import curriculum, queries
 from tests.llm.fixtures import frame, texts
 from tests.oracle_harness import canon, duck
 import pytest
@@ -32,6 +32,16 @@ def test_chain(spark, sf_dir):
     assert sum(r.n_tokens for r in rows) == max(r.start + r.n_tokens for r in rows)
 
 
+def test_store_keeps_training_order(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in cp.STAGES[:3]:
+        docs = spark.createDataFrame(stage(spark, docs, sf_dir).collect(), docs.schema)
+    want = sorted((c.position, r.key, r.doc_id) for r in curriculum.mix(docs).collect() for c in r.copies if 2 * c.words >= r.size)
+    rows = sorted(cp.run(spark, sf_dir).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [i for _, _, i in want] != sorted(i for _, _, i in want)
+    assert [r.place for r in rows] == list(range(len(rows)))
+
+
 def test_stages_take_awkward_rows(spark, sf_dir):
     docs = frame(spark)
     for name, stage in cp.STAGES[:-1]:
