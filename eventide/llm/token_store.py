@@ -18,7 +18,8 @@ Reading decodes blocks side by side, verifies every checksum, and returns the
 pieces of documents; pieces of documents that span blocks are joined by their
 order, and per-document checksums by CRC combination, never by moving ids.
 
-Defined results: null and empty texts hold the end id alone; documents with a
+Defined results: an added token of the tokenizer file that stands in a text
+becomes its own id; null and empty texts hold the end id alone; documents with a
 null doc_id come first; documents that share a doc_id follow each other ordered
 by text hash; an empty table gives an empty store; other columns are not read.
 """
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import zlib
 
 import numpy as np
@@ -47,18 +49,29 @@ INDEX = "doc_id long, part int, ordinal long, block long, n long, crc long"
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    The file's pre-tokenizer cuts a text by ``pattern`` and merges inside
-    pieces only, so each distinct piece is encoded once and remembered.
+    The library first takes out the file's added tokens (leftmost, then longest);
+    its pre-tokenizer cuts the stretches between them by ``pattern`` and merges
+    inside pieces only, so each distinct piece is encoded once and remembered.
     """
 
     def __init__(self, path: str, pattern: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(pattern).findall
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
+            raise ValueError("only added tokens that are matched as they stand are supported")
+        self.added = sorted((t.content for t in added), key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")").split
+        self.find = regex.compile(pattern).findall
         self._forget()
 
+    def split(self, text: str) -> list[str]:
+        """The added tokens and pieces of a text."""
+        if not any(a in text for a in self.added):
+            return self.find(text)
+        return [p for k, part in enumerate(self.cut(text)) for p in ([part] if k % 2 else self.find(part))]
+
     def _forget(self):
         self.known: dict[str, int] = {}
         self.pool = np.zeros(1 << 16, np.uint32)

@@ -120,6 +120,19 @@ def test_token_store(spark, docs, none):
     assert token_store.read_index(spark, empty).count() == 0
 
 
+def test_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    some = [f"a {end} b", f"{end}start", f"stop  {end}", end, f"x{end}{end} \n y", f"<|endoftext{end}|>", "<|endoftext |>", "", None]
+    path = scratch_path(spark, "test-store")
+    token_store.write(frame(spark, [(i, t, "s") for i, t in enumerate(some)]), path)
+    got = {r.doc_id: r.ids for r in token_store.pieces(spark, path, ids=True).collect()}
+    assert got == {i: tok.encode(t or "", add_special_tokens=False).ids + [2] for i, t in enumerate(some)}
+    assert got[0] == [64, 220, 50256, 275, 2]
+
+
 # 3 ---------------------------------------------------------------------------
 
 def test_byte_shards(docs, none):
