@@ -1,4 +1,4 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark and memory-mapped by the workers.
+"""Interpolated modified Kneser-Ney model of any order, counted in Spark and memory-mapped by the workers.
 
 Counting.  Tasks pre-aggregate sorted (key, count) runs; each run is cut by
 shard, delta-coded, and merged by the shard's task.  Three kinds of shard files
@@ -7,18 +7,25 @@ lie in the model folder, all sorted arrays that are looked up by binary search:
     vocab-S.hash, vocab-S.count, vocab-S.cont
         64-bit word hashes in ascending order over all shards (a word's id is
         its place), training counts, and numbers of different words before it
-    bigram-S.key, bigram-S.count
-        context id << 32 | word id, and training counts
-    context-S.id, context-S.stats
-        contexts with their total and how many words followed once, twice, more
-
-Bigrams lie in the shard of their context; contexts with more than a fixed
+    gramN-S.key, gramN-S.count
+        for each N from 2 to the order: context id << 32 | word id, and counts;
+        the context is a word (N = 2) or a gram of N - 1 words, whose id is its
+        place over all shards
+    contextN-S.id, contextN-S.stats
+        contexts of more than ``SHORT`` keys with their total and how many words
+        followed once, twice, more; shorter ones are summed from their keys
+
+The highest level counts occurrences.  A level below counts different words
+before a gram (different grams of the next level that end with it), or the
+occurrences of a gram that begins a text, which has none before it.
+
+Grams lie in the shard of their context; contexts with more than a fixed
 share of all tokens (a bounded number of them), and the beginning of a text,
 are spread over all shards by the whole key, and their totals are summed apart.
 
-Scoring.  P(w|u) = max(c(uw) - D(c), 0) / c(u) + g(u) P(w), where P(w) has the
-same form over continuation counts and backs off to 1 / (V + 1); D are the
-modified Kneser-Ney discounts of each level.  A slice of texts looks its
+Scoring.  P(w|u) = max(c(uw) - D(c), 0) / c(u) + g(u) P(w|u'), u' without u's
+first word, down to the words' continuation counts, which back off to
+1 / (V + 1); D are the modified Kneser-Ney discounts of each level.  A slice of texts looks its
 distinct keys up in ascending order in the mapped arrays, so a worker keeps
 only the pages it touches.  The folder must be a shared one that workers see
 as files (a ``file:`` path), because object stores cannot be memory-mapped.
@@ -32,7 +39,7 @@ from __future__ import annotations
 
 import functools
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +54,7 @@ from eventide.session import scratch_path
 END = np.uint64(0x5D6F2A9C31E7B845)       # the end token's hash
 START = np.uint64(0xFFFFFFFF)             # context id of a text's first token
 RUN_KEYS = 2_000_000                      # distinct keys a task holds before it emits a run
+SHORT = 4                                 # contexts of at most so many keys have no stored totals
 HEAVY_SHARE = 4                           # contexts above 1 / (HEAVY_SHARE * shards) of the tokens are spread
 
 
@@ -169,8 +177,16 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
     if min(n1, n2, n3) == 0:
         return 0.75, 0.75, 0.75
     y = n1 / (n1 + 2 * n2)
-    return tuple(min(float(i), max(0.0, i - (i + 1) * y * b / a))
-                 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
+    out = tuple(min(float(i), i - (i + 1) * y * b / a) for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))
+    return out if min(out) > 0 else (0.75, 0.75, 0.75)      # else a context would leave nothing to unseen words
+
+
+@dataclass
+class Level:
+    heavy: np.ndarray           # spread contexts, ascending
+    heavy_stats: np.ndarray     # their total, n1, n2, n3+
+    base: np.ndarray            # first gram id of each shard
+    top: tuple = (0, 0, 0)      # discounts
 
 
 @dataclass
@@ -180,15 +196,10 @@ class Model:
     base: np.ndarray            # first word id of each shard
     tokens: int                 # N
     vocabulary: int             # V
-    heavy: np.ndarray           # spread contexts, ascending
-    heavy_stats: np.ndarray     # their total, n1, n2, n3+
-    top: tuple                  # discounts of bigrams
-    low: tuple                  # discounts of continuation counts
-    types: int                  # different bigrams
-    low_back: float             # weight of the uniform distribution
-
-    def shard(self, keys: np.ndarray) -> np.ndarray:
-        return bigram_shard(keys, self.heavy, self.bits)
+    low: tuple = (0, 0, 0)      # discounts of the words' continuation counts
+    types: int = 0              # different bigrams
+    low_back: float = 1.0       # weight of the uniform distribution
+    levels: dict = field(default_factory=dict)      # Level of each N >= 2
 
     def _find(self, kind: str, dtype: str, shard: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Whether each key is in its shard's array, and where; keys ascend within each shard."""
@@ -222,23 +233,67 @@ class Model:
         cont = self._read(("vocab", "cont"), "<u4", shard, at, found)
         return ids[back], count[back], cont[back]
 
-    def contexts(self, ids: np.ndarray) -> np.ndarray:
-        """Total, n1, n2, n3+ of each context; zeros for unseen ones."""
+    def contexts(self, n: int, ids: np.ndarray) -> np.ndarray:
+        """Total, n1, n2, n3+ of each context of level n; zeros for unseen ones."""
+        heavy, heavy_stats = self.levels[n].heavy, self.levels[n].heavy_stats
         u, back = np.unique(ids, return_inverse=True)
-        shard = bigram_shard(u << np.uint64(32), np.zeros(0, np.uint64), self.bits)
-        found, at = self._find(("context", "id"), "<u4", shard, u.astype(np.uint32))
-        out = self._read(("context", "stats"), "<u8", shard, at, found, 4)
-        if len(self.heavy):
-            place = np.minimum(np.searchsorted(self.heavy, u), len(self.heavy) - 1)
-            big = self.heavy[place] == u
-            out[big] = self.heavy_stats[place[big]]
+        shard = gram_shard(u << np.uint64(32), np.zeros(0, np.uint64), self.bits)
+        out = np.zeros((len(u), 4), np.int64)
+        long = np.zeros(len(u), bool)
+        order = np.argsort(shard, kind="stable")
+        used, first = np.unique(shard[order], return_index=True)
+        for s, a, b in zip(used.tolist(), first, [*first[1:], len(order)]):
+            keys, counts = _mapped(self.folder, f"gram{n}-{s}.key", "<u8"), _mapped(self.folder, f"gram{n}-{s}.count", "<u4")
+            rows = order[a:b]
+            lo = np.searchsorted(keys, u[rows] << np.uint64(32))
+            size = np.searchsorted(keys, u[rows] << np.uint64(32) | np.uint64(0xFFFFFFFF), "right") - lo
+            long[rows] = size > SHORT
+            for j in range(SHORT):
+                here = (size > j) & (size <= SHORT)
+                c = counts[lo[here] + j].astype(np.int64)
+                out[rows[here], 0] += c
+                out[rows[here], np.minimum(c, 3)] += 1
+        at_long = np.flatnonzero(long)
+        found, at = self._find((f"context{n}", "id"), "<u4", shard[at_long], u[at_long].astype(np.uint32))
+        out[at_long] = self._read((f"context{n}", "stats"), "<u8", shard[at_long], at, found, 4)
+        if len(heavy):
+            place = np.minimum(np.searchsorted(heavy, u), len(heavy) - 1)
+            big = heavy[place] == u
+            out[big] = heavy_stats[place[big]]
         return out[back]
 
-    def bigrams(self, keys: np.ndarray) -> np.ndarray:
+    def grams(self, n: int, keys: np.ndarray, counts: bool = False):
+        """Ids of the grams of level n (-1: unseen) and, on demand, their counts."""
         u, back = np.unique(keys, return_inverse=True)
-        shard = self.shard(u)
-        found, at = self._find(("bigram", "key"), "<u8", shard, u)
-        return self._read(("bigram", "count"), "<u4", shard, at, found)[back]
+        shard = gram_shard(u, self.levels[n].heavy, self.bits)
+        found, at = self._find((f"gram{n}", "key"), "<u8", shard, u)
+        ids = np.where(found, at + self.levels[n].base[shard], -1)
+        if not counts:
+            return ids[back]
+        return ids[back], self._read((f"gram{n}", "count"), "<u4", shard, at, found)[back]
+
+    def suffixes(self, n: int, ids: np.ndarray) -> np.ndarray:
+        """For ascending ids of level n: the id, one level below, of the gram without its first word."""
+        shard = np.searchsorted(self.levels[n].base, ids, "right") - 1
+        out = np.zeros(len(ids), np.uint64)
+        for s in np.unique(shard).tolist():
+            rows = np.flatnonzero(shard == s)
+            at = ids[rows] - self.levels[n].base[s]
+            out[rows] = (_mapped(self.folder, f"gram{n}-{s}.key", "<u8")[at] & np.uint64(0xFFFFFFFF) if n == 2
+                         else _mapped(self.folder, f"gram{n}-{s}.suffix", "<u4")[at])
+        return out
+
+    def context_ids(self, n: int, ids: np.ndarray, starts: np.ndarray, grams=None) -> np.ndarray:
+        """Each token's context id at level n (-1: none), from word ids and, where known, the gram ids of level n - 1."""
+        if n > 2 and grams is None:
+            below = self.context_ids(n - 1, ids, starts)
+            grams = np.full(len(ids), -1, np.int64)
+            ok = np.flatnonzero((below >= 0) & (ids >= 0))
+            grams[ok] = self.grams(n - 1, gram_keys(below[ok], ids[ok]))
+        out = np.empty(len(ids), np.int64)
+        out[1:] = (ids if n == 2 else grams)[:-1]
+        out[starts] = int(START) if n == 2 else -1
+        return out
 
     def score(self, hashes: np.ndarray, starts: np.ndarray):
         """Per token: count in training and log10 probability; starts: first token of each text."""
@@ -247,27 +302,33 @@ class Model:
         p = np.full(len(ids), low)
         if self.types:
             p += (cont - _discount(cont, self.low)) / self.types
-        before = np.empty(len(ids), np.int64)
-        before[1:] = ids[:-1]
-        before[starts] = int(START)
-        ctx = np.flatnonzero(before >= 0)
-        stats = self.contexts(before[ctx].astype(np.uint64))
-        seen = stats[:, 0] > 0
-        ctx, stats = ctx[seen], stats[seen]
-        c = np.zeros(len(ctx), np.int64)
-        known = ids[ctx] >= 0
-        c[known] = self.bigrams(before[ctx[known]].astype(np.uint64) << np.uint64(32) | ids[ctx[known]].astype(np.uint64))
-        back = (stats[:, 1:] * np.array(self.top)).sum(axis=1)
-        p[ctx] = ((c - _discount(c, self.top)) + back * p[ctx]) / stats[:, 0]
+        grams = None
+        for n, level in sorted(self.levels.items()):
+            before = self.context_ids(n, ids, starts, grams)
+            ctx = np.flatnonzero(before >= 0)
+            stats = self.contexts(n, before[ctx].astype(np.uint64))
+            seen = stats[:, 0] > 0
+            ctx, stats = ctx[seen], stats[seen]
+            c = np.zeros(len(ctx), np.int64)
+            known = ids[ctx] >= 0
+            at = ctx[known]
+            grams = np.full(len(ids), -1, np.int64)
+            grams[at], c[known] = self.grams(n, gram_keys(before[at], ids[at]), counts=True)
+            back = (stats[:, 1:] * np.array(level.top)).sum(axis=1)
+            p[ctx] = ((c - _discount(c, level.top)) + back * p[ctx]) / stats[:, 0]
         return count, np.log10(p)
 
 
+def gram_keys(ctx: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return ctx.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)
+
+
 def _discount(c: np.ndarray, d: tuple) -> np.ndarray:
     return np.array((0.0, *d))[np.minimum(c, 3)]
 
 
-def bigram_shard(keys: np.ndarray, heavy: np.ndarray, bits: int) -> np.ndarray:
-    """The shard of each bigram: its context's, or its own for spread contexts."""
+def gram_shard(keys: np.ndarray, heavy: np.ndarray, bits: int) -> np.ndarray:
+    """The shard of each gram: its context's, or its own for spread contexts."""
     ctx = keys >> np.uint64(32)
     by = T.mix(ctx + np.uint64(1))
     if len(heavy):
@@ -293,8 +354,10 @@ def _four(counts: np.ndarray) -> list[int]:
     return [int((counts == i).sum()) for i in range(1, 5)]
 
 
-def train(docs: DataFrame, path: str) -> Model:
+def train(docs: DataFrame, path: str, order: int = 2) -> Model:
     """Count the texts of docs and write the model's arrays under the shared folder ``path``."""
+    if order < 2:
+        raise ValueError("the order is at least 2")
     spark, folder = docs.sparkSession, local_path(path)
     bits = max(0, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     shards = 1 << bits
@@ -327,57 +390,119 @@ def train(docs: DataFrame, path: str) -> Model:
         raise ValueError("more than 2**32 - 1 different words")
     least = total // (HEAVY_SHARE * shards) + 1
 
-    def heavy_words(batches):
-        for b in batches:
-            for shard in b.column(0).to_pylist():
-                at = np.flatnonzero(_mapped(folder, f"vocab-{shard}.count", "<u8") > least)
-                yield pa.RecordBatch.from_pydict({"id": pa.array(at + base[shard], pa.int64())})
-
-    found = spark.range(shards).mapInArrow(heavy_words, "id long").collect()      # at most HEAVY_SHARE * shards
-    heavy = np.sort(np.array([r[0] for r in found] + [int(START)], np.uint64))
-    model = Model(folder, bits, base, total, vocabulary, heavy, np.zeros((len(heavy), 4), np.int64), (0, 0, 0), (0, 0, 0), 0, 1.0)
-
-    def count_bigrams(batches):
-        tally = _Tally(lambda k: bigram_shard(k, heavy, bits))
-        for s in T.slices(batches):
-            h, bounds = tokens(s.column(0))
-            ids = model.words(h, ids_only=True).astype(np.uint64)
-            before = np.empty(len(ids), np.uint64)
-            before[1:] = ids[:-1]
-            before[bounds[:-1]] = START
-            yield from tally.add(before << np.uint64(32) | ids)
-        yield tally.close()
-
-    def save_bigrams(batches):
-        for shard, held in _by_shard(batches):
-            keys, n = _merged(held)
-            _save(folder, f"bigram-{shard}.key", keys.astype("<u8"))
-            _save(folder, f"bigram-{shard}.count", n.astype("<u4"))
-            ctx = keys >> np.uint64(32)
-            first = np.flatnonzero(np.concatenate(([True], ctx[1:] != ctx[:-1])))
-            stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (n, n == 1, n == 2, n >= 3)], 1)
-            ids = ctx[first]
-            spread = np.isin(ids, heavy)
-            _save(folder, f"context-{shard}.id", ids[~spread].astype("<u4"))
-            _save(folder, f"context-{shard}.stats", stats[~spread].astype("<u8"))
-            word, types = np.unique(keys & np.uint64(0xFFFFFFFF), return_counts=True)
-            at = np.searchsorted(base, word.astype(np.int64), "right") - 1
-            out = runs(at, word, types)
-            k = out.num_rows
-            extra = [[*_four(n), len(keys)]] + [[int(i), *map(int, s)] for i, s in zip(ids[spread], stats[spread])]
-            kinds = ["cont"] * k + ["four"] + ["heavy"] * (len(extra) - 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds), pa.array(out.column(0).to_pylist() + [shard] * len(extra), pa.int32()),
-                 pa.array(out.column(1).to_pylist() + [None] * len(extra), pa.binary()),
-                 pa.array([None] * k + extra, pa.list_(pa.int64()))], names=["kind", "shard", "run", "n"])
-
-    out = written(spark, _dealt(texts.mapInArrow(count_bigrams, "shard int, run binary"), shards).mapInArrow(
-        save_bigrams, "kind string, shard int, run binary, n array<long>"), "lm")
+    def frequent(kind, base):
+        """Ids of the words or grams above the share: at most HEAVY_SHARE * shards."""
+        def run(batches):
+            for b in batches:
+                for shard in b.column(0).to_pylist():
+                    at = np.flatnonzero(_mapped(folder, f"{kind[0]}-{shard}.{kind[1]}", kind[2]) > least)
+                    yield pa.RecordBatch.from_pydict({"id": pa.array(at + base[shard], pa.int64())})
+        return [r[0] for r in spark.range(shards).mapInArrow(run, "id long").collect()]
+
+    model = Model(folder, bits, base, total, vocabulary)
+
+    def save_contexts(n, shard, keys, counts, heavy):
+        """Save the contexts' totals; rows of what is summed over all shards."""
+        ctx = keys >> np.uint64(32)
+        first = np.flatnonzero(np.concatenate(([len(ctx) > 0], ctx[1:] != ctx[:-1])))
+        if len(first) == 0:
+            return [[*_four(counts), 0]]
+        stats = np.stack([np.add.reduceat(x.astype(np.int64), first) for x in (counts, counts == 1, counts == 2, counts >= 3)], 1)
+        ids = ctx[first]
+        spread = np.isin(ids, heavy)
+        kept = ~spread & (np.diff(first, append=len(ctx)) > SHORT)
+        _save(folder, f"context{n}-{shard}.id", ids[kept].astype("<u4"))
+        _save(folder, f"context{n}-{shard}.stats", stats[kept].astype("<u8"))
+        return [[*_four(counts), len(keys)]] + [[int(i), *map(int, s)] for i, s in zip(ids[spread], stats[spread])]
+
+    def rows_of(shard, out, extra):
+        """Record batch of packed runs and of the rows of save_contexts."""
+        k = out.num_rows
+        return pa.RecordBatch.from_arrays(
+            [pa.array(["cont"] * k + ["four"] * (len(extra) > 0) + ["heavy"] * (len(extra) - 1), pa.string()),
+             pa.array(out.column(0).to_pylist() + [shard] * len(extra), pa.int32()),
+             pa.array(out.column(1).to_pylist() + [None] * len(extra), pa.binary()),
+             pa.array([None] * k + extra, pa.list_(pa.int64()))], names=["kind", "shard", "run", "n"])
+
+    schema = "kind string, shard int, run binary, n array<long>"
     sums = [F.sum(F.get("n", F.lit(i))) for i in range(5)]
-    four = out.filter("kind = 'four'").agg(*sums).first()
-    place = {int(h): i for i, h in enumerate(heavy)}
-    for r in out.filter("kind = 'heavy'").groupBy(F.get("n", F.lit(0)).alias("id")).agg(*sums[1:]).collect():
-        model.heavy_stats[place[r[0]]] = r[1:]          # at most len(heavy) rows
+    none = runs(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+    def finish(n, out):
+        """Discounts and spread contexts of a level; the number of its grams."""
+        four = out.filter("kind = 'four'").agg(*sums).first()
+        level = model.levels[n]
+        place = {int(h): i for i, h in enumerate(level.heavy)}
+        for r in out.filter("kind = 'heavy'").groupBy(F.get("n", F.lit(0)).alias("id")).agg(*sums[1:]).collect():
+            level.heavy_stats[place[r[0]]] = r[1:]          # at most len(heavy) rows
+        level.top = discounts([int(x or 0) for x in four[:4]])
+        return int(four[4] or 0)
+
+    def count_grams(n, heavy):
+        def run(batches):
+            tally = _Tally(lambda k: gram_shard(k, heavy, bits))
+            for s in T.slices(batches):
+                h, bounds = tokens(s.column(0))
+                ids = model.words(h, ids_only=True)
+                before = model.context_ids(n, ids, bounds[:-1])
+                at = np.flatnonzero(before >= 0)
+                yield from tally.add(gram_keys(before[at], ids[at]))
+            yield tally.close()
+        return run
+
+    def save_grams(n, heavy):
+        def run(batches):
+            for shard, held in _by_shard(batches):
+                keys, c = _merged(held)
+                _save(folder, f"gram{n}-{shard}.key", keys.astype("<u8"))
+                _save(folder, f"gram{n}-{shard}.{'count' if n == order else 'raw'}", c.astype("<u4"))
+                word = keys & np.uint64(0xFFFFFFFF)
+                if n == 2:
+                    word, types = np.unique(word, return_counts=True)
+                    out = runs(np.searchsorted(base, word.astype(np.int64), "right") - 1, word, types)
+                else:
+                    ctx, back = np.unique(keys >> np.uint64(32), return_inverse=True)
+                    ends = gram_keys(model.suffixes(n - 1, ctx.astype(np.int64))[back], word)
+                    if n < order:
+                        _save(folder, f"gram{n}-{shard}.suffix", model.grams(n - 1, ends).astype("<u4"))
+                    ends, types = np.unique(ends, return_counts=True)
+                    out = runs(gram_shard(ends, model.levels[n - 1].heavy, bits), ends, types)
+                extra = save_contexts(n, shard, keys, c, heavy) if n == order else [[0, 0, 0, 0, len(keys)]]
+                yield rows_of(shard, out, extra)
+        return run
+
+    def adjust(n, heavy):
+        def run(batches):
+            for shard, held in _by_shard(batches):
+                keys = np.array(_mapped(folder, f"gram{n}-{shard}.key", "<u8"))
+                c = np.array(_mapped(folder, f"gram{n}-{shard}.raw", "<u4"))
+                ends, types = _merged(held)
+                c[np.searchsorted(keys, ends)] = types
+                _save(folder, f"gram{n}-{shard}.count", c.astype("<u4"))
+                yield rows_of(shard, none, save_contexts(n, shard, keys, c, heavy))
+        return run
+
+    heavy = np.sort(np.array(frequent(("vocab", "count", "<u8"), base) + [int(START)], np.uint64))
+    for n in range(2, order + 1):
+        if n > 2:
+            heavy = np.sort(np.array(frequent((f"gram{n - 1}", "raw", "<u4"), model.levels[n - 1].base), np.uint64))
+        rows = _dealt(texts.mapInArrow(count_grams(n, heavy), "shard int, run binary"), shards)
+        level = written(spark, rows.mapInArrow(save_grams(n, heavy), schema), "lm")
+        gram_sizes = np.zeros(shards, np.int64)
+        for shard, size in level.filter("kind = 'four'").select("shard", F.get("n", F.lit(4))).collect():    # one row per shard
+            gram_sizes[shard] = size
+        if n < order and gram_sizes.sum() >= int(START):
+            raise ValueError(f"more than 2**32 - 1 different grams of {n} words")
+        model.levels[n] = Level(heavy, np.zeros((len(heavy), 4), np.int64), np.cumsum(gram_sizes) - gram_sizes)
+        if n == 2:
+            out, model.types = level, int(gram_sizes.sum())
+        else:
+            blank = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(
+                pack(np.zeros(0, np.uint64), np.zeros(0, np.int64))).alias("run"))
+            ends = _dealt(level.filter("kind = 'cont'").select("shard", "run").unionByName(blank), shards)
+            finish(n - 1, written(spark, ends.mapInArrow(adjust(n - 1, model.levels[n - 1].heavy), schema), "lm"))
+        if n == order:
+            finish(n, level)
 
     def save_continuations(batches):
         for shard, held in _by_shard(batches):
@@ -389,8 +514,6 @@ def train(docs: DataFrame, path: str) -> Model:
 
     conts = _dealt(out.filter("kind = 'cont'").select("shard", "run"), shards).mapInArrow(save_continuations, "n array<long>")
     ones = written(spark, conts, "lm").agg(*sums[:4]).first()
-    model.types = int(four[4] or 0)
-    model.top = discounts([int(x or 0) for x in four[:4]])
     model.low = discounts([int(x or 0) for x in ones])
     if model.types:
         n1, n2 = int(ones[0] or 0), int(ones[1] or 0)
@@ -422,9 +545,9 @@ def score(docs: DataFrame, model: Model, extra: list[Column] = ()) -> DataFrame:
     return rows.mapInArrow(run, f"{fields}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def perplexity(docs: DataFrame, held_out: Column) -> DataFrame:
+def perplexity(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     """Scores of all texts by a model that learns from those not held out."""
     spark = docs.sparkSession
     path = scratch_path(spark, "lm-model")
-    model = train(docs.filter(~held_out), path)
+    model = train(docs.filter(~held_out), path, order)
     return score(docs, model, [held_out.alias("held_out")])

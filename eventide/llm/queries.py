@@ -15,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 7 == 2
-    return ngram_lm.perplexity(_table(spark, sf_dir, "documents"), held_out)
+    return ngram_lm.perplexity(_table(spark, sf_dir, "documents"), held_out, order=3)
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

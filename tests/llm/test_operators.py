@@ -78,6 +78,46 @@ def test_kneser_ney_without_training_text(none, docs):
     assert {(r.train_tokens, r.n_known, r.score) for r in got} == {(0, 0, 0.0)}
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_kneser_ney_of_higher_order(docs, order):
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 7 == 2
+    got = ngram_lm.perplexity(docs, held, order).collect()
+    rows = [(i, words(t) + [None]) for i, t, _ in texts()]
+    out = {i for i, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 7 == 2}
+    raw = {n: Counter() for n in range(1, order + 1)}
+    for i, w in rows:
+        if i not in out:
+            for n in raw:
+                s = ([0] if n > 1 else []) + w          # 0: the beginning of a text
+                raw[n].update(tuple(s[j:j + n]) for j in range(len(s) - n + 1))
+    counts = {order: raw[order]}
+    for n in range(1, order):
+        left = Counter(g[1:] for g in raw[n + 1])
+        counts[n] = {g: left[g] or c for g, c in raw[n].items()}
+    cut = {n: (0, *ngram_lm.discounts([list(c.values()).count(k) for k in range(1, 5)])) for n, c in counts.items()}
+    after = {n: {} for n in counts}
+    for n, c in counts.items():
+        for g, x in c.items():
+            s = after[n].setdefault(g[:-1], [0, 0, 0, 0])
+            s[0] += x
+            s[min(x, 3)] += 1
+
+    def p(u, w):
+        n = len(u) + 1
+        lower = p(u[1:], w) if u else 1 / (len(raw[1]) + 1)
+        s = after[n].get(u)
+        if not s:
+            return lower
+        c = counts[n].get((*u, w), 0)
+        return (c - cut[n][min(c, 3)]) / s[0] + sum(cut[n][k] * s[k] for k in (1, 2, 3)) / s[0] * lower
+
+    want = Counter()
+    for i, w in rows:
+        s = [0, *w]
+        want[i, len(w), round(sum(math.log10(p(tuple(s[max(0, j - order + 1):j]), s[j])) for j in range(1, len(s))), 6)] += 1
+    assert Counter((r.doc_id, r.n_tokens, round(r.score, 6)) for r in got) == want
+
+
 # 2 ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("sizes", [(0, 1, 2), (8192, 5, 8191), ()])
