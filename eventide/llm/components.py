@@ -45,3 +45,14 @@ def components(spark: SparkSession, links: DataFrame, max_rounds: int = 100) ->
         raise RuntimeError("components did not converge")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def written_lean(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """As ``written``; the shuffle files of the job are deleted when it ends, since only its written table is read later."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        return written(spark, df, name)
+    finally:
+        spark.conf.set(key, before)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import (curriculum, decontaminate, disclosure, minhash_bayes, ngram_lm, perspectives, quality_cascade, sharding,
-                          suffix_dedup, token_store)
+from eventide.llm import (curriculum, decontaminate, disclosure, merkle_butterfly, minhash_bayes, ngram_lm, perspectives,
+                          quality_cascade, sharding, suffix_dedup, token_store, wavelet_fim)
 from eventide.session import scratch_path
 
 
@@ -74,12 +74,30 @@ def op10_bayes_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_bayes.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op11_wavelet_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = wavelet_fim.transform(_table(spark, sf_dir, "documents"))
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(wavelet_fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 0
+    rows = merkle_butterfly.manifest(_table(spark, sf_dir, "documents"), changed={"text": lower}, where=tampered)
+    siblings = F.array_join(F.transform("proof", lambda s: F.concat(s["left"], s["right"])), "")
+    folded = merkle_butterfly.fold(F.coalesce("other", "leaf"), F.col("proof"))
+    return (rows.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), folded.alias("folded_root"))
+            .withColumn("verified", F.col("folded_root") == F.col("root")))
+
+
 QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_token_store, op3_byte_shards, op4_spaced_seed_decontamination,
                                    op5_curriculum_mix, op6_suffix_dedup, op7_perspective_rotation, op8_rule_cascade, op9_disclosure_pii,
-                                   op10_bayes_near_dedup)}
+                                   op10_bayes_near_dedup, op11_wavelet_fim, op12_butterfly_manifest)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_CODED = " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("i", "source", "lang", "n_chars"))
+
 ORACLE = {
     "op5_curriculum_mix": rf"""
 WITH d AS (
@@ -132,4 +150,53 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 50 * lines OR 100 * letterless > 30 * n_words
        OR 2 * word_chars < 5 * n_words OR word_chars > 12 * n_words OR 10 * bangs > 3 * n_words) AS kept
 FROM b""",
+    "op11_wavelet_fim": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+g AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1,
+        CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3,
+        CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM g),
+p AS (SELECT *, '<P>' || substr(t, 1, a) AS pre, '<S>' || substr(t, b + 1) AS suf, '<M>' || substr(t, a + 1, b - a) AS mid FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN pre || suf || mid ELSE suf || pre || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p""",
+    "op12_butterfly_manifest": f"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, CAST(doc_id AS VARCHAR) AS i, source, lang, CAST(n_chars AS VARCHAR) AS n_chars, text,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_text FROM documents),
+h AS (SELECT doc_id, g, coalesce(i, '') AS i,
+    sha256({_CODED} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256({_CODED} || coalesce(strlen(lower_text) || ':' || lower_text, '-')) AS other FROM f),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at, count(*) OVER (PARTITION BY g) AS cnt,
+    xor(list_reduce(list_transform(range(1, length(i) + 1), lambda k: CAST(ascii(substr(i, k, 1)) AS BIGINT)),
+        lambda c, b: list_reduce(range(0, 8), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+        4294967295), 4294967295) % 3 = 0 AS tampered FROM h),
+n(lvl, g, idx, h, cnt) AS (
+  SELECT 0, g, at, leaf, cnt FROM l
+  UNION ALL
+  SELECT lvl + 1, g, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value((cnt + 7) // 8) FROM n WHERE cnt > 1 GROUP BY lvl, g, idx // 8),
+s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS at, count(*) OVER () AS cnt FROM n WHERE cnt = 1),
+t(lvl, idx, h, cnt) AS (
+  SELECT 0, at, subroot, cnt FROM s
+  UNION ALL
+  SELECT lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value((cnt + 7) // 8) FROM t WHERE cnt > 1 GROUP BY lvl, idx // 8),
+near AS (
+  SELECT l.g, l.at, n.lvl AS step, coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx < l.at // (8 ** n.lvl)::BIGINT), '') AS a,
+    coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx > l.at // (8 ** n.lvl)::BIGINT), '') AS b
+  FROM l JOIN n ON n.g = l.g AND n.cnt > 1 AND n.idx // 8 = l.at // (8 ** n.lvl)::BIGINT // 8 GROUP BY l.g, l.at, n.lvl),
+far AS (
+  SELECT s.g, 1000 + t.lvl AS step, coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx < s.at // (8 ** t.lvl)::BIGINT), '') AS a,
+    coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx > s.at // (8 ** t.lvl)::BIGINT), '') AS b
+  FROM s JOIN t ON t.cnt > 1 AND t.idx // 8 = s.at // (8 ** t.lvl)::BIGINT // 8 GROUP BY s.g, t.lvl),
+steps AS (SELECT * FROM near UNION ALL SELECT l.g, l.at, step, a, b FROM l JOIN far ON far.g = l.g),
+path AS (SELECT g, at, list(a || '|' || b ORDER BY step) AS p, string_agg(a || b, '' ORDER BY step) AS sib FROM steps GROUP BY g, at),
+r AS (
+  SELECT l.doc_id, l.leaf, s.subroot, (SELECT h FROM t WHERE cnt = 1) AS root, sha256(coalesce(sib, '')) AS proof_sha256,
+    list_reduce(coalesce(p, []), lambda x, y: sha256(split_part(y, '|', 1) || x || split_part(y, '|', 2)),
+      CASE WHEN l.tampered THEN l.other ELSE l.leaf END) AS folded_root
+  FROM l JOIN s ON s.g = l.g LEFT JOIN path ON path.g = l.g AND path.at = l.at)
+SELECT *, folded_root = root AS verified FROM r""",
 }
