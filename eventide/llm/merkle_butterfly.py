@@ -29,12 +29,18 @@ table gives an empty result; columns other than the fields are not read.
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.llm.components import written_lean
 
 FANOUT = 8
 LEVELS = 4
+PROOF = "array<struct<left:string,right:string>>"
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
@@ -76,18 +82,46 @@ def placed(rows: DataFrame, order: list[str]) -> DataFrame:
     return numbered.withColumn("at", F.col("before") + F.col("nth")).drop("nth", "before", "part", "tie")
 
 
+def subtree(nodes: list[str], fanout: int, levels: int, alone: bool) -> list[list[str]]:
+    """Levels of a block's subtree, leaves first; a block that is a whole tree stops where one node is left."""
+    out = [nodes]
+    for _ in range(levels):
+        if alone and len(nodes) == 1:
+            break
+        nodes = [hashlib.sha256("".join(nodes[i: i + fanout]).encode()).hexdigest() for i in range(0, len(nodes), fanout)]
+        out.append(nodes)
+    return out
+
+
+def _by_block(batches):
+    """(grp, p, rows) of every block of a stream that is sorted by both; rows are tuples of the remaining columns."""
+    def stream():
+        for b in batches:
+            yield from zip(*(c.to_pylist() for c in b.columns))
+    for (grp, p), rows in itertools.groupby(stream(), key=lambda r: r[:2]):
+        yield grp, p, [r[2:] for r in rows]         # at most one block
+
+
 def _blocks(leaves_at: DataFrame, fanout: int, levels: int) -> DataFrame:
-    """One row a block: its items in order, all levels of its subtree and the subtree's root."""
+    """(grp, p, at, n, ...): leaves with their block and the number of blocks of the group."""
     width = fanout ** levels
-    items = (leaves_at.groupBy("grp", F.expr(f"at div {width}").alias("p"))
-             .agg(F.sort_array(F.collect_list(F.struct("at", "doc_id", "leaf", "other"))).alias("items"), F.max("total").alias("total"))
-             .withColumn("n", F.expr(f"(total + {width - 1}) div {width}"))
-             .withColumn("l0", F.transform("items", lambda x: x["leaf"])))
-    for i in range(levels):
-        items = items.withColumn(f"l{i + 1}", F.expr(
-            f"if(n > 1 or size(l{i}) > 1, transform(sequence(0, (size(l{i}) - 1) div {fanout}), "
-            f"k -> sha2(array_join(slice(l{i}, k * {fanout} + 1, {fanout}), ''), 256)), l{i})"))
-    return items.withColumn("root", F.get(f"l{levels}", F.lit(0)))
+    return leaves_at.select("grp", F.expr(f"at div {width}").alias("p"), "at", F.expr(f"(total + {width - 1}) div {width}").alias("n"),
+                            "doc_id", "leaf", "other")
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "grp", "p").sortWithinPartitions("grp", "p", "at")
+
+
+def _roots(blocks: DataFrame, fanout: int, levels: int) -> DataFrame:
+    """(grp, p, n, root, proof): the subtree root of every block, with an empty proof."""
+    def run(batches):
+        for grp, p, rows in _by_block(batches):
+            top = subtree([r[2] for r in rows], fanout, levels, rows[0][1] == 1)[-1]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (grp, p, rows[0][1], top[0])], names=["grp", "p", "n", "root"])
+    roots = _sorted(blocks.select("grp", "p", "at", "n", "leaf")).mapInArrow(run, "grp string, p long, n long, root string")
+    return roots.withColumn("proof", F.from_json(F.lit("[]"), PROOF))
 
 
 def exchange(state: DataFrame, stride: int, fanout: int) -> DataFrame:
@@ -117,12 +151,10 @@ def exchange(state: DataFrame, stride: int, fanout: int) -> DataFrame:
 
 
 def _tree(rows: DataFrame, order: list[str], fanout: int, levels: int) -> tuple[DataFrame, DataFrame]:
-    """Blocks of all groups and, by block, the group's root with the upper part of the proofs."""
+    """Leaves by block and, for each block, the root of its tree with the upper part of the proofs."""
     spark = rows.sparkSession
-    leaves_at = written_lean(spark, placed(rows, order), "merkle-placed")
-    blocks = _blocks(leaves_at, fanout, levels)
-    state = blocks.select("grp", "p", "n", "root", F.from_json(F.lit("[]"), "array<struct<left:string,right:string>>").alias("proof"))
-    state = written_lean(spark, state, "merkle-state")
+    blocks = _blocks(written_lean(spark, placed(rows, order), "merkle-placed"), fanout, levels)
+    state = written_lean(spark, _roots(blocks, fanout, levels), "merkle-state")
     most, stride = state.agg(F.max("n")).first()[0] or 0, 1
     while stride < most:
         state = written_lean(spark, exchange(state, stride, fanout), "merkle-state")
@@ -130,21 +162,32 @@ def _tree(rows: DataFrame, order: list[str], fanout: int, levels: int) -> tuple[
     return blocks, state
 
 
-def _proofs(blocks: DataFrame, state: DataFrame, fanout: int, levels: int) -> DataFrame:
-    """(grp, doc_id, leaf, other, top, proof): every leaf with the root of its tree and (left, right) siblings by level."""
-    steps = []
-    for i in range(levels):
-        at = f"k div {fanout ** i}"
-        steps.append(
-            f"if(n > 1 or size(l{i}) > 1, array(named_struct("
-            f"'left', array_join(slice(l{i}, ({at}) div {fanout} * {fanout} + 1, ({at}) % {fanout}), ''), "
-            f"'right', array_join(slice(l{i}, ({at}) + 2, {fanout - 1} - ({at}) % {fanout}), ''))), array())")
-    local = (f"transform(items, (x, k) -> named_struct('doc_id', x.doc_id, 'leaf', x.leaf, 'other', x.other, "
-             f"'near', concat({', '.join(steps)})))")
-    upper = state.select("grp", "p", F.col("root").alias("top"), "proof")
-    rows = blocks.withColumn("local", F.expr(local)).select("grp", "p", "local").join(upper, ["grp", "p"])
-    return rows.select("grp", "top", "proof", F.inline("local")).select(
-        "grp", "doc_id", "leaf", "other", "top", F.concat("near", "proof").alias("proof"))
+def _proofs(blocks: DataFrame, upper: DataFrame, fanout: int, levels: int) -> DataFrame:
+    """(grp, doc_id, leaf, other, subroot, root, proof) of every leaf; upper: (grp, p, subroot, root, proof) by block."""
+    def run(batches):
+        for grp, p, rows in _by_block(batches):
+            (_, _, _, _, _, subroot, root, above), rows = rows[0], rows[1:]     # at -1: the block's upper part
+            nodes = subtree([r[3] for r in rows], fanout, levels, rows[0][1] == 1)[:-1]
+            left, right = [], []
+            for k in range(len(rows)):
+                for level in nodes:
+                    base = k // fanout * fanout
+                    left.append("".join(level[base: k]))
+                    right.append("".join(level[k + 1: base + fanout]))
+                    k //= fanout
+                left += [s["left"] for s in above]
+                right += [s["right"] for s in above]
+            n, steps = len(rows), len(nodes) + len(above)
+            proof = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * steps, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(left, pa.string()), pa.array(right, pa.string())], names=["left", "right"]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([grp] * n), pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.string()),
+                 pa.array([r[4] for r in rows], pa.string()), pa.array([subroot] * n), pa.array([root] * n), proof],
+                names=["grp", "doc_id", "leaf", "other", "subroot", "root", "proof"])
+
+    first = upper.select("grp", "p", F.lit(-1).cast("long").alias("at"), "subroot", "root", "proof")
+    return _sorted(blocks.unionByName(first, allowMissingColumns=True)).mapInArrow(
+        run, f"grp string, doc_id long, leaf string, other string, subroot string, root string, proof {PROOF}")
 
 
 def fold(leaf: Column, proof: Column) -> Column:
@@ -154,18 +197,19 @@ def fold(leaf: Column, proof: Column) -> Column:
 
 def manifest(docs: DataFrame, group: str = "lang", changed: dict[str, Column] | None = None, where: Column | None = None,
              fanout: int = FANOUT, levels: int = LEVELS) -> DataFrame:
-    """(grp, doc_id, leaf, other, subroot, root, proof): the manifest's rows.
+    """(grp, doc_id, leaf, other, subroot, root, proof): the manifest's rows; grp is ``=`` and the group, or empty for null.
 
     ``proof`` lists, from the leaf's level to the dataset's root, the digests to
     the left and right of the path; ``other`` is the leaf of the changed row, or null.
     """
     spark = docs.sparkSession
     blocks, state = _tree(leaves(docs, group, changed, where), ["doc_id", "leaf"], fanout, levels)
+    state = state.withColumnRenamed("root", "subroot")
     tops = state.filter("p = 0").select(F.lit("").alias("grp"), F.lit(None).cast("long").alias("doc_id"),
-                                        F.col("root").alias("leaf"), F.col("grp").alias("other"))
-    over = written_lean(spark, _proofs(*_tree(tops, ["other"], fanout, levels), fanout, levels).select(
-        F.col("other").alias("grp"), F.col("top").alias("root"), F.col("proof").alias("above")), "merkle-groups")
-    upper = state.withColumnRenamed("root", "subroot").join(over, "grp").select(
-        "grp", "p", F.struct("subroot", "root").alias("root"), F.concat("proof", "above").alias("proof"))
-    rows = _proofs(blocks, upper, fanout, levels)
-    return rows.select("grp", "doc_id", "leaf", "other", F.col("top.subroot").alias("subroot"), F.col("top.root").alias("root"), "proof")
+                                        F.col("subroot").alias("leaf"), F.col("grp").alias("other"))
+    top_blocks, top_state = _tree(tops, ["other"], fanout, levels)
+    over = _proofs(top_blocks, top_state.withColumn("subroot", F.col("root")), fanout, levels).select(
+        F.col("other").alias("grp"), "root", F.col("proof").alias("above"))
+    over = written_lean(spark, over, "merkle-groups")
+    upper = state.join(over, "grp").select("grp", "p", "subroot", "root", F.concat("proof", "above").alias("proof"))
+    return _proofs(blocks, upper, fanout, levels)

@@ -170,33 +170,33 @@ WITH RECURSIVE f AS (
 h AS (SELECT doc_id, g, coalesce(i, '') AS i,
     sha256({_CODED} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
     sha256({_CODED} || coalesce(strlen(lower_text) || ':' || lower_text, '-')) AS other FROM f),
-l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS at, count(*) OVER (PARTITION BY g) AS cnt,
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS cnt,
     xor(list_reduce(list_transform(range(1, length(i) + 1), lambda k: CAST(ascii(substr(i, k, 1)) AS BIGINT)),
         lambda c, b: list_reduce(range(0, 8), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
         4294967295), 4294967295) % 3 = 0 AS tampered FROM h),
 n(lvl, g, idx, h, cnt) AS (
-  SELECT 0, g, at, leaf, cnt FROM l
+  SELECT 0, g, pos, leaf, cnt FROM l
   UNION ALL
   SELECT lvl + 1, g, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value((cnt + 7) // 8) FROM n WHERE cnt > 1 GROUP BY lvl, g, idx // 8),
-s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS at, count(*) OVER () AS cnt FROM n WHERE cnt = 1),
+s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS cnt FROM n WHERE cnt = 1),
 t(lvl, idx, h, cnt) AS (
-  SELECT 0, at, subroot, cnt FROM s
+  SELECT 0, pos, subroot, cnt FROM s
   UNION ALL
   SELECT lvl + 1, idx // 8, sha256(string_agg(h, '' ORDER BY idx)), any_value((cnt + 7) // 8) FROM t WHERE cnt > 1 GROUP BY lvl, idx // 8),
 near AS (
-  SELECT l.g, l.at, n.lvl AS step, coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx < l.at // (8 ** n.lvl)::BIGINT), '') AS a,
-    coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx > l.at // (8 ** n.lvl)::BIGINT), '') AS b
-  FROM l JOIN n ON n.g = l.g AND n.cnt > 1 AND n.idx // 8 = l.at // (8 ** n.lvl)::BIGINT // 8 GROUP BY l.g, l.at, n.lvl),
+  SELECT l.g, l.pos, n.lvl AS step, coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx < l.pos // (8 ** n.lvl)::BIGINT), '') AS a,
+    coalesce(string_agg(n.h, '' ORDER BY n.idx) FILTER (n.idx > l.pos // (8 ** n.lvl)::BIGINT), '') AS b
+  FROM l JOIN n ON n.g = l.g AND n.cnt > 1 AND n.idx // 8 = l.pos // (8 ** n.lvl)::BIGINT // 8 GROUP BY l.g, l.pos, n.lvl),
 far AS (
-  SELECT s.g, 1000 + t.lvl AS step, coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx < s.at // (8 ** t.lvl)::BIGINT), '') AS a,
-    coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx > s.at // (8 ** t.lvl)::BIGINT), '') AS b
-  FROM s JOIN t ON t.cnt > 1 AND t.idx // 8 = s.at // (8 ** t.lvl)::BIGINT // 8 GROUP BY s.g, t.lvl),
-steps AS (SELECT * FROM near UNION ALL SELECT l.g, l.at, step, a, b FROM l JOIN far ON far.g = l.g),
-path AS (SELECT g, at, list(a || '|' || b ORDER BY step) AS p, string_agg(a || b, '' ORDER BY step) AS sib FROM steps GROUP BY g, at),
+  SELECT s.g, 1000 + t.lvl AS step, coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx < s.pos // (8 ** t.lvl)::BIGINT), '') AS a,
+    coalesce(string_agg(t.h, '' ORDER BY t.idx) FILTER (t.idx > s.pos // (8 ** t.lvl)::BIGINT), '') AS b
+  FROM s JOIN t ON t.cnt > 1 AND t.idx // 8 = s.pos // (8 ** t.lvl)::BIGINT // 8 GROUP BY s.g, t.lvl),
+steps AS (SELECT * FROM near UNION ALL SELECT l.g, l.pos, step, a, b FROM l JOIN far ON far.g = l.g),
+path AS (SELECT g, pos, list(a || '|' || b ORDER BY step) AS p, string_agg(a || b, '' ORDER BY step) AS sib FROM steps GROUP BY g, pos),
 r AS (
   SELECT l.doc_id, l.leaf, s.subroot, (SELECT h FROM t WHERE cnt = 1) AS root, sha256(coalesce(sib, '')) AS proof_sha256,
     list_reduce(coalesce(p, []), lambda x, y: sha256(split_part(y, '|', 1) || x || split_part(y, '|', 2)),
       CASE WHEN l.tampered THEN l.other ELSE l.leaf END) AS folded_root
-  FROM l JOIN s ON s.g = l.g LEFT JOIN path ON path.g = l.g AND path.at = l.at)
+  FROM l JOIN s ON s.g = l.g LEFT JOIN path ON path.g = l.g AND path.pos = l.pos)
 SELECT *, folded_root = root AS verified FROM r""",
 }
