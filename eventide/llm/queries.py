@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventide.llm import (curriculum, decontaminate, disclosure, merkle_butterfly, minhash_bayes, ngram_lm, perspectives,
+from eventide.llm import (curriculum, debruijn, decontaminate, disclosure, merkle_butterfly, minhash_bayes, ngram_lm, perspectives,
                           quality_cascade, sharding, suffix_dedup, token_store, wavelet_fim)
 from eventide.session import scratch_path
 
@@ -90,9 +90,14 @@ def op12_butterfly_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("verified", F.col("folded_root") == F.col("root")))
 
 
+def op13_debruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_token_store, op3_byte_shards, op4_spaced_seed_decontamination,
                                    op5_curriculum_mix, op6_suffix_dedup, op7_perspective_rotation, op8_rule_cascade, op9_disclosure_pii,
-                                   op10_bayes_near_dedup, op11_wavelet_fim, op12_butterfly_manifest)}
+                                   op10_bayes_near_dedup, op11_wavelet_fim, op12_butterfly_manifest,
+                                   op13_debruijn_dedup)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
