@@ -53,6 +53,17 @@ def written_lean(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
-        return written(spark, df, name)
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
     finally:
         spark.conf.set(key, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the folder of a ``written_lean`` table that no later step reads."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -3,20 +3,22 @@
 Goal: remove each word covered by a window of ``width`` words whose sequence
 also starts in a document with a smaller doc_id.
 
-1. Candidates.  The anchor of a window is the least hash of its five-word grams;
+1. Whole copies.  Texts of equal hash are told apart from the one of the least
+   doc_id: each is one span of all its words and takes no part in steps 2 to 5.
+2. Candidates.  The anchor of a window is the least hash of its five-word grams;
    equal windows have equal anchors.  Anchors of one document only are dropped
    by an aggregation and a join, and each document gets the anchors that occur
    elsewhere.
-2. Edges.  A candidate window is an edge between the hashes of its first and its
+3. Edges.  A candidate window is an edge between the hashes of its first and its
    last width - 1 words.  One aggregation by edge (partial on every mapper)
    keeps the edges of two or more documents, each with its source coordinate:
    the smallest doc_id and the edge's first place there.
-3. Compaction.  Node degrees, joined to the edges, tell the nodes that exactly
+4. Compaction.  Node degrees, joined to the edges, tell the nodes that exactly
    one repeated edge enters and one leaves.  Edges that follow each other at
    such nodes, at neighbouring source coordinates, become one path.
-4. Occurrences join their edge and learn path and source coordinate; those in
+5. Occurrences join their edge and learn path and source coordinate; those in
    documents after the source, next to each other on a path, merge into spans.
-5. Verification.  Spans are spelled from the text at their source coordinate;
+6. Verification.  Spans are spelled from the text at their source coordinate;
    the digest of those words is compared with the document's own words before
    anything is removed.  Should any span differ (two word strings with the same
    128-bit edge), all is done again with other hashes, so results are exact.
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from eventide.llm import text as T
-from eventide.llm.components import written_lean
+from eventide.llm.components import discard, written_lean
 
 WIDTH = 13
 GRAM = 5
@@ -72,6 +74,16 @@ def _rows(docs: DataFrame, seed: int) -> DataFrame:
                        F.expr(f"shiftrightunsigned(xxhash64(text, {seed}), 33)").alias("twin"), "text")
 
 
+def _copies(rows: DataFrame, seed: int) -> DataFrame:
+    """(doc_id, twin, src): texts that a document with a smaller doc_id is claimed to hold word for word."""
+    spark = rows.sparkSession
+    sums = written_lean(spark, rows.filter("doc_id is not null and text is not null").select(
+        "doc_id", "twin", F.expr(f"xxhash64(text, {seed + TRIES})").alias("whole")), "dbg-texts")
+    least = sums.groupBy("whole", "twin").agg(F.min("doc_id").alias("src"))
+    return written_lean(spark, sums.join(least, ["whole", "twin"]).filter("doc_id > src").select("doc_id", "twin", "src").distinct(),
+                        "dbg-copies")
+
+
 def _anchors(rows: DataFrame, width: int, seed: int) -> DataFrame:
     """(doc_id, anchors): for each document, its anchors that also occur in a document with another id."""
     spark = rows.sparkSession
@@ -88,7 +100,9 @@ def _anchors(rows: DataFrame, width: int, seed: int) -> DataFrame:
     pairs = written_lean(spark, rows.filter("doc_id is not null").mapInArrow(run, "anchor long, doc_id long"), "dbg-anchors")
     shared = pairs.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("anchor")
     found = pairs.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))   # at most its words
-    return written_lean(spark, found, "dbg-shared")
+    found = written_lean(spark, found, "dbg-shared")
+    discard(pairs)
+    return found
 
 
 def _occurrences(rows: DataFrame, anchors: DataFrame, width: int, seed: int) -> DataFrame:
@@ -121,12 +135,16 @@ def _occurrences(rows: DataFrame, anchors: DataFrame, width: int, seed: int) ->
         run, "left long, right long, doc_id long, at long, first boolean")
 
 
-def paths(occurrences: DataFrame) -> DataFrame:
-    """(left, right, src, src_at, path): repeated edges with source coordinate and the place at which their path begins."""
-    edges = (occurrences.groupBy("left", "right")
-             .agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last"), F.min_by(F.expr("if(first, at, null)"), F.expr("if(first, doc_id, null)")).alias("src_at"))
-             .filter("src < last").drop("last"))
-    edges = written_lean(edges.sparkSession, edges, "dbg-edges")
+def repeated_edges(occurrences: DataFrame) -> DataFrame:
+    """(left, right, src, src_at): edges of two or more documents with their source coordinate."""
+    return (occurrences.groupBy("left", "right")
+            .agg(F.min("doc_id").alias("src"), F.max("doc_id").alias("last"),
+                 F.min_by("at", F.expr("if(first, doc_id, null)")).alias("src_at"))
+            .filter("src < last").drop("last"))
+
+
+def paths(edges: DataFrame) -> DataFrame:
+    """(left, right, src, src_at, path): the place at which the path of each edge begins."""
     ends = (edges.select(F.col("left").alias("node"), F.lit(1).alias("leaving"), F.lit(0).alias("entering"))
             .unionByName(edges.select(F.col("right").alias("node"), F.lit(0).alias("leaving"), F.lit(1).alias("entering"))))
     through = (ends.groupBy("node").agg(F.sum("leaving").alias("o"), F.sum("entering").alias("i"))
@@ -138,10 +156,14 @@ def paths(occurrences: DataFrame) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame, width: int, seed: int) -> DataFrame:
-    """(doc_id, at, n, src, src_at): n windows from ``at`` on, claimed to be those from ``src_at`` on in the source."""
+    """(doc_id, at, n, src, src_at): n windows from ``at`` on (-1: the whole text), claimed to be those at ``src_at`` in the source."""
     spark = rows.sparkSession
-    occurrences = written_lean(spark, _occurrences(rows, _anchors(rows, width, seed), width, seed), "dbg-edges-seen")
-    edges = written_lean(spark, paths(occurrences), "dbg-paths")
+    copies = _copies(rows, seed)
+    once = rows.join(copies, ["doc_id", "twin"], "left_anti").select(rows.columns)
+    occurrences = written_lean(spark, _occurrences(once, _anchors(once, width, seed), width, seed), "dbg-edges-seen")
+    bare = written_lean(spark, repeated_edges(occurrences), "dbg-edges")
+    edges = written_lean(spark, paths(bare), "dbg-paths")
+    discard(bare)
     later = occurrences.select("left", "right", "doc_id", "at").join(edges, ["left", "right"]).filter("doc_id > src").select(
         "doc_id", "at", "src", "src_at", "path")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -158,7 +180,12 @@ def repeated_spans(rows: DataFrame, width: int, seed: int) -> DataFrame:
 
     spans = later.repartition(n, "doc_id").sortWithinPartitions("doc_id", "at").mapInArrow(
         merge, "doc_id long, at long, n long, src long, src_at long")
-    return written_lean(spark, spans, "dbg-spans")
+    start = F.shiftleft("twin", _POS)
+    whole = copies.select("doc_id", start.alias("at"), F.lit(-1).cast("long").alias("n"), "src", start.alias("src_at"))
+    spans = written_lean(spark, spans.unionByName(whole), "dbg-spans")
+    discard(occurrences)
+    discard(edges)
+    return spans
 
 
 def _spelled(rows: DataFrame, spans: DataFrame, width: int) -> DataFrame:
@@ -177,7 +204,7 @@ def _spelled(rows: DataFrame, spans: DataFrame, width: int) -> DataFrame:
                 words = t.split()
                 for j in range(edge[i], edge[i + 1]):
                     p = int(at[j]) & 0xFFFFFFFF
-                    out.append(_digest(words[p: p + int(n[j]) + width - 1]))
+                    out.append(_digest(words[p: p + int(n[j]) + width - 1] if n[j] >= 0 else words))
             own = np.repeat(np.arange(s.num_rows), np.diff(edge))
             yield pa.RecordBatch.from_arrays([s.column(0).take(pa.array(own)), pa.array(at), pa.array(n), pa.array(out, pa.binary())],
                                              names=["src", "src_at", "n", "spelled"])
@@ -207,10 +234,11 @@ def _cut(rows: DataFrame, spans: DataFrame, width: int, texts: bool) -> DataFram
                     mark = np.zeros(len(words) + 1, np.int32)
                     for x in found:
                         p = x["at"] & 0xFFFFFFFF
-                        q = p + x["n"] + width - 1
+                        q = p + x["n"] + width - 1 if x["n"] >= 0 else len(words)
                         if q <= len(words) and _digest(words[p:q]) == x["spelled"]:
-                            mark[p] += 1
-                            mark[q] -= 1
+                            if q - p >= width:
+                                mark[p] += 1
+                                mark[q] -= 1
                         else:
                             failed += 1
                     kept = list(compress(words, (np.cumsum(mark[:-1]) == 0).tolist()))
