@@ -258,7 +258,8 @@ def deduplicate(docs: DataFrame, width: int = WIDTH, texts: bool = False) -> Dat
     for seed in range(1, TRIES + 1):
         rows = _rows(docs, seed)
         spans = repeated_spans(rows, width, seed)
-        checked = spans.join(_spelled(rows, spans, width), ["src", "src_at", "n"], "left").select("doc_id", "at", "n", "spelled")
+        spelled = written_lean(spark, _spelled(rows, spans, width), "dbg-spelled")      # a table, so that the join can split a hot source
+        checked = spans.join(spelled, ["src", "src_at", "n"], "left").select("doc_id", "at", "n", "spelled")
         out = written_lean(spark, _cut(rows, written_lean(spark, checked, "dbg-checked"), width, texts), "dbg-out")
         if not out.filter("n_failed > 0").limit(1).count():
             return out.drop("n_failed")
