@@ -761,6 +761,13 @@ SELECT e.event_id, e.user_id, e.event_date, e.premium_amount, o.order_id, o.insu
        o.policy_number, o.premium_amount AS order_premium_amount
 FROM purchases e LEFT JOIN unified o ON e.user_id = o.user_id AND e.event_date = o.order_date""",
        "purchases", "unified", dates=("event_date",))
+oracle("stream_purchase_payments", """
+SELECT e.event_id, e.user_id, e.event_date, e.premium_amount, o.order_id, o.insurance_type,
+       o.policy_number, o.premium_amount AS order_premium_amount,
+       f.transaction_id, f.payment_method, f.payment_status, f.total_amount, f.payment_date
+FROM purchases e LEFT JOIN unified o ON e.user_id = o.user_id AND e.event_date = o.order_date
+LEFT JOIN payments f ON o.order_id = f.order_id""",
+       "purchases", "unified", "payments", dates=("event_date",))
 ORACLE["stream_upsert_users"] = ORACLE["upsert_users"]
 oracle("stream_freshness", """
 SELECT date_trunc('hour', event_time) AS window_start, date_trunc('hour', event_time) + INTERVAL 1 HOUR AS window_end,

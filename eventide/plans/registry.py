@@ -646,7 +646,10 @@ def q_quality_run(t):
 
 # ---- streams ---------------------------------------------------------------------------
 from eventide.schemas import RAW_EVENT_STREAM  # noqa: E402
-from eventide.streaming import streams  # noqa: E402
+import datetime as dt  # noqa: E402
+
+from eventide.session import scratch_path  # noqa: E402
+from eventide.streaming import stateful, streams  # noqa: E402
 
 
 def _stream_of(t, df, name, time_col=None, max_files=None, to_ltz=None):
@@ -667,9 +670,14 @@ def q_stream_ingest(t):
 
 @register("stream_dedup")
 def q_stream_dedup(t):
+    """Every event delivered twice, the second time a day of event time later (late, within the delay)."""
     twice = quality_run.double_delivery(_store(t))
-    s = _stream_of(t, twice, "redelivered", "ingestion_time", max_files=2)
-    return t.spark.read.parquet(streams.stream_dedup(t.spark, s)).select(*twice.columns)
+    arrival = F.col("event_time") + F.when(F.col("ingestion_time") > as_of_ts(AS_OF), F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
+    staged = streams.stage(twice.withColumn("arrival", arrival), "redelivered", "arrival")
+    s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), twice.schema, 2)
+    out = scratch_path(t.spark, "last-writes")
+    stateful.write_updates(stateful.last_writes(s), out, scratch_path(t.spark, "last-writes-checkpoint"))
+    return stateful.current(t.spark, out, ["event_date", "event_id"]).select(*twice.columns)
 
 
 @register("stream_enrich")
@@ -687,8 +695,24 @@ def q_stream_daily_metrics(t):
 
 @register("stream_session_metrics")
 def q_stream_session_metrics(t):
-    s = _stream_of(t, _store(t), "store-sessions", "event_time", max_files=2)
-    return streams.current_sessions(t.spark, streams.stream_session_metrics(t.spark, s))
+    """T5: sessions from keyed state; files overlap in time, so sessions get late events over several batches."""
+    late = _store(t).withColumn("arrival", F.col("event_time") + F.make_interval(hours=F.pmod(F.col("event_id"), F.lit(20)).cast("int")))
+    staged = streams.stage(late, "store-sessions", "arrival")
+    s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), late.drop("arrival").schema, 2)
+    out = scratch_path(t.spark, "sessions")
+    stateful.write_updates(stateful.sessions(s), out, scratch_path(t.spark, "sessions-checkpoint"))
+    return stateful.current(t.spark, out, ["session_id", "user_id"])
+
+
+@register("stream_purchase_payments")
+def q_stream_purchase_payments(t):
+    """T6 whole: every purchase with its orders and their payments, all three arriving as streams over several batches."""
+    u = (orders_flow.unified(t, columns=["order_date", "policy_number", "premium_amount"])
+         .withColumn("order_ts", streams.ntz_to_instant(F.col("order_date"))))
+    f = orders_flow.payments(t).withColumn("payment_ts", streams.ntz_to_instant(F.col("payment_date")))
+    frames = {"purchases": (streams.to_stream_time(etl.purchases(t, AS_OF)), "event_time"), "orders": (u, "order_ts"), "payments": (f, "payment_ts")}
+    sources = {k: (streams.in_arrival_order(t.spark, streams.stage(df, k, at)), df.schema) for k, (df, at) in frames.items()}
+    return stateful.drain_purchase_payments(t.spark, sources, dt.datetime(2026, 1, 1), max_files=4)
 
 
 @register("stream_purchase_orders")
