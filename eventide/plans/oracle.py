@@ -363,6 +363,7 @@ SELECT event_date AS metric_date, channel, city, device_type, count(*) AS total_
        count(*) FILTER (WHERE premium_amount > 0) AS total_users_with_premium
 FROM store GROUP BY ALL""", "store")
 oracle("daily_aggregate_metrics", "SELECT * FROM daily_agg", "daily_agg", dates=("metric_date",))
+oracle("daily_metrics_exact_rollup", "SELECT * FROM daily_agg", "daily_agg", dates=("metric_date",))
 oracle("daily_metrics_rollup", """
 SELECT metric_date, channel, city, device_type, total_events, total_premium, purchase_events,
        total_users_with_premium, round(CAST(total_premium AS DOUBLE) / total_events, 4) AS avg_premium

@@ -649,6 +649,7 @@ from eventide.schemas import RAW_EVENT_STREAM  # noqa: E402
 import datetime as dt  # noqa: E402
 
 from eventide.session import scratch_path  # noqa: E402
+from eventide.operators import distincts  # noqa: E402
 from eventide.streaming import stateful, streams  # noqa: E402
 
 
@@ -689,8 +690,22 @@ def q_stream_enrich(t):
 
 @register("stream_daily_metrics")
 def q_stream_daily_metrics(t):
-    s = _stream_of(t, _store(t), "store-daily", "event_time", max_files=2)
-    return t.spark.read.parquet(streams.stream_daily_metrics(t.spark, s))
+    """T4 from mergeable partials; late events reach days of earlier batches."""
+    late = _store(t).withColumn("arrival", F.col("event_time") + F.make_interval(hours=F.pmod(F.col("event_id"), F.lit(20)).cast("int")))
+    staged = streams.in_arrival_order(t.spark, streams.stage(late, "store-daily", "arrival"))
+    s = streams.read_stream(t.spark, staged, late.drop("arrival").schema, max_files=2)
+    return t.spark.read.parquet(streams.stream_daily_partials(t.spark, s)).select("metric_date", "channel", "event_type", "city", "device_type",
+        "total_events", "unique_users", "unique_sessions", "total_premium", "avg_premium")
+
+
+@register("daily_metrics_exact_rollup")
+def q_daily_metrics_exact_rollup(t):
+    """A15 exact: partial rows of every hour (sums and id sets) merged to days."""
+    events = _store(t).withColumnRenamed("event_date", "metric_date")
+    _, measures, sets = distincts.daily_partials(events, metrics.DAILY_KEYS, block="event_hour")
+    rows = distincts.daily_rollup(measures, sets, metrics.DAILY_KEYS)
+    return rows.select(*metrics.DAILY_KEYS, "total_events", "unique_users", "unique_sessions", "total_premium", "purchase_events",
+                       "total_users_with_premium")
 
 
 @register("stream_session_metrics")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.functions.columns import instant_to_ntz, ntz_to_instant
-from eventide.operators import clean, maintain, metrics
+from eventide.operators import clean, distincts, maintain, metrics
 from eventide.operators.enrich import enrich_events
 from eventide.plans.etl import transform_enrich
 from eventide.session import scratch_path
@@ -152,6 +152,49 @@ def stream_daily_metrics(spark: SparkSession, events_stream: DataFrame, name: st
     return out
 
 
+def stream_daily_partials(spark: SparkSession, events_stream: DataFrame, name: str = "daily-partials") -> str:
+    """T4 from partials: each batch adds its own sums and sets; a touched day's metrics merge that day's partials.
+
+    Events are not stored or read again.  Ids, sums and sets lie in day-first
+    folders (day, then epoch; an epoch is overwritten on replay), so a batch
+    opens only the days it touches.  Returns the folder of the metrics, by day.
+    """
+    root, out = scratch_path(spark, name), scratch_path(spark, f"{name}-metrics")
+    keys = ["metric_date", "channel", "event_type", "city", "device_type"]
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def days_of(table: str, days: list) -> list[str]:
+        """Folders of the days that hold something."""
+        paths = [jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/day={d}") for d in days]
+        return [p.toString() for p in paths if p.getFileSystem(conf).exists(p)]
+
+    def read(table: str, days: list, before: int | None = None) -> DataFrame | None:
+        paths = days_of(table, days)
+        if not paths:
+            return None
+        rows = spark.read.option("basePath", f"{root}/{table}").parquet(*paths)
+        return rows if before is None else rows.filter(F.col("epoch") < before)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch = batch.withColumnRenamed("event_date", "metric_date").persist()
+        days = [r[0] for r in batch.select("metric_date").distinct().collect()]     # days of one batch
+        if days:
+            known = read("ids", days, before=epoch)
+            ids, measures, sets = distincts.daily_partials(batch, keys, known=known)
+            for table, rows, day in (("ids", ids, F.col("scope")), ("measures", measures, F.col("key.metric_date")),
+                                     ("sets", sets, F.col("key.metric_date"))):
+                (rows.withColumn("day", day).withColumn("epoch", F.lit(epoch)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("day", "epoch").parquet(f"{root}/{table}"))
+            merged = distincts.daily_rollup(read("measures", days), read("sets", days), keys)
+            (merged.select(*keys, "total_events", "unique_users", "unique_sessions", "total_premium",
+                           F.round(F.col("total_premium") / F.col("priced_events"), 4).alias("avg_premium"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("metric_date").parquet(out))
+        batch.unpersist()
+
+    _drain(events_stream.writeStream.foreachBatch(write), name, spark)
+    return out
+
+
 def stream_session_metrics(spark: SparkSession, events_stream: DataFrame, name: str = "sessions") -> str:
     """T5: sessions rebuilt whole whenever a batch brings events of them, however long they last.
 
