@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventide.session import scratch_path
@@ -47,16 +50,23 @@ def components(spark: SparkSession, links: DataFrame, max_rounds: int = 100) ->
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def written_lean(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """As ``written``; the shuffle files of the job are deleted when it ends, since only its written table is read later."""
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a query are deleted when it ends; for steps whose results are written or collected."""
     key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     before = spark.conf.get(key, "false")
     spark.conf.set(key, "true")
     try:
-        path = scratch_path(spark, name)
-        df.write.parquet(path)
+        yield
     finally:
         spark.conf.set(key, before)
+
+
+def written_lean(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """As ``written``; the shuffle files of the job are deleted when it ends, since only its written table is read later."""
+    path = scratch_path(spark, name)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

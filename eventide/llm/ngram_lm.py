@@ -48,7 +48,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from eventide.llm import text as T
-from eventide.llm.components import written
+from eventide.llm.components import discard, shuffles_dropped, written_lean
 from eventide.session import scratch_path
 
 END = np.uint64(0x5D6F2A9C31E7B845)       # the end token's hash
@@ -487,7 +487,7 @@ def train(docs: DataFrame, path: str, order: int = 2) -> Model:
         if n > 2:
             heavy = np.sort(np.array(frequent((f"gram{n - 1}", "raw", "<u4"), model.levels[n - 1].base), np.uint64))
         rows = _dealt(texts.mapInArrow(count_grams(n, heavy), "shard int, run binary"), shards)
-        level = written(spark, rows.mapInArrow(save_grams(n, heavy), schema), "lm")
+        level = written_lean(spark, rows.mapInArrow(save_grams(n, heavy), schema), "lm")
         gram_sizes = np.zeros(shards, np.int64)
         for shard, size in level.filter("kind = 'four'").select("shard", F.get("n", F.lit(4))).collect():    # one row per shard
             gram_sizes[shard] = size
@@ -500,9 +500,15 @@ def train(docs: DataFrame, path: str, order: int = 2) -> Model:
             blank = spark.range(shards).select(F.col("id").cast("int").alias("shard"), F.lit(
                 pack(np.zeros(0, np.uint64), np.zeros(0, np.int64))).alias("run"))
             ends = _dealt(level.filter("kind = 'cont'").select("shard", "run").unionByName(blank), shards)
-            finish(n - 1, written(spark, ends.mapInArrow(adjust(n - 1, model.levels[n - 1].heavy), schema), "lm"))
+            adjusted = written_lean(spark, ends.mapInArrow(adjust(n - 1, model.levels[n - 1].heavy), schema), "lm")
+            finish(n - 1, adjusted)
+            discard(adjusted)
+            for shard in range(shards):         # read for the last time
+                os.remove(f"{folder}/gram{n - 1}-{shard}.raw")
         if n == order:
             finish(n, level)
+        if n > 2:
+            discard(level)
 
     def save_continuations(batches):
         for shard, held in _by_shard(batches):
@@ -513,7 +519,8 @@ def train(docs: DataFrame, path: str, order: int = 2) -> Model:
             yield pa.RecordBatch.from_pydict({"n": pa.array([_four(cont)], pa.list_(pa.int64()))})
 
     conts = _dealt(out.filter("kind = 'cont'").select("shard", "run"), shards).mapInArrow(save_continuations, "n array<long>")
-    ones = written(spark, conts, "lm").agg(*sums[:4]).first()
+    ones = written_lean(spark, conts, "lm").agg(*sums[:4]).first()
+    discard(out)
     model.low = discounts([int(x or 0) for x in ones])
     if model.types:
         n1, n2 = int(ones[0] or 0), int(ones[1] or 0)
@@ -549,5 +556,6 @@ def perplexity(docs: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
     """Scores of all texts by a model that learns from those not held out."""
     spark = docs.sparkSession
     path = scratch_path(spark, "lm-model")
-    model = train(docs.filter(~held_out), path, order)
+    with shuffles_dropped(spark):
+        model = train(docs.filter(~held_out), path, order)
     return score(docs, model, [held_out.alias("held_out")])
