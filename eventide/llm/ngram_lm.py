@@ -7,7 +7,7 @@ lie in the model folder, all sorted arrays that are looked up by binary search:
     vocab-S.hash, vocab-S.count, vocab-S.cont
         64-bit word hashes in ascending order over all shards (a word's id is
         its place), training counts, and numbers of different words before it
-    gramN-S.key, gramN-S.count
+    gramN-S.key, gramN-S.count (one byte; larger ones in .count.at, .count.big)
         for each N from 2 to the order: context id << 32 | word id, and counts;
         the context is a word (N = 2) or a gram of N - 1 words, whose id is its
         place over all shards
@@ -169,6 +169,25 @@ def _mapped(folder: str, name: str, dtype: str) -> np.ndarray:
     return np.memmap(path, dtype, "r")
 
 
+def _save_counts(folder: str, name: str, counts: np.ndarray) -> None:
+    """Counts as one byte each; those of 255 and more stand, in 64 bits, in a second pair of arrays."""
+    big = np.flatnonzero(counts >= 255)
+    _save(folder, name, np.minimum(counts, 255).astype("u1"))
+    _save(folder, f"{name}.at", big.astype("<u8"))
+    _save(folder, f"{name}.big", counts[big].astype("<u8"))
+
+
+def _counts(folder: str, name: str, at: np.ndarray | None = None) -> np.ndarray:
+    """Counts at the given places, or all."""
+    small = _mapped(folder, name, "u1")
+    out = (small if at is None else small[at]).astype(np.int64)
+    over = np.flatnonzero(out == 255)
+    if len(over):
+        places = over if at is None else at[over]
+        out[over] = _mapped(folder, f"{name}.big", "<u8")[np.searchsorted(_mapped(folder, f"{name}.at", "<u8"), places.astype(np.uint64))]
+    return out
+
+
 # ---- the model -------------------------------------------------------------
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
@@ -243,14 +262,14 @@ class Model:
         order = np.argsort(shard, kind="stable")
         used, first = np.unique(shard[order], return_index=True)
         for s, a, b in zip(used.tolist(), first, [*first[1:], len(order)]):
-            keys, counts = _mapped(self.folder, f"gram{n}-{s}.key", "<u8"), _mapped(self.folder, f"gram{n}-{s}.count", "<u4")
+            keys = _mapped(self.folder, f"gram{n}-{s}.key", "<u8")
             rows = order[a:b]
             lo = np.searchsorted(keys, u[rows] << np.uint64(32))
             size = np.searchsorted(keys, u[rows] << np.uint64(32) | np.uint64(0xFFFFFFFF), "right") - lo
             long[rows] = size > SHORT
             for j in range(SHORT):
                 here = (size > j) & (size <= SHORT)
-                c = counts[lo[here] + j].astype(np.int64)
+                c = _counts(self.folder, f"gram{n}-{s}.count", lo[here] + j)
                 out[rows[here], 0] += c
                 out[rows[here], np.minimum(c, 3)] += 1
         at_long = np.flatnonzero(long)
@@ -270,7 +289,11 @@ class Model:
         ids = np.where(found, at + self.levels[n].base[shard], -1)
         if not counts:
             return ids[back]
-        return ids[back], self._read((f"gram{n}", "count"), "<u4", shard, at, found)[back]
+        seen = np.zeros(len(u), np.int64)
+        for s in np.unique(shard[found]).tolist():
+            rows = np.flatnonzero(found & (shard == s))
+            seen[rows] = _counts(self.folder, f"gram{n}-{s}.count", at[rows])
+        return ids[back], seen[back]
 
     def suffixes(self, n: int, ids: np.ndarray) -> np.ndarray:
         """For ascending ids of level n: the id, one level below, of the gram without its first word."""
@@ -395,7 +418,8 @@ def train(docs: DataFrame, path: str, order: int = 2) -> Model:
         def run(batches):
             for b in batches:
                 for shard in b.column(0).to_pylist():
-                    at = np.flatnonzero(_mapped(folder, f"{kind[0]}-{shard}.{kind[1]}", kind[2]) > least)
+                    name = f"{kind[0]}-{shard}.{kind[1]}"
+                    at = np.flatnonzero((_counts(folder, name) if kind[1] == "raw" else _mapped(folder, name, "<u8")) > least)
                     yield pa.RecordBatch.from_pydict({"id": pa.array(at + base[shard], pa.int64())})
         return [r[0] for r in spark.range(shards).mapInArrow(run, "id long").collect()]
 
@@ -455,7 +479,7 @@ def train(docs: DataFrame, path: str, order: int = 2) -> Model:
             for shard, held in _by_shard(batches):
                 keys, c = _merged(held)
                 _save(folder, f"gram{n}-{shard}.key", keys.astype("<u8"))
-                _save(folder, f"gram{n}-{shard}.{'count' if n == order else 'raw'}", c.astype("<u4"))
+                _save_counts(folder, f"gram{n}-{shard}.{'count' if n == order else 'raw'}", c)
                 word = keys & np.uint64(0xFFFFFFFF)
                 if n == 2:
                     word, types = np.unique(word, return_counts=True)
@@ -475,17 +499,17 @@ def train(docs: DataFrame, path: str, order: int = 2) -> Model:
         def run(batches):
             for shard, held in _by_shard(batches):
                 keys = np.array(_mapped(folder, f"gram{n}-{shard}.key", "<u8"))
-                c = np.array(_mapped(folder, f"gram{n}-{shard}.raw", "<u4"))
+                c = _counts(folder, f"gram{n}-{shard}.raw")
                 ends, types = _merged(held)
                 c[np.searchsorted(keys, ends)] = types
-                _save(folder, f"gram{n}-{shard}.count", c.astype("<u4"))
+                _save_counts(folder, f"gram{n}-{shard}.count", c)
                 yield rows_of(shard, none, save_contexts(n, shard, keys, c, heavy))
         return run
 
-    heavy = np.sort(np.array(frequent(("vocab", "count", "<u8"), base) + [int(START)], np.uint64))
+    heavy = np.sort(np.array(frequent(("vocab", "count"), base) + [int(START)], np.uint64))
     for n in range(2, order + 1):
         if n > 2:
-            heavy = np.sort(np.array(frequent((f"gram{n - 1}", "raw", "<u4"), model.levels[n - 1].base), np.uint64))
+            heavy = np.sort(np.array(frequent((f"gram{n - 1}", "raw"), model.levels[n - 1].base), np.uint64))
         rows = _dealt(texts.mapInArrow(count_grams(n, heavy), "shard int, run binary"), shards)
         level = written_lean(spark, rows.mapInArrow(save_grams(n, heavy), schema), "lm")
         gram_sizes = np.zeros(shards, np.int64)
@@ -504,7 +528,8 @@ def train(docs: DataFrame, path: str, order: int = 2) -> Model:
             finish(n - 1, adjusted)
             discard(adjusted)
             for shard in range(shards):         # read for the last time
-                os.remove(f"{folder}/gram{n - 1}-{shard}.raw")
+                for end in ("", ".at", ".big"):
+                    os.remove(f"{folder}/gram{n - 1}-{shard}.raw{end}")
         if n == order:
             finish(n, level)
         if n > 2:
