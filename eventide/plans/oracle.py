@@ -237,8 +237,11 @@ DENORM_DATES = ("signup_date", "event_date", "order_date", "policy_start_date",
 ORDER_DATES = ("order_date", "policy_start_date", "policy_end_date")
 
 oracle("unified_orders", "SELECT * FROM unified", "unified", dates=ORDER_DATES)
-oracle("latest_version", _latest("third_party_orders").replace("* EXCLUDE (version)", "*"),
-       "third_party_orders", dates=ORDER_DATES)
+oracle("latest_version", """
+SELECT * REPLACE (CASE WHEN insurance_type <> 'third_party' AND order_id % 5 = 0 THEN premium_amount + 7 ELSE premium_amount END AS premium_amount,
+         CASE WHEN insurance_type <> 'third_party' AND order_id % 5 = 0 THEN updated_at + INTERVAL 1 HOUR ELSE updated_at END AS updated_at),
+       CASE WHEN insurance_type = 'third_party' OR order_id % 5 = 0 THEN 2 ELSE 1 END AS version
+FROM unified""", "unified", dates=ORDER_DATES)
 oracle("purchase_order_join", """
 SELECT e.event_id, e.user_id, e.event_date, e.premium_amount, o.order_id, o.insurance_type,
        o.policy_number, o.premium_amount AS order_premium_amount
@@ -307,14 +310,33 @@ FROM processed""", "processed")
 # ---- sources, sinks, projections ------------------------------------------------
 STORE_DATES = ("signup_date", "event_date")
 oracle("decode_events", "SELECT * FROM raw_events", "raw_events")
+cte("spoiled", """
+SELECT event_id, event_type, channel, premium_amount, user_id,
+       CASE WHEN event_id % 79 = 11 THEN 'soon' ELSE strftime(event_time, '%Y-%m-%d %H:%M:%S') END AS written_time,
+       CASE WHEN event_id % 79 = 11 THEN NULL ELSE event_time END AS event_time,
+       CASE WHEN event_id % 73 = 13 THEN 'x' ELSE '' END || session_id AS session_id,
+       CASE WHEN event_id % 89 = 5 THEN 'u' ELSE '' END || user_id AS written_user,
+       CASE WHEN event_id % 97 = 3 THEN 'fewer_than_6_fields' WHEN event_id % 89 = 5 THEN 'bad_user_id'
+            WHEN event_id % 83 = 7 THEN 'bad_premium_amount' END AS reject_reason
+FROM raw_events""", "raw_events")
 oracle("ingest_events_csv", """
-SELECT strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, user_id, session_id, event_type, channel,
-       premium_amount FROM raw_events""", "raw_events")
+SELECT written_time AS event_time, user_id, session_id, event_type, channel, premium_amount FROM spoiled WHERE reject_reason IS NULL""",
+       "spoiled")
+oracle("event_rejects", """
+SELECT concat_ws(',', written_time, written_user, session_id) || CASE WHEN reject_reason = 'fewer_than_6_fields' THEN ''
+         ELSE ',' || event_type || ',' || channel || ',' || CASE WHEN event_id % 83 = 7 THEN 'n/a' WHEN premium_amount = 0 THEN ''
+              ELSE CAST(premium_amount AS VARCHAR) END END AS line, reject_reason
+FROM spoiled WHERE reject_reason IS NOT NULL""", "spoiled")
 oracle("ingest_report", """
-SELECT count(*) AS total_rows, count(*) AS sent_rows, CAST(0 AS BIGINT) AS failed_rows,
-       round(100.0 * count(*) / count(*), 2) AS success_rate FROM raw_events""", "raw_events")
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE reject_reason IS NULL) AS sent_rows, count(reject_reason) AS failed_rows,
+       round(100.0 * count(*) FILTER (WHERE reject_reason IS NULL) / count(*), 2) AS success_rate FROM spoiled""", "spoiled")
+oracle("user_rejects", """
+SELECT CASE WHEN user_id % 50 = 1 THEN 'u' || user_id ELSE '' END AS written_id,
+       CASE WHEN user_id % 50 = 1 THEN 'bad user_id' ELSE 'missing user_id' END AS reject_reason
+FROM users WHERE user_id % 50 IN (1, 2)""", "users")
 oracle("ingest_users_csv", f"""
-SELECT user_id, signup_date, city, device_type, {AS_OF} AS created_at, {AS_OF} AS updated_at FROM users""",
+SELECT CASE WHEN user_id % 50 = 3 THEN user_id + 3000000000 ELSE user_id END AS user_id, signup_date, city, device_type,
+       {AS_OF} AS created_at, {AS_OF} AS updated_at FROM users WHERE user_id % 50 NOT IN (1, 2)""",
        "users", dates=("signup_date",))
 oracle("users_profile", """
 SELECT count(*) AS total_users, min(signup_date) AS min_signup_date, max(signup_date) AS max_signup_date,
@@ -543,7 +565,11 @@ UNION ALL SELECT * FROM chk_consistency""",
 oracle("check_completeness", "SELECT * FROM chk_completeness", "chk_completeness", arrays=("affected_rows",))
 oracle("check_duplicates", "SELECT * FROM chk_duplicates", "chk_duplicates", arrays=("affected_rows",))
 oracle("range_violations", "SELECT * FROM range_rules", "range_rules")
-oracle("format_violations", "SELECT * FROM format_rules", "format_rules")
+oracle("format_violations", """
+SELECT 'event_time' AS column_name, count(*) FILTER (WHERE event_id % 79 = 11) AS violations, count(*) AS checked_rows FROM spoiled
+UNION ALL SELECT 'user_id', count(*) FILTER (WHERE reject_reason = 'bad_user_id'), count(*) FROM spoiled
+UNION ALL SELECT 'premium_amount', count(*) FILTER (WHERE reject_reason = 'bad_premium_amount'), count(*) FROM spoiled
+UNION ALL SELECT 'session_id', count(*) FILTER (WHERE event_id % 73 = 13), count(*) FROM spoiled""", "spoiled")
 oracle("temporal_violations", "SELECT * FROM temporal_rules", "temporal_rules")
 oracle("field_consistency", "SELECT * FROM consistency_rules", "consistency_rules")
 oracle("quality_check_log", "SELECT * FROM check_log", "check_log", arrays=("affected_rows",))
@@ -673,7 +699,13 @@ SELECT date_trunc('hour', event_time) AS load_time, '{EV_TABLE}' AS table_name,
        CAST(0 AS BIGINT) AS records_failed, 3600.0 AS processing_time_seconds,
        round(count(*) / 3600.0, 2) AS throughput_records_per_second, 0.0 AS error_rate_percent, 'success' AS status
 FROM raw_events GROUP BY 1""", "raw_events")
-oracle("load_performance", "SELECT * FROM load_log", "load_log")
+oracle("load_performance", f"""
+SELECT load_time, '{EV_TABLE}' AS table_name, 'kafka_consumer' AS source_system, strftime(load_time, '%-H_%Y-%m-%d') AS batch_id,
+       good AS records_processed, bad AS records_failed, 3600.0 AS processing_time_seconds,
+       round(good / 3600.0, 2) AS throughput_records_per_second, round(100.0 * bad / (good + bad), 2) AS error_rate_percent,
+       CASE WHEN bad = 0 THEN 'success' WHEN good = 0 THEN 'complete_failure' ELSE 'partial_failure' END AS status
+FROM (SELECT date_trunc('hour', event_time) AS load_time, count(*) FILTER (WHERE reject_reason IS NULL) AS good, count(reject_reason) AS bad
+      FROM spoiled GROUP BY 1)""", "spoiled")
 oracle("load_trends", f"""
 SELECT table_name, date_trunc('hour', load_time) AS hour, CAST(sum(records_processed) AS BIGINT) AS total_records,
        round(avg(throughput_records_per_second), 4) AS avg_throughput, max(error_rate_percent) AS max_error_rate,

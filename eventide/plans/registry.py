@@ -107,7 +107,16 @@ def q_unified_orders(t):
 
 @register("latest_version")
 def q_latest_version(t):
-    return maintain.latest_version(fixtures.third_party_orders(t.orders), ["order_id", "user_id"])
+    """U1 over all four product tables, a fifth of whose single-version orders was written a second time."""
+    stored = None
+    for kind in ("third_party", "body_injury", "medical", "fire"):
+        part = getattr(fixtures, f"{kind}_orders")(t.orders).withColumn("insurance_type", F.lit(kind))
+        stored = part if stored is None else stored.unionByName(part, allowMissingColumns=True)
+    stored = stored.withColumnRenamed("vehicle_type", "product_type").select(*orders.UNIFIED_COLUMNS, "version")
+    again = (stored.filter((F.col("insurance_type") != "third_party") & (F.col("order_id") % 5 == 0))
+             .withColumn("premium_amount", F.col("premium_amount") + 7).withColumn("version", F.col("version") + 1)
+             .withColumn("updated_at", F.col("updated_at") + F.expr("INTERVAL 1 HOUR")))
+    return maintain.latest_version(stored.unionByName(again), ["insurance_type", "order_id", "user_id"])
 
 
 @register("purchase_order_join")
@@ -209,7 +218,20 @@ def q_decode_events(t):
 
 
 def _parsed_lines(t):
-    return csv_ingest.parse_event_lines(csv_ingest.events_to_csv_lines(_raw(t)))
+    return csv_ingest.parse_event_lines(fixtures.spoiled_events(_raw(t)))
+
+
+@register("event_rejects")
+def q_event_rejects(t):
+    """The lines that give no event, with the reason."""
+    return csv_ingest.reject_rows(_parsed_lines(t))
+
+
+@register("user_rejects")
+def q_user_rejects(t):
+    """S3: the lines that give no user, with the reason; an id above 2**31 is a user."""
+    rejects = csv_ingest.user_rejects(fixtures.spoiled_users(_users(t)))
+    return rejects.select(F.substring_index("value", ",", 1).alias("written_id"), "reject_reason")
 
 
 @register("ingest_events_csv")
@@ -224,7 +246,7 @@ def q_ingest_report(t):
 
 @register("ingest_users_csv")
 def q_ingest_users_csv(t):
-    return csv_ingest.parse_user_lines(csv_ingest.users_to_csv_lines(_users(t)), AS_OF)
+    return csv_ingest.parse_user_lines(fixtures.spoiled_users(_users(t)), AS_OF)
 
 
 @register("users_profile")
@@ -500,7 +522,7 @@ def q_gap_severity(t):
 
 @register("load_performance")
 def q_load_performance(t):
-    return _logs(t).load_log()
+    return quality.load_performance(_parsed_lines(t))
 
 
 @register("record_lineage")

@@ -97,7 +97,7 @@ def _user_fields(lines: DataFrame) -> DataFrame:
 def user_rejects(lines: DataFrame) -> DataFrame:
     """S3: the lines that give no user, with the reason; with ``parse_user_lines`` they make up all lines."""
     user = F.col("f.user_id")
-    return (_user_fields(lines).filter(user.try_cast("int").isNull())
+    return (_user_fields(lines).filter(user.try_cast("bigint").isNull())
             .select("value", F.when(user.isNull(), "missing user_id").otherwise("bad user_id").alias("reject_reason")))
 
 

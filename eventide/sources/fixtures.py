@@ -197,3 +197,27 @@ def financial_orders(lineitem: DataFrame) -> DataFrame:
         (pay_date + F.make_interval(days=F.lit(2))).alias("settlement_date"),
         F.lit(1).cast("int").alias("version"),
     )
+
+
+def spoiled_events(raw: DataFrame) -> DataFrame:
+    """CSV lines of the raw events, some of them bad: chosen by event_id, so that an oracle can count them.
+
+    Of every 97 one is cut after three fields; of every 89 one has a user id
+    that is no number, of 83 a premium that is none, of 79 a time that is none,
+    of 73 a malformed session.
+    """
+    k = F.col("event_id")
+    time = F.when(k % 79 == 11, "soon").otherwise(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"))
+    user = F.concat(F.when(k % 89 == 5, "u").otherwise(""), F.col("user_id").cast("string"))
+    session = F.concat(F.when(k % 73 == 13, "x").otherwise(""), F.col("session_id"))
+    premium = (F.when(k % 83 == 7, "n/a").when(F.col("premium_amount") == 0, "").otherwise(F.col("premium_amount").cast("string")))
+    head = F.concat_ws(",", time, user, session)
+    return raw.select(F.when(k % 97 == 3, head).otherwise(F.concat_ws(",", head, "event_type", "channel", premium)).alias("value"))
+
+
+def spoiled_users(users: DataFrame) -> DataFrame:
+    """CSV lines of the users: of every 50 ids one is no number, one is blank, and one is above 2**31 (and good)."""
+    k = F.col("user_id")
+    user = (F.when(k % 50 == 1, F.concat(F.lit("u"), k)).when(k % 50 == 2, "").when(k % 50 == 3, (k + 3_000_000_000).cast("string"))
+            .otherwise(k.cast("string")))
+    return users.select(F.concat_ws(",", user, F.date_format("signup_date", "yyyy-MM-dd"), "city", "device_type").alias("value"))
