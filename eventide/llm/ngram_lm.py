@@ -262,14 +262,15 @@ class Model:
         order = np.argsort(shard, kind="stable")
         used, first = np.unique(shard[order], return_index=True)
         for s, a, b in zip(used.tolist(), first, [*first[1:], len(order)]):
-            keys = _mapped(self.folder, f"gram{n}-{s}.key", "<u8")
+            keys, small = _mapped(self.folder, f"gram{n}-{s}.key", "<u8"), _mapped(self.folder, f"gram{n}-{s}.count", "u1")
             rows = order[a:b]
             lo = np.searchsorted(keys, u[rows] << np.uint64(32))
             size = np.searchsorted(keys, u[rows] << np.uint64(32) | np.uint64(0xFFFFFFFF), "right") - lo
             long[rows] = size > SHORT
             for j in range(SHORT):
                 here = (size > j) & (size <= SHORT)
-                c = _counts(self.folder, f"gram{n}-{s}.count", lo[here] + j)
+                c = small[lo[here] + j]
+                c = _counts(self.folder, f"gram{n}-{s}.count", lo[here] + j) if (c == 255).any() else c.astype(np.int64)
                 out[rows[here], 0] += c
                 out[rows[here], np.minimum(c, 3)] += 1
         at_long = np.flatnonzero(long)
