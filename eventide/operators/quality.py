@@ -408,6 +408,19 @@ def completeness_by_column(df: DataFrame, cols: Sequence[str], table: str = EVEN
         F.round(F.avg(completeness_flag(cols)) * 100.0, 2).alias("completeness_percent"))
 
 
+def outlier_rule(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """D11 as one rule row: how many rows lie outside their group's bounds."""
+    outside = outliers_iqr(df, value_col, group_cols).select(F.count(F.lit(1))).scalar()
+    return df.agg(F.lit(value_col).alias("column_name"), F.count(F.lit(1)).alias("checked_rows")).withColumn("violations", outside)
+
+
+def completeness_rule(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """D12 as one rule row: how many rows lack one of the columns."""
+    return completeness_by_column(df, cols).select(
+        F.col("column_list").alias("column_name"), (F.col("total_records") - F.coalesce("complete_records", F.lit(0))).alias("violations"),
+        F.col("total_records").alias("checked_rows"))
+
+
 # ---- D13 -------------------------------------------------------------------------
 def critical_alerts(check_log: DataFrame, as_of: str, within: str = "1 HOUR") -> DataFrame:
     """Failed critical checks in the window, per table (health log rows)."""

@@ -555,11 +555,21 @@ cte("chk_format", _rules_check("format_rules", "validity", "format_violations",
 cte("chk_temporal", _rules_check("temporal_rules", "validity", "temporal_violations", "high"), "temporal_rules")
 cte("chk_consistency", _rules_check("consistency_rules", "consistency", "field_consistency", "high"),
     "consistency_rules")
+cte("outlier_rules", """
+SELECT 'premium_amount' AS column_name, count(*) FILTER (WHERE premium_amount < q1 - 1.5 * (q3 - q1) OR premium_amount > q3 + 1.5 * (q3 - q1)) AS violations,
+       count(*) AS checked_rows
+FROM store JOIN (SELECT event_type, quantile_cont(premium_amount, 0.25) AS q1, quantile_cont(premium_amount, 0.75) AS q3 FROM store GROUP BY 1) USING (event_type)""",
+    "store")
+cte("complete_rules", """
+SELECT 'all' AS column_name, count(*) FILTER (WHERE user_id IS NULL OR coalesce(session_id, '') = '' OR coalesce(city, '') = ''
+       OR coalesce(device_type, '') = '') AS violations, count(*) AS checked_rows FROM store""", "store")
+cte("chk_outliers", _rules_check("outlier_rules", "validity", "outliers_iqr", "medium"), "outlier_rules")
+cte("chk_columns", _rules_check("complete_rules", "completeness", "completeness_by_column", "medium"), "complete_rules")
 cte("check_log", """
 SELECT * FROM chk_completeness UNION ALL SELECT * FROM chk_duplicates_run UNION ALL SELECT * FROM chk_orphans
 UNION ALL SELECT * FROM chk_range UNION ALL SELECT * FROM chk_format UNION ALL SELECT * FROM chk_temporal
-UNION ALL SELECT * FROM chk_consistency""",
-    "chk_completeness", "chk_duplicates_run", "chk_orphans", "chk_range", "chk_format", "chk_temporal",
+UNION ALL SELECT * FROM chk_consistency UNION ALL SELECT * FROM chk_outliers UNION ALL SELECT * FROM chk_columns""",
+    "chk_outliers", "chk_columns", "chk_completeness", "chk_duplicates_run", "chk_orphans", "chk_range", "chk_format", "chk_temporal",
     "chk_consistency")
 
 oracle("check_completeness", "SELECT * FROM chk_completeness", "chk_completeness", arrays=("affected_rows",))

@@ -35,6 +35,9 @@ def double_delivery(store: DataFrame) -> DataFrame:
     return store.unionByName(again)
 
 
+COMPLETE_COLUMNS = ["user_id", "session_id", "city", "device_type"]
+
+
 class Logs:
     """All monitor logs of one run.
 
@@ -49,10 +52,13 @@ class Logs:
     its own stamp only, so a repeated run leaves the same rows.
     """
 
-    def __init__(self, t: Tables, as_of: str = AS_OF, materialize: bool = False, root: str | None = None):
+    def __init__(self, t: Tables, as_of: str = AS_OF, materialize: bool = False, root: str | None = None,
+                 store: DataFrame | None = None):
         self.t, self.as_of, self.materialize = t, as_of, materialize
         self.root = root or scratch_path(t.spark, "monitor-logs")
         self._written: dict[str, DataFrame] = {}
+        if store is not None:
+            self.store = store      # a written warehouse table: read as it is
 
     # inputs ---------------------------------------------------------------
     @cached_property
@@ -95,6 +101,10 @@ class Logs:
                 a, "validity", "temporal_violations", "high"),
             quality.violations_check(quality.field_consistency(self.store, purchases, premiums), a, "consistency",
                                      "field_consistency", "high"),
+            quality.violations_check(quality.outlier_rule(self.store, "premium_amount", ["event_type"]), a, "validity",
+                                     "outliers_iqr", "medium"),
+            quality.violations_check(quality.completeness_rule(self.store, COMPLETE_COLUMNS), a, "completeness",
+                                     "completeness_by_column", "medium"),
         ]
         out = parts[0]
         for p in parts[1:]:
@@ -181,6 +191,6 @@ class Logs:
 EVENTS_TABLE_NAME = quality.EVENTS_TABLE
 
 
-def run(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[str, str]:
-    """Write every log of one run under ``root``; returns log -> path."""
-    return Logs(t, as_of, materialize=True, root=root).run()
+def run(t: Tables, as_of: str = AS_OF, root: str | None = None, store: DataFrame | None = None) -> dict[str, str]:
+    """Write every log of one run under ``root``, over the written ``store`` where one is given; returns log -> path."""
+    return Logs(t, as_of, materialize=True, root=root, store=store).run()

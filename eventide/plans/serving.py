@@ -57,7 +57,8 @@ def materialize(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict[
     tables = write_tables(t, as_of, root)
     paths = {"store": tables["processed_events_storage"], "sessions": tables["session_metrics"],
              "denorm": tables["purchase_events_denormalized"]}
-    logs = quality_run.run(t, as_of, f"{root}/monitor-logs")
+    store = t.spark.read.parquet(paths["store"]).drop("month")
+    logs = quality_run.run(t, as_of, f"{root}/monitor-logs", store)
     return paths | {"checks": logs["data_quality_checks"], "health": logs["pipeline_health_status"],
                     "lineage": logs["data_lineage_tracking"]}
 
