@@ -19,7 +19,8 @@ so the components are those of all candidate pairs.
 Defined results: null, empty or wordless texts have an empty set and are linked
 with nothing; fewer than k words are one shingle; rows with a null doc_id are
 returned unlinked (component null, kept); rows that share a doc_id are one
-node; repeated rows are each returned; other columns are not read.
+node, linked with all that any of their texts is linked with (an empty text adds
+no link); repeated rows are each returned; other columns are not read.
 """
 
 from __future__ import annotations
@@ -292,6 +293,15 @@ def _second_pairs(docs: DataFrame, buckets: DataFrame, comps: DataFrame, nodes:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
+def _same_id(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) of an id whose rows differ with the nodes of all its sets."""
+    by_id = signed.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.struct("c1", "c2")).alias("low"), F.max(F.struct("c1", "c2")).alias("high")).filter("low != high")
+    own = signed.filter("n_shingles > 0").join(by_id.select("doc_id"), "doc_id").select("doc_id", "c1", "c2").distinct()
+    return own.join(classes.select("c1", "c2", "node"), ["c1", "c2"]).select(
+        F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a != b")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document; similarity bound in percent, inclusive."""
     spark = docs.sparkSession
@@ -308,7 +318,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
     buckets = written(spark, banded.join(full.select("key", "hub"), "key").select("key", "node", "hub"), "near-buckets")
     stars = buckets.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     first = written(spark, _likely(stars, nodes, checks), "near-first")
-    links = written(spark, _confirmed(docs, first, k, percent), "near-links")
+    links = written(spark, _confirmed(docs, first, k, percent).unionByName(_same_id(signed, classes)), "near-links")
     comps = components(spark, links)
     more = written(spark, _second_pairs(docs, buckets, comps, nodes, checks, k, percent), "near-second")
     if not more.isEmpty():
@@ -317,9 +327,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, miss: float
             comps = components(spark, links.unionByName(found))
     member = classes.select("c1", "c2", "node").join(comps, "node", "left").select(
         "c1", "c2", F.coalesce("component", "node").alias("component_id"))
+    # an empty text follows its id's other texts
+    blank = (signed.filter("n_shingles = 0 and doc_id is not null").select("doc_id").distinct()
+             .join(comps.select(F.col("node").alias("doc_id"), F.col("component").alias("own")), "doc_id")
+             .select(F.col("doc_id").alias("blank"), "own"))
     return (signed.select("doc_id", "n_shingles", "c1", "c2").join(member, ["c1", "c2"], "left")
+            .join(blank, F.expr("doc_id = blank and n_shingles = 0"), "left")
             .select("doc_id", "n_shingles",
-                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "own", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
