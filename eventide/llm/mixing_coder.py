@@ -13,7 +13,8 @@ upper and lower part, by their order-0 frequencies; a new id follows plainly.
 All arithmetic is on integers, so any machine decodes what any other wrote.
 Payload: the 32-bit words of the coder.  A block's checksum is the CRC-32 of
 its ids as little-endian 32-bit integers and is verified on decoding.  Ids are
-below 65,536 and blocks hold at most 8,192 of them.
+below 65,536 (a larger one is refused on encoding) and blocks hold at most 8,192
+of them.
 """
 
 from __future__ import annotations
@@ -138,6 +139,8 @@ def _encode(blocks):
     sizes = np.array([len(b) for b in blocks], np.int64)
     ids, number, new = np.zeros((longest, n), np.uint16), np.zeros((longest, n), np.uint16), np.zeros((longest, n), bool)
     for i, b in enumerate(blocks):
+        if len(b) and int(np.max(b)) >= int(_NEW):
+            raise ValueError(f"id {int(np.max(b))} is not below {int(_NEW)}")
         ids[: len(b), i] = b
         number[: len(b), i], new[: len(b), i] = _numbered(b)
     m = _Model(n)

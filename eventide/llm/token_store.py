@@ -182,9 +182,10 @@ class _Writer:
 def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", order: list[Column] = ()) -> None:
     """Write the ids of all documents to a new store, in ascending ``order`` (default: doc_id, then text hash)."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = list(order) or [F.col("doc_id").cast("long"), F.xxhash64("text")]      # the hash splits rows of one id
     by = [f"__by{i}" for i in range(len(order))]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(c.alias(b) for c, b in zip(order, by)))
-    rows = rows.repartitionByRange(n, *(by or ["doc_id"])).sortWithinPartitions(*(by or ["doc_id", F.xxhash64("text")]))
+    rows = rows.repartitionByRange(n, *by).sortWithinPartitions(*by)
     rows = rows.select("doc_id", "text")
 
     def run(batches):
