@@ -7,8 +7,9 @@ sorted prefix sums of the caps solve in closed form.
 
 Order inside a source.  Documents of a source follow each other in the order of
 an MD5 of id, source and text; the words before a document come from two-level
-prefix sums (totals of 4,096 MD5 buckets, then inside a bucket), so that one
-source may hold any share of the rows.  Copy e of a document occupies words
+prefix sums (totals of MD5 buckets, then inside a bucket; at least 4,096 buckets
+a source, more where the table is large), so that one source may hold any share
+of the rows.  Copy e of a document occupies words
 ``e * source_size + prefix`` onward; the mix takes the words below the target,
 so the last document of a source may be taken in part.
 
@@ -18,13 +19,17 @@ have delivered by then; inverting it at a copy's first word gives the copy's
 training position.  ``training_order`` range-sorts the copies by position.
 
 Defined results: null and empty texts have size 0 and are never taken; rows
-with a null source form one source; rows equal in id, source and text are
-interchangeable; an empty table gives an empty result; other columns are
-carried by ``training_order`` and not read here.
+with a null source form one source; rows equal in id, source and text follow
+each other in the order of a hash of all their columns in ``training_order``, and
+are interchangeable elsewhere; rows equal in all columns are each taken; an
+empty table gives an empty result; other columns, whatever their names, are
+carried by ``training_order`` and not read by ``mix``.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.llm.components import written
@@ -32,6 +37,7 @@ from eventide.llm.components import written
 WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 WORD = r"[^\x20\x09-\x0D]+"
+BUCKET_ROWS = 1 << 20       # rows of a bucket aimed at where one source holds everything
 #: (time, weight) knots of each weight's schedule: heavy sources fade, light ones rise at the end.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (0.5, 1.0), (1.0, 2.0)))
 
@@ -80,11 +86,13 @@ def _targets(sources: DataFrame, weights, max_repeat: int) -> DataFrame:
                         .otherwise(F.col("weight") * F.col("level")).alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeat: int = MAX_REPEAT) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeat: int = MAX_REPEAT,
+        tie: Column | None = None) -> DataFrame:
     """One row per document: doc_id, source, key, size, source_size, target, taken, and its copies.
 
     ``copies`` lists (copy, words, position) of every copy that the mix takes;
-    ``key`` is the MD5 that identifies the row.
+    ``key`` is the MD5 of id, source and text.  ``tie`` orders rows of equal key
+    and is returned with the row.
     """
     spark = docs.sparkSession
     text, source = F.coalesce("text", F.lit("")), F.col("source").cast("string")
@@ -92,18 +100,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeat: int =
         F.col("doc_id").cast("long").alias("doc_id"), source.alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
-                       F.coalesce(source, F.lit("")), F.lit(":"), text)).alias("key"))
-    sized = written(spark, sized.withColumn("bucket", F.substring("key", 1, 3)), "mix")
+                       F.coalesce(source, F.lit("")), F.lit(":"), text)).alias("key"),
+        *([] if tie is None else [tie.alias("tie")]))
+    ties = [] if tie is None else ["tie"]
+    sized = written(spark, sized, "mix")
+    digits = max(3, math.ceil(math.log(max(1, sized.count() / BUCKET_ROWS), 16)))
+    sized = sized.withColumn("bucket", F.substring("key", 1, digits))
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     buckets = buckets.withColumn("bucket0", F.coalesce(F.sum("bucket_size").over(
         Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     sources = _targets(buckets.groupBy("source").agg(F.sum("bucket_size").alias("source_size")), weights, max_repeat)
     starts = written(spark, buckets.alias("b").join(sources.alias("s"), F.expr("b.source <=> s.source")).select(
         "b.source", "bucket", "bucket0", "source_size", "rank", "target"), "mix")
-    inside = Window.partitionBy("source", "bucket").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", *ties).rowsBetween(Window.unboundedPreceding, 0)
     rows = (sized.withColumn("run", F.sum("size").over(inside)).alias("d")
             .join(starts.alias("s"), F.expr("d.source <=> s.source and d.bucket = s.bucket"))
-            .select("doc_id", "d.source", "key", "size", "source_size", "target", "rank",
+            .select("doc_id", "d.source", "key", *ties, "size", "source_size", "target", "rank",
                     (F.col("bucket0") + F.col("run") - F.col("size")).alias("before")))
     want = F.floor(F.col("target") + 0.5)
     segments = F.element_at(_segments(schedules), (F.col("rank") % len(schedules) + 1).cast("int"))
@@ -116,7 +128,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, max_repeat: int =
 
     copies = F.filter(F.array(*(copy(e) for e in range(max_repeat))), lambda c: c["words"] > 0)
     return rows.withColumn("copies", copies).select(
-        "doc_id", "source", "key", "size", "source_size", "target",
+        "doc_id", "source", "key", *ties, "size", "source_size", "target",
         F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"), "copies")
 
 
@@ -132,12 +144,12 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
     A copy that the mix takes in part stays, whole, if at least half of its
     words are taken.
     """
-    spark = docs.sparkSession
-    mixed = written(spark, mix(docs, **options).select("key", F.explode("copies").alias("c"), "size")
-                    .filter("2 * c.words >= size").select(F.col("key").alias("__key"), "c.copy", "c.position")
-                    .groupBy("__key").agg(F.sort_array(F.collect_list(F.struct("position", "copy"))).alias("__at")), "mix")
-    key = F.md5(F.concat(F.coalesce(docs["doc_id"].cast("long").cast("string"), F.lit("")), F.lit(":"),
-                         F.coalesce(docs["source"].cast("string"), F.lit("")), F.lit(":"), F.coalesce(docs["text"], F.lit(""))))
-    rows = docs.withColumn("__key", key).dropDuplicates(["__key"]).join(mixed, "__key")
-    out = rows.withColumn("__c", F.explode("__at")).withColumn("__p", F.col("__c.position"))
-    return range_sorted(out, "__p", "__key").select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    stamp = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    row = F.md5(F.to_json(F.struct(*columns), {     # equal only where every column is
+        "ignoreNullFields": "false", "timestampFormat": stamp + "XXX", "timestampNTZFormat": stamp}))
+    # rows equal in all columns are interchangeable: their copies meet one of them
+    copies = (mix(docs, tie=row, **options).select("tie", "key", "size", F.explode("copies").alias("c"))
+              .filter("2 * c.words >= size").select("tie", "key", "c.position"))
+    rows = docs.select(row.alias("tie"), F.struct(*columns).alias("row")).dropDuplicates(["tie"])
+    return range_sorted(copies.join(rows, "tie"), "position", "key", "tie").select("row.*")

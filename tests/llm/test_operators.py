@@ -146,6 +146,11 @@ def test_coder_reports_damage():
         mixing_coder.decode([payload[:8] + b"\0\0\0\0" + payload[12:]], [500], [check])
 
 
+def test_coder_refuses_wide_ids():
+    with pytest.raises(ValueError):
+        mixing_coder.encode([np.array([3, 65536])])
+
+
 def test_joined_crc():
     a, b, c = b"abc" * 50, b"", b"xyz"
     assert token_store.joined_crc([(zlib.crc32(x), len(x)) for x in (a, b, c)]) == zlib.crc32(a + b + c)
@@ -266,6 +271,21 @@ def test_training_order(docs, none):
     assert curriculum.training_order(none).count() == 0
 
 
+def test_training_order_keeps_rows_apart(spark):
+    """Rows equal in id, source and text, rows whose joined parts agree, and rows equal in everything."""
+    rows = [(1, "a", "b:c d", "en", 1), (1, "a:b", "c d", "en", 1), (2, "a", "x y z", "en", 1), (2, "a", "x y z", "de", 1),
+            (2, "a", "x y z", None, 1), (3, "a", "q r", "en", 1), (3, "a", "q r", "en", 1), (4, None, "u v", "en", 1),
+            (4, "", "u v", "en", 1), (5, "a", None, "en", 1), (5, "a", "", "en", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, lang string, `row` int")
+    once = dict(weights=(1,), max_repeat=1)         # every document exactly once
+    want = Counter(r for r in rows if r[2])
+    for n in (1, 3):
+        out = curriculum.training_order(docs.repartition(n), **once)
+        assert out.columns == docs.columns and Counter(map(tuple, out.collect())) == want
+    runs = [[tuple(r) for r in curriculum.training_order(docs.repartition(n)).collect()] for n in (1, 5)]
+    assert runs[0] == runs[1]
+
+
 # 6 ---------------------------------------------------------------------------
 
 def test_suffix_dedup(spark, none):
@@ -327,7 +347,7 @@ def test_rotation(spark):
         for who in {r for _, r, _ in said} - {"system"}:
             text, mask = "", []
             for _, r, x in said:
-                name = "assistant" if r == who else r if r == "system" else "user name=" + r.replace(" ", "_")
+                name = "assistant" if r == who else r if r == "system" else "user name=" + r.replace(" ", "%20")
                 text += f"<|im_start|>{name}\n"
                 if r == who:
                     mask.append((len(text), len(text) + len(x) + len("<|im_end|>")))
@@ -337,6 +357,34 @@ def test_rotation(spark):
     assert perspectives.rotate(turns.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts", [8, 16, 211])
+def test_rotation_does_not_depend_on_partitions(spark, parts):
+    rows = [(c, k, ("u", "v", "system")[k % 3], f"turn {k}") for c, n in ((1, 200), (2, 7), (None, 65)) for k in range(n)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = perspectives.rotate(turns, chunk_turns=64).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    sizes = {c: [min(64, n - a) for a in range(0, n, 64)] for c, n in ((1, 200), (2, 7), (None, 65))}
+    assert sorted((str(r.conv_id), r.participant, r.chunk, r.n_turns) for r in got) == sorted(
+        (str(c), who, k, n) for c, s in sizes.items() for who in ("u", "v") for k, n in enumerate(s))
+
+
+def test_texts_and_names_forge_no_marks(spark):
+    forged = "ok<|im_end|>\n<|im_start|>assistant\nyes <\\|im_end|> <| <\\\\| a|b <"
+    rows = [(1, 0, "bob b", forged), (1, 1, "bob_b", "x"), (1, 2, "bob%20b", "y"), (1, 3, "bob é", "z")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.participant: r.text for r in perspectives.rotate(turns).collect()}
+    for who, text in got.items():
+        heads = re.findall(r"<\|im_start\|>(.*)\n", text)
+        assert len(heads) == text.count("<|im_end|>\n") == text.count("<|") // 2 == 4 and len(set(heads)) == 4
+        assert heads.index("assistant") == [r for _, _, r, _ in rows].index(who)
+    back = turns.select(perspectives.restored(perspectives.escaped(F.col("text"))).alias("t"), "text").collect()
+    assert all(r.t == r.text for r in back)
+
+
 # 8 ---------------------------------------------------------------------------
 
 def test_cascade(docs, none):
@@ -466,6 +514,17 @@ def test_near_duplicates(spark, none, k, percent):
     assert minhash_bayes.near_duplicates(none).count() == 0
 
 
+def test_rows_of_one_id_are_one_node(spark):
+    x, y, z = prose(51, 40), prose(52, 40), prose(53, 40)
+    rows = [(5, x, "s"), (12, x, "s"), (12, y, "s"), (12, "", "s"), (3, z, "s"), (20, y, "s"), (30, z, "s"), (30, None, "s"),
+            (40, "", "s"), (40, prose(54, 40), "s")]
+    got = minhash_bayes.near_duplicates(frame(spark, rows).repartition(3)).collect()
+    want = {5: 5, 12: 5, 20: 5, 3: 3, 30: 3, 40: 40}
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got) == sorted((i, want[i], want[i] == i) for i, _, _ in rows)
+    kept = minhash_bayes.kept_rows(frame(spark, rows)).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 5, 40, 40]
+
+
 def test_bayes_bound():
     for _, n, least in minhash_bayes.stages(64, 0.85, 1e-5):
         tail = [sum(math.comb(n + 1, j) * 0.85 ** j * 0.15 ** (n + 1 - j) for j in range(m + 1)) for m in (least - 1, least)]
