@@ -400,6 +400,16 @@ oracle("session_kpis", """
 SELECT round(avg(session_duration_seconds), 4) AS avg_session_duration,
        round(quantile_cont(session_duration_seconds, 0.95), 4) AS p95_duration,
        round(CAST(sum(has_purchase) AS DOUBLE) / count(*), 6) AS conversion_rate FROM sessions""", "sessions")
+oracle("session_kpis_sketch", """
+SELECT 'day' AS period_kind, strftime(first_event_time, '%Y-%m-%d') AS period, count(*) AS sessions,
+       round(avg(session_duration_seconds), 4) AS avg_session_duration,
+       round(CAST(sum(has_purchase) AS DOUBLE) / count(*), 6) AS conversion_rate,
+       round(quantile_cont(session_duration_seconds, 0.95), 4) AS p95_exact, TRUE AS p95_within
+FROM sessions GROUP BY ALL
+UNION ALL
+SELECT 'month', strftime(first_event_time, '%Y-%m'), count(*), round(avg(session_duration_seconds), 4),
+       round(CAST(sum(has_purchase) AS DOUBLE) / count(*), 6), round(quantile_cont(session_duration_seconds, 0.95), 4), TRUE
+FROM sessions GROUP BY ALL""", "sessions")
 oracle("category_values_report", """
 SELECT category, list_sort(list(DISTINCT value) FILTER (WHERE value IS NOT NULL)) AS "values",
        count(DISTINCT value) AS unique_count
@@ -703,6 +713,39 @@ SELECT table_name, count(*) AS changes_count, list_sort(list(DISTINCT change_typ
                                                WHEN 'critical' THEN 4 ELSE 0 END) AS max_impact,
        {AS_OF} AS latest_change
 FROM drift WHERE rows_affected > 0 GROUP BY table_name""", "drift", arrays=("change_types",))
+_STORED = {"event_id": "bigint", "event_time": "timestamp_ntz", "user_id": "bigint", "session_id": "string", "event_type": "string",
+           "channel": "string", "premium_amount": "bigint", "signup_date": "date", "city": "string", "device_type": "string",
+           "user_tenure_days": "int", "event_date": "date", "event_hour": "int", "event_day_of_week": "int", "is_purchase": "int",
+           "processing_time": "timestamp_ntz", "data_source": "string", "ingestion_time": "timestamp_ntz"}
+_plain = {c: (t, f"{c} IS NULL") for c, t in _STORED.items()}
+_device = {"device": ("struct", "FALSE"), "device.type": ("string", "device_type IS NULL")}
+_tags = {"tags": ("array", "FALSE"), "tags[]": ("struct", None), "tags[].name": ("string", None)}
+_DELIVERED = {      # version -> column -> (type, its null test; None where only the schema tells)
+    1: _plain,
+    2: _plain | _device | {"device.city": ("string", "city IS NULL")},
+    3: _plain | _device | {"premium_amount": ("double", "premium_amount IS NULL"),
+                           "session_id": ("string", "session_id IS NULL OR is_purchase <> 0")},
+    4: {c: v for c, v in _plain.items() if c != "city"} | _device | _tags | {"user_id": ("string", "user_id IS NULL")}}
+cte("delivered", " UNION ALL ".join(
+    f"SELECT {v} AS version, '{c}' AS column_name, '{t}' AS type, count(*) AS n, "
+    + (f"count(*) FILTER (WHERE {null}) AS nulls, count(*) FILTER (WHERE {null}) > 0 AS optional" if null
+       else "CAST(NULL AS BIGINT) AS nulls, TRUE AS optional")
+    + f" FROM store WHERE event_hour // 6 = {v - 1}" for v, cols in _DELIVERED.items() for c, (t, null) in cols.items()), "store")
+cte("compared", """
+SELECT coalesce(n.version, o.version + 1) AS version, coalesce(n.column_name, o.column_name) AS column_name,
+       o.type AS old_type, n.type AS new_type, o.optional AS was, n.optional AS now, n.nulls AS nulls,
+       (SELECT any_value(d.n) FROM delivered d WHERE d.version = coalesce(n.version, o.version + 1)) AS total
+FROM delivered n FULL JOIN delivered o ON n.version = o.version + 1 AND n.column_name = o.column_name
+WHERE coalesce(n.version, o.version + 1) BETWEEN 2 AND 4""", "delivered")
+oracle("schema_drift_versions", f"""
+SELECT '{EV_TABLE}' AS table_name, CAST(version AS INTEGER) AS version, {AS_OF} + to_hours(version - 1) AS change_time,
+       column_name, change_type, old_type, new_type, rows_affected,
+       CASE WHEN column_name IN ('event_id', 'user_id', 'event_time') THEN 'critical' ELSE level END AS impact_level
+FROM (SELECT *, 'column_added' AS change_type, total - coalesce(nulls, 0) AS rows_affected, 'low' AS level
+      FROM compared WHERE old_type IS NULL
+      UNION ALL SELECT *, 'column_removed', total, CASE WHEN was THEN 'medium' ELSE 'high' END FROM compared WHERE new_type IS NULL
+      UNION ALL SELECT *, 'type_change', total, 'high' FROM compared WHERE old_type <> new_type
+      UNION ALL SELECT *, 'nullability_change', nulls, 'medium' FROM compared WHERE was <> now)""", "compared")
 cte("load_log", f"""
 SELECT date_trunc('hour', event_time) AS load_time, '{EV_TABLE}' AS table_name, 'kafka_consumer' AS source_system,
        strftime(date_trunc('hour', event_time), '%-H_%Y-%m-%d') AS batch_id, count(*) AS records_processed,

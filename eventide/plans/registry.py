@@ -8,6 +8,7 @@ session-zone timestamps as TIMESTAMP_NTZ.  Values are otherwise unchanged.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -205,7 +206,7 @@ def q_event_gaps(t):
 
 # ---- sources / sinks -----------------------------------------------------------
 from eventide.functions.columns import as_of_ts, parse_time_best_effort, safe_ratio, seconds_between  # noqa: E402
-from eventide.operators import quality, reports  # noqa: E402
+from eventide.operators import quality, quantile_sketches, reports, schema_versions  # noqa: E402
 from eventide.plans import quality_run, serving  # noqa: E402
 from eventide.session import scratch_path  # noqa: E402
 from eventide.sources import csv_ingest, incremental, layout, topic  # noqa: E402
@@ -352,6 +353,17 @@ def q_session_kpis(t):
     return metrics.session_kpis(_sessions(t))
 
 
+@register("session_kpis_sketch")
+def q_session_kpis_sketch(t):
+    """A4 per day and per month from stored day sketches; the estimate is random, so its error is compared."""
+    sessions = _sessions(t)
+    path = scratch_path(t.spark, "session-sketches")
+    quantile_sketches.daily_session_sketches(sessions).write.parquet(path)
+    report = quantile_sketches.period_report(sessions, t.spark.read.parquet(path))
+    return report.select("period_kind", "period", "sessions", "avg_session_duration", "conversion_rate", "p95_exact",
+                         (F.col("rank_error") <= quantile_sketches.RANK_ERROR).alias("p95_within"))
+
+
 @register("category_values_report")
 def q_category_values_report(t):
     return metrics.category_values_report(_store(t))
@@ -510,6 +522,39 @@ def q_payload_drift(t):
     return quality.payload_drift(topic.encode_processed(etl.processed_events(t, AS_OF)))
 
 
+def _deliveries(t) -> list[DataFrame]:
+    """The stored events as four deliveries, by hour of day, whose files differ in nested fields, types and nulls."""
+    path = scratch_path(t.spark, "deliveries")
+    store = _store(t)
+    store.withColumn("batch", F.expr("event_hour div 6")).write.partitionBy("batch").parquet(path)
+    stored = t.spark.read.schema(store.schema.add("batch", "long")).parquet(path)
+
+    def batch(k):
+        return stored.filter(F.col("batch") == k).drop("batch")
+
+    device = F.struct(F.col("device_type").alias("type"), F.col("city").alias("city"))
+    return [
+        batch(0),
+        batch(1).withColumn("device", device),
+        batch(2).withColumn("device", F.struct(F.col("device_type").alias("type")))
+        .withColumn("premium_amount", F.col("premium_amount").cast("double"))
+        .withColumn("session_id", F.when(F.col("is_purchase") == 0, F.col("session_id"))),
+        batch(3).withColumn("device", F.struct(F.col("device_type").alias("type")))
+        .withColumn("user_id", F.col("user_id").cast("string")).drop("city")
+        .withColumn("tags", F.array(F.struct(F.col("channel").alias("name"))))]
+
+
+@register("schema_drift_versions")
+def q_schema_drift_versions(t):
+    """D6 over versions: each delivery is registered (the last one twice, which adds no version), then compared."""
+    path = scratch_path(t.spark, "schema-registry")
+    start = datetime.fromisoformat(AS_OF)
+    batches = _deliveries(t)
+    for hour, df in enumerate([*batches, batches[-1]]):
+        schema_versions.register_delivery(df, path, "processed_events_storage", start + timedelta(hours=hour))
+    return schema_versions.drift(schema_versions.registry(t.spark, path))
+
+
 @register("missing_event_gaps")
 def q_missing_event_gaps(t):
     return _lazy_logs(t).gap_log()
