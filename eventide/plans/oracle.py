@@ -400,6 +400,12 @@ oracle("session_kpis", """
 SELECT round(avg(session_duration_seconds), 4) AS avg_session_duration,
        round(quantile_cont(session_duration_seconds, 0.95), 4) AS p95_duration,
        round(CAST(sum(has_purchase) AS DOUBLE) / count(*), 6) AS conversion_rate FROM sessions""", "sessions")
+oracle("clustered_lookup", """
+SELECT 'user_id' AS looked_up, event_id, user_id, event_date, premium_amount, TRUE AS few_files
+FROM store WHERE user_id = (SELECT max(user_id) FROM store)
+UNION ALL
+SELECT 'event_date', event_id, user_id, event_date, premium_amount, TRUE FROM store
+WHERE event_date = (SELECT max(event_date) FROM store)""", "store", dates=("event_date",))
 oracle("session_kpis_sketch", """
 SELECT 'day' AS period_kind, strftime(first_event_time, '%Y-%m-%d') AS period, count(*) AS sessions,
        round(avg(session_duration_seconds), 4) AS avg_session_duration,

@@ -461,6 +461,25 @@ def q_layout_lookup(t):
             .unionByName(by_policy.select(F.lit("policy").alias("lookup"), *cols, "policy_number")))
 
 
+CURVE_FILES, CURVE_SHARE = 64, 0.4      # a lookup on either column of the clustered table touches at most this share
+
+
+@register("clustered_lookup")
+def q_clustered_lookup(t):
+    """Events clustered on (user_id, event_date); the last user's and the last day's rows, and whether few files hold them."""
+    path = scratch_path(t.spark, "clustered-events")
+    layout.write_clustered(_store(t), path, ("user_id", "event_date"), CURVE_FILES, ("event_id",))
+    table = t.spark.read.parquet(path)
+    ranges = layout.file_ranges(table, ("user_id", "event_date"))
+    found = []
+    for column in ("user_id", "event_date"):
+        value = ranges.agg(F.max(f"max_{column}").alias("v")).first().v       # from the files' ranges: one row a file
+        rows = table.filter(F.col(column) == F.lit(value))
+        few = layout.touched_share(ranges, column, F.lit(value)) <= CURVE_SHARE
+        found.append(rows.select(F.lit(column).alias("looked_up"), "event_id", "user_id", "event_date", "premium_amount", few.alias("few_files")))
+    return found[0].unionByName(found[1])
+
+
 @register("point_lookup")
 def q_point_lookup(t):
     """Lookup by the session of the earliest event (a key Spark derives; one row)."""
