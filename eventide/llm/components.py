@@ -1,4 +1,11 @@
-"""Connected components of a link table by alternating large and small stars."""
+"""Connected components of a link table by alternating large and small stars.
+
+Defined results: an empty link table, or one of self links only, has no
+components; repeated links and both directions of a link count once; links with
+a null end are ignored; columns other than a and b are not read.  The rounds
+grow with the logarithm of the largest component; ``components`` raises if 100
+rounds do not suffice, and never returns a partial result.
+"""
 
 from __future__ import annotations
 
