@@ -9,6 +9,13 @@ The store keeps the training order.  The mix adds no column, so the order is
 that of its written rows: the part number of a file, then the row in it (the
 mix is range-sorted, so part numbers follow it).  ``place`` counts the copies
 before a copy in that order.
+
+Defined results: an empty table gives an empty result in every stage; documents
+with a null or empty text fail the quality rules; rows with a null doc_id are no
+near copies of others; repeated rows are near copies of each other where they
+have different ids, and rows of one id share its verdict; ties in the training
+order are broken by a hash of all columns; extra columns of any name are carried
+up to the mix.
 """
 
 from __future__ import annotations

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from eventide.functions.columns import as_of_ts, safe_ratio
 from eventide.operators.maintain import latest_by, latest_version
 
+# Column lists of the order tables.
 UNIFIED_COLUMNS = [
     "order_id", "user_id", "policy_number", "insurance_type", "product_type",
     "coverage_type", "coverage_plan", "property_type", "coverage_amount",

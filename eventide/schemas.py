@@ -1,4 +1,7 @@
-"""Declared schemas: one StructType per external shape, never inference."""
+"""Declared schemas: one StructType per external shape, never inference.
+
+Fixed values: the column names and types are the contracts of the tables.
+"""
 
 from pyspark.sql import types as T
 
