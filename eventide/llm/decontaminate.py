@@ -11,29 +11,39 @@ difference allowed from eight tokens on.  Items of fewer than four tokens are
 too short to tell contamination and match nothing.
 
 Tokens are runs of ASCII letters and digits and non-ASCII characters, A-Z
-lowered.  The benchmark is laid out in blocks of bounded bytes; each block is
-sent to all tasks and one pass over the documents runs per block, so no size of
-benchmark is refused and nothing larger than a block is held by a task.
-
-Defined results: null and empty texts have no tokens and are clean; rows are
-judged one by one, so repeated rows and null ids are each reported; an empty
-benchmark leaves all documents clean; an item's repeated rows are each
-reported; other columns are not read.
+lowered.  Seeds of both sides are joined by their hash.  Before that join a
+Bloom filter over the benchmark's seeds, of a fixed greatest size, drops the
+documents' seeds that meet none; a benchmark that fills it costs a larger join,
+never a result.  Documents are read once, whatever the benchmark's size (twice
+by ``clean``).  Equal texts are searched once.  A seed that very many texts hold
+is cut into pieces, joined in different tasks.  Hits become distinct shifts of
+an item against a text inside Spark's aggregation, which spills, so a very
+repetitive text costs as many shifts as its and the item's tokens; a task lays
+one item over the stretch of one text that its shifts span.
+
+Defined results: null and empty texts have no tokens and are clean; every row
+is reported, so repeated rows and null ids are; an empty benchmark leaves all
+documents clean; an item's repeated rows are each reported; other columns, of
+any name, are not read.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from eventide.llm import text as T
+from eventide.llm.components import written
 
 MASKS = ((0, 2, 3, 5, 7, 8), (0, 1, 2, 5, 6, 7))
 WINDOW = 13
 SUBSTITUTIONS = 2
 LEAST_TOKENS = 4
-BLOCK_BYTES = 16 << 20      # benchmark text laid out in one block
+FILTER_BITS = 1 << 27       # greatest size of the seed filter (16 MB)
+PIECE_ROWS = 1 << 17        # rows of one seed that are joined in one piece
 
 _SPLIT = np.ones(256, bool)
 _SPLIT[48:58] = _SPLIT[65:91] = _SPLIT[97:123] = False
@@ -80,122 +90,176 @@ def _masked(h: np.ndarray, row_start: np.ndarray, mask) -> tuple[np.ndarray, np.
     return T.mix(value[at] + np.uint64(sum(1 << j for j in mask))), at
 
 
-class _Block:
-    """Seeds and token hashes of a block of benchmark items."""
-
-    def __init__(self, ids, texts):
-        h, start = _tokens(pa.array(texts, pa.string()))
-        self.ids, self.h, self.start = ids, h, start
-        seeds = {}
-        rows = np.repeat(np.arange(len(ids)), np.diff(start))
-        size = np.diff(start)
-        self.masks = sorted({m for n in set(size.tolist()) if n >= LEAST_TOKENS for m in _masks_for(n)})
-        for mask in self.masks:
-            value, at = _masked(h, start, mask)
-            use = np.array([size[r] >= LEAST_TOKENS and mask in _masks_for(int(size[r])) for r in rows[at]], bool)
-            value, at = value[use], at[use]
-            order = np.argsort(value, kind="stable")
-            seeds[mask] = value[order], at[order], rows[at[order]]
-        self.seeds = seeds
-        self.filters = {}
-        for mask, (value, _, _) in seeds.items():
-            seen = np.zeros(1 << 20, bool)
-            seen[value >> np.uint64(44)] = True
-            self.filters[mask] = seen
-
-    def hits(self, h, row_start):
-        """(row, item, first token, end token, differences) of the best overlap of each document and item."""
-        found = []
-        for mask in self.masks:
-            value, at = _masked(h, row_start, mask)
-            maybe = self.filters[mask][value >> np.uint64(44)]
-            value, at = value[maybe], at[maybe]
-            keys, where, items = self.seeds[mask]
-            lo, hi = np.searchsorted(keys, value, "left"), np.searchsorted(keys, value, "right")
-            n = hi - lo
-            if n.sum() == 0:
-                continue
-            pick = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-            place = np.repeat(at, n)
-            found.append(np.stack([np.searchsorted(row_start, place, "right") - 1, items[pick], place - where[pick]], 1))
-        if not found:
-            return
-        best = {}
-        for row, item, shift in np.unique(np.concatenate(found), axis=0).tolist():
-            a, b = int(self.start[item]), int(self.start[item + 1])
-            lo, hi = max(a, int(row_start[row]) - shift), min(b, int(row_start[row + 1]) - shift)
-            size, allowed = _need(b - a)
-            if hi - lo < size:
-                continue
-            differs = np.concatenate(([0], np.cumsum(self.h[lo:hi] != h[lo + shift: hi + shift])))
-            bad = differs[size:] - differs[:-size]
-            good = np.flatnonzero(bad <= allowed)
-            if len(good) == 0:
-                continue
-            first, end = lo + int(good[0]), lo + int(good[-1]) + size
-            diff = int(differs[end - lo] - differs[first - lo])
-            here = (-(end - first), diff, first + shift - int(row_start[row]), end + shift - int(row_start[row]))
-            if (row, item) not in best or here < best[row, item]:
-                best[row, item] = here
-        for (row, item), (_, diff, first, end) in sorted(best.items()):
-            yield row, item, first, end, diff
-
-
-def _blocks(benchmark: DataFrame, block_bytes: int):
-    """Broadcasts of the benchmark's blocks, in item order; only one block is on the driver at a time."""
-    sc = benchmark.sparkSession.sparkContext
-    ids, texts, size = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    for r in rows.sort("item_id", "text").toLocalIterator():
-        ids.append(r[0])
-        texts.append(r[1])
-        size += len(r[1])
-        if size >= block_bytes:
-            yield sc.broadcast((ids, texts))
-            ids, texts, size = [], [], 0
-    if ids:
-        yield sc.broadcast((ids, texts))
-
-
-def _scan(block):
-    made = []
-
-    def hits(batch, column):
-        if not made:
-            made.append(_Block(*block.value))
-        h, start = _tokens(batch.column(column))
-        return made[0].ids, made[0].hits(h, start)
-    return hits
-
-
-def overlaps(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _seeds(h, row_start, masks):
+    """Hashes of the masked windows of all rows, and the token each begins at."""
+    found = [_masked(h, row_start, m) for m in masks]
+    return np.concatenate([v for v, _ in found]), np.concatenate([a for _, a in found])
+
+
+def _lists(values: np.ndarray, of: np.ndarray, n: int, kind) -> pa.Array:
+    """List column of n rows; value i belongs to row of[i], ascending."""
+    offs = np.concatenate(([0], np.cumsum(np.bincount(of, minlength=n)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offs), pa.array(values.astype(kind)))
+
+
+def _marked(lead: list[pa.Array], names: list[str], h, start, value, at) -> pa.RecordBatch:
+    """Rows that have a seed: leading columns, their token hashes as bytes, hash and place of their seeds."""
+    row = np.searchsorted(start, at, "right") - 1
+    order = np.argsort(row, kind="stable")
+    rows, of = np.unique(row[order], return_inverse=True)
+    place = (at - start[row])[order]
+    tokens = [h[a:b].tobytes() for a, b in zip(start[rows].tolist(), start[rows + 1].tolist())]
+    cols = [c.take(pa.array(rows)) for c in lead]
+    return pa.RecordBatch.from_arrays(
+        [*cols, pa.array(tokens, pa.binary()), _lists(value[order].view(np.int64), of, len(rows), np.int64),
+         _lists(place, of, len(rows), np.int32)], names=[*names, "tokens", "hash", "at"])
+
+
+def _text_key(col) -> pa.Array:
+    return pa.array([hashlib.sha256(t.encode()).hexdigest() if t is not None else None for t in col.to_pylist()], pa.string())
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """(item, key, kind, tokens, hash, at) of every different text of the benchmark, written once."""
+    spark = benchmark.sparkSession
+    texts = benchmark.select("text").filter("text is not null").distinct().select(
+        F.monotonically_increasing_id().alias("item"), F.sha2("text", 256).alias("key"), "text")
+
+    def run(batches):
+        for s in T.slices(batches):
+            h, start = _tokens(s.column(2))
+            size = np.diff(start)
+            kind = np.minimum(size, WINDOW)
+            for n in np.unique(kind[size >= LEAST_TOKENS]).tolist():
+                value, at = _seeds(h, start, _masks_for(n))
+                use = kind[np.searchsorted(start, at, "right") - 1] == n
+                yield _marked([s.column(0), s.column(1), pa.array(kind.astype(np.int32))], ["item", "key", "kind"],
+                              h, start, value[use], at[use])
+
+    return written(spark, texts.mapInArrow(
+        run, "item long, key string, kind int, tokens binary, hash array<long>, at array<int>"), "op4-items")
+
+
+def _unnested(marked: DataFrame, *names: str) -> DataFrame:
+    seeds = marked.select(*names, F.explode(F.arrays_zip("hash", "at")).alias("s"))
+    return seeds.select(*names, F.col("s.hash").alias("hash"), F.col("s.at").alias("at"))
+
+
+def _filter(seeds: DataFrame, most_bits: int) -> np.ndarray:
+    """Bloom filter of two probes over the benchmark's seeds; at most ``most_bits`` bits, whatever their number."""
+    n = seeds.agg(F.count("*")).first()[0]
+    bits = max(1 << 15, min(most_bits, 1 << (16 * n).bit_length()))
+    probe = F.explode(F.array(F.col("hash").bitwiseAND(F.lit(bits - 1)),
+                              F.shiftrightunsigned("hash", 32).bitwiseAND(F.lit(bits - 1)))).alias("p")
+    rows = (seeds.select(probe).groupBy(F.shiftright("p", 15).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("set")))
+    out = np.zeros((bits >> 15, 4096), np.uint8)
+    for r in rows.collect():            # bits / 8 bytes in all
+        out[r.bucket] = np.frombuffer(r.set, np.uint8)
+    return out.reshape(-1)
+
+
+def _in_filter(bitmap: np.ndarray, value: np.ndarray) -> np.ndarray:
+    mask = np.uint64(8 * len(bitmap) - 1)
+    hit = np.ones(len(value), bool)
+    for p in (value & mask, (value >> np.uint64(32)) & mask):
+        hit &= (bitmap[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    return hit
+
+
+def _verified(batches):
+    """Best overlap of each pair of a text and an item around its hits."""
+    for b in batches:
+        out = []
+        for i, (shifts, item, base, doc) in enumerate(zip(*(b.column(c).to_pylist() for c in range(2, 6)))):
+            item, doc = np.frombuffer(item, np.uint64), np.frombuffer(doc, np.uint64)
+            size, allowed = _need(len(item))
+            best = None
+            for shift in shifts:
+                shift -= base
+                lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
+                if hi - lo < size:
+                    continue
+                differs = np.concatenate(([0], np.cumsum(item[lo:hi] != doc[lo + shift: hi + shift])))
+                good = np.flatnonzero(differs[size:] - differs[:-size] <= allowed)
+                if len(good) == 0:
+                    continue
+                first, end = int(good[0]), int(good[-1]) + size
+                here = (first - end, int(differs[end] - differs[first]), lo + first + shift + base, lo + end + shift + base)
+                best = here if best is None or here < best else best
+            if best:
+                out.append((i, best[2], best[3], best[1]))
+        if out:
+            at = pa.array([o[0] for o in out], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(at), b.column(1).take(at), *(pa.array([o[k] for o in out], pa.int64()) for k in (1, 2, 3))],
+                names=["key", "item", "first_token", "end_token", "substitutions"])
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, filter_bits: int, piece_rows: int):
+    """(rows of docs with a seed, items, overlaps by text key and item); None where the benchmark has no seeds."""
+    spark = docs.sparkSession
+    items = _items(benchmark)
+    kinds = [r[0] for r in items.select("kind").distinct().collect()]       # at most ten
+    if not kinds:
+        return None
+    masks = sorted({m for n in kinds for m in _masks_for(n)})
+    item_seeds = _unnested(items, "item")
+    bitmap = spark.sparkContext.broadcast(_filter(item_seeds, filter_bits))
+
+    def run(batches):
+        for s in T.slices(batches):
+            h, start = _tokens(s.column(1))
+            value, at = _seeds(h, start, masks)
+            maybe = _in_filter(bitmap.value, value)
+            if maybe.any():
+                b = _marked([s.column(0), s.column(1)], ["doc_id", "text"], h, start, value[maybe], at[maybe])
+                yield pa.RecordBatch.from_arrays([b.column(0), _text_key(b.column(1)), *b.columns[2:]],
+                                                 names=["doc_id", "key", "tokens", "hash", "at"])
+
+    marked = written(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, key string, tokens binary, hash array<long>, at array<int>"), "op4-marked")
+    # equal texts are searched once
+    seeds = written(spark, _unnested(marked, "key").distinct(), "op4-seeds")
+    # a seed that many texts hold is cut into pieces, and the items' rows of that seed are repeated for each
+    hot = written(spark, seeds.groupBy("hash").agg(F.ceil(F.count("*") / piece_rows).cast("int").alias("pieces"))
+                  .filter("pieces > 1"), "op4-hot")
+    left = seeds.join(hot, "hash", "left").withColumn(
+        "piece", F.when(F.col("pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("key", "at"), "pieces")).cast("int"))
+    right = (item_seeds.withColumnRenamed("at", "in_item").join(hot, "hash", "left")
+             .withColumn("piece", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))))
+    pairs = (left.drop("pieces").join(right.drop("pieces"), ["hash", "piece"])
+             .select("key", "item", (F.col("at") - F.col("in_item")).alias("shift")).distinct()
+             .groupBy("key", "item").agg(F.collect_list("shift").alias("shifts")))
+    pairs = written(spark, pairs, "op4-pairs")
+    texts = (marked.select("key", "tokens").join(pairs.select("key").distinct(), "key", "left_semi")
+             .groupBy("key").agg(F.first("tokens").alias("tokens")))
+    base = F.greatest(F.array_min("shifts"), F.lit(0))
+    size = F.array_max("shifts") + (F.length("item_tokens") / 8).cast("int") - base
+    laid = (pairs.join(items.select("item", F.col("tokens").alias("item_tokens")), "item").join(texts, "key")
+            .select("key", "item", "shifts", "item_tokens", base.alias("base"),
+                    F.substr("tokens", base * 8 + 1, size * 8).alias("tokens")))
+    return marked, items, written(spark, laid.mapInArrow(
+        _verified, "key string, item long, first_token long, end_token long, substitutions long"), "op4-overlaps")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, filter_bits: int = FILTER_BITS, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """(doc_id, item_id, first_token, end_token, substitutions) of every overlap of a document with an item."""
-    names = "doc_id long, item_id long, first_token long, end_token long, substitutions long"
-    out = None
-    for block in _blocks(benchmark, block_bytes):
-        def run(batches, scan=_scan(block)):
-            for s in T.slices(batches):
-                ids, hits = scan(s, 1)
-                rows = list(hits)
-                if rows:
-                    doc = s.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
-                    cols = [pa.array([ids[r[1]] for r in rows], pa.int64())]
-                    cols += [pa.array([r[k] for r in rows], pa.int64()) for k in (2, 3, 4)]
-                    yield pa.RecordBatch.from_arrays([doc, *cols], names=[f.split()[0] for f in names.split(", ")])
-        part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, names)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], names)
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    found = _found(docs, benchmark, filter_bits, piece_rows)
+    if found is None:
+        return docs.sparkSession.createDataFrame(
+            [], "doc_id long, item_id long, first_token long, end_token long, substitutions long")
+    marked, items, over = found
+    ids = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.sha2("text", 256).alias("item_key"))
+    of = over.join(items.select("item", F.col("key").alias("item_key")), "item").join(ids, "item_key")
+    return marked.select("doc_id", "key").join(of, "key").select(
+        "doc_id", "item_id", "first_token", "end_token", "substitutions")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, filter_bits: int = FILTER_BITS, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """The rows of docs without an overlap, unchanged."""
-    at = docs.columns.index("text")
-    for block in _blocks(benchmark, block_bytes):
-        def run(batches, scan=_scan(block)):
-            for s in T.slices(batches, "text"):
-                _, hits = scan(s, at)
-                keep = np.ones(s.num_rows, bool)
-                keep[[r[0] for r in hits]] = False
-                yield s.filter(pa.array(keep))
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    found = _found(docs, benchmark, filter_bits, piece_rows)
+    if found is None:
+        return docs
+    bad = written(docs.sparkSession, found[2].select(F.col("key").alias("overlapping_text")).distinct(), "op4-bad")
+    return docs.join(bad, F.sha2(docs["text"], 256) == bad["overlapping_text"], "left_anti")

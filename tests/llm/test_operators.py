@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -224,7 +225,7 @@ def test_overlaps(spark, docs, none):
     got = decontaminate.overlaps(frame(spark, rows), bench)
     assert multiset(got.select("doc_id", "item_id", "substitutions").collect()) == Counter(
         {(1, 1, 2): 2, (3, 4, 0): 1, (None, 1, 0): 2, (7, 1, 0): 2})
-    small = decontaminate.overlaps(frame(spark, rows), bench, block_bytes=1)
+    small = decontaminate.overlaps(frame(spark, rows), bench, filter_bits=1 << 15, piece_rows=1)
     assert multiset(small.collect()) == multiset(got.collect())
     kept = decontaminate.clean(frame(spark, rows), bench)
     assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6] and kept.columns == frame(spark, rows).columns
@@ -233,6 +234,51 @@ def test_overlaps(spark, docs, none):
     assert decontaminate.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def _plain_overlaps(rows, items):
+    """Every item laid over every text at every shift."""
+    out = set()
+    for i, text, _ in rows:
+        d = re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in text or ""))
+        for j, t in items:
+            q = re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c < "\x80" else c for c in t or ""))
+            size = min(len(q), 13)
+            allowed = 2 if len(q) >= 13 else int(len(q) >= 8)
+            best = None
+            for shift in range(-len(q), len(d)) if len(q) >= 4 else ():
+                lo, hi = max(0, -shift), min(len(q), len(d) - shift)
+                bad = [q[p] != d[p + shift] for p in range(lo, hi)]
+                good = [p for p in range(len(bad) - size + 1) if sum(bad[p: p + size]) <= allowed]
+                if good:
+                    a, b = good[0], good[-1] + size
+                    here = (a - b, sum(bad[a:b]), lo + a + shift, lo + b + shift)
+                    best = here if best is None or here < best else best
+            if best:
+                out.add((i, j, best[2], best[3], best[1]))
+    return out
+
+
+def test_overlaps_against_brute_force(spark):
+    rng = random.Random(4)
+    items = [(j, " ".join(rng.choice("ab cd ef gh \u00e9t".split()) for _ in range(rng.choice((3, 4, 7, 8, 11, 13, 20, 40))))) for j in range(30)]
+    rows = []
+    for i in range(60):
+        parts = [f"w{rng.randrange(50)}" for _ in range(rng.randrange(30))]
+        if i % 3:
+            q = rng.choice(items)[1].split()
+            for _ in range(rng.randrange(4)):
+                q[rng.randrange(len(q))] = "zz"
+            parts[5:5] = q
+        rows.append((i, " ".join(parts), "s"))
+    rows += [(100, "Ab Cd " * 400, "s"), (101, "Ab Cd " * 400, "s"), (102, None, "s"), (103, "", "s")]
+    items.append((40, "ab cd " * 100))
+    docs, bench = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    want = _plain_overlaps(rows, items)
+    got = decontaminate.overlaps(docs, bench, piece_rows=50).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want and want
+    bad = {w[0] for w in want}
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == sorted(r[0] for r in rows if r[0] not in bad)
+
+
 # 5 ---------------------------------------------------------------------------
 
 def test_mix(docs, none):
