@@ -43,8 +43,10 @@ WINDOW = 13
 SUBSTITUTIONS = 2
 LEAST_TOKENS = 4
 FILTER_BITS = 1 << 27       # greatest size of the seed filter (16 MB)
+BITS_PER_SEED, PROBES = 512, 4
 PIECE_ROWS = 1 << 17        # rows of one seed that are joined in one piece
 
+_LOW = np.uint64((1 << 32) - 1)
 _SPLIT = np.ones(256, bool)
 _SPLIT[48:58] = _SPLIT[65:91] = _SPLIT[97:123] = False
 _SPLIT[128:] = False
@@ -146,11 +148,11 @@ def _unnested(marked: DataFrame, *names: str) -> DataFrame:
 
 
 def _filter(seeds: DataFrame, most_bits: int) -> np.ndarray:
-    """Bloom filter of two probes over the benchmark's seeds; at most ``most_bits`` bits, whatever their number."""
+    """Bloom filter over the benchmark's seeds; at most ``most_bits`` bits, whatever their number."""
     n = seeds.agg(F.count("*")).first()[0]
-    bits = max(1 << 15, min(most_bits, 1 << (16 * n).bit_length()))
-    probe = F.explode(F.array(F.col("hash").bitwiseAND(F.lit(bits - 1)),
-                              F.shiftrightunsigned("hash", 32).bitwiseAND(F.lit(bits - 1)))).alias("p")
+    bits = max(1 << 15, min(most_bits, 1 << (BITS_PER_SEED * n).bit_length()))
+    low, high = F.col("hash").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned("hash", 32).bitwiseOR(F.lit(1))
+    probe = F.explode(F.array(*((low + high * i).bitwiseAND(F.lit(bits - 1)) for i in range(PROBES)))).alias("p")
     rows = (seeds.select(probe).groupBy(F.shiftright("p", 15).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.col("p").bitwiseAND(F.lit(32767))).alias("set")))
     out = np.zeros((bits >> 15, 4096), np.uint8)
@@ -160,10 +162,13 @@ def _filter(seeds: DataFrame, most_bits: int) -> np.ndarray:
 
 
 def _in_filter(bitmap: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Places of the values that may be in the filter."""
     mask = np.uint64(8 * len(bitmap) - 1)
-    hit = np.ones(len(value), bool)
-    for p in (value & mask, (value >> np.uint64(32)) & mask):
-        hit &= (bitmap[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    hit = np.arange(len(value))
+    for i in range(PROBES):
+        v = value[hit]
+        p = ((v & _LOW) + (v >> np.uint64(32) | np.uint64(1)) * np.uint64(i)) & mask
+        hit = hit[(bitmap[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0]
     return hit
 
 
@@ -212,7 +217,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, filter_bits: int, piece_rows:
             h, start = _tokens(s.column(1))
             value, at = _seeds(h, start, masks)
             maybe = _in_filter(bitmap.value, value)
-            if maybe.any():
+            if len(maybe):
                 b = _marked([s.column(0), s.column(1)], ["doc_id", "text"], h, start, value[maybe], at[maybe])
                 yield pa.RecordBatch.from_arrays([b.column(0), _text_key(b.column(1)), *b.columns[2:]],
                                                  names=["doc_id", "key", "tokens", "hash", "at"])
