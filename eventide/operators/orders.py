@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.columns import as_of_ts, safe_ratio
 from eventide.operators.maintain import latest_by, latest_version
+from eventide.operators.split_join import HOT_ROWS, split_join
 
 # Column lists of the order tables.
 UNIFIED_COLUMNS = [
@@ -72,26 +73,27 @@ PAYMENT_SIDE = ["transaction_id", "payment_method", "payment_status", "currency"
                 "tax_amount", "discount_amount", "commission_amount", "payment_date", "settlement_date"]
 
 
-def purchase_order_join(purchases: DataFrame, orders: DataFrame) -> DataFrame:
+USER_DAY = [("user_id", "user_id"), ("event_date", "order_date")]
+
+
+def purchase_order_join(purchases: DataFrame, orders: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Purchases left-joined to orders of the same user on the event's day.
 
     Purchases are filtered before the join; the join is an equi-join on
     (user_id, day), shuffled on both keys (or broadcast by AQE when small).
-    A user with several orders that day yields several rows (fan-out).
+    A user with several orders that day yields several rows (fan-out); the
+    purchases of a hot (user, day) are dealt over many tasks.
     """
-    e = purchases.alias("e")
-    o = orders.alias("o")
-    cond = (F.col("e.user_id") == F.col("o.user_id")) & (F.col("e.event_date") == F.col("o.order_date"))
-    return e.join(o, cond, "left")
+    return split_join(purchases, orders, USER_DAY, "left", "event_id", hot_rows)
 
 
 def purchase_denormalized(purchases: DataFrame, orders: DataFrame, payments: DataFrame,
-                          as_of: str) -> DataFrame:
+                          as_of: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """J2 then payments by order_id; the 50-column denormalised purchase row.
 
     A miss keeps NULL order fields; ``order_id`` falls back to the event id.
     """
-    j = purchase_order_join(purchases, orders)
+    j = purchase_order_join(purchases, orders, hot_rows)
     f = payments.alias("f")
     j = j.join(f, F.col("o.order_id") == F.col("f.order_id"), "left")
     cols = [F.col(f"e.{c}").alias(c) for c in EVENT_SIDE]
@@ -149,7 +151,7 @@ def denormalize(purchases: DataFrame, orders: DataFrame, payments: DataFrame, as
     Equal to ``dedup_denormalized(purchase_denormalized(...))``; with
     ``columns`` only those (plus the dedup key and order) are carried.
     """
-    j = purchase_denormalized(purchases, latest_order_per_type_day(orders), payments, as_of)
+    j = purchase_denormalized(purchases, latest_order_per_type_day(orders), payments, as_of, hot_rows=None)
     if columns is not None:
         j = j.select(*dict.fromkeys([*DENORM_KEY, *DENORM_ORDER, *columns]))
     return dedup_denormalized(j)
@@ -178,7 +180,7 @@ def purchase_denormalized_by_order_id(purchases: DataFrame, orders: DataFrame,
 
 
 def product_inner_join(events: DataFrame, product: DataFrame, payments: DataFrame,
-                       since: str, insurance_type: str) -> DataFrame:
+                       since: str, insurance_type: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The normalised query the denormalised table replaces.
 
     Inner joins of purchases with one product table and payments.  The
@@ -186,20 +188,19 @@ def product_inner_join(events: DataFrame, product: DataFrame, payments: DataFram
     user alone, which would pair every purchase with every order of a user.
     """
     e = events.filter((F.col("event_type") == "purchase")
-                      & (F.col("event_date") >= F.lit(since).cast("date"))).alias("e")
+                      & (F.col("event_date") >= F.lit(since).cast("date")))
     # only what the query reads goes into the whole-row maximum of the dedup
     needed = product.select("order_id", "user_id", "order_date", "policy_number", "version", "updated_at")
     o = latest_version(needed, ["order_id", "user_id"]).withColumn(
-        "insurance_type", F.lit(insurance_type)).alias("o")
+        "insurance_type", F.lit(insurance_type))
     f = payments.alias("f")
-    j = (e.join(o, (F.col("e.user_id") == F.col("o.user_id"))
-                & (F.col("e.event_date") == F.col("o.order_date")), "inner")
-          .join(f, F.col("o.order_id") == F.col("f.order_id"), "inner"))
+    j = (split_join(e, o, USER_DAY, "inner", "event_id", hot_rows)
+         .join(f, F.col("o.order_id") == F.col("f.order_id"), "inner"))
     return j.select("e.event_id", "e.user_id", "e.premium_amount", "o.insurance_type",
                     "o.policy_number", "f.payment_method", "f.payment_status")
 
 
-def type_date_lookup(denorm: DataFrame, since: str, insurance_type: str) -> DataFrame:
+def type_date_lookup(denorm: DataFrame, since: str, insurance_type: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """The single-table form of J5 (date and type filters prune partitions)."""
     return (denorm.filter((F.col("event_date") >= F.lit(since).cast("date"))
                           & (F.col("insurance_type") == insurance_type))
