@@ -207,6 +207,7 @@ def q_event_gaps(t):
 # ---- sources / sinks -----------------------------------------------------------
 from eventide.functions.columns import as_of_ts, parse_time_best_effort, safe_ratio, seconds_between  # noqa: E402
 from eventide.operators import quality, quantile_sketches, reports, schema_versions  # noqa: E402
+from eventide.functions import sql_functions  # noqa: E402
 from eventide.plans import quality_run, serving  # noqa: E402
 from eventide.session import scratch_path  # noqa: E402
 from eventide.sources import csv_ingest, incremental, layout, topic  # noqa: E402
@@ -605,6 +606,21 @@ def q_completeness_by_column(t):
     return quality.completeness_by_column(_store(t), ["user_id", "session_id", "city", "device_type"])
 
 
+@register("sql_outliers_iqr")
+def q_sql_outliers_iqr(t):
+    return sql_functions.outliers(_store(t))
+
+
+@register("sql_completeness_by_column")
+def q_sql_completeness_by_column(t):
+    return sql_functions.completeness(_store(t), quality.EVENTS_TABLE)
+
+
+@register("sql_check_freshness")
+def q_sql_check_freshness(t):
+    return sql_functions.freshness(_store(t), AS_OF, "etl_pipeline", quality.EVENTS_TABLE)
+
+
 @register("critical_alerts")
 def q_critical_alerts(t):
     return quality.critical_alerts(_logs(t).check_log(), AS_OF)
