@@ -871,6 +871,7 @@ oracle("session_event_sequence", """
 SELECT session_id, event_time, event_id, event_type,
        row_number() OVER (PARTITION BY session_id ORDER BY event_time, event_id) AS seq_no
 FROM store""", "store")
+oracle("stream_poll_users", "SELECT user_id, city FROM users", "users")
 
 # the same checks, called by SQL text through functions of the session
 for _name in ("outliers_iqr", "completeness_by_column", "check_freshness"):

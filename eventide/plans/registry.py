@@ -210,7 +210,7 @@ from eventide.operators import quality, quantile_sketches, reports, schema_versi
 from eventide.functions import sql_functions  # noqa: E402
 from eventide.plans import quality_run, serving  # noqa: E402
 from eventide.session import scratch_path  # noqa: E402
-from eventide.sources import csv_ingest, incremental, layout, topic  # noqa: E402
+from eventide.sources import csv_ingest, incremental, layout, polling, topic  # noqa: E402
 from eventide.schemas import PROCESSED_COLUMNS  # noqa: E402
 
 
@@ -860,6 +860,18 @@ def q_stream_upsert_users(t):
     return streams.current_users(base, t.spark.read.parquet(log))
 
 
+@register("stream_poll_users")
+def q_stream_poll_users(t):
+    """Users polled by key in two runs; the lower half is there at the first, the second goes on at the stored mark."""
+    users = _users(t).select(F.col("user_id").cast("long").alias("user_id"), "city")
+    mid = users.agg(F.percentile_approx("user_id", 0.5)).first()[0] or 0
+    path, sink, mark = (scratch_path(t.spark, n) for n in ("poll-users", "polled-users", "poll-mark"))
+    for part in (users.filter(F.col("user_id") <= mid), users.filter(F.col("user_id") > mid)):
+        part.write.mode("append").parquet(path)
+        polling.poll(t.spark, path, users.schema, "user_id", sink, mark)
+    return t.spark.read.schema(users.schema).parquet(sink)
+
+
 @register("stream_freshness")
 def q_stream_freshness(t):
     s = _stream_of(t, _store(t).select("event_id", "event_time"), "freshness", "event_time", to_ltz="event_time")
