@@ -777,9 +777,10 @@ def q_stream_dedup(t):
     twice = quality_run.double_delivery(_store(t))
     arrival = F.col("event_time") + F.when(F.col("ingestion_time") > as_of_ts(AS_OF), F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
     staged = streams.stage(twice.withColumn("arrival", arrival), "redelivered", "arrival")
-    s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), twice.schema, 2)
+    s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), twice.schema, streams.batch_files(t.spark, staged))
     out = scratch_path(t.spark, "last-writes")
-    stateful.write_updates(stateful.last_writes(s), out, scratch_path(t.spark, "last-writes-checkpoint"))
+    stateful.write_updates(stateful.last_writes(s), out, scratch_path(t.spark, "last-writes-checkpoint"),
+                           partitions=streams.state_partitions(t.spark, staged))
     return stateful.current(t.spark, out, ["event_date", "event_id"]).select(*twice.columns)
 
 

@@ -29,18 +29,24 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB (native memory and local disk, snapshots in the checkpoint)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, _ROCKSDB)
+def rocksdb_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Queries started inside keep their state in RocksDB (native memory and local disk, changes and snapshots in the
+    checkpoint), in so many partitions if given; a resumed query keeps those it has."""
+    ours = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+    if partitions:
+        ours["spark.sql.shuffle.partitions"] = str(partitions)
+    before = {key: spark.conf.get(key, None) for key in ours}
+    for key, value in ours.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def run_available(writer, checkpoint: str) -> list[dict]:
@@ -52,12 +58,13 @@ def run_available(writer, checkpoint: str) -> list[dict]:
     return [json.loads(p.json) for p in query.recentProgress]
 
 
-def write_updates(updates: DataFrame, out: str, checkpoint: str, partition: Sequence[str] = ()) -> list[dict]:
+def write_updates(updates: DataFrame, out: str, checkpoint: str, partition: Sequence[str] = (), partitions: int | None = None
+                  ) -> list[dict]:
     """Write an update-mode stream, one folder per epoch."""
     def write(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").partitionBy(*partition).parquet(f"{out}/epoch={epoch}")
 
-    with rocksdb_state(updates.sparkSession):
+    with rocksdb_state(updates.sparkSession, partitions):
         return run_available(updates.writeStream.outputMode("update").foreachBatch(write), checkpoint)
 
 
@@ -126,7 +133,8 @@ class Sessions(StatefulProcessor):
         known = [tuple(e) for e in self.events.get()]
         self.events.appendList(new)
         ends = max(_second(e[0]) * 1000 for e in new) + self.keep_ms
-        if not self.ends.exists() or self.ends.get()[0] < ends:
+        held = self.ends.get()
+        if held is None or held[0] < ends:
             self.ends.update((ends,))
             self.handle.registerTimer(ends)
         yield session_row(key[0], key[1], known + new)
@@ -183,9 +191,9 @@ def purchase_payments(purchases: DataFrame, orders: DataFrame, payments: DataFra
                        "m.order_premium_amount", *(f"f.{c}" for c in PAYMENT_FIELDS))
 
 
-def append_rows(joined: DataFrame, out: str, checkpoint: str) -> list[dict]:
+def append_rows(joined: DataFrame, out: str, checkpoint: str, partitions: int | None = None) -> list[dict]:
     """Run an append-mode stream into a Parquet sink (exactly once)."""
-    with rocksdb_state(joined.sparkSession):
+    with rocksdb_state(joined.sparkSession, partitions):
         return run_available(joined.writeStream.format("parquet").option("path", out), checkpoint)
 
 
@@ -206,7 +214,8 @@ def purchase_payment_rows(spark: SparkSession, out: str) -> DataFrame:
 
 
 def drain_purchase_payments(spark: SparkSession, sources: dict[str, tuple[str, T.StructType]], close_at: dt.datetime,
-                            name: str = "purchase-payments", max_files: int | None = None, **bounds: str) -> DataFrame:
+                            name: str = "purchase-payments", max_files: int | dict[str, int] | None = None,
+                            partitions: int | None = None, **bounds: str) -> DataFrame:
     """T6 over three bounded sources (``purchases``, ``orders``, ``payments``: folder and schema), then the closing pass.
 
     The closing pass resumes the same query after a heartbeat in each source.
@@ -217,8 +226,9 @@ def drain_purchase_payments(spark: SparkSession, sources: dict[str, tuple[str, T
         def read(source):
             path, schema = sources[source]
             reader = spark.readStream.schema(schema)
-            return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
-        append_rows(purchase_payments(read("purchases"), read("orders"), read("payments"), **bounds), out, checkpoint)
+            limit = max_files.get(source) if isinstance(max_files, dict) else max_files
+            return (reader.option("maxFilesPerTrigger", limit) if limit else reader).parquet(path)
+        append_rows(purchase_payments(read("purchases"), read("orders"), read("payments"), **bounds), out, checkpoint, partitions)
 
     run()
     for source, values in (("purchases", {"event_id": -1, "user_id": -1, "event_date": close_at, "event_time": close_at}),

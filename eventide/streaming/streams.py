@@ -34,12 +34,44 @@ def stage(df: DataFrame, name: str, time_col: str | None = None, files: int | No
     return path
 
 
+def _parts(spark: SparkSession, path: str) -> tuple:
+    """The file system and the data files of a folder, by name."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs, sorted((f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
+
+
+BATCH_BYTES = 128 << 20     # staged bytes of a micro-batch
+BATCHES = 4                 # of a source below that
+BATCH_FILES = 2             # at least
+
+
+def batch_files(spark: SparkSession, path: str) -> int:
+    """Files of a staged source that a micro-batch takes.
+
+    A batch costs its planning, its logs and a commit of every state partition
+    besides its rows, so the number of batches follows the bytes of the source
+    and not the number of its files; a small source still takes several.
+    """
+    sizes = [f.getLen() for f in _parts(spark, path)[1]]
+    batches = max(BATCHES, -(-sum(sizes) // BATCH_BYTES))
+    return max(BATCH_FILES, -(-len(sizes) // batches))
+
+
+STATE_BYTES = 32 << 20      # staged bytes of a state partition
+
+
+def state_partitions(spark: SparkSession, *paths: str) -> int:
+    """State partitions of a query over staged sources: each is opened and committed in every batch, so their number
+    follows the bytes and the cores.  A query keeps the number of its first batch."""
+    staged = sum(f.getLen() for path in paths for f in _parts(spark, path)[1])
+    enough = max(2 * spark.sparkContext.defaultParallelism, -(-staged // STATE_BYTES))
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), enough)
+
+
 def in_arrival_order(spark: SparkSession, path: str) -> str:
     """Date the files of a staged folder by their part number, so that a file stream takes them in that order."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(conf)
-    parts = sorted((f for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda f: f.getPath().getName())
+    fs, parts = _parts(spark, path)
     if parts:
         first = min(f.getModificationTime() for f in parts) - 1000 * len(parts)
         for i, f in enumerate(parts):
