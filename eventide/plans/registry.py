@@ -796,7 +796,7 @@ def q_stream_daily_metrics(t):
     """T4 from mergeable partials; late events reach days of earlier batches."""
     late = _store(t).withColumn("arrival", F.col("event_time") + F.make_interval(hours=F.pmod(F.col("event_id"), F.lit(20)).cast("int")))
     staged = streams.in_arrival_order(t.spark, streams.stage(late, "store-daily", "arrival"))
-    s = streams.read_stream(t.spark, staged, late.drop("arrival").schema, max_files=2)
+    s = streams.read_stream(t.spark, staged, late.drop("arrival").schema, streams.batch_files(t.spark, staged))
     return t.spark.read.parquet(streams.stream_daily_partials(t.spark, s)).select("metric_date", "channel", "event_type", "city", "device_type",
         "total_events", "unique_users", "unique_sessions", "total_premium", "avg_premium")
 
