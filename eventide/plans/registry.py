@@ -830,7 +830,9 @@ def q_stream_purchase_payments(t):
     f = orders_flow.payments(t).withColumn("payment_ts", streams.ntz_to_instant(F.col("payment_date")))
     frames = {"purchases": (streams.to_stream_time(etl.purchases(t, AS_OF)), "event_time"), "orders": (u, "order_ts"), "payments": (f, "payment_ts")}
     sources = {k: (streams.in_arrival_order(t.spark, streams.stage(df, k, at)), df.schema) for k, (df, at) in frames.items()}
-    return stateful.drain_purchase_payments(t.spark, sources, dt.datetime(2026, 1, 1), max_files=4)
+    files = {k: streams.batch_files(t.spark, path) for k, (path, _) in sources.items()}
+    return stateful.drain_purchase_payments(t.spark, sources, dt.datetime(2026, 1, 1), max_files=files,
+                                            partitions=streams.state_partitions(t.spark, *(path for path, _ in sources.values())))
 
 
 @register("stream_purchase_orders")
