@@ -816,9 +816,11 @@ def q_stream_session_metrics(t):
     """T5: sessions from keyed state; files overlap in time, so sessions get late events over several batches."""
     late = _store(t).withColumn("arrival", F.col("event_time") + F.make_interval(hours=F.pmod(F.col("event_id"), F.lit(20)).cast("int")))
     staged = streams.stage(late, "store-sessions", "arrival")
-    s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), late.drop("arrival").schema, 2)
+    s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), late.drop("arrival").schema,
+                            streams.batch_files(t.spark, staged))
     out = scratch_path(t.spark, "sessions")
-    stateful.write_updates(stateful.sessions(s), out, scratch_path(t.spark, "sessions-checkpoint"))
+    stateful.write_updates(stateful.sessions(s), out, scratch_path(t.spark, "sessions-checkpoint"),
+                           partitions=streams.state_partitions(t.spark, staged))
     return stateful.current(t.spark, out, ["session_id", "user_id"])
 
 
