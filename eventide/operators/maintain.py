@@ -16,7 +16,10 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     A ``groupBy`` with ``max_by`` over the whole row: it aggregates partially
     before the shuffle, so a key holding a third of all rows is reduced on
     every mapper instead of being sorted inside one task (as a
-    ``row_number`` window would).  Ties on the full order tuple are broken by
+    ``row_number`` window would).  A maximum of structs is a sort aggregate, so
+    the rows are first dealt to partitions of the advisory size (a REBALANCE,
+    which also splits a hot key): a task sorts as much whatever the size of the
+    input's splits.  Ties on the full order tuple are broken by
     the greatest row (lexicographic struct order), so the result is
     deterministic.  NULLs in the order columns rank lowest.
     """
@@ -26,7 +29,7 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     best = F.max(F.struct(rank.alias("r"), row.alias("w")))
     # keys come from the grouping columns themselves, so filters on them are
     # pushed below the aggregate (down to the scans) by Catalyst
-    out = df.groupBy(*keys).agg(best.alias("_best"))
+    out = df.hint("rebalance", *keys, *order).groupBy(*keys).agg(best.alias("_best"))
     return out.select(*[F.col(c) if c in keys else F.col(f"_best.w.`{c}`").alias(c) for c in df.columns])
 
 
