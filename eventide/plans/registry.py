@@ -767,7 +767,7 @@ def _stream_of(t, df, name, time_col=None, max_files=None, to_ltz=None):
 def q_stream_ingest(t):
     payloads = topic.encode_processed(etl.processed_events(t, AS_OF))
     path = streams.stage(payloads, "processed-topic", "offset")
-    good, _ = streams.stream_ingest(t.spark, path, AS_OF, max_files=2)
+    good, _ = streams.stream_ingest(t.spark, path, AS_OF, max_files=streams.batch_files(t.spark, path))
     return t.spark.read.parquet(good).drop("epoch")
 
 

@@ -51,10 +51,11 @@ def batch_files(spark: SparkSession, path: str) -> int:
 
     A batch costs its planning, its logs and a commit of every state partition
     besides its rows, so the number of batches follows the bytes of the source
-    and not the number of its files; a small source still takes several.
+    and not the number of its files, and a batch has a file for every core; a
+    small source still takes several.
     """
     sizes = [f.getLen() for f in _parts(spark, path)[1]]
-    batches = max(BATCHES, -(-sum(sizes) // BATCH_BYTES))
+    batches = max(BATCHES, min(-(-sum(sizes) // BATCH_BYTES), len(sizes) // spark.sparkContext.defaultParallelism))
     return max(BATCH_FILES, -(-len(sizes) // batches))
 
 

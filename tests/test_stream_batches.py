@@ -16,7 +16,7 @@ def _conf(spark, key, value):
 
 
 @pytest.mark.parametrize("query, batches", [("stream_dedup", 6), ("stream_daily_metrics", 4), ("stream_purchase_payments", 9),
-                                            ("stream_session_metrics", 6)])
+                                            ("stream_session_metrics", 6), ("stream_ingest", 4)])
 def test_batches_do_not_follow_the_shuffle_partitions(spark, sf_dir, query, batches):
     logs = f"{checkpoint_root(spark)}/eventide/*-checkpoint-*/commits/[0-9]*".removeprefix("file:")
     before, partitions = set(glob.glob(logs)), _conf(spark, "spark.sql.shuffle.partitions", "30")
