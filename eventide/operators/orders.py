@@ -131,6 +131,12 @@ def order_columns_for(denorm_columns: Sequence[str]) -> list[str]:
     return [c for c in UNIFIED_COLUMNS if c in need]
 
 
+def orders_met(orders: DataFrame, purchases: DataFrame) -> DataFrame:
+    """Orders of a (user, day) that has purchases; no other meets one (J2), so the others need not be reduced and joined."""
+    days = purchases.select("user_id", F.col("event_date").alias("order_date")).distinct()
+    return orders.join(days, ["user_id", "order_date"], "left_semi").select(*orders.columns)
+
+
 def latest_order_per_type_day(orders: DataFrame) -> DataFrame:
     """Per (user, day, type) only the order U3 keeps: the greatest order_id.
 

@@ -38,7 +38,9 @@ def write_tables(t: Tables, as_of: str = AS_OF, root: str | None = None) -> dict
     store = t.spark.read.parquet(paths["processed_events_storage"]).drop("month")
     write_partitioned(metrics.session_metrics(store), paths["session_metrics"], *LAYOUT["session_metrics"])
     purchases = store.filter("event_type = 'purchase'")
-    denorm = orders.denormalize(purchases, orders_flow.unified(t), orders_flow.payments(t), as_of)
+    # the purchases lie in a file: a narrow scan of them tells which orders can meet one
+    met = orders.orders_met(orders_flow.unified(t), purchases)
+    denorm = orders.denormalize(purchases, met, orders_flow.payments(t), as_of)
     write_partitioned(denorm, paths["purchase_events_denormalized"], *LAYOUT["purchase_events_denormalized"])
     return paths
 
