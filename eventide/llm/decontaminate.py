@@ -128,7 +128,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("item"), F.sha2("text", 256).alias("key"), "text")
 
     def run(batches):
-        for s in T.slices(batches):
+        for s in T.slices(batches, limit=T.LEAN_BYTES):
             h, start = _tokens(s.column(2))
             size = np.diff(start)
             kind = np.minimum(size, WINDOW)
@@ -201,6 +201,22 @@ def _verified(batches):
                 names=["key", "item", "first_token", "end_token", "substitutions"])
 
 
+def _with_seeds(docs: DataFrame, masks, bitmap) -> DataFrame:
+    """Rows of docs that have a seed of the filter, with these seeds and the token hashes."""
+    def run(batches):
+        for s in T.slices(batches, limit=T.LEAN_BYTES):
+            h, start = _tokens(s.column(1))
+            value, at = _seeds(h, start, masks)
+            maybe = _in_filter(bitmap.value, value)
+            if len(maybe):
+                b = _marked([s.column(0), s.column(1)], ["doc_id", "text"], h, start, value[maybe], at[maybe])
+                yield pa.RecordBatch.from_arrays([b.column(0), _text_key(b.column(1)), *b.columns[2:]],
+                                                 names=["doc_id", "key", "tokens", "hash", "at"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        run, "doc_id long, key string, tokens binary, hash array<long>, at array<int>")
+
+
 def _found(docs: DataFrame, benchmark: DataFrame, filter_bits: int, piece_rows: int):
     """(rows of docs with a seed, items, overlaps by text key and item); None where the benchmark has no seeds."""
     spark = docs.sparkSession
@@ -211,19 +227,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, filter_bits: int, piece_rows:
     masks = sorted({m for n in kinds for m in _masks_for(n)})
     item_seeds = _unnested(items, "item")
     bitmap = spark.sparkContext.broadcast(_filter(item_seeds, filter_bits))
-
-    def run(batches):
-        for s in T.slices(batches):
-            h, start = _tokens(s.column(1))
-            value, at = _seeds(h, start, masks)
-            maybe = _in_filter(bitmap.value, value)
-            if len(maybe):
-                b = _marked([s.column(0), s.column(1)], ["doc_id", "text"], h, start, value[maybe], at[maybe])
-                yield pa.RecordBatch.from_arrays([b.column(0), _text_key(b.column(1)), *b.columns[2:]],
-                                                 names=["doc_id", "key", "tokens", "hash", "at"])
-
-    marked = written(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, key string, tokens binary, hash array<long>, at array<int>"), "op4-marked")
+    marked = written(spark, _with_seeds(docs, masks, bitmap), "op4-marked")
     # equal texts are searched once
     seeds = written(spark, _unnested(marked, "key").distinct(), "op4-seeds")
     # a seed that many texts hold is cut into pieces, and the items' rows of that seed are repeated for each

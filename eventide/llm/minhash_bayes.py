@@ -100,7 +100,7 @@ def signatures(h: np.ndarray, bound: np.ndarray, n_hashes: int) -> np.ndarray:
 
 def _signed(docs: DataFrame, k: int, n_hashes: int) -> DataFrame:
     def run(batches):
-        for s in T.slices(batches):
+        for s in T.slices(batches, limit=T.LEAN_BYTES):
             buf, offs = T.as_bytes(s.column(1))
             h, bound = shingle_sets(buf, offs, k)
             n = np.diff(bound)
@@ -167,7 +167,7 @@ def _sets(docs: DataFrame, ids: DataFrame, k: int, width: type = np.uint64) -> D
 
     def sets(batches):
         size = np.dtype(width).itemsize
-        for s in T.slices(batches):
+        for s in T.slices(batches, limit=T.LEAN_BYTES):
             buf, offs = T.as_bytes(s.column(1))
             h, bound = shingle_sets(buf, offs, k)
             data = (h >> drop).astype(width).tobytes()
