@@ -110,13 +110,19 @@ class _Tally:
 
 def runs(shard: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     """One packed run per shard of ascending keys."""
-    order = np.argsort(shard, kind="stable")
-    shard, keys, counts = shard[order], keys[order], counts[order]
-    used, first = np.unique(shard, return_index=True)
-    ends = [*first[1:], len(shard)]
+    parts = [(s, pack(keys[rows], counts[rows])) for s, rows in _rows_of_shards(shard)]
     return pa.RecordBatch.from_arrays(
-        [pa.array(used, pa.int32()), pa.array([pack(keys[a:b], counts[a:b]) for a, b in zip(first, ends)], pa.binary())],
-        names=["shard", "run"])
+        [pa.array([s for s, _ in parts], pa.int32()), pa.array([r for _, r in parts], pa.binary())], names=["shard", "run"])
+
+
+def _rows_of_shards(shard: np.ndarray):
+    """(shard, its rows in order) of each shard that has rows."""
+    n = np.bincount(shard)
+    order = np.argsort(shard.astype(np.uint16) if len(n) <= 1 << 16 else shard, kind="stable")      # 16 bits: by radix
+    used = np.flatnonzero(n)
+    ends = np.cumsum(n[used])
+    for s, a, b in zip(used.tolist(), (ends - n[used]).tolist(), ends.tolist()):
+        yield s, order[a:b]
 
 
 def _by_shard(batches):
@@ -166,7 +172,7 @@ def _mapped(folder: str, name: str, dtype: str) -> np.ndarray:
     path = f"{folder}/{name}"
     if not os.path.exists(path) or os.path.getsize(path) == 0:
         return np.zeros(0, dtype)
-    return np.memmap(path, dtype, "r")
+    return np.asarray(np.memmap(path, dtype, "r"))
 
 
 def _save_counts(folder: str, name: str, counts: np.ndarray) -> None:
@@ -220,37 +226,41 @@ class Model:
     low_back: float = 1.0       # weight of the uniform distribution
     levels: dict = field(default_factory=dict)      # Level of each N >= 2
 
-    def _find(self, kind: str, dtype: str, shard: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key is in its shard's array, and where; keys ascend within each shard."""
+    def _find(self, kind: str, dtype: str, shard: np.ndarray, keys: np.ndarray, *reads) -> tuple[np.ndarray, ...]:
+        """Whether each key is in its shard's array, where, and what ``reads`` get there; keys ascend within each shard.
+
+        A read is (function of shard and places, width); keys that are not found get zeros.
+        """
         found, at = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        order = np.argsort(shard, kind="stable")
-        used, first = np.unique(shard[order], return_index=True)
-        for s, a, b in zip(used.tolist(), first, [*first[1:], len(order)]):
+        out = [np.zeros((len(keys), width) if width > 1 else len(keys), np.int64) for _, width in reads]
+        for s, rows in _rows_of_shards(shard):
             array = _mapped(self.folder, f"{kind[0]}-{s}.{kind[1]}", dtype)
             if len(array):
-                rows = order[a:b]
-                place = np.minimum(np.searchsorted(array, keys[rows]), len(array) - 1)
-                found[rows], at[rows] = array[place] == keys[rows], place
-        return found, at
-
-    def _read(self, kind, dtype, shard, at, found, width=1):
-        out = np.zeros((len(at), width), np.int64)
-        for s in np.unique(shard[found]).tolist():
-            rows = np.flatnonzero(found & (shard == s))
-            out[rows] = _mapped(self.folder, f"{kind[0]}-{s}.{kind[1]}", dtype).reshape(-1, width)[at[rows]]
-        return out[:, 0] if width == 1 else out
+                own = keys[rows]
+                place = np.minimum(np.searchsorted(array, own), len(array) - 1)
+                hit = array[place] == own
+                found[rows], at[rows] = hit, place
+                if reads:
+                    rows, place = rows[hit], place[hit]
+                    for o, (read, _) in zip(out, reads):
+                        o[rows] = read(s, place)
+        return found, at, *out
+
+    def _column(self, kind: str, name: str, dtype: str, width: int = 1):
+        """A read of ``_find``: the given array of a shard."""
+        def read(s, place):
+            array = _mapped(self.folder, f"{kind}-{s}.{name}", dtype)
+            return array[place] if width == 1 else array.reshape(-1, width)[place]
+        return read, width
 
     def words(self, hashes: np.ndarray, ids_only: bool = False):
         """Ids (-1: unknown), counts and continuation counts of words."""
         u, back = np.unique(hashes, return_inverse=True)
         shard = (u >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(u), np.int64)
-        found, at = self._find(("vocab", "hash"), "<u8", shard, u)
+        reads = () if ids_only else (self._column("vocab", "count", "<u8"), self._column("vocab", "cont", "<u4"))
+        found, at, *more = self._find(("vocab", "hash"), "<u8", shard, u, *reads)
         ids = np.where(found, at + self.base[shard], -1)
-        if ids_only:
-            return ids[back]
-        count = self._read(("vocab", "count"), "<u8", shard, at, found)
-        cont = self._read(("vocab", "cont"), "<u4", shard, at, found)
-        return ids[back], count[back], cont[back]
+        return ids[back] if ids_only else (ids[back], *(x[back] for x in more))
 
     def contexts(self, n: int, ids: np.ndarray) -> np.ndarray:
         """Total, n1, n2, n3+ of each context of level n; zeros for unseen ones."""
@@ -259,23 +269,23 @@ class Model:
         shard = gram_shard(u << np.uint64(32), np.zeros(0, np.uint64), self.bits)
         out = np.zeros((len(u), 4), np.int64)
         long = np.zeros(len(u), bool)
-        order = np.argsort(shard, kind="stable")
-        used, first = np.unique(shard[order], return_index=True)
-        for s, a, b in zip(used.tolist(), first, [*first[1:], len(order)]):
-            keys, small = _mapped(self.folder, f"gram{n}-{s}.key", "<u8"), _mapped(self.folder, f"gram{n}-{s}.count", "u1")
-            rows = order[a:b]
+        for s, rows in _rows_of_shards(shard):
+            keys = _mapped(self.folder, f"gram{n}-{s}.key", "<u8")
+            if len(keys) == 0:
+                continue
             lo = np.searchsorted(keys, u[rows] << np.uint64(32))
-            size = np.searchsorted(keys, u[rows] << np.uint64(32) | np.uint64(0xFFFFFFFF), "right") - lo
-            long[rows] = size > SHORT
-            for j in range(SHORT):
-                here = (size > j) & (size <= SHORT)
-                c = small[lo[here] + j]
-                c = _counts(self.folder, f"gram{n}-{s}.count", lo[here] + j) if (c == 255).any() else c.astype(np.int64)
-                out[rows[here], 0] += c
-                out[rows[here], np.minimum(c, 3)] += 1
+            # the context's first keys; it is short if the one after SHORT of them is another's
+            at = lo[:, None] + np.arange(SHORT + 1)
+            own = (keys.take(at, mode="clip") >> np.uint64(32) == u[rows][:, None]) & (at < len(keys))
+            long[rows] = own[:, SHORT]
+            i, j = np.nonzero(own[:, :SHORT] & ~own[:, SHORT:])
+            c = _counts(self.folder, f"gram{n}-{s}.count", at[i, j])
+            stats = np.bincount(4 * i + np.minimum(c, 3), minlength=4 * len(rows)).reshape(-1, 4)
+            stats[:, 0] = np.bincount(i, c, len(rows))
+            out[rows] = stats
         at_long = np.flatnonzero(long)
-        found, at = self._find((f"context{n}", "id"), "<u4", shard[at_long], u[at_long].astype(np.uint32))
-        out[at_long] = self._read((f"context{n}", "stats"), "<u8", shard[at_long], at, found, 4)
+        out[at_long] = self._find((f"context{n}", "id"), "<u4", shard[at_long], u[at_long].astype(np.uint32),
+                                  self._column(f"context{n}", "stats", "<u8", 4))[2]
         if len(heavy):
             place = np.minimum(np.searchsorted(heavy, u), len(heavy) - 1)
             big = heavy[place] == u
@@ -286,15 +296,10 @@ class Model:
         """Ids of the grams of level n (-1: unseen) and, on demand, their counts."""
         u, back = np.unique(keys, return_inverse=True)
         shard = gram_shard(u, self.levels[n].heavy, self.bits)
-        found, at = self._find((f"gram{n}", "key"), "<u8", shard, u)
+        reads = [(lambda s, place: _counts(self.folder, f"gram{n}-{s}.count", place), 1)] if counts else []
+        found, at, *seen = self._find((f"gram{n}", "key"), "<u8", shard, u, *reads)
         ids = np.where(found, at + self.levels[n].base[shard], -1)
-        if not counts:
-            return ids[back]
-        seen = np.zeros(len(u), np.int64)
-        for s in np.unique(shard[found]).tolist():
-            rows = np.flatnonzero(found & (shard == s))
-            seen[rows] = _counts(self.folder, f"gram{n}-{s}.count", at[rows])
-        return ids[back], seen[back]
+        return (ids[back], seen[0][back]) if counts else ids[back]
 
     def suffixes(self, n: int, ids: np.ndarray) -> np.ndarray:
         """For ascending ids of level n: the id, one level below, of the gram without its first word."""
