@@ -226,10 +226,11 @@ class Model:
     low_back: float = 1.0       # weight of the uniform distribution
     levels: dict = field(default_factory=dict)      # Level of each N >= 2
 
-    def _find(self, kind: str, dtype: str, shard: np.ndarray, keys: np.ndarray, *reads) -> tuple[np.ndarray, ...]:
+    def _find(self, kind: str, dtype: str, shard: np.ndarray, keys: np.ndarray, *reads, near=None) -> tuple[np.ndarray, ...]:
         """Whether each key is in its shard's array, where, and what ``reads`` get there; keys ascend within each shard.
 
-        A read is (function of shard and places, width); keys that are not found get zeros.
+        A read is (function of shard and places, width); keys that are not found get zeros.  A key whose ``near`` is
+        not negative can only be at that place or one of the next ``SHORT`` - 1.
         """
         found, at = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
         out = [np.zeros((len(keys), width) if width > 1 else len(keys), np.int64) for _, width in reads]
@@ -237,7 +238,15 @@ class Model:
             array = _mapped(self.folder, f"{kind[0]}-{s}.{kind[1]}", dtype)
             if len(array):
                 own = keys[rows]
-                place = np.minimum(np.searchsorted(array, own), len(array) - 1)
+                if near is None:
+                    place = np.searchsorted(array, own)
+                else:
+                    place = near[rows]
+                    few, far = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+                    around = array.take(place[few][:, None] + np.arange(SHORT), mode="clip")
+                    place[few] += (around == own[few][:, None]).argmax(axis=1)
+                    place[far] = np.searchsorted(array, own[far])
+                place = np.minimum(place, len(array) - 1)
                 hit = array[place] == own
                 found[rows], at[rows] = hit, place
                 if reads:
@@ -262,13 +271,14 @@ class Model:
         ids = np.where(found, at + self.base[shard], -1)
         return ids[back] if ids_only else (ids[back], *(x[back] for x in more))
 
-    def contexts(self, n: int, ids: np.ndarray) -> np.ndarray:
-        """Total, n1, n2, n3+ of each context of level n; zeros for unseen ones."""
+    def contexts(self, n: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Total, n1, n2, n3+ of each context of level n, zeros for unseen ones; and where a short one's keys begin, or -1."""
         heavy, heavy_stats = self.levels[n].heavy, self.levels[n].heavy_stats
         u, back = np.unique(ids, return_inverse=True)
         shard = gram_shard(u << np.uint64(32), np.zeros(0, np.uint64), self.bits)
         out = np.zeros((len(u), 4), np.int64)
         long = np.zeros(len(u), bool)
+        near = np.full(len(u), -1, np.int64)
         for s, rows in _rows_of_shards(shard):
             keys = _mapped(self.folder, f"gram{n}-{s}.key", "<u8")
             if len(keys) == 0:
@@ -278,6 +288,7 @@ class Model:
             at = lo[:, None] + np.arange(SHORT + 1)
             own = (keys.take(at, mode="clip") >> np.uint64(32) == u[rows][:, None]) & (at < len(keys))
             long[rows] = own[:, SHORT]
+            near[rows] = np.where(own[:, 0] & ~own[:, SHORT], lo, -1)
             i, j = np.nonzero(own[:, :SHORT] & ~own[:, SHORT:])
             c = _counts(self.folder, f"gram{n}-{s}.count", at[i, j])
             stats = np.bincount(4 * i + np.minimum(c, 3), minlength=4 * len(rows)).reshape(-1, 4)
@@ -290,14 +301,19 @@ class Model:
             place = np.minimum(np.searchsorted(heavy, u), len(heavy) - 1)
             big = heavy[place] == u
             out[big] = heavy_stats[place[big]]
-        return out[back]
+            near[big] = -1      # their keys lie in all shards
+        return out[back], near[back]
 
-    def grams(self, n: int, keys: np.ndarray, counts: bool = False):
-        """Ids of the grams of level n (-1: unseen) and, on demand, their counts."""
+    def grams(self, n: int, keys: np.ndarray, counts: bool = False, near: np.ndarray | None = None):
+        """Ids of the grams of level n (-1: unseen) and, on demand, their counts; ``near``: of their contexts."""
         u, back = np.unique(keys, return_inverse=True)
         shard = gram_shard(u, self.levels[n].heavy, self.bits)
         reads = [(lambda s, place: _counts(self.folder, f"gram{n}-{s}.count", place), 1)] if counts else []
-        found, at, *seen = self._find((f"gram{n}", "key"), "<u8", shard, u, *reads)
+        if near is not None:
+            by_key = np.empty(len(u), np.int64)
+            by_key[back] = near
+            near = by_key
+        found, at, *seen = self._find((f"gram{n}", "key"), "<u8", shard, u, *reads, near=near)
         ids = np.where(found, at + self.levels[n].base[shard], -1)
         return (ids[back], seen[0][back]) if counts else ids[back]
 
@@ -335,14 +351,14 @@ class Model:
         for n, level in sorted(self.levels.items()):
             before = self.context_ids(n, ids, starts, grams)
             ctx = np.flatnonzero(before >= 0)
-            stats = self.contexts(n, before[ctx].astype(np.uint64))
+            stats, near = self.contexts(n, before[ctx].astype(np.uint64))
             seen = stats[:, 0] > 0
-            ctx, stats = ctx[seen], stats[seen]
+            ctx, stats, near = ctx[seen], stats[seen], near[seen]
             c = np.zeros(len(ctx), np.int64)
             known = ids[ctx] >= 0
             at = ctx[known]
             grams = np.full(len(ids), -1, np.int64)
-            grams[at], c[known] = self.grams(n, gram_keys(before[at], ids[at]), counts=True)
+            grams[at], c[known] = self.grams(n, gram_keys(before[at], ids[at]), counts=True, near=near[known])
             back = (stats[:, 1:] * np.array(level.top)).sum(axis=1)
             p[ctx] = ((c - _discount(c, level.top)) + back * p[ctx]) / stats[:, 0]
         return count, np.log10(p)

@@ -106,11 +106,11 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A multilinear 64-bit hash of each word's bytes and length."""
-        return span_hashes(self.buf, self.start, self.end)
+        return span_hashes(self.buf, self.start, self.end, self.inside)
 
 
-def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans (non-empty, ascending, disjoint)."""
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, inside: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the byte spans (non-empty, ascending, disjoint); ``inside``: true at just their bytes, if at hand."""
     if len(start) == 0:
         return np.zeros(0, np.uint64)
     size = end - start
@@ -118,7 +118,8 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     first = np.concatenate(([0], np.cumsum(size)[:-1]))
     within = np.arange(total) - np.repeat(first, size)
     value = multipliers(int(size.max()))[within]
-    value *= buf[within + np.repeat(start, size)].astype(np.uint64) + np.uint64(1)
+    data = buf[within + np.repeat(start, size)] if inside is None else buf[inside]
+    value *= data.astype(np.uint64) + np.uint64(1)
     return mix(np.add.reduceat(value, first) + size.astype(np.uint64) * _STEP)
 
 

@@ -29,7 +29,13 @@ def test_contexts(tmp_path, monkeypatch):
 
     sought, search = [], np.searchsorted
     monkeypatch.setattr(np, "searchsorted", lambda a, v, *more: sought.append(np.size(v) * (len(a) == len(keys))) or search(a, v, *more))
-    got = model.contexts(2, asked)
+    got, near = model.contexts(2, asked)
+    once = sum(sought)
+    of = near[np.searchsorted(asked[:25], ctx.astype(np.uint64))]
+    ids, n = model.grams(2, np.concatenate((keys, keys + np.uint64(1000))), counts=True, near=np.concatenate((of, of)))
     monkeypatch.undo()
+    assert ids.tolist() == [*range(len(keys)), *[-1] * len(keys)] and n.tolist() == [*counts.tolist(), *[0] * len(keys)]
+    # the keys of a short context are next to its first: no search
+    assert sum(sought) - once == 2 * int(np.isin(ctx, stored).sum())
     assert got.tolist() == [want.get(int(c), [0] * 4) for c in asked]
-    assert sum(sought) == len(np.unique(asked))
+    assert once == len(np.unique(asked))
