@@ -27,6 +27,7 @@ by text hash; an empty table gives an empty store; other columns are not read.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
 import zlib
@@ -40,9 +41,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from eventide.llm import mixing_coder as C, text as T
 
 END_ID = 2
-KNOWN_PIECES = 200_000          # bound of a worker's memory of encoded pieces
+KNOWN_PIECES = 400_000          # at which a worker forgets half of its encoded pieces
 GROUP_IDS = C.BLOCK_IDS * C.LANES
-TEXT_BYTES = 1 << 20            # of texts split into pieces at once
+TEXT_BYTES = 2 << 20            # of texts split into pieces at once
 INDEX = "doc_id long, part int, ordinal long, block long, n long, crc long"
 
 
@@ -50,43 +51,130 @@ class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
     The library first takes out the file's added tokens (leftmost, then longest);
-    its pre-tokenizer cuts the stretches between them by ``pattern`` and merges
-    inside pieces only, so each distinct piece is encoded once and remembered.
+    its pre-tokenizer cuts the stretches between them by ``PATTERN`` and its model
+    merges inside pieces only, so the model encodes each distinct piece once and
+    the ids are remembered.  The cuts of all texts of a slice are found at once, on
+    the classes of their characters, which are the pattern's own (regex module).
     """
 
+    PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+    SPACE, OTHER, UNKNOWN = 0, 3, 255       # classes; letters 1, numbers 2
+
     def __init__(self, path: str, pattern: str):
+        if pattern != self.PATTERN:
+            raise ValueError(f"pieces are cut by {self.PATTERN} only, not by {pattern}")
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder().values()
         if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
             raise ValueError("only added tokens that are matched as they stand are supported")
-        self.added = sorted((t.content for t in added), key=len, reverse=True)
-        self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")").split
-        self.find = regex.compile(pattern).findall
-        self._forget()
-
-    def split(self, text: str) -> list[str]:
-        """The added tokens and pieces of a text."""
-        if not any(a in text for a in self.added):
-            return self.find(text)
-        return [p for k, part in enumerate(self.cut(text)) for p in ([part] if k % 2 else self.find(part))]
+        self.added = sorted((t.content.encode() for t in added), key=len, reverse=True)
+        self.find_added = re.compile(b"|".join(map(re.escape, self.added))).finditer
+        self.class_of = regex.compile(r"(\s)|(\p{L})|(\p{N})|(.)", regex.S).match
+        self.ascii = bytes(self.class_of(chr(c)).lastindex - 1 for c in range(128)) + bytes(128)
+        self.wide = np.full(0x110000, self.UNKNOWN, np.uint8)
+        self.added_ids = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        # the letter of every byte that UTF-8 has, as the pre-tokenizer writes it for the model
+        every = "".join(map(chr, (*range(0x800), *range(0x800, 0xD800, 0x40), *range(0xE000, 0x110000, 0x1000))))
+        letters = "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(every))
+        if self.tokenizer.normalizer is not None or len(letters) != len(every.encode()):
+            raise ValueError("only byte-level files without a normalizer or an added blank are supported")
+        self.letters = dict(zip(every.encode(), letters))
+        self.model = self.tokenizer.model
+        if hasattr(self.model, "_resize_cache"):
+            self.model._resize_cache(0)         # the pieces are remembered here
+        self._empty()
+
+    def _characters(self, data: np.ndarray):
+        """Class of every character, and the byte it starts at (None: every byte is one)."""
+        classes = np.frombuffer(data.tobytes().translate(self.ascii), np.uint8)
+        if not len(data) or data.max() < 128:
+            return classes, None
+        at = np.flatnonzero((data & 0xC0) != 0x80)
+        lead = data[at]
+        classes = classes[at]
+        long = np.flatnonzero(lead >= 0x80)
+        first, byte = at[long], lead[long].astype(np.int32)
+        code = np.where(byte < 0xE0, byte & 0x1F, np.where(byte < 0xF0, byte & 0x0F, byte & 0x07))
+        for k, least in ((1, 0), (2, 0xE0), (3, 0xF0)):
+            more = byte >= least
+            code[more] = code[more] << 6 | (data[first[more] + k] & 0x3F)
+        found = self.wide[code]
+        if (found == self.UNKNOWN).any():
+            for c in np.unique(code[found == self.UNKNOWN]).tolist():
+                self.wide[c] = self.class_of(chr(c)).lastindex - 1
+            found = self.wide[code]
+        classes[long] = found
+        return classes, at
+
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The byte at which each piece or added token of the texts starts, ascending."""
+        if not len(data):
+            return np.zeros(0, np.int64)
+        edges, inside = offsets, []
+        text = data.tobytes()
+        if any(a in text for a in self.added):
+            spans = [(lo + m.start(), lo + m.end()) for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist())
+                     for m in self.find_added(text[lo: hi])]
+            edges = np.union1d(offsets, np.array(spans, np.int64).ravel())
+            inside = spans
+        classes, at = self._characters(data)
+        chars = data if at is None else data[at]
+        if at is not None:
+            edges, inside = np.searchsorted(at, edges), [np.searchsorted(at, s) for s in inside]
+        edges = edges[edges < len(classes)]
+        starts = np.empty(len(classes), bool)
+        starts[0] = True
+        np.not_equal(classes[1:], classes[:-1], out=starts[1:])
+        # the last white-space character before another one is cut off; a blank goes with what follows it
+        last = starts[1:] & (classes[:-1] == self.SPACE)
+        last[edges[edges > 0] - 1] = False
+        starts[:-1] |= last
+        last &= chars[:-1] == 0x20
+        starts[1:] &= ~last
+        edge = np.zeros(len(classes) + 3, bool)
+        edge[edges] = True
+        edge[len(classes):] = True
+        starts[edges] = True
+        # contractions
+        mark = np.flatnonzero(chars == 0x27)
+        mark = mark[starts[mark] & ~edge[mark + 1]]
+        if len(mark):
+            one = chars[mark + 1]
+            two = np.where(edge[mark + 2], 0, chars[np.minimum(mark + 2, len(chars) - 1)])
+            n = np.where(np.isin(one, (0x73, 0x74, 0x6D, 0x64)), 1,                     # 's 't 'm 'd
+                         np.where((((one == 0x72) | (one == 0x76)) & (two == 0x65))     # 're 've
+                                  | ((one == 0x6C) & (two == 0x6C)), 2, 0))             # 'll
+            mark, n = mark[n > 0], n[n > 0]
+            starts[mark + 1] = False
+            after = mark + 1 + n
+            starts[after[~edge[after] & (classes[np.minimum(after, len(classes) - 1)] != self.SPACE)]] = True
+        for lo, hi in inside:
+            starts[lo + 1: hi] = False
+        return np.flatnonzero(starts) if at is None else at[starts]
 
     def _forget(self):
+        """Keeps the half of the known pieces that were met in most slices."""
+        names, keep = list(self.known), np.sort(np.argsort(-self.met[: len(self.known)], kind="stable")[: KNOWN_PIECES // 2])
+        sizes = self.sizes[keep]
+        ends = np.cumsum(sizes, dtype=np.int64)
+        flat = self.pool[np.arange(ends[-1]) + np.repeat(self.starts[keep] - ends + sizes, sizes)]
+        met = self.met[keep]
+        self._empty()
+        self._enter([names[i] for i in keep.tolist()], flat, sizes)
+        self.met[: len(met)] = met
+
+    def _empty(self):
         self.known: dict[str, int] = {}
         self.pool = np.zeros(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.sizes = np.zeros(1 << 16, np.int64)
+        self.starts, self.sizes, self.met = (np.zeros(1 << 16, np.int32) for _ in range(3))
         self.used = 0
 
-    def _learn(self, pieces: list[str]):
+    def _enter(self, pieces: list[str], flat: np.ndarray, sizes: np.ndarray):
         n = len(self.known)
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.array([len(c) for c in coded], np.int64)
-        flat = np.fromiter((i for c in coded for i in c), np.uint32, int(sizes.sum()))
         while n + len(pieces) > len(self.sizes):
-            self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            self.sizes = np.concatenate((self.sizes, np.zeros_like(self.sizes)))
+            self.starts, self.sizes, self.met = (np.concatenate((a, np.zeros_like(a))) for a in (self.starts, self.sizes, self.met))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
         self.starts[n: n + len(pieces)] = self.used + np.cumsum(sizes) - sizes
@@ -95,23 +183,39 @@ class Encoder:
         self.used += len(flat)
         self.known.update(zip(pieces, range(n, n + len(pieces))))
 
-    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def _learn(self, pieces: list[str]) -> range:
+        """Has the file's model encode new pieces; their numbers."""
+        n, merge, letters, added = len(self.known), self.model.tokenize, self.letters, self.added_ids
+        flat: list[int] = []
+        ends = [0]
+        for p in pieces:
+            flat += [t.id for t in merge(p.encode().decode("latin-1").translate(letters))] if p not in added else [added[p]]
+            ends.append(len(flat))
+        self._enter(pieces, np.array(flat, np.uint32), np.diff(ends))
+        return range(n, len(self.known))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the number of ids of each."""
         if len(self.known) > KNOWN_PIECES:
             self._forget()
-        split = [self.split(t) if t else () for t in texts]
-        new = set().union(*split).difference(self.known)
-        if new:
-            self._learn(sorted(new))
-        known = self.known
-        at = np.fromiter((known[p] for s in split for p in s), np.int64, sum(map(len, split)))
+        data, offsets = T.as_bytes(texts)
+        cuts = self.cuts(data, offsets)
+        bounds = np.append(cuts, len(data))
+        pieces = pa.LargeStringArray.from_buffers(len(cuts), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
+        pieces = pieces.dictionary_encode()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        at = np.fromiter(map(self.known.get, names, itertools.repeat(-1)), np.int64, len(names))
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            at[new] = self._learn([names[i] for i in new.tolist()])
+        self.met[at] += 1
+        at = at[pieces.indices.to_numpy()]
         sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(sizes, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
         flat = self.pool[np.arange(total) + np.repeat(self.starts[at] - ends + sizes, sizes)]
-        cuts = np.concatenate(([0], np.cumsum([len(s) for s in split])))
-        bounds = np.concatenate(([0], ends))[cuts]
-        return flat, np.diff(bounds)
+        rows = np.concatenate(([0], ends))[np.searchsorted(cuts, offsets)]
+        return flat, np.diff(rows)
 
 
 @functools.lru_cache(maxsize=2)
@@ -153,7 +257,7 @@ class _Writer:
 
     def _flush(self, n: int):
         ids, docs = np.concatenate(self.ids), np.concatenate(self.docs)
-        take, self.ids, self.held = ids[:n], [ids[n:]], len(ids) - n
+        take, self.ids, self.held = ids[:n], [ids[n:].copy()], len(ids) - n
         ends = np.cumsum(docs[:, 2])
         cuts = np.arange(0, n, C.BLOCK_IDS)
         heads = []
@@ -191,7 +295,7 @@ def write(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", orde
     def run(batches):
         out = _Writer(TaskContext.get().partitionId())
         for s in T.slices(batches, limit=TEXT_BYTES):
-            flat, sizes = encoder(tokenizer).ids(s.column(1).to_pylist())
+            flat, sizes = encoder(tokenizer).ids(s.column(1))
             yield from out.add(s.column(0), flat, sizes)
         yield from out.close()
 

@@ -9,11 +9,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from eventide.llm import (curriculum, decontaminate, disclosure, lcp_merge, minhash_bayes, mixing_coder, ngram_lm,
-                          perspectives, quality_cascade, sharding, suffix_dedup, token_store)
+                          perspectives, quality_cascade, sharding, suffix_dedup, text as T, token_store)
 from eventide.session import scratch_path
 from tests.llm.fixtures import AZ, frame, prose, texts, words
 
@@ -152,6 +153,39 @@ def test_coder_refuses_wide_ids():
         mixing_coder.encode([np.array([3, 65536])])
 
 
+def test_coder_size():
+    ids = (np.random.default_rng(4).zipf(1.3, 8192) % 3000).astype(np.int64)
+    (payload, _), = mixing_coder.encode([ids])
+    p = np.bincount(ids) / len(ids)
+    bits = -(p[p > 0] * np.log2(p[p > 0])).sum()
+    assert len(payload) < 1.2 * bits * len(ids) / 8         # with the block's own head
+    (same, _), = mixing_coder.encode([np.tile(ids[:64], 128)])
+    assert len(same) < 1100                                 # order 2 names nearly every id
+
+
+def test_pieces_are_cut_at_once():
+    import public_tokenizers
+    import regex
+    coder, rng = token_store.encoder("byte_bpe_50k.json"), np.random.default_rng(6)
+    find = regex.compile(public_tokenizers.PATTERN).findall
+    parts = ["'", "'s", "'re", "'ll", "'T", " ", "  ", "\n", "a", "re", "l", "é", "中", "1", "²", "!?", "\u3000", "\x85", "\x1c", "😀"]
+    texts = ["".join(rng.choice(parts, n)) for n in rng.integers(0, 15, 400)] + [None, "".join(map(chr, range(0xD800)))]
+    data, offsets = T.as_bytes(pa.array(texts))
+    cuts = coder.cuts(data, offsets).tolist() + [len(data)]
+    got = [bytes(data[a:b]).decode() for a, b in zip(cuts, cuts[1:])]
+    assert got == [p for t in texts for p in find(t or "")]
+
+
+def test_pieces_are_forgotten(monkeypatch):
+    coder = token_store.encoder("byte_bpe_50k.json")
+    monkeypatch.setattr(token_store, "KNOWN_PIECES", 40)
+    for k in range(6):
+        texts = [f"word{chr(97 + k)} {c}{j} the the end" for c in "xyz" for j in range(9)] + ["<|endoftext|>", None]
+        flat, sizes = coder.ids(pa.array(texts))
+        want = [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == list(map(len, want)) and flat.tolist() == [i for w in want for i in w]
+
+
 def test_joined_crc():
     a, b, c = b"abc" * 50, b"", b"xyz"
     assert token_store.joined_crc([(zlib.crc32(x), len(x)) for x in (a, b, c)]) == zlib.crc32(a + b + c)
