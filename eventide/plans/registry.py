@@ -819,7 +819,8 @@ def q_stream_session_metrics(t):
     s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), late.drop("arrival").schema,
                             streams.batch_files(t.spark, staged))
     out = scratch_path(t.spark, "sessions")
-    stateful.write_updates(stateful.sessions(s), out, scratch_path(t.spark, "sessions-checkpoint"),
+    stateful.write_updates(stateful.sessions(s, buckets=streams.session_buckets(t.spark, staged)), out,
+                           scratch_path(t.spark, "sessions-checkpoint"),
                            partitions=streams.state_partitions(t.spark, staged))
     return stateful.current(t.spark, out, ["session_id", "user_id"])
 

@@ -1,6 +1,7 @@
 """Streams whose memory is keyed state (T2, T5, T6): RocksDB state, watermarks, timers and expiry.
 
-Nothing stored is read again for a batch: a batch costs what it brings.  Every
+Nothing stored is read again for a batch: a batch costs what it brings (T5: and the
+live sessions of the buckets it touches).  Every
 query takes the event time's watermark from ``delay``; events later than that
 are dropped by Spark and counted in its progress (``numRowsDroppedByWatermark``),
 and state whose time has passed is deleted.
@@ -16,10 +17,12 @@ import json
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.functions.columns import ntz_to_instant
 from eventide.operators import maintain
@@ -89,75 +92,135 @@ def last_writes(events: DataFrame, delay: str = "2 days") -> DataFrame:
 
 
 # ---- T5 ---------------------------------------------------------------------------
-_EVENT = ["event_time", "event_id", "event_type", "channel", "city", "device_type", "premium_amount", "is_purchase"]
-_EVENT_TYPES = [T.TimestampNTZType(), T.LongType(), T.StringType(), T.StringType(), T.StringType(), T.StringType(), T.LongType(),
-                T.IntegerType()]
 SESSION_ROW = T.StructType([T.StructField(n, t) for n, t in (
     ("session_id", T.StringType()), ("user_id", T.LongType()), ("first_event_time", T.TimestampNTZType()),
     ("last_event_time", T.TimestampNTZType()), ("total_events", T.LongType()), ("unique_event_types", T.LongType()),
     ("has_purchase", T.IntegerType()), ("total_premium", T.LongType()), ("first_channel", T.StringType()), ("first_city", T.StringType()),
     ("first_device_type", T.StringType()), ("event_sequence", T.ArrayType(T.StringType())), ("session_duration_seconds", T.LongType()))])
-_EPOCH = dt.datetime(1970, 1, 1)
+_TEXTS = ("session_id", "user_id", "event_type", "channel", "city", "device_type")
+_NUMBERS = ("time", "event_id", "premium", "priced", "bought")
+_UNKNOWN = -(1 << 40)                           # is_purchase is an int: below all of them
+_HELD = T.StructType([T.StructField("events", T.BinaryType()), T.StructField("buckets", T.LongType())])
+
+
+def _packed(events: dict[str, np.ndarray]) -> bytes:
+    columns = [pa.array(events[c], pa.string()) for c in _TEXTS] + [pa.array(events[c], pa.int64()) for c in _NUMBERS]
+    batch, sink = pa.RecordBatch.from_arrays(columns, [*_TEXTS, *_NUMBERS]), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(held: bytes) -> dict[str, np.ndarray]:
+    table = pa.ipc.open_stream(held).read_all()
+    return {c: table.column(c).to_numpy() for c in (*_TEXTS, *_NUMBERS)}
+
+
+def _arrived(chunk: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The columns of arrived events; texts as objects, so that a null is None."""
+    out = {c: chunk[c].to_numpy() for c in _TEXTS}
+    out["time"] = chunk["event_time"].to_numpy().astype("datetime64[us]").astype("int64")
+    if (out["time"] == np.iinfo("int64").min).any():
+        raise ValueError("an event without a time belongs to no place of its session")
+    return out | {c: chunk[c].to_numpy().astype("int64") for c in _NUMBERS if c != "time"}
+
+
+class _Sessions:
+    """Events of the sessions of a bucket, sorted by session, time and id."""
+
+    def __init__(self, events: dict[str, np.ndarray], keep_ms: int):
+        code = {c: pd.factorize(events[c])[0].astype("int64") + 1 for c in ("session_id", "user_id")}         # 0: null
+        code = code["session_id"] * (code["user_id"].max() + 1) + code["user_id"]
+        self.order = np.lexsort((events["event_id"], events["time"], code))
+        self.events, code = {c: v[self.order] for c, v in events.items()}, code[self.order]
+        self.starts = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+        self.stops = np.r_[self.starts[1:], len(code)]
+        self.number = np.repeat(np.arange(len(self.starts)), self.stops - self.starts)      # an event's session
+        self.ends = self.events["time"][self.stops - 1] // 1_000_000 * 1000 + keep_ms
+
+    def rows(self, of: np.ndarray) -> pd.DataFrame:
+        """A3's rows of these sessions; numbers as objects, so that none passes through a float."""
+        e, starts, n = self.events, self.starts, len(self.starts)
+        first, last = starts[of], self.stops[of] - 1
+        kind, kinds = pd.factorize(e["event_type"])
+        seen = np.unique((self.number * (len(kinds) + 1) + kind)[kind >= 0]) // (len(kinds) + 1)
+        bought, priced = np.maximum.reduceat(e["bought"], starts)[of], np.add.reduceat(e["priced"], starts)[of]
+        if np.abs(np.add.reduceat(e["premium"].astype(float), starts)).max() >= 2.0 ** 63:
+            raise OverflowError("a session's total premium exceeds a long")
+        premium, sequence = np.add.reduceat(e["premium"], starts)[of], e["event_type"].tolist()
+        seconds = e["time"] // 1_000_000
+        numbers = {"total_events": self.stops[of] - first, "unique_event_types": np.bincount(seen, minlength=n)[of],
+                   "has_purchase": [None if x == _UNKNOWN else x for x in bought.tolist()],
+                   "total_premium": [x if some else None for x, some in zip(premium.tolist(), priced.tolist())],
+                   "session_duration_seconds": seconds[last] - seconds[first],
+                   "user_id": [None if x is None else int(x) for x in e["user_id"][first]]}
+        out = {c: pd.Series(list(v), dtype=object) for c, v in numbers.items()}
+        out |= {"session_id": e["session_id"][first], "first_channel": e["channel"][first], "first_city": e["city"][first],
+                "first_device_type": e["device_type"][first], "event_sequence": [sequence[a:b] for a, b in zip(first, last + 1)],
+                "first_event_time": e["time"][first].astype("datetime64[us]"), "last_event_time": e["time"][last].astype("datetime64[us]")}
+        return pd.DataFrame(out)[SESSION_ROW.names]
 
 
 def session_row(session_id, user_id, events: list[tuple]) -> Row:
-    """A3's row of one session from its events, in ``_EVENT`` order."""
-    events = sorted(events, key=lambda e: (e[0], e[1]))
-    first, last = events[0], events[-1][0]
-    types = [e[2] for e in events]
-    premiums = [e[6] for e in events if e[6] is not None]
-    bought = [e[7] for e in events if e[7] is not None]
-    return Row(session_id=session_id, user_id=user_id, first_event_time=first[0], last_event_time=last, total_events=len(events),
-               unique_event_types=len({x for x in types if x is not None}), has_purchase=max(bought, default=None),
-               total_premium=sum(premiums) if premiums else None, first_channel=first[3], first_city=first[4],
-               first_device_type=first[5], event_sequence=types, session_duration_seconds=_second(last) - _second(first[0]))
-
-
-def _second(t: dt.datetime) -> int:
-    return (t - _EPOCH) // dt.timedelta(seconds=1)
-
-
-class Sessions(StatefulProcessor):
-    """State of a session: its events so far; a timer deletes them ``keep`` after the newest one."""
-
-    def __init__(self, keep: dt.timedelta):
-        self.keep_ms = keep // dt.timedelta(milliseconds=1)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.events = handle.getListState("events", T.StructType([T.StructField(n, t) for n, t in zip(_EVENT, _EVENT_TYPES)]))
-        self.ends = handle.getValueState("ends", T.StructType([T.StructField("at", T.LongType())]))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [tuple(r[c] for c in _EVENT) for r in rows]
-        known = [tuple(e) for e in self.events.get()]
-        self.events.appendList(new)
-        ends = max(_second(e[0]) * 1000 for e in new) + self.keep_ms
-        held = self.ends.get()
-        if held is None or held[0] < ends:
-            self.ends.update((ends,))
-            self.handle.registerTimer(ends)
-        yield session_row(key[0], key[1], known + new)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.ends.exists() and self.ends.get()[0] <= expiredTimerInfo.getExpiryTimeInMs():     # else a later timer waits
-            self.events.clear()
-            self.ends.clear()
-        yield from ()
-
-    def close(self) -> None:
-        pass
-
-
-def sessions(events: DataFrame, delay: str = "2 days", keep: dt.timedelta = dt.timedelta(days=2)) -> DataFrame:
+    """A3's row of one session from its events: (time, id, type, channel, city, device, premium, is_purchase)."""
+    time, ids, kind, channel, city, device, premium, bought = map(list, zip(*events))
+    texts = {"session_id": [session_id] * len(ids), "user_id": [None if user_id is None else str(user_id)] * len(ids), "event_type": kind,
+             "channel": channel, "city": city, "device_type": device}
+    numbers = {"time": np.array(time, "datetime64[us]").astype("int64"), "event_id": ids, "premium": [x or 0 for x in premium],
+               "priced": [x is not None for x in premium], "bought": [_UNKNOWN if x is None else x for x in bought]}
+    row = _Sessions({c: np.array(v, object) for c, v in texts.items()} | {c: np.array(v, "int64") for c, v in numbers.items()}, 0).rows(np.arange(1))
+    return Row(**{c: v[0].to_pydatetime() if c.endswith("_event_time") else v[0] for c, v in row.items()})
+
+
+def rebuild_sessions(chunks: Iterator[pd.DataFrame], state, keep_ms: int, buckets: int) -> Iterator[pd.DataFrame]:
+    """Rows of the sessions that ``chunks`` bring events of; state holds the bucket's sessions until ``keep_ms`` after their newest
+    event, and a timeout comes when the next of them ends."""
+    new = [_arrived(c) for c in chunks if len(c)]
+    parts, known = new, 0
+    if state.exists:
+        held, of = state.get
+        if of != buckets:
+            raise ValueError(f"the state was written with {of} buckets of sessions, not {buckets}")
+        parts = [_unpacked(held), *new]
+        known = len(parts[0]["time"])
+    if not parts:
+        return
+    sessions = _Sessions({c: np.concatenate([p[c] for p in parts]) for c in (*_TEXTS, *_NUMBERS)}, keep_ms)
+    if new:
+        yield sessions.rows(np.unique(sessions.number[sessions.order >= known]))
+    alive = sessions.ends >= state.getCurrentWatermarkMs()
+    if alive.any():
+        state.update((_packed({c: v[alive[sessions.number]] for c, v in sessions.events.items()}), buckets))
+        state.setTimeoutTimestamp(max(int(sessions.ends[alive].min()), 1))
+    elif state.exists:
+        state.remove()
+
+
+def sessions(events: DataFrame, delay: str = "2 days", keep: dt.timedelta = dt.timedelta(days=2), buckets: int = 1024) -> DataFrame:
     """T5: A3's row of every session a batch brings events of, as an update stream.
 
     Equal to A3 for events that arrive within ``delay``.  A session is held for
     ``keep`` of event time after its newest event; events that follow a longer
     pause begin a session row anew.
+
+    State is keyed by bucket of sessions (a hash) and not by session: Python is called, and its state read and
+    written, once a bucket and batch, and works on arrays.  A bucket holds its live sessions only.  ``buckets`` is
+    part of the state: a resumed query must be given the same number, another one is refused.
     """
-    timed = events.select("session_id", "user_id", *_EVENT, ntz_to_instant(F.col("event_time")).alias("_at")).withWatermark("_at", delay)
-    return timed.groupBy("session_id", "user_id").transformWithState(Sessions(keep), SESSION_ROW, "update", "eventTime")
+    keep_ms = keep // dt.timedelta(milliseconds=1)
+    timed = events.withColumn("_at", ntz_to_instant(F.col("event_time"))).withWatermark("_at", delay)
+    rows = timed.select(
+        F.pmod(F.xxhash64("session_id", "user_id"), F.lit(buckets)).alias("bucket"), "_at", "event_time", "session_id",
+        F.col("user_id").cast("string").alias("user_id"), "event_type", "channel", "city", "device_type",
+        F.coalesce(F.col("event_id").cast("long"), F.lit(-(1 << 63))).alias("event_id"),
+        F.coalesce(F.col("premium_amount").cast("long"), F.lit(0)).alias("premium"),
+        F.col("premium_amount").isNotNull().cast("long").alias("priced"),
+        F.coalesce(F.col("is_purchase").cast("long"), F.lit(_UNKNOWN)).alias("bought"))
+
+    def rebuild(key, chunks, state):
+        return rebuild_sessions(chunks, state, keep_ms, buckets)
+
+    return rows.groupBy("bucket").applyInPandasWithState(rebuild, SESSION_ROW, _HELD, "update", "EventTimeTimeout")
 
 
 # ---- T6 ---------------------------------------------------------------------------

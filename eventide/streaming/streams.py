@@ -70,6 +70,15 @@ def state_partitions(spark: SparkSession, *paths: str) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), enough)
 
 
+SESSION_BUCKET_BYTES = 1 << 20     # staged bytes of a bucket of sessions
+
+
+def session_buckets(spark: SparkSession, path: str) -> int:
+    """Buckets of sessions of a query over a staged source (T5): by its bytes, and several for each state partition."""
+    staged = sum(f.getLen() for f in _parts(spark, path)[1])
+    return max(16 * state_partitions(spark, path), -(-staged // SESSION_BUCKET_BYTES))
+
+
 def in_arrival_order(spark: SparkSession, path: str) -> str:
     """Date the files of a staged folder by their part number, so that a file stream takes them in that order."""
     fs, parts = _parts(spark, path)
