@@ -819,7 +819,7 @@ def q_stream_session_metrics(t):
     s = streams.read_stream(t.spark, streams.in_arrival_order(t.spark, staged), late.drop("arrival").schema,
                             streams.batch_files(t.spark, staged))
     out = scratch_path(t.spark, "sessions")
-    stateful.write_updates(stateful.sessions(s, buckets=streams.session_buckets(t.spark, staged)), out,
+    stateful.write_updates(stateful.sessions(s, buckets=streams.state_buckets(t.spark, staged)), out,
                            scratch_path(t.spark, "sessions-checkpoint"),
                            partitions=streams.state_partitions(t.spark, staged))
     return stateful.current(t.spark, out, ["session_id", "user_id"])
@@ -834,8 +834,9 @@ def q_stream_purchase_payments(t):
     frames = {"purchases": (streams.to_stream_time(etl.purchases(t, AS_OF)), "event_time"), "orders": (u, "order_ts"), "payments": (f, "payment_ts")}
     sources = {k: (streams.in_arrival_order(t.spark, streams.stage(df, k, at)), df.schema) for k, (df, at) in frames.items()}
     files = {k: streams.batch_files(t.spark, path) for k, (path, _) in sources.items()}
+    paths = [path for path, _ in sources.values()]
     return stateful.drain_purchase_payments(t.spark, sources, dt.datetime(2026, 1, 1), max_files=files,
-                                            partitions=streams.state_partitions(t.spark, *(path for path, _ in sources.values())))
+                                            partitions=streams.state_partitions(t.spark, *paths), buckets=streams.state_buckets(t.spark, *paths))
 
 
 @register("stream_purchase_orders")

@@ -27,16 +27,17 @@ from pyspark.sql import types as T
 from eventide.functions.columns import ntz_to_instant
 from eventide.operators import maintain
 from eventide.session import scratch_path
+from eventide.streaming.streams import _parts
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+def rocksdb_state(spark: SparkSession, partitions: int | None = None, more: dict[str, str] | None = None) -> Iterator[None]:
     """Queries started inside keep their state in RocksDB (native memory and local disk, changes and snapshots in the
     checkpoint), in so many partitions if given; a resumed query keeps those it has."""
     ours = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
-            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", **(more or {})}
     if partitions:
         ours["spark.sql.shuffle.partitions"] = str(partitions)
     before = {key: spark.conf.get(key, None) for key in ours}
@@ -228,35 +229,135 @@ ORDER_FIELDS = ["order_id", "insurance_type", "policy_number"]
 PAYMENT_FIELDS = ["transaction_id", "payment_method", "payment_status", "total_amount", "payment_date"]
 
 
+_WAITS = ("side", "id", "at", "lo", "hi", "met")
+_ORDERED, _PAYMENT, _WITHOUT_ORDER = 0, 1, 2     # sides
+
+
+def _pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all pairs of equal keys."""
+    order = np.argsort(right, kind="stable")
+    first = np.searchsorted(right[order], left, "left")
+    many = np.searchsorted(right[order], left, "right") - first
+    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    return np.repeat(np.arange(len(left)), many), order[np.repeat(first, many) + nth]
+
+
+def _waiting(chunk: pd.DataFrame) -> pa.Table:
+    columns = [pa.array(chunk[c].to_numpy().astype("int64")) for c in _WAITS] + [pa.array(chunk["payload"].to_numpy(), pa.string())]
+    return pa.table(columns, [*_WAITS, "payload"])
+
+
+def meet_payments(chunks: Iterator[pd.DataFrame], state, buckets: int) -> Iterator[pd.DataFrame]:
+    """A left join within a bucket of orders: pairs in which at least one row is new, and purchases that end without a payment.
+
+    Rows wait in state until ``hi``, the last time of a row that could meet them; of two rows the payment's time must lie
+    between the purchase's ``lo`` and ``hi``.  Python looks at keys and times only; payloads are passed on as they are.
+    """
+    tables, known = [_waiting(c) for c in chunks if len(c)], 0
+    if state.exists:
+        held, of = state.get
+        if of != buckets:
+            raise ValueError(f"the state was written with {of} buckets of orders, not {buckets}")
+        tables.insert(0, pa.ipc.open_stream(held).read_all())
+        known = tables[0].num_rows
+    if not tables:
+        return
+    table = pa.concat_tables(tables)
+    side, key, at, lo, hi, met = (table.column(c).to_numpy() for c in _WAITS)
+    new, met = np.arange(len(side)) >= known, met.copy()
+    left, right = np.flatnonzero(side == _ORDERED), np.flatnonzero(side == _PAYMENT)
+    # stored payments can only make a pair with a new purchase
+    asked = np.unique(key[left[new[left]]])
+    wanted = new[right]
+    if len(asked):
+        wanted = wanted | (asked[np.minimum(np.searchsorted(asked, key[right]), len(asked) - 1)] == key[right])
+    right = right[wanted]
+    l, r = _pairs(key[left], key[right])
+    l, r = left[l], right[r]
+    ok = (new[l] | new[r]) & (lo[l] <= at[r]) & (at[r] <= hi[l])
+    l, r = l[ok], r[ok]
+    met[l] = 1
+    over = hi <= state.getCurrentWatermarkMs() * 1000
+    alone = np.flatnonzero((side == _WITHOUT_ORDER) | (side == _ORDERED) & over & (met == 0))
+    if len(l) + len(alone):
+        payload = table.column("payload")
+        yield pd.DataFrame({"purchase": payload.take(pa.array(np.r_[l, alone])).to_numpy(),
+                            "payment": np.r_[payload.take(pa.array(r)).to_numpy(), np.full(len(alone), None, object)]})
+    waits = (side != _WITHOUT_ORDER) & ~over
+    if waits.any():
+        rest = table.set_column(_WAITS.index("met"), "met", pa.array(met)).filter(pa.array(waits)).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
+            writer.write_table(rest)
+        state.update((sink.getvalue().to_pybytes(), buckets))
+        state.setTimeoutTimestamp(max(int(hi[waits].min()) // 1000, 1))
+    elif state.exists:
+        state.remove()
+
+
+def _payload(*columns: str):
+    """Values as a JSON array of their texts: Python passes it on without reading it."""
+    return F.to_json(F.array(*(F.col(c).cast("string") for c in columns)))
+
+
+def _values(payload: str, types: dict[str, T.DataType]) -> list:
+    values = F.from_json(F.col(payload), "array<string>")
+    return [values[i].cast(kind).alias(c) for i, (c, kind) in enumerate(types.items())]
+
+
 def purchase_payments(purchases: DataFrame, orders: DataFrame, payments: DataFrame, delay: str = "1 day",
-                      order_bound: str = "1 day", payment_bound: str = "40 days") -> DataFrame:
+                      order_bound: str = "1 day", payment_bound: str = "40 days", buckets: int = 1024) -> DataFrame:
     """Purchases left-joined to orders, then to payments, as all three arrive.
 
-    Two chained stream-stream left joins.  Orders meet a purchase by user and
+    Two chained left joins of streams.  Orders meet a purchase by user and
     day, payments by order_id; both within a bound of the purchase's time, which
-    with the watermarks of all three sources tells Spark when a purchase can
+    with the watermarks of all three sources tells when a purchase can
     meet no further order and an order no further payment: the row is then
     emitted with NULLs and its state dropped.  Times are TIMESTAMP columns
     ``event_time``, ``order_ts`` and ``payment_ts``.
+
+    The first is Spark's stream-stream join.  Payments wait for long, so the state of the second is keyed by bucket of
+    orders (a hash; ``meet_payments``).  ``buckets`` is part of the state, as in ``sessions``.
     """
     e = purchases.withWatermark("event_time", delay).alias("e")
     o = orders.withWatermark("order_ts", delay).alias("o")
-    f = payments.withWatermark("payment_ts", delay).alias("f")
+    f = payments.withWatermark("payment_ts", delay).filter(F.col("order_id").isNotNull() & F.col("payment_ts").isNotNull())
     met = e.join(o, (F.col("e.user_id") == F.col("o.user_id")) & (F.col("e.event_date") == F.col("o.order_date"))
                  & F.col("o.order_ts").between(F.col("e.event_time") - F.expr(f"INTERVAL {order_bound}"),
                                                F.col("e.event_time") + F.expr(f"INTERVAL {order_bound}")), "leftOuter")
     met = met.select("e.event_id", "e.user_id", "e.event_date", "e.event_time", "e.premium_amount",
-                     *(f"o.{c}" for c in ORDER_FIELDS), F.col("o.premium_amount").alias("order_premium_amount")).alias("m")
-    paid = met.join(f, (F.col("m.order_id") == F.col("f.order_id"))
-                    & F.col("f.payment_ts").between(F.col("m.event_time") - F.expr(f"INTERVAL {payment_bound}"),
-                                                    F.col("m.event_time") + F.expr(f"INTERVAL {payment_bound}")), "leftOuter")
-    return paid.select("m.event_id", "m.user_id", "m.event_date", "m.premium_amount", *(f"m.{c}" for c in ORDER_FIELDS),
-                       "m.order_premium_amount", *(f"f.{c}" for c in PAYMENT_FIELDS))
+                     *(f"o.{c}" for c in ORDER_FIELDS), F.col("o.premium_amount").alias("order_premium_amount"))
+    bought = {**{c: purchases.schema[c].dataType for c in ("event_id", "user_id", "event_date", "premium_amount")},
+              **{c: orders.schema[c].dataType for c in ORDER_FIELDS}, "order_premium_amount": orders.schema["premium_amount"].dataType}
+    paid = {c: payments.schema[c].dataType for c in PAYMENT_FIELDS}
+
+    def waiting(side, key, at, payload):
+        bound = F.expr(f"INTERVAL {payment_bound}")
+        times = [F.coalesce(F.unix_micros(x), F.lit(0)).alias(c) for c, x in (("at", at), ("lo", at - bound), ("hi", at + bound))]
+        return [at.alias("event_time"), F.pmod(key, F.lit(buckets)).alias("bucket"), side.cast("long").alias("side"),
+                F.coalesce(F.col("order_id").cast("long"), F.lit(0)).alias("id"), *times, F.lit(0).cast("long").alias("met"),
+                payload.alias("payload")]
+
+    by_order = F.xxhash64(F.col("order_id").cast("long"))
+    ordered = F.col("order_id").isNotNull() & F.col("event_time").isNotNull()
+    rows = met.select(waiting(F.when(ordered, _ORDERED).otherwise(_WITHOUT_ORDER), F.when(ordered, by_order).otherwise(F.xxhash64("event_id", "user_id")),
+                              F.col("event_time"), _payload(*bought)))
+    rows = rows.union(f.select(waiting(F.lit(_PAYMENT), by_order, F.col("payment_ts"), _payload(*PAYMENT_FIELDS))))
+
+    def meet(key, chunks, state):
+        return meet_payments(chunks, state, buckets)
+
+    pairs = rows.groupBy("bucket").applyInPandasWithState(meet, "purchase string, payment string", _HELD, "append", "EventTimeTimeout")
+    return pairs.select(*_values("purchase", bought), *_values("payment", paid))
+
+
+# A side's keys and rows in one store, whose rows are not counted: two reads a row less (``numRowsTotal`` stays 0)
+_JOIN_STATE = {"spark.sql.streaming.join.stateFormatVersion": "3", "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
 
 
 def append_rows(joined: DataFrame, out: str, checkpoint: str, partitions: int | None = None) -> list[dict]:
     """Run an append-mode stream into a Parquet sink (exactly once)."""
-    with rocksdb_state(joined.sparkSession, partitions):
+    with rocksdb_state(joined.sparkSession, partitions, _JOIN_STATE):
         return run_available(joined.writeStream.format("parquet").option("path", out), checkpoint)
 
 
@@ -264,11 +365,17 @@ def heartbeat(spark: SparkSession, path: str, schema: T.StructType, values: dict
     """Append one row that carries a late time, and keys that meet nothing, to a source: nothing older will follow.
 
     With a heartbeat in each source the watermark passes every waiting row, so
-    the next run closes both joins.  Keys must not be null: Spark filters such
-    rows before it takes their time.
+    both joins close.  Its file is dated after all others, so that a file stream
+    takes it last.  Keys must not be null: Spark filters such rows before it
+    takes their time.
     """
+    fs, parts = _parts(spark, path)
     row = spark.range(1).select(*(F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields))
-    row.write.mode("append").parquet(path)
+    row.coalesce(1).write.mode("append").parquet(path)
+    known, newest = {f.getPath().getName() for f in parts}, max((f.getModificationTime() for f in parts), default=0)
+    for f in _parts(spark, path)[1]:
+        if f.getPath().getName() not in known:
+            fs.setTimes(f.getPath(), max(newest + 1000, f.getModificationTime()), -1)
 
 
 def purchase_payment_rows(spark: SparkSession, out: str) -> DataFrame:
@@ -278,25 +385,23 @@ def purchase_payment_rows(spark: SparkSession, out: str) -> DataFrame:
 
 def drain_purchase_payments(spark: SparkSession, sources: dict[str, tuple[str, T.StructType]], close_at: dt.datetime,
                             name: str = "purchase-payments", max_files: int | dict[str, int] | None = None,
-                            partitions: int | None = None, **bounds: str) -> DataFrame:
-    """T6 over three bounded sources (``purchases``, ``orders``, ``payments``: folder and schema), then the closing pass.
+                            partitions: int | None = None, buckets: int = 1024, **bounds: str) -> DataFrame:
+    """T6 over three bounded sources (``purchases``, ``orders``, ``payments``: folder and schema), closed by their heartbeats.
 
-    The closing pass resumes the same query after a heartbeat in each source.
+    A heartbeat ends each source, so the run that drains them closes both
+    joins too; the watermark is that of the slowest source, so none closes early.
     """
     out, checkpoint = scratch_path(spark, f"{name}-sink"), scratch_path(spark, f"{name}-checkpoint")
-
-    def run() -> None:
-        def read(source):
-            path, schema = sources[source]
-            reader = spark.readStream.schema(schema)
-            limit = max_files.get(source) if isinstance(max_files, dict) else max_files
-            return (reader.option("maxFilesPerTrigger", limit) if limit else reader).parquet(path)
-        append_rows(purchase_payments(read("purchases"), read("orders"), read("payments"), **bounds), out, checkpoint, partitions)
-
-    run()
     for source, values in (("purchases", {"event_id": -1, "user_id": -1, "event_date": close_at, "event_time": close_at}),
                            ("orders", {"order_id": -2, "user_id": -2, "order_date": close_at, "order_ts": close_at}),
                            ("payments", {"order_id": -3, "payment_ts": close_at})):
         heartbeat(spark, *sources[source], values)
-    run()
+
+    def read(source):
+        path, schema = sources[source]
+        reader = spark.readStream.schema(schema)
+        limit = max_files.get(source) if isinstance(max_files, dict) else max_files
+        return (reader.option("maxFilesPerTrigger", limit) if limit else reader).parquet(path)
+
+    append_rows(purchase_payments(read("purchases"), read("orders"), read("payments"), buckets=buckets, **bounds), out, checkpoint, partitions)
     return purchase_payment_rows(spark, out)

@@ -70,13 +70,13 @@ def state_partitions(spark: SparkSession, *paths: str) -> int:
     return min(int(spark.conf.get("spark.sql.shuffle.partitions")), enough)
 
 
-SESSION_BUCKET_BYTES = 1 << 20     # staged bytes of a bucket of sessions
+STATE_BUCKET_BYTES = 1 << 20     # staged bytes of a bucket of keys
 
 
-def session_buckets(spark: SparkSession, path: str) -> int:
-    """Buckets of sessions of a query over a staged source (T5): by its bytes, and several for each state partition."""
-    staged = sum(f.getLen() for f in _parts(spark, path)[1])
-    return max(16 * state_partitions(spark, path), -(-staged // SESSION_BUCKET_BYTES))
+def state_buckets(spark: SparkSession, *paths: str) -> int:
+    """Buckets of keys of a query over staged sources (T5, T6): by their bytes, and several for each state partition."""
+    staged = sum(f.getLen() for path in paths for f in _parts(spark, path)[1])
+    return max(16 * state_partitions(spark, *paths), -(-staged // STATE_BUCKET_BYTES))
 
 
 def in_arrival_order(spark: SparkSession, path: str) -> str:

@@ -55,7 +55,7 @@ def test_sessions_of_a_bucket_end_one_by_one(spark):
 
 def test_buckets_follow_the_bytes(spark, monkeypatch):
     path = streams.stage(spark.range(6_000).withColumnRenamed("id", "offset"), "sized-sessions", "offset", files=4)
-    assert streams.session_buckets(spark, path) == 16 * streams.state_partitions(spark, path)
-    monkeypatch.setattr(streams, "SESSION_BUCKET_BYTES", 10)
+    assert streams.state_buckets(spark, path) == 16 * streams.state_partitions(spark, path)
+    monkeypatch.setattr(streams, "STATE_BUCKET_BYTES", 10)
     staged = sum(f.getLen() for f in streams._parts(spark, path)[1])
-    assert streams.session_buckets(spark, path) == -(-staged // 10)
+    assert streams.state_buckets(spark, path) == -(-staged // 10)
