@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventide.functions.columns import ntz_to_instant
 from eventide.operators import maintain
@@ -33,11 +34,11 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession, partitions: int | None = None, more: dict[str, str] | None = None) -> Iterator[None]:
+def rocksdb_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Queries started inside keep their state in RocksDB (native memory and local disk, changes and snapshots in the
     checkpoint), in so many partitions if given; a resumed query keeps those it has."""
     ours = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
-            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", **(more or {})}
+            "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
     if partitions:
         ours["spark.sql.shuffle.partitions"] = str(partitions)
     before = {key: spark.conf.get(key, None) for key in ours}
@@ -230,34 +231,44 @@ PAYMENT_FIELDS = ["transaction_id", "payment_method", "payment_status", "total_a
 
 
 _WAITS = ("side", "id", "at", "lo", "hi", "met")
-_ORDERED, _PAYMENT, _WITHOUT_ORDER = 0, 1, 2     # sides
+_LEFT, _RIGHT, _ALONE = 0, 1, 2                  # sides; alone: a left row that can meet nothing
 
 
-def _pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all pairs of equal keys."""
+_MOST_PAIRS = 1 << 20                            # at a time, unless one left row has more
+
+
+def _pairs(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of all pairs of equal keys, in slices of left rows."""
     order = np.argsort(right, kind="stable")
     first = np.searchsorted(right[order], left, "left")
     many = np.searchsorted(right[order], left, "right") - first
-    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    return np.repeat(np.arange(len(left)), many), order[np.repeat(first, many) + nth]
+    ends, start = np.cumsum(many), 0
+    while start < len(left):
+        stop = max(start + 1, int(np.searchsorted(ends, ends[start] - many[start] + _MOST_PAIRS, "right")))
+        some = many[start:stop]
+        nth = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+        yield np.repeat(np.arange(start, stop), some), order[np.repeat(first[start:stop], some) + nth]
+        start = stop
 
 
-def _waiting(chunk: pd.DataFrame) -> pa.Table:
-    columns = [pa.array(chunk[c].to_numpy().astype("int64")) for c in _WAITS] + [pa.array(chunk["payload"].to_numpy(), pa.string())]
-    return pa.table(columns, [*_WAITS, "payload"])
+def _waiting(chunk: pd.DataFrame, numbers: Sequence[str]) -> pa.Table:
+    columns = [pa.array(chunk[c].to_numpy().astype("int64")) for c in numbers] + [pa.array(chunk["payload"].to_numpy(), pa.string())]
+    return pa.table(columns, [*numbers, "payload"])
 
 
-def meet_payments(chunks: Iterator[pd.DataFrame], state, buckets: int) -> Iterator[pd.DataFrame]:
-    """A left join within a bucket of orders: pairs in which at least one row is new, and purchases that end without a payment.
+def _meet(chunks: Iterator[pd.DataFrame], state, buckets: int, what: str, names: tuple[str, str], same: Sequence[str] = ()
+          ) -> Iterator[pd.DataFrame]:
+    """A left join within a bucket of keys: pairs in which at least one row is new, and left rows that end without a pair.
 
-    Rows wait in state until ``hi``, the last time of a row that could meet them; of two rows the payment's time must lie
-    between the purchase's ``lo`` and ``hi``.  Python looks at keys and times only; payloads are passed on as they are.
+    Rows wait in state until ``hi``, the last time of a row that could meet them; of two rows the right one's time must lie
+    between the left one's ``lo`` and ``hi``, and they must agree in ``id`` and the columns ``same``.  Python looks at keys
+    and times only; payloads are passed on as they are.
     """
-    tables, known = [_waiting(c) for c in chunks if len(c)], 0
+    tables, known = [_waiting(c, (*_WAITS, *same)) for c in chunks if len(c)], 0
     if state.exists:
         held, of = state.get
         if of != buckets:
-            raise ValueError(f"the state was written with {of} buckets of orders, not {buckets}")
+            raise ValueError(f"the state was written with {of} buckets of {what}, not {buckets}")
         tables.insert(0, pa.ipc.open_stream(held).read_all())
         known = tables[0].num_rows
     if not tables:
@@ -265,36 +276,108 @@ def meet_payments(chunks: Iterator[pd.DataFrame], state, buckets: int) -> Iterat
     table = pa.concat_tables(tables)
     side, key, at, lo, hi, met = (table.column(c).to_numpy() for c in _WAITS)
     new, met = np.arange(len(side)) >= known, met.copy()
-    left, right = np.flatnonzero(side == _ORDERED), np.flatnonzero(side == _PAYMENT)
-    # stored payments can only make a pair with a new purchase
-    asked = np.unique(key[left[new[left]]])
-    wanted = new[right]
-    if len(asked):
-        wanted = wanted | (asked[np.minimum(np.searchsorted(asked, key[right]), len(asked) - 1)] == key[right])
-    right = right[wanted]
-    l, r = _pairs(key[left], key[right])
-    l, r = left[l], right[r]
-    ok = (new[l] | new[r]) & (lo[l] <= at[r]) & (at[r] <= hi[l])
-    l, r = l[ok], r[ok]
-    met[l] = 1
+    left, right = np.flatnonzero(side == _LEFT), np.flatnonzero(side == _RIGHT)
+    agree, payload = [table.column(c).to_numpy() for c in same], table.column("payload")
+
+    def texts(rows: np.ndarray) -> np.ndarray:
+        return payload.take(pa.array(rows)).to_numpy()
+
+    fresh, asked = left[new[left]], np.unique(key[left[new[left]]])
+    if len(asked):                              # else no stored right row can make a new pair
+        old = right[~new[right]]
+        old = old[asked[np.minimum(np.searchsorted(asked, key[old]), len(asked) - 1)] == key[old]]
+    else:
+        old = right[:0]
+    right = right[new[right]]
+    for lefts, rights in ((fresh, np.r_[old, right]), (left[~new[left]], right)):
+        for l, r in _pairs(key[lefts], key[rights]):
+            l, r = lefts[l], rights[r]
+            ok = (lo[l] <= at[r]) & (at[r] <= hi[l])
+            for value in agree:
+                ok &= value[l] == value[r]
+            l, r = l[ok], r[ok]
+            met[l] = 1
+            if len(l):
+                yield pd.DataFrame({names[0]: texts(l), names[1]: texts(r)})
     over = hi <= state.getCurrentWatermarkMs() * 1000
-    alone = np.flatnonzero((side == _WITHOUT_ORDER) | (side == _ORDERED) & over & (met == 0))
-    if len(l) + len(alone):
-        payload = table.column("payload")
-        yield pd.DataFrame({"purchase": payload.take(pa.array(np.r_[l, alone])).to_numpy(),
-                            "payment": np.r_[payload.take(pa.array(r)).to_numpy(), np.full(len(alone), None, object)]})
-    waits = (side != _WITHOUT_ORDER) & ~over
+    alone = np.flatnonzero((side == _ALONE) | (side == _LEFT) & over & (met == 0))
+    if len(alone):
+        yield pd.DataFrame({names[0]: texts(alone), names[1]: np.full(len(alone), None, object)})
+    waits = (side != _ALONE) & ~over
     if waits.any():
         rest = table.set_column(_WAITS.index("met"), "met", pa.array(met)).filter(pa.array(waits)).combine_chunks()
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
             writer.write_table(rest)
         state.update((sink.getvalue().to_pybytes(), buckets))
-        state.setTimeoutTimestamp(max(int(hi[waits].min()) // 1000, 1))
+        state.setTimeoutTimestamp(max(-(-int(hi[waits].min()) // 1000), 1))
     elif state.exists:
         state.remove()
 
 
+def meet_payments(chunks: Iterator[pd.DataFrame], state, buckets: int) -> Iterator[pd.DataFrame]:
+    """Purchases and payments of a bucket of orders."""
+    return _meet(chunks, state, buckets, "orders", ("purchase", "payment"))
+
+
+_HELD_UNTIL = T.StructType([*_HELD.fields, T.StructField("until", T.LongType())])
+
+
+class MeetOrders(StatefulProcessor):
+    """Purchases and orders of a bucket of users and days.  Rows carry the time that the next join may take them at."""
+
+    def __init__(self, buckets: int):
+        self.buckets = buckets
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.held = handle, handle.getValueState("held", _HELD_UNTIL)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        state = _Held(self.held.get(), timerValues.getCurrentWatermarkInMs())
+        before = state.until
+        for met in _meet(rows, state, self.buckets, "users", ("purchase", "order"), ("user", "day")):
+            yield met.assign(seen=pd.Timestamp(state.watermark + 1, unit="ms", tz="UTC"))
+        if state.exists:
+            self.held.update((*state.get, state.until))
+        elif before is not None:
+            self.held.clear()
+        if before is not None and before != state.until and before > state.watermark:      # else it ends by itself
+            self.handle.deleteTimer(before)
+        if state.exists and before != state.until:
+            self.handle.registerTimer(state.until)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held = self.held.get()
+        if held is not None and held[2] <= expiredTimerInfo.getExpiryTimeInMs():     # else a later timer waits
+            yield from self.handleInputRows(key, (), timerValues)
+
+    def close(self) -> None:
+        pass
+
+
+class _Held:
+    """The state of a bucket in one call, as a group state."""
+
+    def __init__(self, held, watermark: int):
+        self.get, self.until, self.watermark = (held[:2], held[2], watermark) if held else (None, None, watermark)
+
+    @property
+    def exists(self) -> bool:
+        return self.get is not None
+
+    def update(self, value: tuple) -> None:
+        self.get = value
+
+    def remove(self) -> None:
+        self.get = self.until = None
+
+    def getCurrentWatermarkMs(self) -> int:
+        return self.watermark
+
+    def setTimeoutTimestamp(self, until: int) -> None:
+        self.until = until
+
+
 def _payload(*columns: str):
     """Values as a JSON array of their texts: Python passes it on without reading it."""
     return F.to_json(F.array(*(F.col(c).cast("string") for c in columns)))
@@ -316,48 +399,56 @@ def purchase_payments(purchases: DataFrame, orders: DataFrame, payments: DataFra
     emitted with NULLs and its state dropped.  Times are TIMESTAMP columns
     ``event_time``, ``order_ts`` and ``payment_ts``.
 
-    The first is Spark's stream-stream join.  Payments wait for long, so the state of the second is keyed by bucket of
-    orders (a hash; ``meet_payments``).  ``buckets`` is part of the state, as in ``sessions``.
+    State is keyed by bucket (a hash of user and day, then of the order) and worked on as arrays (``_meet``); ``buckets`` is
+    part of it, as in ``sessions``.  A purchase reaches the second join at most ``order_bound`` behind the watermark, so
+    payments wait so much longer.
     """
-    e = purchases.withWatermark("event_time", delay).alias("e")
-    o = orders.withWatermark("order_ts", delay).alias("o")
-    f = payments.withWatermark("payment_ts", delay).filter(F.col("order_id").isNotNull() & F.col("payment_ts").isNotNull())
-    met = e.join(o, (F.col("e.user_id") == F.col("o.user_id")) & (F.col("e.event_date") == F.col("o.order_date"))
-                 & F.col("o.order_ts").between(F.col("e.event_time") - F.expr(f"INTERVAL {order_bound}"),
-                                               F.col("e.event_time") + F.expr(f"INTERVAL {order_bound}")), "leftOuter")
-    met = met.select("e.event_id", "e.user_id", "e.event_date", "e.event_time", "e.premium_amount",
-                     *(f"o.{c}" for c in ORDER_FIELDS), F.col("o.premium_amount").alias("order_premium_amount"))
-    bought = {**{c: purchases.schema[c].dataType for c in ("event_id", "user_id", "event_date", "premium_amount")},
-              **{c: orders.schema[c].dataType for c in ORDER_FIELDS}, "order_premium_amount": orders.schema["premium_amount"].dataType}
+    bought = {c: purchases.schema[c].dataType for c in ("event_id", "user_id", "event_date", "premium_amount")}
+    ordered = {**{c: orders.schema[c].dataType for c in ORDER_FIELDS}, "order_premium_amount": orders.schema["premium_amount"].dataType}
     paid = {c: payments.schema[c].dataType for c in PAYMENT_FIELDS}
 
-    def waiting(side, key, at, payload):
-        bound = F.expr(f"INTERVAL {payment_bound}")
-        times = [F.coalesce(F.unix_micros(x), F.lit(0)).alias(c) for c, x in (("at", at), ("lo", at - bound), ("hi", at + bound))]
-        return [at.alias("event_time"), F.pmod(key, F.lit(buckets)).alias("bucket"), side.cast("long").alias("side"),
-                F.coalesce(F.col("order_id").cast("long"), F.lit(0)).alias("id"), *times, F.lit(0).cast("long").alias("met"),
-                payload.alias("payload")]
-
-    by_order = F.xxhash64(F.col("order_id").cast("long"))
-    ordered = F.col("order_id").isNotNull() & F.col("event_time").isNotNull()
-    rows = met.select(waiting(F.when(ordered, _ORDERED).otherwise(_WITHOUT_ORDER), F.when(ordered, by_order).otherwise(F.xxhash64("event_id", "user_id")),
-                              F.col("event_time"), _payload(*bought)))
-    rows = rows.union(f.select(waiting(F.lit(_PAYMENT), by_order, F.col("payment_ts"), _payload(*PAYMENT_FIELDS))))
+    def waiting(side, bucket, key, at, lo, hi, payload, seen, **same):
+        numbers = {"side": side, "id": key, "at": F.unix_micros(at), "lo": F.unix_micros(lo), "hi": F.unix_micros(hi), "met": F.lit(0), **same}
+        return [seen.alias("seen"), F.pmod(bucket, F.lit(buckets)).alias("bucket"), payload.alias("payload"),
+                *(F.coalesce(v.cast("long"), F.lit(0)).alias(c) for c, v in numbers.items())]
+
+    # purchases and orders
+    bound = F.expr(f"INTERVAL {order_bound}")
+    e, o = purchases.withWatermark("event_time", delay), orders.withWatermark("order_ts", delay)
+    by_day, at = F.xxhash64(F.col("user_id").cast("long"), "day"), F.col("event_time")
+    complete = F.col("user_id").isNotNull() & F.col("day").isNotNull() & at.isNotNull()
+    e = e.withColumn("day", F.col("event_date").cast("date")).withColumn("micros", F.unix_micros("event_time")).select(
+        waiting(F.when(complete, _LEFT).otherwise(_ALONE), F.when(complete, by_day).otherwise(F.xxhash64("event_id")), by_day, at, at - bound,
+                at + bound, _payload(*bought, "micros"), at, user=F.col("user_id"), day=F.unix_date("day")))
+    at = F.col("order_ts")
+    o = (o.filter("user_id is not null and order_date is not null and order_ts is not null")
+         .withColumn("day", F.col("order_date").cast("date")).withColumn("order_premium_amount", F.col("premium_amount"))
+         .select(waiting(F.lit(_RIGHT), by_day, by_day, at, at, at + bound, _payload(*ordered), at, user=F.col("user_id"), day=F.unix_date("day"))))
+    met = e.union(o).groupBy("bucket").transformWithStateInPandas(
+        MeetOrders(buckets), "purchase string, order string, seen timestamp", "append", "eventTime", eventTimeColumnName="seen")
+    met = met.select("seen", *_values("purchase", {**bought, "micros": T.LongType()}), *_values("order", ordered))
+
+    # these and payments
+    bound = F.expr(f"INTERVAL {payment_bound}")
+    by_order, at = F.xxhash64("order_id"), F.timestamp_micros("micros")
+    complete = F.col("order_id").isNotNull() & F.col("micros").isNotNull()
+    met = met.select(waiting(F.when(complete, _LEFT).otherwise(_ALONE), F.when(complete, by_order).otherwise(F.xxhash64("event_id", "user_id")),
+                             F.col("order_id"), at, at - bound, at + bound, _payload(*bought, *ordered), F.col("seen")))
+    f, at = payments.withWatermark("payment_ts", delay), F.col("payment_ts")
+    f = (f.filter("order_id is not null and payment_ts is not null").withColumn("order_id", F.col("order_id").cast(ordered["order_id"]))
+         .select(waiting(F.lit(_RIGHT), by_order, F.col("order_id"), at, at, at + bound + F.expr(f"INTERVAL {order_bound}"),
+                         _payload(*paid), at)))
 
     def meet(key, chunks, state):
         return meet_payments(chunks, state, buckets)
 
-    pairs = rows.groupBy("bucket").applyInPandasWithState(meet, "purchase string, payment string", _HELD, "append", "EventTimeTimeout")
-    return pairs.select(*_values("purchase", bought), *_values("payment", paid))
-
-
-# A side's keys and rows in one store, whose rows are not counted: two reads a row less (``numRowsTotal`` stays 0)
-_JOIN_STATE = {"spark.sql.streaming.join.stateFormatVersion": "3", "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
+    pairs = met.union(f).groupBy("bucket").applyInPandasWithState(meet, "purchase string, payment string", _HELD, "append", "EventTimeTimeout")
+    return pairs.select(*_values("purchase", {**bought, **ordered}), *_values("payment", paid))
 
 
 def append_rows(joined: DataFrame, out: str, checkpoint: str, partitions: int | None = None) -> list[dict]:
     """Run an append-mode stream into a Parquet sink (exactly once)."""
-    with rocksdb_state(joined.sparkSession, partitions, _JOIN_STATE):
+    with rocksdb_state(joined.sparkSession, partitions):
         return run_available(joined.writeStream.format("parquet").option("path", out), checkpoint)
 
 

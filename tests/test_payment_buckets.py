@@ -41,7 +41,7 @@ def odd_sources(spark):
     return {k: (p, spark.createDataFrame([], SCHEMAS[k]).schema) for k, p in paths.items()}
 
 
-def test_odd_rows_equal_the_batch_joins_in_one_run(spark):
+def drained_equal_the_batch_joins(spark, name):
     sources = odd_sources(spark)
     frame = {k: spark.read.schema(s).parquet(p) for k, (p, s) in sources.items()}
     e, o, f = frame["purchases"].alias("e"), frame["orders"].alias("o"), frame["payments"].alias("f")
@@ -52,10 +52,40 @@ def test_odd_rows_equal_the_batch_joins_in_one_run(spark):
                         "o.premium_amount as order_premium_amount", "f.transaction_id", "f.payment_method", "f.payment_status", "f.total_amount",
                         "f.payment_date"))
     want = rows_of(want)
-    got = stateful.drain_purchase_payments(spark, sources, D(2024, 6, 1), "odd", max_files=1, delay="4 days", payment_bound="20 days", buckets=3)
+    got = stateful.drain_purchase_payments(spark, sources, D(2024, 6, 1), name, max_files=1, delay="4 days", payment_bound="20 days", buckets=3)
     assert rows_of(got) == want
-    folder = got.inputFiles()[0].rsplit("/odd-sink-", 1)[0].removeprefix("file://")
-    assert len(glob.glob(f"{folder}/odd-checkpoint-*/commits/[0-9]*")) == 5      # three batches, the heartbeats, the closing
+    folder = got.inputFiles()[0].rsplit(f"/{name}-sink-", 1)[0].removeprefix("file://")
+    assert len(glob.glob(f"{folder}/{name}-checkpoint-*/commits/[0-9]*")) == 5      # three batches, the heartbeats, the closing
+
+
+def test_odd_rows_equal_the_batch_joins_in_one_run(spark):
+    drained_equal_the_batch_joins(spark, "odd")
+
+
+def test_odd_rows_in_another_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        drained_equal_the_batch_joins(spark, "odd-zone")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_purchases_and_orders_wait_by_bucket_and_end(spark):
+    sources = odd_sources(spark)
+    late = spark.createDataFrame([(5000, 1, D(2024, 3, 1).date(), D(2024, 3, 1), 1)], SCHEMAS["purchases"])
+    frames = {"purchases": late, "orders": late.selectExpr("-2L as order_id", "user_id", "event_date as order_date", "event_time as order_ts",
+                                                           "'x' as insurance_type", "'P' as policy_number", "1L as premium_amount"),
+              "payments": late.selectExpr("-3L as order_id", "1L as transaction_id", "'x' as payment_method", "'x' as payment_status",
+                                          "1L as total_amount", "timestamp_ntz'2024-03-01' as payment_date", "event_time as payment_ts")}
+    for k, (path, _) in sources.items():
+        frames[k].coalesce(1).write.mode("append").parquet(path)
+    read = {k: streams.read_stream(spark, p, s, 1) for k, (p, s) in sources.items()}
+    joined = stateful.purchase_payments(read["purchases"], read["orders"], read["payments"], delay="4 days", buckets=4)
+    progress = stateful.append_rows(joined, scratch_path(spark, "both"), scratch_path(spark, "both-cp"), 2)
+    orders = [p["stateOperators"][1] for p in progress]
+    assert max(s["numRowsUpdated"] for s in orders) <= 4 * 3                      # 123 purchases and 60 orders, their buckets and timers
+    assert 0 < orders[-1]["numRowsTotal"] < max(s["numRowsTotal"] for s in orders)        # only those of March are held
 
 
 def test_payments_wait_by_bucket(spark):
@@ -112,3 +142,12 @@ def test_pairs_meet_once_within_the_bound_and_rows_end():
     state.update((b"", 5))
     with pytest.raises(ValueError, match="5 buckets of orders, not 4"):
         met(state)
+
+
+def test_pairs_come_in_slices(monkeypatch):
+    monkeypatch.setattr(stateful, "_MOST_PAIRS", 10)
+    left, right = np.array([5, 1, 5, 9, 2, 5]), np.array([5, 2, 5, 7, 5, 5, 5, 5])
+    slices = list(stateful._pairs(left, right))
+    assert [len(l) for l, _ in slices] == [6, 7, 6]
+    assert sorted((int(a), int(b)) for l, r in slices for a, b in zip(l, r)) == [(a, b) for a in range(6) for b in range(8) if left[a] == right[b]]
+    assert list(stateful._pairs(left[:0], right)) == [] and sum(len(l) for l, _ in stateful._pairs(left, right[:0])) == 0
