@@ -36,8 +36,10 @@ _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 @contextmanager
 def rocksdb_state(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Queries started inside keep their state in RocksDB (native memory and local disk, changes and snapshots in the
-    checkpoint), in so many partitions if given; a resumed query keeps those it has."""
+    checkpoint), in so many partitions if given; a resumed query keeps those it has.  An executor's partitions share
+    their native memory (500 MB unless set otherwise)."""
     ours = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+            "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
             "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
     if partitions:
         ours["spark.sql.shuffle.partitions"] = str(partitions)

@@ -59,3 +59,10 @@ def test_buckets_follow_the_bytes(spark, monkeypatch):
     monkeypatch.setattr(streams, "STATE_BUCKET_BYTES", 10)
     staged = sum(f.getLen() for f in streams._parts(spark, path)[1])
     assert streams.state_buckets(spark, path) == -(-staged // 10)
+
+
+def test_state_memory_is_shared_and_bounded(spark):
+    key = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+    with stateful.rocksdb_state(spark):
+        assert spark.conf.get(key) == "true"
+    assert spark.conf.get(key, "false") == "false"
